@@ -16,6 +16,14 @@ WINDOW_END = "2001-07-02 00:00:00"     # exclusive: end of the build day
 _NULLS_RET = "('0', '', 'NA', 'None', 'null')"
 _NULLS_COMP = "('1', '', 'NA', 'None', 'null')"
 
+NUM_FEATURES = [
+    "frequency_12m", "monetary_gmv_12m", "recency_days", "avg_ticket_value", "pct_round_trip", "n_unique_routes_out",
+    "top_route_out_share", "top_company_out_share", "pct_q1", "pct_q2", "pct_q3", "pct_q4", "pct_verao", "pct_outono",
+    "pct_inverno", "pct_primavera", "pct_madrugada", "pct_manha", "pct_tarde", "pct_noite", "pct_weekend",
+    "pct_holiday", "total_tickets_12m", "avg_price_per_ticket"]
+_NUM_CAST = ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in NUM_FEATURES)
+_NUM_LIST = ", ".join(NUM_FEATURES)
+
 CHAIN = f"""
 WITH raw AS ({PURCHASES_SQL}),
 prep0 AS (
@@ -167,7 +175,38 @@ feat AS (
   FROM feat0 f
   LEFT JOIN (SELECT * FROM rtop WHERE rk = 1) r USING (fk_contact)
   LEFT JOIN (SELECT * FROM ctop WHERE rk = 1) c USING (fk_contact)),
-pevents AS ({PURCHASE_EVENTS_SQL})
+pevents AS ({PURCHASE_EVENTS_SQL}),
+featd AS (SELECT fk_contact, {_NUM_CAST} FROM feat),
+flong AS (
+  SELECT fk_contact, feature, x FROM featd UNPIVOT INCLUDE NULLS (x FOR feature IN ({_NUM_LIST}))),
+sk AS (
+  SELECT feature, sum(CASE WHEN x > 0 THEN 1 ELSE 0 END) AS n_positive, skewness(x) AS skew
+  FROM flong GROUP BY feature),
+fl AS (
+  SELECT f.fk_contact, f.feature, coalesce(sk.n_positive > 0 AND sk.skew >= 1.0, false) AS is_log,
+    CASE WHEN coalesce(sk.n_positive > 0 AND sk.skew >= 1.0, false)
+         THEN CASE WHEN x IS NOT NULL THEN ln(1 + greatest(x, 0)) END ELSE x END AS x1
+  FROM flong f JOIN sk USING (feature)),
+fs AS (
+  SELECT fk_contact, feature, is_log,
+    CASE WHEN isnan(coalesce(x1, 0.0)) OR isinf(coalesce(x1, 0.0)) THEN 0.0 ELSE coalesce(x1, 0.0) END AS x2
+  FROM fl),
+st AS (
+  SELECT feature, var_samp(x2) AS v, avg(x2) AS m, stddev_pop(x2) AS s, bool_or(is_log) AS is_log
+  FROM fs GROUP BY feature),
+zlong AS (
+  SELECT fs.fk_contact, fs.feature, (x2 - m) / CASE WHEN s = 0 OR s IS NULL THEN 1 ELSE s END AS z
+  FROM fs JOIN st USING (feature) WHERE v > 1e-12),
+seg AS (
+  SELECT f.fk_contact, CAST(dense_rank() OVER (ORDER BY c.c_mktsegment) - 1 AS INTEGER) AS cluster_id
+  FROM feat f JOIN customer c ON c.c_custkey = CAST(f.fk_contact AS BIGINT)),
+segz AS (
+  SELECT seg.cluster_id, zlong.feature, avg(zlong.z) AS z
+  FROM zlong JOIN seg USING (fk_contact) GROUP BY 1, 2),
+emb AS (
+  SELECT vec_id, label, unnest(embedding) AS x, generate_subscripts(embedding, 1) - 1 AS d FROM embeddings),
+embc AS (
+  SELECT label AS cluster_id, d, avg(x) AS cx FROM emb GROUP BY 1, 2)
 """
 
 
