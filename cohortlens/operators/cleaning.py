@@ -18,6 +18,7 @@ from __future__ import annotations
 import logging
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -249,31 +250,46 @@ def _fmt(x: Column) -> Column:
 
 def bucket_edges(df: DataFrame, *, col: str, n: int = config.DEFAULT_BUCKETS, accuracy: int | None = None,
                  where=None) -> DataFrame:
-    """1-row frame with ``_edges`` = the n+1 quantile edges of ``col`` over rows with col > 0."""
+    """1-row frame: ``_edges`` (distinct quantile edges of ``col`` over rows with col > 0) and
+    ``_labels`` (one label per interval: 'Q1'..'Qn', or interval text when edges repeat).
+
+    Labels are built once on this single row; rows then only look their interval up.
+    """
     cond = F.col(col) > 0 if where is None else (F.col(col) > 0) & where
     qs = [i / n for i in range(n + 1)]
     edges = quantiles(df, col, qs, accuracy=accuracy, prefix="_e", where=cond)
-    return edges.select(F.array(*[f"_e{i}" for i in range(n + 1)]).alias("_edges"))
+    e = edges.select(F.array_distinct(F.array(*[f"_e{i}" for i in range(n + 1)])).alias("_edges"))
+    e = e.withColumn("_prec", _label_precision(F.col("_edges")))
+    return e.select("_edges", _interval_labels(F.col("_edges"), F.col("_prec"), n).alias("_labels"))
 
 
-def bucket_label(x: Column, edges: Column, n: int) -> Column:
-    """'Q1'..'Qn' for value ``x`` on right-closed edges (lowest included); interval text on ties."""
-    uniq = F.array_distinct(edges)
-    below = F.size(F.filter(uniq, lambda e: e < x))
-    j = F.greatest(below, F.lit(1))                      # 1-based interval index
-    q_label = F.concat(F.lit("Q"), j.cast("string"))
-    # pandas precision inference: the smallest precision >= 3 that keeps the edges distinct
+def _label_precision(uniq: Column) -> Column:
+    """pandas precision inference: the smallest precision >= 3 that keeps the edges distinct."""
     best = F.lit(None).cast("int")
     for p in range(12, 2, -1):
         rounded = F.transform(uniq, lambda e, p=p: _round_frac(e, p))
         best = F.when(F.size(F.array_distinct(rounded)) == F.size(uniq), F.lit(p)).otherwise(best)
-    best = F.coalesce(best, F.lit(3))
-    lo_e = _round_frac(F.element_at(uniq, j), best)
-    lo_e = F.when(j == 1, lo_e - F.pow(F.lit(10.0), -best)).otherwise(lo_e)
-    hi_e = _round_frac(F.element_at(uniq, j + 1), best)
-    iv_label = F.concat(F.lit("("), _fmt(lo_e), F.lit(", "), _fmt(hi_e), F.lit("]"))
-    label = F.when(F.size(uniq) == n + 1, q_label).otherwise(iv_label)
-    return F.when((x > 0) & edges[0].isNotNull(), label)
+    return F.coalesce(best, F.lit(3))
+
+
+def _interval_labels(uniq: Column, best: Column, n: int) -> Column:
+    idx = F.sequence(F.lit(1), F.greatest(F.size(uniq) - 1, F.lit(1)))
+    q_labels = F.transform(idx, lambda j: F.concat(F.lit("Q"), j.cast("string")))
+
+    def iv(j):
+        lo = _round_frac(F.element_at(uniq, j), best)
+        lo = F.when(j == 1, lo - F.pow(F.lit(10.0), -best)).otherwise(lo)
+        hi = _round_frac(F.element_at(uniq, j + 1), best)
+        return F.concat(F.lit("("), _fmt(lo), F.lit(", "), _fmt(hi), F.lit("]"))
+
+    iv_labels = F.transform(idx, iv)
+    return F.when(F.size(uniq) == n + 1, q_labels).otherwise(iv_labels)
+
+
+def bucket_label(x: Column, edges: Column, labels: Column) -> Column:
+    """Label of value ``x``: interval j with e[j-1] < x <= e[j] (the lowest value in interval 1)."""
+    j = F.greatest(F.size(F.filter(edges, lambda e: e < x)), F.lit(1))
+    return F.when((x > 0) & (F.size(edges) > 0), F.element_at(labels, F.least(j, F.size(labels))))
 
 
 def quantile_bucket(df: DataFrame, *, col: str, n: int = config.DEFAULT_BUCKETS, out: str = "gmv_bucket",
@@ -281,7 +297,7 @@ def quantile_bucket(df: DataFrame, *, col: str, n: int = config.DEFAULT_BUCKETS,
     """d07: quantile buckets on value edges; only rows with ``col > 0`` get a bucket."""
     edges = bucket_edges(df, col=col, n=n, accuracy=accuracy)
     res = df.crossJoin(F.broadcast(edges))
-    return res.withColumn(out, bucket_label(F.col(col), F.col("_edges"), n)).drop("_edges")
+    return res.withColumn(out, bucket_label(F.col(col), F.col("_edges"), F.col("_labels"))).drop("_edges", "_labels")
 
 
 # -- routing -----------------------------------------------------------------
@@ -339,6 +355,9 @@ def route_rows(df: DataFrame, *, schema: PurchaseSchema = DEFAULT_SCHEMA, keep:
     s = schema
     stage0 = F.when(is_audit(s), F.lit("audit")).when(~is_valid(s), F.lit("invalid"))
     base = df.withColumn("_stage0", stage0)
+    if checkpoint:
+        # two consumers (winners, join): compute the upstream once; released after the cut below
+        base = base.persist(StorageLevel.MEMORY_AND_DISK)
     valid = base.where(F.col("_stage0").isNull())
     order = _dedupe_order(s, keep, df)
     w = winners(valid, key=s.key, order=order, row_id=s.row_id).withColumn("_kept", F.lit(True))
@@ -346,6 +365,7 @@ def route_rows(df: DataFrame, *, schema: PurchaseSchema = DEFAULT_SCHEMA, keep:
     if checkpoint:
         # three consumers (p99, bucket edges, final rows): materialise once in the shared folder
         marked = cut_lineage(marked, "dedup")
+        base.unpersist()
     kept = marked.where(F.col("_kept"))
     thr = quantile(kept, s.avg_price, p, accuracy=accuracy, name="p99_avg_price_per_ticket",
                    where=F.col(s.avg_price) > 0)
@@ -359,6 +379,7 @@ def route_rows(df: DataFrame, *, schema: PurchaseSchema = DEFAULT_SCHEMA, keep:
     if n_buckets:
         edges = bucket_edges(rows, col=s.gmv, n=n_buckets, accuracy=accuracy, where=F.col(route_col) == "clean")
         rows = rows.crossJoin(F.broadcast(edges)).withColumn(
-            "gmv_bucket", F.when(F.col(route_col) == "clean", bucket_label(F.col(s.gmv), F.col("_edges"), n_buckets))
-        ).drop("_edges")
+            "gmv_bucket", F.when(F.col(route_col) == "clean",
+                                 bucket_label(F.col(s.gmv), F.col("_edges"), F.col("_labels")))
+        ).drop("_edges", "_labels")
     return Routed(rows, thr, route_col)

@@ -449,7 +449,3 @@ def customer_features_raw(spark, sf):
     """Unrounded customer features (input of the standardisation and clustering queries)."""
     return ft.customer_features(window36(spark, sf), build_date=BUILD_DATE, model_version="v1")
 
-
-# part 2 registers into the same registry
-from . import catalog_models  # noqa: E402,F401
-from . import catalog_io  # noqa: E402,F401
