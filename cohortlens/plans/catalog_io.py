@@ -72,7 +72,7 @@ def s05(spark, sf):
     cz = z.join(seg, "fk_contact").groupBy("cluster_id").agg(*[F.avg(c).alias(c) for c in zcols])
     root = scratch(spark, "artifacts")
     sinks.write_parquet(cz, f"{root}/centroids_z")
-    sinks.write_csv(seg, f"{root}/assignments.csv")
+    sinks.write_csv(seg, f"{root}/assignments.csv")          # read back with inferred types
     art = sinks.load_artifacts(spark, centroids_z_path=f"{root}/centroids_z", used_cols=sc.used_cols,
                                assignments_path=f"{root}/assignments.csv")
     return art["assignments"]
@@ -171,7 +171,8 @@ def x03(spark, sf):
                                                key="nk_ota_localizer_id"),
               "top_companies": rp.top_k_string(j, group="cluster_id", value="fk_departure_ota_bus_company", k=15)}
     out = sinks.write_bundle(tables, scratch(spark, "summary"))
-    return spark.read.parquet(out["overview"])
+    return rounded(spark.read.parquet(out["overview"]), {"gmv": 2, "ticket_medio": 2, "freq_media": 6,
+                                                          "pct_clientes": 6, "pct_gmv": 6})
 
 
 @register("x04_run_manifest")
@@ -275,3 +276,40 @@ def p22(spark, sf):
     seg = segments(spark, sf, f)
     m = F.create_map(*[x for k, v in NOTEBOOK_CLUSTER_NAMES.items() for x in (F.lit(k), F.lit(v))])
     return seg.withColumn("cluster_name", m[F.col("cluster_id")])
+
+
+# == oracles for entries first registered rows-only =============================
+def _add_oracles():
+    from . import catalog
+    from .catalog_models import _names_sql, _OVERVIEW, _labels_sql
+
+    feats = O.NUM_FEATURES
+    lab = ("CASE WHEN z IS NULL OR isnan(z) THEN 'Médio' WHEN z <= -0.5 THEN 'Baixo' WHEN z >= 0.5 THEN 'Alto' "
+           "ELSE 'Médio' END")
+    pivot_lab = ", ".join(f"max(CASE WHEN feature = '{f}' THEN {lab} END) AS label__{f}" for f in feats)
+    pivot_z = ", ".join(f"max(CASE WHEN feature = '{f}' THEN {R('z', 6)} END) AS {f}_z" for f in feats)
+    pivot_x = ", ".join(f"max(CASE WHEN feature = '{f}' THEN {R('z * (CASE WHEN s = 0 OR s IS NULL THEN 1 ELSE s END) + m', 6)} END)"
+                        f" AS {f}" for f in feats)
+    extra = {
+        "t06_head": "SELECT _row_id, fk_contact FROM clean ORDER BY _row_id LIMIT 10",
+        "s04_first_existing": "SELECT o_orderkey FROM orders",
+        "s05_load_artifacts": "SELECT CAST(fk_contact AS INTEGER) AS fk_contact, cluster_id FROM seg",
+        "s07_write_csv": "SELECT fk_contact, CAST(frequency_12m AS VARCHAR) AS frequency_12m, top_route_out FROM feat",
+        "r02_pivot_labels": f"SELECT cluster_id, {pivot_lab} FROM segz GROUP BY cluster_id",
+        "r03_pivot_z": f"SELECT cluster_id, {pivot_z} FROM segz GROUP BY cluster_id",
+        "l04_centroid_summary": (
+            f", zw AS (SELECT cluster_id, {pivot_z}, {pivot_lab} FROM segz GROUP BY cluster_id), "
+            f"xw AS (SELECT cluster_id, {pivot_x} FROM segz JOIN st USING (feature) GROUP BY cluster_id) "
+            f"SELECT zw.*, xw.* EXCLUDE (cluster_id), '{BUILD_DATE}' AS build_date, 'v1' AS model_version "
+            "FROM zw JOIN xw USING (cluster_id)"),
+        "l08_run_labeling": _names_sql() + "SELECT fk_contact, cluster_id, cluster_name FROM seg "
+                                           "LEFT JOIN names USING (cluster_id)",
+        "x03_summary_tables": _OVERVIEW + "SELECT * FROM ovs",
+    }
+    extra["j06_centroid_summary_join"] = extra["l04_centroid_summary"]
+    for k, body in extra.items():
+        catalog.ORACLES[k] = O.q(body)
+    catalog.ORACLES["s11_append_batches"] = _labels_sql(7, (3, 7), weekly=False)
+
+
+_add_oracles()

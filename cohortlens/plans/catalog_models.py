@@ -424,8 +424,9 @@ def l03(spark, sf):
 def l04(spark, sf):
     sc, cz, seg, lab = _labels(spark, sf)
     unstd = sc.inverse(cz).select("cluster_id", *sc.used_cols)
-    return nm.centroid_summary(cz, lab, centroids_unstd=unstd, meta={"build_date": BUILD_DATE, "model_version": "v1"},
-                               features=sc.used_cols)
+    out = nm.centroid_summary(cz, lab, centroids_unstd=unstd, meta={"build_date": BUILD_DATE, "model_version": "v1"},
+                              features=sc.used_cols)
+    return rounded(out, {c: 6 for c, t in out.dtypes if t == "double"})
 
 
 @register("l05_diff_label", O.q("""
@@ -482,7 +483,7 @@ def l08(spark, sf):
     from .segmentation import run_labeling
     sc, cz, seg, z = segment_centroids_z(spark, sf)
     out = run_labeling(centroids_z=cz, used_cols=sc.used_cols, assignments=seg)
-    return out["assignments_named"]
+    return out["assignments_named"].select("fk_contact", "cluster_id", "cluster_name")
 
 
 @register("r02_pivot_labels")
@@ -494,7 +495,8 @@ def r02(spark, sf):
 @register("r03_pivot_z")
 def r03(spark, sf):
     sc, cz, seg, z = segment_centroids_z(spark, sf)
-    return nm.pivot_z(nm.melt_z(cz, used_cols=sc.used_cols), features=sc.used_cols)
+    out = nm.pivot_z(nm.melt_z(cz, used_cols=sc.used_cols), features=sc.used_cols)
+    return rounded(out, {c: 6 for c, t in out.dtypes if t == "double"})
 
 
 @register("t04_top_abs_z", O.q(
