@@ -5,9 +5,11 @@ third of all rows is combined per partition before the shuffle. "Top value + sha
 levels of aggregation — (customer, value) counts, then ``min(struct(-count, value))`` per
 customer — so ties are broken deterministically (count desc, value asc) without a window.
 
-``customer_features`` fuses the blocks: one pre-aggregation at the (customer, route, company)
-grain feeds the totals, the top route and the top company (the shuffle output is reused), and a
-separate (customer, order key) distinct pass gives the exact order count.
+``customer_features`` computes the blocks as four partial aggregations, each from a scan pruned
+to its own columns: all additive measures in one ``groupBy(customer)``, the (customer, route) and
+(customer, company) counts for the top values, and a (customer, order key) distinct pass for the
+exact order count. Every shuffle carries pre-aggregated rows; the four results are hash-partitioned
+by customer and joined 1:1.
 """
 
 from __future__ import annotations
@@ -186,46 +188,30 @@ def customer_features(df: DataFrame, *, build_date, model_version: str = config.
     wk = F.when(tcol.isNotNull(), fx.is_weekend(tcol))
     hol = F.when(tcol.isNotNull(), fx.is_holiday_window(tcol))
 
-    def counts(cat, values, tag):
-        return ([F.count(cat).alias(f"_{tag}_n")]
-                + [F.sum(F.when(cat == v, 1).otherwise(0)).alias(f"_{tag}_{i}") for i, v in enumerate(values)])
-
-    # Grain (customer, route, company): partial sums for every additive measure.
-    lvl = base.groupBy(s.contact, s.route_out, s.company_out).agg(
-        F.count(F.lit(1)).alias("_rows"),
-        F.max(tcol).alias("_last"),
-        F.sum(s.gmv).alias("_gmv"),
-        F.sum(s.tickets).alias("_tk"),
-        F.sum(s.avg_price).alias("_ap"), F.count(s.avg_price).alias("_ap_n"),
-        F.sum(F.coalesce(F.col(s.has_return), F.lit(0))).alias("_rt"),
-        F.count(wk).alias("_wk_n"), F.sum(wk).alias("_wk"),
-        F.count(hol).alias("_hol_n"), F.sum(hol).alias("_hol"),
-        *counts(qcat, QUARTERS, "q"), *counts(scat, SEASON_NAMES, "s"), *counts(dcat, DAYPART_NAMES, "d"),
-    )
+    def share(cat, values, names):
+        n = F.count(cat)
+        return [F.coalesce(F.try_divide(F.sum(F.when(cat == v, 1).otherwise(0)), n), F.lit(0.0)).cast("double")
+                .alias(name) for v, name in zip(values, names)]
 
-    def share(num, den):
-        return F.coalesce(F.try_divide(F.sum(num), F.sum(den)), F.lit(0.0)).cast("double")
-
-    def fam(tag, names):
-        return [share(f"_{tag}_{i}", f"_{tag}_n").alias(n) for i, n in enumerate(names)]
-
-    totals = lvl.groupBy(s.contact).agg(
-        F.max("_last").alias("last_purchase"),
-        F.coalesce(F.sum("_gmv"), F.lit(0.0)).alias("monetary_gmv_12m"),
-        share("_rt", "_rows").alias("pct_round_trip"),
-        *fam("q", [f"pct_q{q}" for q in QUARTERS]),
-        *fam("s", [f"pct_{v}" for v in SEASON_NAMES]),
-        *fam("d", [f"pct_{v}" for v in DAYPART_NAMES]),
-        share("_wk", "_wk_n").alias("pct_weekend"),
-        share("_hol", "_hol_n").alias("pct_holiday"),
-        F.coalesce(F.sum("_tk"), F.lit(0)).cast("long").alias("total_tickets_12m"),
-        F.try_divide(F.sum("_ap"), F.sum("_ap_n")).cast("double").alias("avg_price_per_ticket"),
+    # One map-side combined aggregation per block, each straight from a column-pruned scan.
+    totals = base.groupBy(s.contact).agg(
+        F.max(tcol).alias("last_purchase"),
+        F.coalesce(F.sum(s.gmv), F.lit(0.0)).alias("monetary_gmv_12m"),
+        F.avg(F.coalesce(F.col(s.has_return), F.lit(0))).cast("double").alias("pct_round_trip"),
+        *share(qcat, QUARTERS, [f"pct_q{q}" for q in QUARTERS]),
+        *share(scat, SEASON_NAMES, [f"pct_{v}" for v in SEASON_NAMES]),
+        *share(dcat, DAYPART_NAMES, [f"pct_{v}" for v in DAYPART_NAMES]),
+        F.coalesce(F.avg(wk.cast("double")), F.lit(0.0)).alias("pct_weekend"),
+        F.coalesce(F.avg(hol.cast("double")), F.lit(0.0)).alias("pct_holiday"),
+        F.coalesce(F.sum(s.tickets), F.lit(0)).cast("long").alias("total_tickets_12m"),
+        F.avg(s.avg_price).cast("double").alias("avg_price_per_ticket"),
     )
-    routes = lvl.where(F.col(s.route_out).isNotNull()).groupBy(s.contact, s.route_out).agg(F.sum("_rows").alias("_c"))
+    routes = base.where(F.col(s.route_out).isNotNull()).groupBy(s.contact, s.route_out) \
+        .agg(F.count(F.lit(1)).alias("_c"))
     route_top = _top_from_counts(routes, by=s.contact, value=s.route_out, top="top_route_out",
                                  share="top_route_out_share", n_distinct="n_unique_routes_out")
-    comps = lvl.where(F.col(s.company_out).isNotNull()).groupBy(s.contact, s.company_out) \
-        .agg(F.sum("_rows").alias("_c"))
+    comps = base.where(F.col(s.company_out).isNotNull()).groupBy(s.contact, s.company_out) \
+        .agg(F.count(F.lit(1)).alias("_c"))
     comp_top = _top_from_counts(comps, by=s.contact, value=s.company_out, top="top_company_out",
                                 share="top_company_out_share")
     if approx_distinct:
