@@ -61,7 +61,10 @@ def observation_window(df: DataFrame, *, build_date, months: int = config.DEFAUL
     col = time_column(df, ts=ts, date_fallback=date_fallback)
     start, end = window_bounds(build_date, months)
     t = F.col(col).cast("timestamp_ntz")
-    cond = (t >= F.lit(start).cast("timestamp_ntz")) & (t < F.lit(end).cast("timestamp_ntz"))
+    # string literals: parsed as NTZ, independent of the session and the Python process time zones
+    lo = F.lit(start.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp_ntz")
+    hi = F.lit(end.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp_ntz")
+    cond = (t >= lo) & (t < hi)
     if "year" in df.columns:
         cond = cond & F.col("year").between(start.year, end.year)
     out = df.where(cond)
