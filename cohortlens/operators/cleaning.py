@@ -9,7 +9,8 @@ Scale notes
 - Deduplication never puts a whole key group in one task: the kept row per key is chosen by
   a partial (map-side) ``min(struct(...))`` aggregate, and rows are flagged by a join on the
   unique ``_row_id`` (uniformly spread, no hot key).
-- The p99 threshold is a 1-row aggregate joined back (broadcast of exactly one row).
+- The p99 threshold and the bucket edges are 1-row aggregates used as scalar subqueries
+  (evaluated once, no join).
 - The exact percentile is computed distributed (see ``quantiles``).
 """
 
@@ -223,11 +224,10 @@ def distinct_contact_time(df: DataFrame, *, schema: PurchaseSchema = DEFAULT_SCH
 # -- d05, d06 ----------------------------------------------------------------
 def p99_flag(df: DataFrame, *, col: str = "avg_price_per_ticket", p: float = 0.99, positive_only: bool = False,
              accuracy: int | None = None, out: str = "is_price_outlier_p99") -> DataFrame:
-    """d06: flag rows above the p-quantile (1-row threshold broadcast)."""
+    """d06: flag rows above the p-quantile (the 1-row threshold is a scalar subquery)."""
     where = F.col(col) > 0 if positive_only else None
-    thr = quantile(df, col, p, accuracy=accuracy, name="_thr", where=where)
-    res = df.crossJoin(F.broadcast(thr))
-    return res.withColumn(out, F.coalesce(F.col(col) > F.col("_thr"), F.lit(False)).cast("int")).drop("_thr")
+    thr = quantile(df, col, p, accuracy=accuracy, name="_thr", where=where).scalar()
+    return df.withColumn(out, F.coalesce(F.col(col) > thr, F.lit(False)).cast("int"))
 
 
 # -- d07 ---------------------------------------------------------------------
@@ -286,9 +286,18 @@ def _interval_labels(uniq: Column, best: Column, n: int) -> Column:
     return F.when(F.size(uniq) == n + 1, q_labels).otherwise(iv_labels)
 
 
-def bucket_label(x: Column, edges: Column, labels: Column) -> Column:
-    """Label of value ``x``: interval j with e[j-1] < x <= e[j] (the lowest value in interval 1)."""
-    j = F.greatest(F.size(F.filter(edges, lambda e: e < x)), F.lit(1))
+def bucket_label(x: Column, edges: Column, labels: Column, n: int = config.DEFAULT_BUCKETS) -> Column:
+    """Label of value ``x``: interval j with e[j-1] < x <= e[j] (the lowest value in interval 1).
+
+    ``edges`` holds at most n+1 values, so j is n+1 plain comparisons (no lambda: the edges come
+    from a scalar subquery, which higher-order functions do not accept).
+    """
+    below = None
+    for i in range(1, n + 2):
+        b = F.when(F.element_at(edges, i) < x, 1).otherwise(0)
+        b = F.when(F.size(edges) >= i, b).otherwise(0)
+        below = b if below is None else below + b
+    j = F.greatest(below, F.lit(1))
     return F.when((x > 0) & (F.size(edges) > 0), F.element_at(labels, F.least(j, F.size(labels))))
 
 
@@ -296,8 +305,8 @@ def quantile_bucket(df: DataFrame, *, col: str, n: int = config.DEFAULT_BUCKETS,
                     accuracy: int | None = None) -> DataFrame:
     """d07: quantile buckets on value edges; only rows with ``col > 0`` get a bucket."""
     edges = bucket_edges(df, col=col, n=n, accuracy=accuracy)
-    res = df.crossJoin(F.broadcast(edges))
-    return res.withColumn(out, bucket_label(F.col(col), F.col("_edges"), F.col("_labels"))).drop("_edges", "_labels")
+    e = edges.select(F.struct("_edges", "_labels")).scalar()          # one row, evaluated once
+    return df.withColumn(out, bucket_label(F.col(col), e["_edges"], e["_labels"], n))
 
 
 # -- routing -----------------------------------------------------------------
@@ -369,17 +378,17 @@ def route_rows(df: DataFrame, *, schema: PurchaseSchema = DEFAULT_SCHEMA, keep:
     kept = marked.where(F.col("_kept"))
     thr = quantile(kept, s.avg_price, p, accuracy=accuracy, name="p99_avg_price_per_ticket",
                    where=F.col(s.avg_price) > 0)
-    rows = marked.crossJoin(F.broadcast(thr))
+    p99 = thr.scalar()                                                # scalar subquery: no join
     route = (F.when(F.col("_stage0").isNotNull(), F.col("_stage0"))
              .when(F.col("_kept").isNull(), F.lit("duplicate"))
-             .when(F.coalesce(F.col(s.avg_price) > F.col("p99_avg_price_per_ticket"), F.lit(False)), F.lit("outlier"))
+             .when(F.coalesce(F.col(s.avg_price) > p99, F.lit(False)), F.lit("outlier"))
              .otherwise(F.lit("clean")))
-    rows = rows.withColumn(route_col, route).withColumn(
-        "is_duplicated", F.col("_kept").isNull().cast("int")).drop("_stage0", "_kept", "p99_avg_price_per_ticket")
+    rows = marked.withColumn(route_col, route).withColumn(
+        "is_duplicated", F.col("_kept").isNull().cast("int")).drop("_stage0", "_kept")
     if n_buckets:
         edges = bucket_edges(rows, col=s.gmv, n=n_buckets, accuracy=accuracy, where=F.col(route_col) == "clean")
-        rows = rows.crossJoin(F.broadcast(edges)).withColumn(
+        e = edges.select(F.struct("_edges", "_labels")).scalar()
+        rows = rows.withColumn(
             "gmv_bucket", F.when(F.col(route_col) == "clean",
-                                 bucket_label(F.col(s.gmv), F.col("_edges"), F.col("_labels")))
-        ).drop("_edges", "_labels")
+                                 bucket_label(F.col(s.gmv), e["_edges"], e["_labels"], n_buckets)))
     return Routed(rows, thr, route_col)

@@ -8,7 +8,7 @@ purchase day *owns* the reference dates in [d_i, d_{i+1}) and emits them with
 
 Scale: the window functions run on the (customer, day) grain, so a partition holds at most one
 row per calendar day of the observation period for any customer, however hot. ``obs_end`` is a
-1-row global aggregate joined back (never a global window).
+1-row global aggregate used as a scalar subquery (never a global window, never a join).
 """
 
 from __future__ import annotations
@@ -70,10 +70,10 @@ def repurchase_labels(days: DataFrame, *, contact: str = "fk_contact", freq: str
     """
     linked = with_day_links(days, contact=contact)
     if obs_end is None:
-        end = days.agg(F.max("purchase_dt").alias("_obs_end"))
+        end = days.agg(F.max("purchase_dt")).scalar()           # 1-row aggregate as a scalar subquery
     else:
-        end = days.sparkSession.range(1).select(F.lit(str(obs_end)).cast("date").alias("_obs_end"))
-    x = linked.crossJoin(F.broadcast(end))
+        end = F.lit(str(obs_end)).cast("date")
+    x = linked.withColumn("_obs_end", end)
     ref_start = F.date_add(F.col("first_purchase_dt"), min_history_days)
     lo = _first_on_or_after(F.greatest(F.col("purchase_dt"), ref_start), freq)
     hi = F.least(F.coalesce(F.date_sub(F.col("next_purchase_dt"), 1), F.col("_obs_end")), F.col("_obs_end"))
@@ -93,21 +93,17 @@ def repurchase_labels(days: DataFrame, *, contact: str = "fk_contact", freq: str
     return x.select(*cols)
 
 
-def observable(labels: DataFrame, *, horizons=config.DEFAULT_HORIZONS, obs_end_col: str | None = None,
+def observable(labels: DataFrame, *, horizons=config.DEFAULT_HORIZONS,
                obs_end=None) -> DataFrame:
     """Add ``observable_<h>d``: 1 when t + h does not run past the data end."""
-    if obs_end is None:
-        end = labels.agg(F.max("last_purchase_dt").alias("_obs_end"))
-    else:
-        end = labels.sparkSession.range(1).select(F.lit(str(obs_end)).cast("date").alias("_obs_end"))
-    out = labels.crossJoin(F.broadcast(end))
+    end = labels.agg(F.max("ref_date")).scalar() if obs_end is None else F.lit(str(obs_end)).cast("date")
+    out = labels
     for h in horizons:
-        out = out.withColumn(f"observable_{h}d", (F.date_add("ref_date", h) <= F.col("_obs_end")).cast("long"))
-    return out.drop("_obs_end")
+        out = out.withColumn(f"observable_{h}d", (F.date_add("ref_date", h) <= end).cast("long"))
+    return out
 
 
 def percent_of_total(df: DataFrame, *, value: str, out: str = "pct_of_total") -> DataFrame:
     """w07: share of the grand total, guarded by max(total, 1); the total is a 1-row aggregate."""
-    tot = df.agg(F.sum(value).alias("_tot"))
-    return df.crossJoin(F.broadcast(tot)).withColumn(
-        out, F.col(value) / F.greatest(F.col("_tot"), F.lit(1))).drop("_tot")
+    tot = df.agg(F.sum(value)).scalar()
+    return df.withColumn(out, F.col(value) / F.greatest(tot, F.lit(1)))

@@ -1,7 +1,7 @@
 """Report tables: profiles, group sizes, shares, top-k, correlations, samples (a18-a25, t01-t06, x03).
 
 All grouped work is partial-aggregated; top-k per group ranks pre-aggregated rows (one row per
-group and value), never raw rows; grand totals are 1-row aggregates joined back.
+group and value), never raw rows; grand totals are 1-row aggregates used as scalar subqueries.
 """
 
 from __future__ import annotations
@@ -115,7 +115,7 @@ def cluster_overview(purchases: DataFrame, assignments: DataFrame, *, contact: s
     """a21: per cluster: customers, gmv, mean ticket, mean orders per customer, % customers, % gmv.
 
     Two-level aggregation: (customer) first — one row per customer, so a hot customer is
-    combined map-side — then per cluster; shares use a 1-row grand total.
+    combined map-side — then per cluster; shares use a 1-row grand total (scalar subquery).
     """
     gcols = [cluster] + ([name] if name and name in assignments.columns else [])
     per_cust = purchases.groupBy(contact).agg(
@@ -126,8 +126,8 @@ def cluster_overview(purchases: DataFrame, assignments: DataFrame, *, contact: s
         F.coalesce(F.sum("_gmv"), F.lit(0.0)).alias("gmv"),
         (F.sum("_gmv") / F.sum("_n_gmv")).alias("ticket_medio"),
         F.avg("_orders").alias("freq_media"))
-    tot = ov.agg(F.sum("clientes").alias("_tc"), F.sum("gmv").alias("_tg"))
-    return ov.crossJoin(F.broadcast(tot)).withColumns({
-        "pct_clientes": F.col("clientes") / F.greatest(F.col("_tc"), F.lit(1)),
-        "pct_gmv": F.col("gmv") / F.greatest(F.col("_tg"), F.lit(1)),
-    }).drop("_tc", "_tg")
+    tot = ov.agg(F.struct(F.sum("clientes").alias("c"), F.sum("gmv").alias("g"))).scalar()
+    return ov.withColumns({
+        "pct_clientes": F.col("clientes") / F.greatest(tot["c"], F.lit(1)),
+        "pct_gmv": F.col("gmv") / F.greatest(tot["g"], F.lit(1)),
+    })

@@ -308,8 +308,8 @@ def d04(spark, sf):
     f"SELECT {ROW_SQL}, (floor((p99_avg_price_per_ticket) * 1e2 + 0.5 + 1e-6) / 1e2) AS p99 FROM routed WHERE route = 'outlier'"))
 def d05(spark, sf):
     r = routed(spark, sf, n_buckets=None)
-    thr = r.threshold.select(rnd("p99_avg_price_per_ticket", 2).alias("p99"))
-    return _rows(r.outliers).crossJoin(F.broadcast(thr))
+    thr = r.threshold.select(rnd("p99_avg_price_per_ticket", 2)).scalar()
+    return _rows(r.outliers).withColumn("p99", thr)
 
 
 @register("d06_p99_flag", O.q(

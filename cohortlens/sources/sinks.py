@@ -168,27 +168,22 @@ def centroid_document(centroids_z: DataFrame, *, used_cols, model_name: str, suf
     spark = centroids_z.sparkSession
 
     def records(df):
-        return df.agg(F.to_json(F.array_sort(F.collect_list(F.struct(*df.columns)))).alias("j"))
+        return df.agg(F.to_json(F.array_sort(F.collect_list(F.struct(*df.columns))))).scalar()
 
-    parts = [spark.range(1).select(F.lit(model_name).alias("model"),
-                                   F.to_json(F.array(*[F.lit(c) for c in used_cols])).alias("features"))]
-    parts.append(records(centroids_z.select("cluster_id", *[f"{c}{suffix}" for c in used_cols]))
-                 .withColumnRenamed("j", "centroids_z"))
+    fields = [F.lit(model_name).alias("model"), F.to_json(F.array(*[F.lit(c) for c in used_cols])).alias("features"),
+              records(centroids_z.select("cluster_id", *[f"{c}{suffix}" for c in used_cols])).alias("centroids_z")]
     if centroids_unstd is not None:
-        parts.append(records(centroids_unstd).withColumnRenamed("j", "centroids_original"))
+        fields.append(records(centroids_unstd).alias("centroids_original"))
     if stats is not None:
-        parts.append(records(stats).withColumnRenamed("j", "stats"))
+        fields.append(records(stats).alias("stats"))
     if medians is not None:
-        parts.append(records(medians).withColumnRenamed("j", "medians"))
-    doc = parts[0]
-    for p in parts[1:]:
-        doc = doc.crossJoin(p)       # each part is exactly one row
+        fields.append(records(medians).alias("medians"))
     for k, v in (meta or {}).items():
-        doc = doc.withColumn(k, F.lit(v))
-    return doc.select(F.to_json(F.struct(*[F.col(c) if c not in ("features", "centroids_z", "centroids_original",
-                                                                  "stats", "medians")
-                                           else F.parse_json(F.col(c)).alias(c) for c in doc.columns]))
-                      .alias("value"))
+        fields.append(F.lit(v).alias(k))
+    doc = spark.range(1).select(*fields)          # each part is a k-row table folded into one value
+    json_cols = ("features", "centroids_z", "centroids_original", "stats", "medians")
+    return doc.select(F.to_json(F.struct(*[F.parse_json(F.col(c)).alias(c) if c in json_cols else F.col(c)
+                                           for c in doc.columns])).alias("value"))
 
 
 def write_json_doc(doc: DataFrame, path: str) -> str:
