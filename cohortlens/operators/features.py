@@ -241,6 +241,16 @@ def customer_features(df: DataFrame, *, build_date, model_version: str = config.
     return out.select(*cols)
 
 
+def share_of_group_total(df: DataFrame, *, by: str, value: str, out: str = "share") -> DataFrame:
+    """j03: each row's share of its group's total (rows ⋈ per-group totals on ``by``).
+
+    Meant for pre-aggregated rows (one per group and item): the per-group total is a partial
+    aggregate, and the equi-join meets at most the group's item count per key.
+    """
+    tot = df.groupBy(by).agg(F.sum(value).alias("_tot"))
+    return df.join(tot, by, "inner").withColumn(out, F.try_divide(F.col(value), F.col("_tot"))).drop("_tot")
+
+
 def join_blocks(blocks, *, on: str = "fk_contact", how: str = "left", fill: dict | None = None) -> DataFrame:
     """j01/j02: join per-customer blocks on the customer key; optional zero fill."""
     out = reduce(lambda a, b: a.join(b, on, how), blocks)

@@ -58,16 +58,17 @@ def reference_grid(days: DataFrame, *, contact: str = "fk_contact", freq: str =
                              horizons=(), obs_end=obs_end).select(contact, "ref_date")
 
 
-def repurchase_labels(days: DataFrame, *, contact: str = "fk_contact", freq: str = "D",
-                      min_history_days: int = config.DEFAULT_MIN_HISTORY_DAYS,
-                      horizons=config.DEFAULT_HORIZONS, obs_end=None) -> DataFrame:
-    """w05/w06: label rows ``fk_contact, ref_date, y_buy_<h>d..., days_until_next, censored,
-    last_purchase_dt, recency_days, n_purchases_life``.
+def asof_prev_next(days: DataFrame, *, contact: str = "fk_contact", freq: str = "D",
+                   min_history_days: int = config.DEFAULT_MIN_HISTORY_DAYS, obs_end=None) -> DataFrame:
+    """j08: for each reference date t, the last purchase day <= t and the next one > t.
 
-    ``days`` is the output of ``purchase_days``. ``obs_end`` defaults to the last purchase day
-    in the data. y_h = 1 when the next purchase is within (t, t + h]; a horizon past the data
-    end still counts as 0 (parity), see ``observable``.
+    The as-of pairing needs no join: each purchase day owns the dates up to the next one.
     """
+    return _grid(days, contact=contact, freq=freq, min_history_days=min_history_days, obs_end=obs_end).select(
+        contact, "ref_date", F.col("purchase_dt").alias("last_purchase_dt"), "next_purchase_dt")
+
+
+def _grid(days, *, contact, freq, min_history_days, obs_end):
     linked = with_day_links(days, contact=contact)
     if obs_end is None:
         end = days.agg(F.max("purchase_dt")).scalar()           # 1-row aggregate as a scalar subquery
@@ -78,7 +79,20 @@ def repurchase_labels(days: DataFrame, *, contact: str = "fk_contact", freq: str
     lo = _first_on_or_after(F.greatest(F.col("purchase_dt"), ref_start), freq)
     hi = F.least(F.coalesce(F.date_sub(F.col("next_purchase_dt"), 1), F.col("_obs_end")), F.col("_obs_end"))
     step = F.expr("INTERVAL 1 DAY") if freq == "D" else F.expr("INTERVAL 7 DAYS")
-    x = x.where(lo <= hi).withColumn("ref_date", F.explode(F.sequence(lo, hi, step)))
+    return x.where(lo <= hi).withColumn("ref_date", F.explode(F.sequence(lo, hi, step)))
+
+
+def repurchase_labels(days: DataFrame, *, contact: str = "fk_contact", freq: str = "D",
+                      min_history_days: int = config.DEFAULT_MIN_HISTORY_DAYS,
+                      horizons=config.DEFAULT_HORIZONS, obs_end=None) -> DataFrame:
+    """w05/w06: label rows ``fk_contact, ref_date, y_buy_<h>d..., days_until_next, censored,
+    last_purchase_dt, recency_days, n_purchases_life``.
+
+    ``days`` is the output of ``purchase_days``. ``obs_end`` defaults to the last purchase day
+    in the data. y_h = 1 when the next purchase is within (t, t + h]; a horizon past the data
+    end still counts as 0 (parity), see ``observable``.
+    """
+    x = _grid(days, contact=contact, freq=freq, min_history_days=min_history_days, obs_end=obs_end)
     until = F.datediff(F.col("next_purchase_dt"), F.col("ref_date")).cast("long")
     cols = [F.col(contact), F.col("ref_date")]
     for h in horizons:

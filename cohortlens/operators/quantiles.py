@@ -67,6 +67,43 @@ def quantiles(df: DataFrame, col: str, qs, *, accuracy: int | None = None, prefi
     return out.select(*names, F.coalesce(F.col("n"), F.lit(0)).cast("long").alias("n"))
 
 
+def grouped_quantiles(df: DataFrame, by: str, col: str, qs, *, names=None) -> DataFrame:
+    """Exact per-group quantiles (numpy interpolation) without putting a group in one task.
+
+    Rows are range-sorted on (group, value), so a hot group spans many partitions. For every
+    (partition, group) piece the row count and first position are taken; a window over the pieces
+    of one group (a handful of rows per group) gives each piece its offset inside the group; a
+    row's rank in its group is then offset + position, and only the rows at the needed ranks are
+    kept. Output: one row per group with one column per quantile.
+    """
+    qs = [float(q) for q in qs]
+    names = names or [f"q{i}" for i in range(len(qs))]
+    x = df.select(F.col(by).alias("_g"), F.col(col).cast("double").alias("_x")).where(
+        F.col("_x").isNotNull() & ~F.isnan("_x"))
+    ranked = x.orderBy("_g", "_x").select(
+        "_g", "_x", F.spark_partition_id().alias("_p"), F.monotonically_increasing_id().alias("_m"))
+    ranked = cut_lineage(ranked, "granked")
+    pieces = ranked.groupBy("_g", "_p").agg(F.count(F.lit(1)).alias("_c"), F.min("_m").alias("_m0"))
+    wg = Window.partitionBy("_g").orderBy("_p").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    pieces = pieces.select("_g", "_p", "_m0", (F.sum("_c").over(wg) - F.col("_c")).alias("_off"),
+                           F.sum("_c").over(Window.partitionBy("_g")).alias("_n"))
+    r = ranked.join(pieces, ["_g", "_p"]).select("_g", "_x", (F.col("_off") + F.col("_m") - F.col("_m0")).alias("_r"),
+                                                 "_n")
+    wanted = None
+    for q in qs:
+        pos = F.lit(q) * (F.col("_n") - 1)
+        c = (F.col("_r") == F.floor(pos)) | (F.col("_r") == F.ceil(pos))
+        wanted = c if wanted is None else wanted | c
+    aggs = []
+    for q, name in zip(qs, names):
+        pos = F.lit(q) * (F.col("_n") - 1)
+        lo = F.max(F.when(F.col("_r") == F.floor(pos), F.col("_x")))
+        hi = F.max(F.when(F.col("_r") == F.ceil(pos), F.col("_x")))
+        t = F.max(pos - F.floor(pos))
+        aggs.append(F.when(t >= 0.5, hi - (hi - lo) * (1 - t)).otherwise(lo + (hi - lo) * t).alias(name))
+    return r.where(wanted).groupBy("_g").agg(*aggs).withColumnRenamed("_g", by)
+
+
 def quantile(df: DataFrame, col: str, q: float, *, accuracy: int | None = None, name: str = "value",
              where=None) -> DataFrame:
     """One-row DataFrame with the single quantile as ``name``."""

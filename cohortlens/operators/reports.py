@@ -11,6 +11,8 @@ from itertools import combinations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .quantiles import grouped_quantiles
+
 
 def profile_minmax(df: DataFrame, *, date: str = "date_purchase", time: str = "time_purchase",
                    gmv: str = "gmv_success", tickets: str = "total_tickets_quantity_success") -> DataFrame:
@@ -31,9 +33,18 @@ def distinct_values(df: DataFrame, col: str) -> DataFrame:
     return df.select(col).distinct().orderBy(col)
 
 
-def group_medians(df: DataFrame, *, by: str, cols) -> DataFrame:
-    """a20: exact per-group medians (numpy's linear interpolation)."""
-    return df.groupBy(by).agg(*[F.percentile(F.col(c), 0.5).alias(c) for c in cols])
+def group_medians(df: DataFrame, *, by: str, cols, accuracy: int | None = None) -> DataFrame:
+    """a20: per-group medians (numpy's linear interpolation).
+
+    Exact by default through ``grouped_quantiles`` (a hot group is spread over many tasks, never
+    held whole by one ``percentile`` buffer); ``accuracy`` switches to ``percentile_approx``.
+    """
+    if accuracy is not None:
+        return df.groupBy(by).agg(*[F.percentile_approx(F.col(c), 0.5, accuracy).alias(c) for c in cols])
+    from functools import reduce
+    parts = [grouped_quantiles(df, by, c, [0.5], names=[c]) for c in cols]
+    groups = df.select(by).distinct()
+    return reduce(lambda a, b: a.join(b, by, "left"), parts, groups)
 
 
 def mean_std(df: DataFrame, cols) -> DataFrame:

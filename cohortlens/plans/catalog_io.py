@@ -278,6 +278,65 @@ def p22(spark, sf):
     return seg.withColumn("cluster_name", m[F.col("cluster_id")])
 
 
+# == remaining inventory ids (j03, j08, r04, w01) ==================================
+@register("j03_inner_total", O.q(
+    f"SELECT fk_contact, route_out, CAST(n AS BIGINT) AS n, {R('n / sum(n) OVER (PARTITION BY fk_contact)', 6)} AS share "
+    "FROM (SELECT fk_contact, route_out, count(DISTINCT nk_ota_localizer_id) AS n FROM win "
+    "WHERE route_out IS NOT NULL AND nk_ota_localizer_id IS NOT NULL AND fk_contact IS NOT NULL GROUP BY 1, 2)"))
+def j03(spark, sf):
+    win = window36(spark, sf).where("route_out IS NOT NULL AND nk_ota_localizer_id IS NOT NULL "
+                                    "AND fk_contact IS NOT NULL")
+    counts = win.select("fk_contact", "route_out", "nk_ota_localizer_id").distinct() \
+        .groupBy("fk_contact", "route_out").agg(F.count(F.lit(1)).alias("n"))
+    return rounded(ft.share_of_group_total(counts, by="fk_contact", value="n"), {"share": 6})
+
+
+@register("j08_asof_prev_next", O.q(""", days AS (SELECT trim(fk_contact) AS fk_contact, CAST(purchase_datetime AS DATE) AS d
+  FROM pevents WHERE trim(fk_contact) IS NOT NULL AND purchase_datetime IS NOT NULL GROUP BY 1, 2),
+firsts AS (SELECT fk_contact, min(d) AS first_d FROM days GROUP BY 1),
+obs AS (SELECT max(d) AS obs_end FROM days),
+grid AS (SELECT f.fk_contact, CAST(unnest(generate_series(CAST(f.first_d + 7 AS TIMESTAMP),
+           CAST(o.obs_end AS TIMESTAMP), INTERVAL 1 DAY)) AS DATE) AS ref_date
+          FROM firsts f, obs o WHERE f.first_d + 7 <= o.obs_end)
+SELECT g.fk_contact, g.ref_date,
+  (SELECT max(d) FROM days x WHERE x.fk_contact = g.fk_contact AND x.d <= g.ref_date) AS last_purchase_dt,
+  (SELECT min(d) FROM days x WHERE x.fk_contact = g.fk_contact AND x.d > g.ref_date) AS next_purchase_dt
+FROM grid g"""))
+def j08(spark, sf):
+    from ..operators import labels as lb
+    from .catalog_models import purchase_days
+    return lb.asof_prev_next(purchase_days(spark, sf), min_history_days=7)
+
+
+_FLAGS = ["A", "N", "R"]
+
+
+@register("r04_crosstab_share", O.q(
+    "SELECT CAST(o_custkey AS VARCHAR) AS fk_contact, "
+    + ", ".join(f"{R(f'sum(CASE WHEN l_returnflag = {chr(39)}{v}{chr(39)} THEN 1 ELSE 0 END) / count(l_returnflag)', 6)}"
+                f" AS pct_flag_{v}" for v in _FLAGS)
+    + " FROM lineitem JOIN orders ON o_orderkey = l_orderkey GROUP BY 1"))
+def r04(spark, sf):
+    li = testdata.table(spark, sf, "lineitem").select("l_orderkey", "l_returnflag")
+    od = testdata.table(spark, sf, "orders").select(F.col("o_orderkey").alias("l_orderkey"),
+                                                   F.col("o_custkey").cast("string").alias("fk_contact"))
+    out = ft.category_share(li.join(od, "l_orderkey"), by="fk_contact", category="l_returnflag", values=_FLAGS,
+                            names=[f"pct_flag_{v}" for v in _FLAGS])
+    return rounded(out, {f"pct_flag_{v}": 6 for v in _FLAGS})
+
+
+@register("w01_rank_per_group", O.q(
+    "SELECT o_custkey, o_orderkey, o_orderdate FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey "
+    "ORDER BY o_orderdate DESC, o_totalprice DESC, o_orderkey) AS r FROM orders) WHERE r = 1"))
+def w01(spark, sf):
+    """First row per group by priority (latest order, then largest total, then lowest key) via the
+    map-side combined winner aggregate — no window over a possibly hot group."""
+    od = testdata.table(spark, sf, "orders").select("o_custkey", "o_orderkey", "o_orderdate", "o_totalprice")
+    first = cl.flag_first(od, key="o_custkey", order=[("o_orderdate", "desc"), ("o_totalprice", "desc")],
+                          row_id="o_orderkey", flag="_first")
+    return first.where("_first").select("o_custkey", "o_orderkey", "o_orderdate")
+
+
 # == oracles for entries first registered rows-only =============================
 def _add_oracles():
     from . import catalog

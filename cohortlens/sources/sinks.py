@@ -143,10 +143,13 @@ def with_partitions(df: DataFrame, *, ts: str = "purchase_datetime", date_fallba
 def write_partitioned(df: DataFrame, root: str, *, ts: str = "purchase_datetime", date_fallback: str = "date_purchase",
                       partition_cols=("year",), overwrite: bool = False, dynamic: bool = True,
                       compression: str = "snappy") -> str:
-    """s08: Hive layout by year or year/month. ``repartition`` by the partition columns first so
-    each task writes few files; dynamic overwrite replaces only the partitions present."""
+    """s08: Hive layout by year or year/month; dynamic overwrite replaces only the partitions present.
+
+    Rows are *rebalanced* by the partition columns (few files per partition value) and AQE splits
+    a skewed value over several writer tasks, so a month with a third of the data is not written
+    by one task (a plain ``repartition`` by the columns would do exactly that)."""
     out = with_partitions(df, ts=ts, date_fallback=date_fallback, partition_cols=partition_cols)
-    out = out.repartition(*partition_cols)
+    out = out.hint("rebalance", *partition_cols)
     w = out.write.mode("overwrite" if overwrite else "append").option("compression", compression)
     if overwrite and dynamic:
         w = w.option("partitionOverwriteMode", "dynamic")

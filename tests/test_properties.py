@@ -97,3 +97,16 @@ def test_labels_monotone(spark, rows):
     for seq in by.values():
         lives = [n for _, n in sorted(seq)]
         assert lives == sorted(lives)
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.sampled_from(["hot", "hot", "hot", "a", "b"]), st.floats(-100, 100, allow_nan=False)),
+                min_size=1, max_size=60))
+def test_grouped_quantiles_equal_numpy(spark, rows):
+    from cohortlens.operators.quantiles import grouped_quantiles
+    df = spark.createDataFrame(rows, "g string, x double").repartition(4)
+    got = {r["g"]: r for r in grouped_quantiles(df, "g", "x", [0.5, 0.9]).collect()}
+    for g in {g for g, _ in rows}:
+        xs = [x for gg, x in rows if gg == g]
+        assert math.isclose(got[g]["q0"], float(np.percentile(xs, 50)), rel_tol=1e-9, abs_tol=1e-9)
+        assert math.isclose(got[g]["q1"], float(np.percentile(xs, 90)), rel_tol=1e-9, abs_tol=1e-9)
