@@ -7,6 +7,10 @@ partition (a proven bound), so it is broadcast. The ranked column is written onc
 shared checkpoint folder so the sizes and the ranks come from the same materialisation.
 
 ``accuracy=N`` switches to ``percentile_approx`` (one pass, bounded memory, rank error 1/N).
+
+Size check: the values are counted first; when there are at most ``single_task_max`` of them
+(default 2,000,000 — a bounded buffer), Spark's exact ``percentile`` aggregate is used (one lazy
+aggregate, same interpolation); beyond it, the distributed rank method above.
 """
 
 from __future__ import annotations
@@ -17,13 +21,15 @@ from pyspark.sql import functions as F
 
 from ..session import cut_lineage
 
+SINGLE_TASK_MAX = 2_000_000
+
 
 def _names(qs, prefix):
     return [f"{prefix}{i}" for i in range(len(qs))]
 
 
 def quantiles(df: DataFrame, col: str, qs, *, accuracy: int | None = None, prefix: str = "q",
-              where=None) -> DataFrame:
+              where=None, single_task_max: int = SINGLE_TASK_MAX) -> DataFrame:
     """One-row DataFrame with a DOUBLE column ``<prefix><i>`` per requested quantile and ``n``.
 
     NULL and NaN values are ignored; on empty input every quantile is NULL and n = 0.
@@ -37,6 +43,9 @@ def quantiles(df: DataFrame, col: str, qs, *, accuracy: int | None = None, prefi
     if accuracy is not None:
         arr = F.percentile_approx("_x", qs, accuracy)
         return x.agg(*[arr[i].alias(n) for i, n in enumerate(names)], F.count("_x").alias("n"))
+    if x.count() <= single_task_max:
+        arr = F.percentile(F.col("_x"), qs)
+        return x.agg(*[arr[i].alias(n) for i, n in enumerate(names)], F.count("_x").cast("long").alias("n"))
 
     ranked = x.orderBy("_x").select(
         "_x", F.spark_partition_id().alias("_p"), F.monotonically_increasing_id().alias("_m"))
@@ -67,7 +76,8 @@ def quantiles(df: DataFrame, col: str, qs, *, accuracy: int | None = None, prefi
     return out.select(*names, F.coalesce(F.col("n"), F.lit(0)).cast("long").alias("n"))
 
 
-def grouped_quantiles(df: DataFrame, by: str, col: str, qs, *, names=None) -> DataFrame:
+def grouped_quantiles(df: DataFrame, by: str, col: str, qs, *, names=None,
+                      single_task_max: int = SINGLE_TASK_MAX) -> DataFrame:
     """Exact per-group quantiles (numpy interpolation) without putting a group in one task.
 
     Rows are range-sorted on (group, value), so a hot group spans many partitions. For every
@@ -80,6 +90,10 @@ def grouped_quantiles(df: DataFrame, by: str, col: str, qs, *, names=None) -> Da
     names = names or [f"q{i}" for i in range(len(qs))]
     x = df.select(F.col(by).alias("_g"), F.col(col).cast("double").alias("_x")).where(
         F.col("_x").isNotNull() & ~F.isnan("_x"))
+    largest = x.groupBy("_g").agg(F.count(F.lit(1)).alias("_c")).agg(F.max("_c")).collect()[0][0] or 0
+    if largest <= single_task_max:         # size check: every group's buffer is bounded
+        arr = F.percentile(F.col("_x"), qs)
+        return x.groupBy("_g").agg(*[arr[i].alias(n) for i, n in enumerate(names)]).withColumnRenamed("_g", by)
     ranked = x.orderBy("_g", "_x").select(
         "_g", "_x", F.spark_partition_id().alias("_p"), F.monotonically_increasing_id().alias("_m"))
     ranked = cut_lineage(ranked, "granked")
@@ -105,6 +119,7 @@ def grouped_quantiles(df: DataFrame, by: str, col: str, qs, *, names=None) -> Da
 
 
 def quantile(df: DataFrame, col: str, q: float, *, accuracy: int | None = None, name: str = "value",
-             where=None) -> DataFrame:
+             where=None, single_task_max: int = SINGLE_TASK_MAX) -> DataFrame:
     """One-row DataFrame with the single quantile as ``name``."""
-    return quantiles(df, col, [q], accuracy=accuracy, where=where).select(F.col("q0").alias(name))
+    return quantiles(df, col, [q], accuracy=accuracy, where=where, single_task_max=single_task_max) \
+        .select(F.col("q0").alias(name))
