@@ -9,16 +9,19 @@ Scale notes
 - Deduplication never puts a whole key group in one task: the kept row per key is chosen by
   a partial (map-side) ``min(struct(...))`` aggregate, and rows are flagged by a join on the
   unique ``_row_id`` (uniformly spread, no hot key).
-- The p99 threshold and the bucket edges are 1-row aggregates used as scalar subqueries
-  (evaluated once, no join).
+- The p99 threshold is a 1-row aggregate used as a scalar subquery (evaluated once, no join);
+  the n+1 bucket edges are collected (bounded by the parameter) and inlined as literals.
 - The exact percentile is computed distributed (see ``quantiles``).
 """
 
 from __future__ import annotations
 
 import logging
+import math
 from dataclasses import dataclass
 
+import numpy as np
+
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -231,82 +234,59 @@ def p99_flag(df: DataFrame, *, col: str = "avg_price_per_ticket", p: float = 0.9
 
 
 # -- d07 ---------------------------------------------------------------------
-def _round_frac(x: Column, precision) -> Column:
-    """Round like pandas' interval labels: ``precision`` decimals, or significant digits below 1."""
-    precision = precision if isinstance(precision, Column) else F.lit(precision)
-    frac = x - F.when(x >= 0, F.floor(x)).otherwise(F.ceil(x))
-    whole = x - frac
-    digits = F.when((whole == 0) & (frac != 0),
-                    -F.floor(F.log10(F.abs(frac))).cast("int") - 1 + precision).otherwise(precision)
-    scale = F.pow(F.lit(10.0), digits)
-    return F.when(x.isNull() | (x == 0), x).otherwise(F.bround(x * scale, 0) / scale)
-
-
-def _fmt(x: Column) -> Column:
-    """Plain decimal text of a double: '1.4', '1.0', '0.999'."""
-    s = F.regexp_replace(F.format_string("%.12f", x), "0+$", "")
-    return F.when(s.endswith("."), F.concat(s, F.lit("0"))).otherwise(s)
+def _round_frac(x: float, precision: int) -> float:
+    """pandas' label rounding: ``precision`` decimals, or significant digits below 1 (numpy around)."""
+    if not math.isfinite(x) or x == 0:
+        return x
+    frac, whole = math.modf(x)
+    digits = -int(math.floor(math.log10(abs(frac)))) - 1 + precision if whole == 0 else precision
+    return float(np.around(x, digits))
+
+
+def interval_labels(edges, n: int) -> list:
+    """Labels for the intervals of sorted distinct ``edges``: 'Q1'..'Qn' when all n+1 edges are
+    distinct, else pandas' interval text '(lo, hi]' (precision inferred so the edges stay
+    distinct; the first lower edge lowered by 10^-precision)."""
+    if len(edges) == n + 1:
+        return [f"Q{i}" for i in range(1, n + 1)]
+    if len(edges) < 2:
+        return []
+    precision = next((p for p in range(3, 20) if len({_round_frac(b, p) for b in edges}) == len(edges)), 3)
+    breaks = [_round_frac(b, precision) for b in edges]
+    breaks[0] = breaks[0] - 10 ** (-precision)
+    return [f"({breaks[i]}, {breaks[i + 1]}]" for i in range(len(breaks) - 1)]
 
 
 def bucket_edges(df: DataFrame, *, col: str, n: int = config.DEFAULT_BUCKETS, accuracy: int | None = None,
-                 where=None) -> DataFrame:
-    """1-row frame: ``_edges`` (distinct quantile edges of ``col`` over rows with col > 0) and
-    ``_labels`` (one label per interval: 'Q1'..'Qn', or interval text when edges repeat).
+                 where=None):
+    """(sorted distinct quantile edges of ``col`` over rows with col > 0, interval labels).
 
-    Labels are built once on this single row; rows then only look their interval up.
-    """
+    The edges are at most n+1 numbers (bounded by the parameter), collected as one row; the labels
+    are built once on the driver."""
     cond = F.col(col) > 0 if where is None else (F.col(col) > 0) & where
     qs = [i / n for i in range(n + 1)]
-    edges = quantiles(df, col, qs, accuracy=accuracy, prefix="_e", where=cond)
-    e = edges.select(F.array_distinct(F.array(*[f"_e{i}" for i in range(n + 1)])).alias("_edges"))
-    e = e.withColumn("_prec", _label_precision(F.col("_edges")))
-    return e.select("_edges", _interval_labels(F.col("_edges"), F.col("_prec"), n).alias("_labels"))
-
-
-def _label_precision(uniq: Column) -> Column:
-    """pandas precision inference: the smallest precision >= 3 that keeps the edges distinct."""
-    best = F.lit(None).cast("int")
-    for p in range(12, 2, -1):
-        rounded = F.transform(uniq, lambda e, p=p: _round_frac(e, p))
-        best = F.when(F.size(F.array_distinct(rounded)) == F.size(uniq), F.lit(p)).otherwise(best)
-    return F.coalesce(best, F.lit(3))
+    row = quantiles(df, col, qs, accuracy=accuracy, prefix="_e", where=cond).collect()[0]
+    edges = sorted({row[f"_e{i}"] for i in range(n + 1) if row[f"_e{i}"] is not None})
+    return edges, interval_labels(edges, n)
 
 
-def _interval_labels(uniq: Column, best: Column, n: int) -> Column:
-    idx = F.sequence(F.lit(1), F.greatest(F.size(uniq) - 1, F.lit(1)))
-    q_labels = F.transform(idx, lambda j: F.concat(F.lit("Q"), j.cast("string")))
-
-    def iv(j):
-        lo = _round_frac(F.element_at(uniq, j), best)
-        lo = F.when(j == 1, lo - F.pow(F.lit(10.0), -best)).otherwise(lo)
-        hi = _round_frac(F.element_at(uniq, j + 1), best)
-        return F.concat(F.lit("("), _fmt(lo), F.lit(", "), _fmt(hi), F.lit("]"))
-
-    iv_labels = F.transform(idx, iv)
-    return F.when(F.size(uniq) == n + 1, q_labels).otherwise(iv_labels)
-
-
-def bucket_label(x: Column, edges: Column, labels: Column, n: int = config.DEFAULT_BUCKETS) -> Column:
-    """Label of value ``x``: interval j with e[j-1] < x <= e[j] (the lowest value in interval 1).
-
-    ``edges`` holds at most n+1 values, so j is n+1 plain comparisons (no lambda: the edges come
-    from a scalar subquery, which higher-order functions do not accept).
-    """
+def bucket_label(x: Column, edges, labels) -> Column:
+    """Label of value ``x``: interval j with e[j-1] < x <= e[j] (the lowest value in interval 1)."""
+    if not labels:
+        return F.lit(None).cast("string")
     below = None
-    for i in range(1, n + 2):
-        b = F.when(F.element_at(edges, i) < x, 1).otherwise(0)
-        b = F.when(F.size(edges) >= i, b).otherwise(0)
+    for e in edges:
+        b = F.when(x > F.lit(float(e)), 1).otherwise(0)
         below = b if below is None else below + b
-    j = F.greatest(below, F.lit(1))
-    return F.when((x > 0) & (F.size(edges) > 0), F.element_at(labels, F.least(j, F.size(labels))))
+    j = F.least(F.greatest(below, F.lit(1)), F.lit(len(labels)))
+    return F.when(x > 0, F.element_at(F.array(*[F.lit(v) for v in labels]), j))
 
 
 def quantile_bucket(df: DataFrame, *, col: str, n: int = config.DEFAULT_BUCKETS, out: str = "gmv_bucket",
                     accuracy: int | None = None) -> DataFrame:
     """d07: quantile buckets on value edges; only rows with ``col > 0`` get a bucket."""
-    edges = bucket_edges(df, col=col, n=n, accuracy=accuracy)
-    e = edges.select(F.struct("_edges", "_labels")).scalar()          # one row, evaluated once
-    return df.withColumn(out, bucket_label(F.col(col), e["_edges"], e["_labels"], n))
+    edges, labels = bucket_edges(df, col=col, n=n, accuracy=accuracy)
+    return df.withColumn(out, bucket_label(F.col(col), edges, labels))
 
 
 # -- routing -----------------------------------------------------------------
@@ -386,9 +366,8 @@ def route_rows(df: DataFrame, *, schema: PurchaseSchema = DEFAULT_SCHEMA, keep:
     rows = marked.withColumn(route_col, route).withColumn(
         "is_duplicated", F.col("_kept").isNull().cast("int")).drop("_stage0", "_kept")
     if n_buckets:
-        edges = bucket_edges(rows, col=s.gmv, n=n_buckets, accuracy=accuracy, where=F.col(route_col) == "clean")
-        e = edges.select(F.struct("_edges", "_labels")).scalar()
+        edges, labels = bucket_edges(rows, col=s.gmv, n=n_buckets, accuracy=accuracy,
+                                     where=F.col(route_col) == "clean")
         rows = rows.withColumn(
-            "gmv_bucket", F.when(F.col(route_col) == "clean",
-                                 bucket_label(F.col(s.gmv), e["_edges"], e["_labels"], n_buckets)))
+            "gmv_bucket", F.when(F.col(route_col) == "clean", bucket_label(F.col(s.gmv), edges, labels)))
     return Routed(rows, thr, route_col)
