@@ -138,11 +138,12 @@ def fit_scaler(df: DataFrame, *, cols, log1p_auto: bool = True, skew_threshold:
         log1p_cols = select_log1p(skew_stats(df, present).collect(), skew_threshold)
     prep = {c: (sanitize(log1p_clip(c), fill) if c in log1p_cols else sanitize(F.col(c).cast("double"), fill))
             for c in present}
+    prepared = df.select(*[prep[c].alias(f"x{i}") for i, c in enumerate(present)])   # one projection
     aggs = []
-    for i, c in enumerate(present):
-        aggs += [F.var_samp(prep[c]).alias(f"v{i}"), F.avg(prep[c]).alias(f"m{i}"),
-                 F.stddev_pop(prep[c]).alias(f"s{i}")]
-    row = df.agg(*aggs).collect()[0]
+    for i, _ in enumerate(present):
+        aggs += [F.var_samp(f"x{i}").alias(f"v{i}"), F.avg(f"x{i}").alias(f"m{i}"),
+                 F.stddev_pop(f"x{i}").alias(f"s{i}")]
+    row = prepared.agg(*aggs).collect()[0]
     removed = []
     used = []
     for i, c in enumerate(present):
