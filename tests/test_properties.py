@@ -115,3 +115,20 @@ def test_grouped_quantiles_equal_numpy(spark, rows):
         xs = [x for gg, x in rows if gg == g]
         assert math.isclose(got[g]["q0"], float(np.percentile(xs, 50)), rel_tol=1e-9, abs_tol=1e-9)
         assert math.isclose(got[g]["q1"], float(np.percentile(xs, 90)), rel_tol=1e-9, abs_tol=1e-9)
+
+
+def test_approx_options_and_extra_blocks(spark):
+    df = spark.createDataFrame([(f"c{i % 3}", f"k{i}", dt.datetime(2023, 1 + i % 12, 1, i % 24), float(i + 1), 1,
+                                 float(i + 1), 0, "A__B", "X") for i in range(60)],
+                               "fk_contact string, nk_ota_localizer_id string, purchase_datetime timestamp_ntz, "
+                               "gmv_success double, total_tickets_quantity_success long, avg_price_per_ticket double, "
+                               "has_return int, route_out string, fk_departure_ota_bus_company string")
+    exact = {r["fk_contact"]: r["frequency_12m"] for r in ft.customer_features(df, build_date="2024-01-01").collect()}
+    approx = {r["fk_contact"]: r["frequency_12m"]
+              for r in ft.customer_features(df, build_date="2024-01-01", approx_distinct=True).collect()}
+    assert exact == approx == {"c0": 20, "c1": 20, "c2": 20}
+    q = quantiles(df, "gmv_success", [0.5], accuracy=10000).collect()[0]["q0"]
+    assert abs(q - 30.5) <= 1.0
+    block = lambda d: d.groupBy("fk_contact").agg(F.max("gmv_success").alias("max_gmv"))
+    out = ft.customer_features(df, build_date="2024-01-01", extra_blocks=[block])
+    assert out.columns[-1] == "max_gmv" and out.where("max_gmv IS NULL").count() == 0
