@@ -9,8 +9,8 @@ Scale notes
 - Deduplication never puts a whole key group in one task: the kept row per key is chosen by
   a partial (map-side) ``min(struct(...))`` aggregate, and rows are flagged by a join on the
   unique ``_row_id`` (uniformly spread, no hot key).
-- The p99 threshold is a 1-row aggregate used as a scalar subquery (evaluated once, no join);
-  the n+1 bucket edges are collected (bounded by the parameter) and inlined as literals.
+- The p99 threshold (one number) and the n+1 bucket edges (bounded by the parameter) are
+  computed once, collected and inlined as literals: no join, and no re-evaluation per action.
 - The exact percentile is computed distributed (see ``quantiles``).
 """
 
@@ -356,9 +356,11 @@ def route_rows(df: DataFrame, *, schema: PurchaseSchema = DEFAULT_SCHEMA, keep:
         marked = cut_lineage(marked, "dedup")
         base.unpersist()
     kept = marked.where(F.col("_kept"))
-    thr = quantile(kept, s.avg_price, p, accuracy=accuracy, name="p99_avg_price_per_ticket",
-                   where=F.col(s.avg_price) > 0)
-    p99 = thr.scalar()                                                # scalar subquery: no join
+    p99_value = quantile(kept, s.avg_price, p, accuracy=accuracy, name="p99_avg_price_per_ticket",
+                         where=F.col(s.avg_price) > 0).collect()[0][0]   # one number, computed once
+    spark = df.sparkSession
+    thr = spark.createDataFrame([(p99_value,)], "p99_avg_price_per_ticket double")
+    p99 = F.lit(p99_value).cast("double")
     route = (F.when(F.col("_stage0").isNotNull(), F.col("_stage0"))
              .when(F.col("_kept").isNull(), F.lit("duplicate"))
              .when(F.coalesce(F.col(s.avg_price) > p99, F.lit(False)), F.lit("outlier"))
