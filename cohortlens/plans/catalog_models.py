@@ -20,7 +20,7 @@ from ..operators import reports as rp
 from ..operators import standardize as zs
 from ..sources import testdata
 from . import oracle_sql as O
-from .catalog import BUILD_DATE, customer_features_raw, register, rnd, rounded, routed, window36
+from .catalog import BUILD_DATE, customer_features_raw, register, rounded, routed, window36
 
 NUM = O.NUM_FEATURES
 CLUSTER_VARS = ["frequency_12m", "n_unique_routes_out", "avg_price_per_ticket", "top_route_out_share",
