@@ -9,6 +9,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
+_FALLBACK: dict = {}     # sessions where the conf could not be set (tests only: the cluster sets it)
 
 
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str = "cohortlens") -> SparkSession:
@@ -41,10 +42,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     The folder comes from ``spark.checkpoint.dir``; only when it is unset (local tests)
     a fresh folder is made and set, so a cluster setting is never overridden.
     """
-    path = spark.conf.get(CHECKPOINT_CONF, None)
+    path = spark.conf.get(CHECKPOINT_CONF, None) or _FALLBACK.get(id(spark))
     if not path:
         path = tempfile.mkdtemp(prefix="cohortlens-ckpt-")
-        spark.conf.set(CHECKPOINT_CONF, path)
+        _FALLBACK[id(spark)] = path
+        try:
+            spark.conf.set(CHECKPOINT_CONF, path)
+        except Exception:  # noqa: BLE001 - a session may refuse core confs; keep the folder here
+            pass
     try:
         spark.sparkContext.setCheckpointDir(path)        # classic sessions; Connect has no context
     except Exception:  # noqa: BLE001
