@@ -366,6 +366,9 @@ def _add_oracles():
         "x03_summary_tables": _OVERVIEW + "SELECT * FROM ovs",
     }
     extra["j06_centroid_summary_join"] = extra["l04_centroid_summary"]
+    extra["f05_required_columns"] = (
+        'SELECT column_name AS "column", true AS present FROM (DESCRIBE SELECT * FROM prep) WHERE column_name IN '
+        "('date_purchase', 'time_purchase', 'gmv_success', 'total_tickets_quantity_success')")
     for k, body in extra.items():
         catalog.ORACLES[k] = O.q(body)
     catalog.ORACLES["s11_append_batches"] = _labels_sql(7, (3, 7), weekly=False)
