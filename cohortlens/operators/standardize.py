@@ -42,11 +42,12 @@ def g1_skew(c: str) -> Column:
 
 def skew_stats(df: DataFrame, cols) -> DataFrame:
     """z01 statistics, long form: (feature, n_positive, skew). One aggregate for all columns."""
+    xs = df.select(*[F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate(cols)])   # one projection
     aggs = []
-    for i, c in enumerate(cols):
-        x = F.col(c).cast("double")
+    for i, _ in enumerate(cols):
+        x = F.col(f"x{i}")
         aggs += [F.sum(F.when(x > 0, 1).otherwise(0)).alias(f"p{i}"), g1_skew(x).alias(f"s{i}")]
-    wide = df.agg(*aggs)
+    wide = xs.agg(*aggs)
     rows = ", ".join(f"'{c}', p{i}, s{i}" for i, c in enumerate(cols))
     return wide.select(F.expr(f"stack({len(cols)}, {rows}) AS (feature, n_positive, skew)"))
 
