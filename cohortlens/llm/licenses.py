@@ -10,29 +10,34 @@ measured size is small and shuffles it otherwise (AQE then splits a digest that
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import same
+from .common import let
 
 # A line is a copyright line if it starts (after marks) like this.
 COPYRIGHT_LINE = (r"^[^A-Za-z\n]*(?:[Cc][Oo][Pp][Yy][Rr][Ii][Gg][Hh][Tt][ \t]*(?:\([Cc]\)|©|[0-9]{4}|[Bb][Yy] )"
                   r"|©|\([Cc]\)[ \t]*[0-9]|[Aa][Ll][Ll] [Rr][Ii][Gg][Hh][Tt][Ss] [Rr][Ee][Ss][Ee][Rr][Vv][Ee][Dd]\W*\z)[\s\S]*\z")
 PUNCTUATION = r"[^\p{L}\p{N}]+"
-# Fixed values: (pattern, replacement with $1..) of spellings that licence matching treats as equal.
+# Fixed values: (literal triggers, pattern, replacement) of spellings that licence matching treats as equal. A pattern
+# can match only where one of its triggers occurs; looking for those first is far cheaper than the pattern.
 SPELLINGS = [
-    (r"\b(licen)c(e|es|ed|ing|or|ors|ee|ees)\b", "$1s$2"),
-    (r"\b(author|categor|emphas|initial|maxim|minim|optim|organ|real|recogn|util|capital)is(e|es|ed|ing|er|ers|ation|ations)\b",
+    (["licenc"], r"\b(licen)c(e|es|ed|ing|or|ors|ee|ees)\b", "$1s$2"),
+    (["authoris", "categoris", "emphasis", "initialis", "maximis", "minimis", "optimis", "organis", "realis", "recognis", "utilis",
+      "capitalis"],
+     r"\b(author|categor|emphas|initial|maxim|minim|optim|organ|real|recogn|util|capital)is(e|es|ed|ing|er|ers|ation|ations)\b",
      "$1iz$2"),
-    (r"\b(fav|col|hon|behavi|lab|endeav)our", "$1or"),
-    (r"\b(catal|anal|dial)ogue", "$1og"),
-    (r"\b(acknowledg|judg)ement", "$1ment"),
-    (r"\b(cancel|label|model|signal)l(ed|ing)\b", "$1$2"),
-    (r"\bcopyright owner", "copyright holder"),
-    (r"\b(sub|non) (licens|commercial|infring|exclusive)", "$1$2"),
-    (r"\bper cent\b", "percent"),
-    (r"\bwhilst\b", "while"),
-    (r"\bhttps\b", "http"),
+    (["favour", "colour", "honour", "behaviour", "labour", "endeavour"], r"\b(fav|col|hon|behavi|lab|endeav)our", "$1or"),
+    (["alogue"], r"\b(catal|anal|dial)ogue", "$1og"),
+    (["gement"], r"\b(acknowledg|judg)ement", "$1ment"),
+    (["cancell", "labell", "modell", "signall"], r"\b(cancel|label|model|signal)l(ed|ing)\b", "$1$2"),
+    (["copyright owner"], r"\bcopyright owner", "copyright holder"),
+    (["sub licens", "non commercial", "non infring", "non exclusive"], r"\b(sub|non) (licens|commercial|infring|exclusive)", "$1$2"),
+    (["per cent"], r"\bper cent\b", "percent"),
+    (["whilst"], r"\bwhilst\b", "while"),
+    (["https"], r"\bhttps\b", "http"),
 ]
 
 # Licence texts and one-line notices with their SPDX identifiers.
@@ -89,8 +94,14 @@ def canonical_line(line: Column) -> Column:
 
 
 def equal_spellings(canonical: Column) -> Column:
-    for pattern, to in SPELLINGS:
-        canonical = F.regexp_replace(canonical, pattern, to)
+    """One spelling for each word of ``SPELLINGS`` (a lambda variable holds each step, so it is computed once)."""
+    def spelled(triggers, pattern, to):
+        def step(x):
+            there = reduce(lambda a, b: a | b, [F.contains(x, F.lit(t)) for t in triggers])
+            return F.when(there, F.regexp_replace(x, pattern, to)).otherwise(x)
+        return step
+    for rule in SPELLINGS:
+        canonical = let(canonical, spelled(*rule))
     return canonical
 
 
@@ -101,11 +112,17 @@ def known_licenses(spark: SparkSession, known: list[tuple[str, str]] = KNOWN) ->
 
 
 def _lines(text: str) -> Column:
-    return F.transform(F.split(F.coalesce(F.col(text), F.lit("")), "\n", -1), canonical_line)
+    """Canonical lines of a text that are not empty."""
+    lines = F.transform(F.split(F.coalesce(F.col(text), F.lit("")), "\n", -1), lambda x: equal_spellings(canonical_line(x)))
+    return F.filter(lines, lambda x: x != "")
 
 
-def _digest(canonical: Column) -> Column:
-    return F.sha2(equal_spellings(canonical), 256)
+def _units(text: str) -> Column:
+    """Digests of the whole canonical text (first) and of each canonical line."""
+    def digests(lines):
+        whole = equal_spellings(F.array_join(lines, " "))
+        return F.concat(F.array(F.sha2(whole, 256)), F.transform(lines, lambda x: F.sha2(x, 256)))
+    return let(_lines(text), digests)
 
 
 def scan(docs: DataFrame, known: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -117,20 +134,19 @@ def scan(docs: DataFrame, known: DataFrame, id_col: str = "doc_id", text_col: st
     empty canonical text matches nothing. Other columns of the input are ignored, so names cannot clash;
     rows that repeat an id and a text get the same result each. Empty input gives an empty result.
     """
-    digests = (known.select("license_id", _digest(F.trim(F.array_join(F.filter(_lines("text"), lambda x: x != ""), " "))).alias("digest"))
-               .filter(F.col("digest") != F.sha2(F.lit(""), 256)).groupBy("digest").agg(F.min("license_id").alias("license_id")))
-    base = docs.select(F.col(id_col).alias("id"), F.filter(_lines(text_col), lambda x: x != "").alias("lines"))
-    whole = base.select("id", _digest(F.array_join("lines", " ")).alias("canonical_sha256"), "lines")
-    lines = (whole.select("id", "canonical_sha256", F.posexplode("lines").alias("at", "line"))
-             .select("id", "canonical_sha256", "at", _digest(F.col("line")).alias("digest"))
-             .join(digests, "digest")
-             .groupBy("id", "canonical_sha256")
-             .agg(F.countDistinct("at").alias("n_notice_lines"), F.array_join(F.array_sort(F.collect_set("license_id")), ",").alias("notices")))
-    hit = whole.select("id", "canonical_sha256").join(digests.withColumnRenamed("digest", "canonical_sha256"), "canonical_sha256", "left")
-    return hit.join(lines, same(hit, lines, "id", "canonical_sha256"), "left").select(
-        hit["id"].alias(id_col), hit["canonical_sha256"], hit["license_id"],
-        F.coalesce(lines["n_notice_lines"], F.lit(0)).cast("long").alias("n_notice_lines"),
-        F.coalesce(lines["notices"], F.lit("")).alias("notices"))
+    digests = (known.select("license_id", _units("text")[0].alias("digest"))
+               .filter(F.col("digest") != F.sha2(F.lit("").cast("binary"), 256))
+               .groupBy("digest").agg(F.min("license_id").alias("license_id")))
+    units = docs.select(F.col(id_col).alias("id"), _units(text_col).alias("units"))
+    units = units.select("id", F.col("units")[0].alias("canonical_sha256"), F.posexplode("units").alias("at", "digest"))
+    whole, line = F.col("at") == 0, F.col("at") > 0
+    found = (units.join(digests, "digest", "left").groupBy("id", "canonical_sha256")
+             .agg(F.count_if(whole).alias("rows"), F.max(F.when(whole, F.col("license_id"))).alias("license_id"),
+                  F.count(F.when(line, F.col("license_id"))).alias("lines"),
+                  F.collect_set(F.when(line, F.col("license_id"))).alias("notices")))
+    return found.select(
+        F.col("id").alias(id_col), "canonical_sha256", "license_id", (F.col("lines") / F.col("rows")).cast("long").alias("n_notice_lines"),
+        F.array_join(F.array_sort("notices"), ",").alias("notices"), F.explode(F.sequence(F.lit(1), F.col("rows"))).alias("_")).drop("_")
 
 
 def oracle(known: list[tuple[str, str]] = KNOWN) -> str:
@@ -139,7 +155,7 @@ def oracle(known: list[tuple[str, str]] = KNOWN) -> str:
     line = (f"trim(lower(regexp_replace(regexp_replace(l, {q(COPYRIGHT_LINE)}, '', 'g'), {q(PUNCTUATION)}, ' ', 'g')))")
 
     def digest(x: str) -> str:
-        for pattern, to in SPELLINGS:
+        for _, pattern, to in SPELLINGS:
             x = f"regexp_replace({x}, {q(pattern)}, {q(to.replace('$', chr(92)))}, 'g')"
         return f"sha256({x})"
 
