@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.testdata import table
-from . import licenses, packing, warc
+from . import licenses, packing, quality_fm, quality_gbt, warc
 
 
 def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -13,6 +13,17 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"), licenses.known_licenses(spark))
 
 
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statistics, base rule and boosted-tree verdict of all ``documents``."""
+    return quality_gbt.quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Factorisation-machine quality score of all ``documents``."""
+    docs = table(spark, sf_dir, "documents")
+    return quality_fm.classify(docs, quality_fm.train(docs, table(spark, sf_dir, "labels")))
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Optimal length buckets and token-budget batches of all ``documents``."""
     return packing.pack(table(spark, sf_dir, "documents"))
@@ -23,5 +34,6 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages")).drop("url", "payload")
 
 
-QUERIES = {"op1_license_scan": op1_license_scan, "op6_packing": op6_packing, "op9_warc": op9_warc}
+QUERIES = {"op1_license_scan": op1_license_scan, "op3_quality_rules": op3_quality_rules,
+           "op5_quality_classifier": op5_quality_classifier, "op6_packing": op6_packing, "op9_warc": op9_warc}
 ORACLES = {"op1_license_scan": licenses.oracle(), "op9_warc": warc.ORACLE}
