@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.testdata import table
-from . import licenses, packing, quality_fm, quality_gbt, warc
+from . import jaccard_join, licenses, packing, quality_fm, quality_gbt, warc
 
 
 def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -34,6 +34,11 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages")).drop("url", "payload")
 
 
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five-word shingle Jaccard self-join of all ``documents`` at 0.8: class and number of links of each."""
+    return jaccard_join.jaccard_join(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {"op1_license_scan": op1_license_scan, "op3_quality_rules": op3_quality_rules,
-           "op5_quality_classifier": op5_quality_classifier, "op6_packing": op6_packing, "op9_warc": op9_warc}
-ORACLES = {"op1_license_scan": licenses.oracle(), "op9_warc": warc.ORACLE}
+           "op5_quality_classifier": op5_quality_classifier, "op6_packing": op6_packing, "op9_warc": op9_warc, "op10_jaccard_join": op10_jaccard_join}
+ORACLES = {"op1_license_scan": licenses.oracle(), "op9_warc": warc.ORACLE, "op10_jaccard_join": jaccard_join.ORACLE}
