@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.testdata import table
-from . import decontam, jaccard_join, licenses, packing, quality_fm, quality_gbt, warc
+from . import decontam, jaccard_join, licenses, packing, quality_fm, quality_gbt, suffix_dedup, warc
 
 
 def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -29,6 +29,11 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Removal of every byte of ``documents`` that a 100-byte string starting earlier covers."""
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Regions of every whole text of ``documents`` within the edit budget of a ``benchmark`` passage."""
     return decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -45,6 +50,6 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op1_license_scan": op1_license_scan, "op3_quality_rules": op3_quality_rules,
-           "op5_quality_classifier": op5_quality_classifier, "op6_packing": op6_packing, "op8_decontamination": op8_decontamination,
+           "op5_quality_classifier": op5_quality_classifier, "op6_packing": op6_packing, "op7_suffix_dedup": op7_suffix_dedup, "op8_decontamination": op8_decontamination,
            "op9_warc": op9_warc, "op10_jaccard_join": op10_jaccard_join}
 ORACLES = {"op1_license_scan": licenses.oracle(), "op9_warc": warc.ORACLE, "op10_jaccard_join": jaccard_join.ORACLE}
