@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.testdata import table
-from . import decontam, jaccard_join, licenses, packing, quality_fm, quality_gbt, suffix_dedup, warc
+from . import decontam, jaccard_join, licenses, ngram_trie, packing, quality_fm, quality_gbt, suffix_dedup, warc
 
 
 def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -18,6 +18,11 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_gbt.quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bigram score of every whole text of ``documents`` by a model of all training documents."""
+    return ngram_trie.score_corpus(table(spark, sf_dir, "documents"))
+
+
 def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Factorisation-machine quality score of all ``documents``."""
     docs = table(spark, sf_dir, "documents")
@@ -50,6 +55,6 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op1_license_scan": op1_license_scan, "op3_quality_rules": op3_quality_rules,
-           "op5_quality_classifier": op5_quality_classifier, "op6_packing": op6_packing, "op7_suffix_dedup": op7_suffix_dedup, "op8_decontamination": op8_decontamination,
+           "op4_lm_scoring": op4_lm_scoring, "op5_quality_classifier": op5_quality_classifier, "op6_packing": op6_packing, "op7_suffix_dedup": op7_suffix_dedup, "op8_decontamination": op8_decontamination,
            "op9_warc": op9_warc, "op10_jaccard_join": op10_jaccard_join}
 ORACLES = {"op1_license_scan": licenses.oracle(), "op9_warc": warc.ORACLE, "op10_jaccard_join": jaccard_join.ORACLE}
