@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .common import same, slices, words
+from .common import slices, words
 from .components import components
 
 SHINGLE = 5
@@ -301,10 +301,14 @@ def jaccard_join(docs: DataFrame, threshold: Fraction = THRESHOLD, id_col: str =
                       F.when(empty, F.lit(0)).otherwise(F.col("n_links")).cast("long").alias("n_links"), "n_shingles")
 
 
-def one_of_each(docs: DataFrame, joined: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """The rows of ``docs`` whose id names their class (rows that repeat that id all stay)."""
+def one_of_each(docs: DataFrame, joined: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row of each class of ``joined``: that whose id names the class (rows that repeat id and text stay once).
+
+    Rows without an id cannot be told apart by it; they stay if their class has no id, else they go with their class.
+    """
     keep = joined.filter(F.col("class_id").eqNullSafe(F.col(id_col))).select(F.col(id_col).alias("kept_id")).distinct()
-    return docs.join(keep, docs[id_col].eqNullSafe(keep["kept_id"]), "left_semi")
+    kept = docs.join(keep, docs[id_col].eqNullSafe(keep["kept_id"]), "left_semi")
+    return kept.withColumn("_tid", _tid(F.col(text_col))).dropDuplicates([id_col, "_tid"]).drop("_tid")
 
 
 ORACLE = """

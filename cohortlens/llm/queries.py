@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.testdata import table
-from . import decontam, jaccard_join, licenses, ngram_trie, packing, quality_fm, quality_gbt, suffix_dedup, warc
+from . import decontam, jaccard_join, licenses, ngram_trie, packing, pii, quality_fm, quality_gbt, suffix_dedup, warc
 
 
 def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -13,6 +13,11 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"), licenses.known_licenses(spark))
 
 
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every whole text of ``documents``: base spans and those that the boosted trees add."""
+    return pii.detect(table(spark, sf_dir, "documents"))
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Statistics, base rule and boosted-tree verdict of all ``documents``."""
     return quality_gbt.quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -54,7 +59,7 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_join(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op1_license_scan": op1_license_scan, "op3_quality_rules": op3_quality_rules,
+QUERIES = {"op1_license_scan": op1_license_scan, "op2_pii": op2_pii, "op3_quality_rules": op3_quality_rules,
            "op4_lm_scoring": op4_lm_scoring, "op5_quality_classifier": op5_quality_classifier, "op6_packing": op6_packing, "op7_suffix_dedup": op7_suffix_dedup, "op8_decontamination": op8_decontamination,
            "op9_warc": op9_warc, "op10_jaccard_join": op10_jaccard_join}
 ORACLES = {"op1_license_scan": licenses.oracle(), "op9_warc": warc.ORACLE, "op10_jaccard_join": jaccard_join.ORACLE}
