@@ -1,4 +1,4 @@
-"""Bigram language model in Elias-Fano tries, trained and queried shard by shard.
+"""Bigram language model (A-Z in lower case) in Elias-Fano tries, trained and queried shard by shard.
 
 p(w | v) = max(c(v, w) - D, 0) / c(v) + D n(v) / c(v) p(w), with n(v) the distinct successors of v and p(w) the
 additively smoothed unigram probability (an unknown context leaves p(w)).
@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .common import crc32_mod, slices, words
+from .common import crc32_mod, slices
 from .elias_fano import Trie
 
 DISCOUNT, ADDED = 0.75, 0.1
@@ -50,6 +50,11 @@ def _binary(x: np.ndarray, dtype) -> bytes:
     return x.astype(dtype).tobytes()
 
 
+def lowered(text: str | None) -> list[bytes]:
+    """Words with A-Z (no other letter) in lower case."""
+    return text.encode("utf-8", "surrogatepass").lower().split() if text else []
+
+
 def tokenised(docs: DataFrame, id_col: str, text_col: str, folds: int) -> DataFrame:
     """Blocks: ids, held (fold 0), sizes (tokens with the end), words (distinct hashes, sorted), tokens (places in words)."""
     kind = docs.schema[id_col].dataType
@@ -60,7 +65,7 @@ def tokenised(docs: DataFrame, id_col: str, text_col: str, folds: int) -> DataFr
         for number, part in enumerate(slices(batches, "text", BLOCK_BYTES)):
             ids, tokens, sizes = {b"\n": 0}, [], []
             for text in part.column("text").to_pylist():
-                t = [ids.setdefault(w, len(ids)) for w in words(text)]
+                t = [ids.setdefault(w, len(ids)) for w in lowered(text)]
                 tokens.append(np.array([*t, 0], np.int64))
                 sizes.append(len(t) + 1)
             known, place = np.unique(np.array([xxhash.xxh3_64_intdigest(w) for w in ids], np.uint64), return_inverse=True)
