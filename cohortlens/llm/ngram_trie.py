@@ -221,22 +221,25 @@ def bigram_answers(asking: DataFrame, n_words: int, n: int, starts: int) -> Data
                 wide[:, :5] = np.frombuffer(r["low"], np.uint8).reshape(-1, 5)
                 word.append(wide.view("<u8").ravel())
             seen = np.concatenate([np.frombuffer(r["seen"], "<u4") for r in rows])
-            trained = np.flatnonzero(seen)
-            all_context, all_word = np.concatenate(context)[trained], np.concatenate(word)[trained]
-            order = np.lexsort((all_word, all_context))
-            c, w = all_context[order], all_word[order]
+            # distinct bigrams of all blocks, so that the trie is read once whatever the number of blocks
+            every_context, every_word = np.concatenate(context), np.concatenate(word)
+            order = np.lexsort((every_word, every_context))
+            c, w = every_context[order], every_word[order]
             new = np.ones(len(c), bool)
             new[1:] = (c[1:] != c[:-1]) | (w[1:] != w[:-1])
             head = np.flatnonzero(new)
-            count = np.add.reduceat(seen[trained][order].astype(np.float64), head) if len(head) else np.zeros(0)
-            known, first = np.unique(np.concatenate(keys), return_index=True)
+            count = np.add.reduceat(seen[order].astype(np.float64), head) if len(head) else np.zeros(0)
+            c, w, trained = c[head], w[head], count > 0
+            known, first, place = np.unique(np.concatenate(keys), return_index=True, return_inverse=True)
             total = np.concatenate([np.frombuffer(r["totals"], "<i8") for r in rows])[first]
-            c, w = c[head], w[head]
-            trie = Trie.build(c, w, _quantised((count - DISCOUNT) / total[np.searchsorted(known, c)])).map_to()
+            p = (count[trained] - DISCOUNT) / total[np.searchsorted(known, c[trained])]
+            trie = Trie.build(c[trained], w[trained], _quantised(p)).map_to()
+            codes = np.empty(len(order), np.uint16)
+            codes[order] = trie.lookup(c, w)[np.cumsum(new) - 1]
+            split = lambda x, parts: np.split(x, np.cumsum([len(p) for p in parts])[:-1])
             yield pa.RecordBatch.from_pydict({
                 "block": [r["block"] for r in rows], "shard": pa.array([r["shard"] for r in rows], pa.int32()),
-                "codes": [_binary(trie.lookup(x, y), "<u2") for x, y in zip(context, word)],
-                "degrees": [_binary(trie.degrees(k), "<u4") for k in keys]})
+                "codes": [_binary(x, "<u2") for x in split(codes, word)], "degrees": [_binary(x, "<u4") for x in split(trie.degrees(known)[place], keys)]})
     return requests.mapInArrow(answer, "block long, shard int, codes binary, degrees binary")
 
 
