@@ -266,7 +266,8 @@ def _whole_groups(batches):
 def repeat_marks(rows: DataFrame) -> DataFrame:
     """(doc, tag, start, n): windows start..start+n-1 of the text are repeats (steps 1 to 3)."""
     runs = anchor_runs(rows)
-    twice = runs.groupBy("h").agg(F.count("*").alias("times")).filter("times > 1").select("h")
+    # written, so that both sides of the next join are plain shuffles and a frequent anchor can be split
+    twice = cut_lineage(runs.groupBy("h").agg(F.count("*").alias("times")).filter("times > 1").select("h"), "anchors")
     shared = cut_lineage(runs.join(twice, "h"), "runs")
     kinds = shared.groupBy("h", "g").agg(F.min(F.struct("doc", "code")).alias("first"), F.count("*").alias("times"))
     kinds = cut_lineage(kinds, "kinds")
