@@ -42,6 +42,8 @@ HOLIDAY_WINDOWS = [("12-20", "01-05"), ("02-01", "03-15"), ("06-01", "06-30")]
 # National fixed-date holidays (MM-dd) of the public calendar used for the festive flag;
 # Good Friday and Carnival are derived from Easter.
 NATIONAL_HOLIDAYS = ["01-01", "04-21", "05-01", "09-07", "10-12", "11-02", "11-15", "12-25"]
+# Fixed dates that became holidays later: MM-dd -> first year.
+NATIONAL_HOLIDAYS_SINCE = {"11-20": 2024}
 
 # Weekday share suffixes, Monday first (weekday() = 0 is Monday).
 WEEKDAY_NAMES = ["seg", "ter", "qua", "qui", "sex", "sab", "dom"]
@@ -94,7 +96,6 @@ DEFAULT_K_VALUES = list(range(2, 11))
 DEFAULT_SEED = 42
 DEFAULT_N_INIT = 10
 DEFAULT_MAX_ITER = 300
-DEFAULT_SILHOUETTE_SAMPLE = 10_000
 DEFAULT_TOP_N = 15
 DEFAULT_BUCKETS = 5
 DEFAULT_MIN_HISTORY_DAYS = 14

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from .. import config
 
+DATE_RE = r"^([0-9]{4}-[0-9]{1,2}-[0-9]{1,2})(?: 00:00:00(?:\.0+)?)?$"
 TIME_RE = r"^([01][0-9]|2[0-3]):[0-5][0-9]:[0-5][0-9]$"
 DATETIME_RE = r"^[0-9]{4}-[0-9]{2}-[0-9]{2} [0-9]{2}:[0-9]{2}:[0-9]{2}$"
 
@@ -21,17 +22,19 @@ def _c(c) -> Column:
 
 # -- p01 ---------------------------------------------------------------------
 def parse_date(c) -> Column:
-    """'yyyy-MM-dd' text (or a date/timestamp) to DATE; anything unparsable becomes NULL."""
-    return F.try_to_date(_c(c).cast("string"), "yyyy-MM-dd")
+    """'yyyy-MM-dd' text, month and day with or without leading zero (or a date/timestamp), to DATE; else NULL."""
+    text = F.trim(_c(c).cast("string"))
+    return F.when(text.rlike(DATE_RE), F.try_to_date(F.regexp_extract(text, DATE_RE, 1), "yyyy-M-d"))
 
 
 # -- p02 ---------------------------------------------------------------------
 def normalize_time(c) -> Column:
-    """Trim, keep at most 8 chars, 'HH:mm' -> 'HH:mm:00'; invalid clock text -> NULL.
+    """Trim, keep at most 8 chars, 'H:mm' -> '0H:mm', 'HH:mm' -> 'HH:mm:00'; invalid clock text -> NULL.
 
     The result is 'HH:mm:ss' text (the Spark TIME type is off by default).
     """
-    h = F.substring(F.trim(_c(c).cast("string")), 1, 8)
+    h = F.trim(_c(c).cast("string"))
+    h = F.substring(F.when(h.rlike("^[0-9]:"), F.concat(F.lit("0"), h)).otherwise(h), 1, 8)
     h = F.when(F.length(h) == 5, F.concat(h, F.lit(":00"))).otherwise(h)
     return F.when(h.rlike(TIME_RE), h)
 
@@ -168,6 +171,8 @@ def is_national_holiday(ts) -> Column:
     """Fixed-date national holidays plus Good Friday (Easter - 2)."""
     d = F.to_date(_c(ts))
     fixed = F.date_format(d, "MM-dd").isin(*config.NATIONAL_HOLIDAYS)
+    for day, first_year in config.NATIONAL_HOLIDAYS_SINCE.items():
+        fixed = fixed | ((F.date_format(d, "MM-dd") == day) & (F.year(d) >= first_year))
     good_friday = F.date_sub(easter_sunday(F.year(d)), 2)
     return F.coalesce(fixed | (d == good_friday), F.lit(False)).cast("int")
 

@@ -101,11 +101,15 @@ def with_calendar(df: DataFrame, *, ts: str = "purchase_datetime") -> DataFrame:
     })
 
 
-def with_festive_period(df: DataFrame, *, ts: str = "purchase_datetime") -> DataFrame:
-    """p11: national holiday flag and festive-period flag (Carnival from Easter, per row)."""
+def with_festive_period(df: DataFrame, *, ts: str = "purchase_datetime", date: str = "date_purchase") -> DataFrame:
+    """p11: national holiday flag and festive-period flag (Carnival from Easter, per row).
+
+    Both are facts of the day, so a row without a clock time takes them from its date; NULL without a date.
+    """
+    day = F.coalesce(*[F.to_date(c) for c in (ts, date) if c in df.columns])
     return df.withColumns({
-        "is_national_holiday": F.when(F.col(ts).isNotNull(), fx.is_national_holiday(ts)),
-        "is_festive_period": F.when(F.col(ts).isNotNull(), fx.is_festive_period(ts)),
+        "is_national_holiday": F.when(day.isNotNull(), fx.is_national_holiday(day)),
+        "is_festive_period": F.when(day.isNotNull(), fx.is_festive_period(day)),
     })
 
 

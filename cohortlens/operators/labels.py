@@ -107,10 +107,13 @@ def repurchase_labels(days: DataFrame, *, contact: str = "fk_contact", freq: str
     return x.select(*cols)
 
 
-def observable(labels: DataFrame, *, horizons=config.DEFAULT_HORIZONS,
-               obs_end=None) -> DataFrame:
-    """Add ``observable_<h>d``: 1 when t + h does not run past the data end."""
-    end = labels.agg(F.max("ref_date")).scalar() if obs_end is None else F.lit(str(obs_end)).cast("date")
+def observable(labels: DataFrame, *, obs_end, horizons=config.DEFAULT_HORIZONS) -> DataFrame:
+    """Add ``observable_<h>d``: 1 when t + h does not run past the data end.
+
+    ``obs_end`` is the last day of the *data* (a date, or the purchase days, whose last day counts): the last reference date of a
+    weekly grid is earlier.
+    """
+    end = obs_end.agg(F.max("purchase_dt")).scalar() if isinstance(obs_end, DataFrame) else F.lit(str(obs_end)).cast("date")
     out = labels
     for h in horizons:
         out = out.withColumn(f"observable_{h}d", (F.date_add("ref_date", h) <= end).cast("long"))

@@ -115,7 +115,11 @@ def metadata_from_metrics(metrics: DataFrame) -> DataFrame:
     final = src.select("k", "algorithm", "random_state").orderBy("k").limit(1)
     modes = metrics.agg(F.mode("k", deterministic=True).alias("k"), F.first("algorithm", ignorenulls=True)
                         .alias("algorithm"), F.first("random_state", ignorenulls=True).alias("random_state"))
-    return final.unionByName(modes).limit(1) if has_final else modes
+    if not has_final:
+        return modes
+    cols = ("k", "algorithm", "random_state")
+    chosen = final.agg(F.first(F.struct(*cols))).scalar()          # NULL without a final k
+    return modes.select(F.coalesce(chosen, F.struct(*cols)).alias("m")).select("m.*")
 
 
 def named_assignments(assignments: DataFrame, names: DataFrame, *, cluster: str = "cluster_id",

@@ -1,125 +1,94 @@
-"""Global quantiles with linear interpolation (numpy's default), computed distributed.
+"""Exact quantiles with linear interpolation (numpy's default), one distributed path for every size.
 
-Exact mode never gathers the values in one task: the column is range-partitioned and sorted
-by Spark, each row gets its global rank from (partition offset + position in partition), and
-only the rows at the needed ranks are kept. The per-partition size table has one row per
-partition (a proven bound), so it is broadcast. The ranked column is written once to the
-shared checkpoint folder so the sizes and the ranks come from the same materialisation.
+1. Rows become (keys, value, count): a partial aggregate, so a value that a third of the rows share is one row.
+2. The distinct values are range-sorted on (keys, value) and written once; a key with very many values spans many
+   partitions.
+3. Per (keys, partition) piece the rows are summed; a window over the pieces of a key (one row per partition) gives
+   each piece its first rank. Only the pieces that hold a wanted rank are read again, and a running
+   count inside them finds the values.
 
 ``accuracy=N`` switches to ``percentile_approx`` (one pass, bounded memory, rank error 1/N).
-
-Size check: the values are counted first; when there are at most ``single_task_max`` of them
-(default 2,000,000 — a bounded buffer), Spark's exact ``percentile`` aggregate is used (one lazy
-aggregate, same interpolation); beyond it, the distributed rank method above.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
 
-SINGLE_TASK_MAX = 2_000_000
+
+def _rank(q: float, n: str = "_n") -> Column:
+    """Fractional 0-based rank of a quantile."""
+    return F.lit(q) * (F.col(n) - 1)
 
 
-def _names(qs, prefix):
-    return [f"{prefix}{i}" for i in range(len(qs))]
+def _ranked(x: DataFrame, keys: list, qs, names) -> DataFrame:
+    """keys, one column per quantile, ``_n``: ``x`` has the keys and the value ``_x`` (neither NULL nor NaN)."""
+    values = x.groupBy(*keys, "_x").agg(F.count(F.lit(1)).alias("_c"))
+    values = cut_lineage(values.orderBy(*keys, "_x").withColumn("_p", F.spark_partition_id()), "ranked")
+    pieces = values.groupBy(*keys, "_p").agg(F.sum("_c").alias("_s"))
+    before = Window.partitionBy(*keys).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    pieces = pieces.select(*keys, "_p", "_s", F.coalesce(F.sum("_s").over(before), F.lit(0)).alias("_off"),
+                           F.sum("_s").over(Window.partitionBy(*keys)).alias("_n"))
+
+    def holds(rank: Column, first: Column, count: Column) -> Column:
+        return (rank >= first) & (rank < first + count)
+    wanted = [f(_rank(q)) for q in qs for f in (F.floor, F.ceil)]
+    pieces = pieces.where(reduce(lambda a, b: a | b, [holds(r, F.col("_off"), F.col("_s")) for r in wanted]))
+    inside = Window.partitionBy(*keys, "_p").orderBy("_x").rowsBetween(Window.unboundedPreceding, -1)
+    near = values.join(pieces, [*keys, "_p"]).withColumn("_first", F.col("_off") + F.coalesce(F.sum("_c").over(inside), F.lit(0)))
+    aggs = []
+    for q, name in zip(qs, names):
+        pos = _rank(q)
+        lo, hi = (F.max(F.when(holds(f(pos), F.col("_first"), F.col("_c")), F.col("_x"))) for f in (F.floor, F.ceil))
+        t = F.max(pos - F.floor(pos))
+        # numpy's lerp: a + (b-a)*t, or b - (b-a)*(1-t) when t >= 0.5
+        aggs.append(F.when(t >= 0.5, hi - (hi - lo) * (1 - t)).otherwise(lo + (hi - lo) * t).alias(name))
+    return near.groupBy(*keys).agg(*aggs, F.max("_n").alias("_n"))
 
 
-def quantiles(df: DataFrame, col: str, qs, *, accuracy: int | None = None, prefix: str = "q",
-              where=None, single_task_max: int = SINGLE_TASK_MAX) -> DataFrame:
+def quantiles(df: DataFrame, col: str, qs, *, accuracy: int | None = None, prefix: str = "q", where=None) -> DataFrame:
     """One-row DataFrame with a DOUBLE column ``<prefix><i>`` per requested quantile and ``n``.
 
     NULL and NaN values are ignored; on empty input every quantile is NULL and n = 0.
     """
     qs = [float(q) for q in qs]
-    x = df.select(F.col(col).cast("double").alias("_x"))
-    if where is not None:
-        x = df.where(where).select(F.col(col).cast("double").alias("_x"))
+    x = (df if where is None else df.where(where)).select(F.col(col).cast("double").alias("_x"))
     x = x.where(F.col("_x").isNotNull() & ~F.isnan("_x"))
-    names = _names(qs, prefix)
+    names = [f"{prefix}{i}" for i in range(len(qs))]
     if accuracy is not None:
         arr = F.percentile_approx("_x", qs, accuracy)
         return x.agg(*[arr[i].alias(n) for i, n in enumerate(names)], F.count("_x").alias("n"))
-    if x.count() <= single_task_max:
-        arr = F.percentile(F.col("_x"), qs)
-        return x.agg(*[arr[i].alias(n) for i, n in enumerate(names)], F.count("_x").cast("long").alias("n"))
-
-    ranked = x.orderBy("_x").select(
-        "_x", F.spark_partition_id().alias("_p"), F.monotonically_increasing_id().alias("_m"))
-    ranked = cut_lineage(ranked, "ranked")
-    sizes = ranked.groupBy("_p").agg(F.count(F.lit(1)).alias("_c"))
-    w = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    offsets = sizes.select(
-        "_p", (F.sum("_c").over(w) - F.col("_c")).alias("_off"), F.sum("_c").over(Window.partitionBy()).alias("_n"))
-    pos = (F.col("_m") - F.shiftleft(F.col("_p").cast("long"), 33))
-    r = ranked.join(F.broadcast(offsets), "_p").select(
-        "_x", (F.col("_off") + pos).alias("_r"), "_n")
-
-    wanted = None
-    for q in qs:
-        p = F.lit(q) * (F.col("_n") - 1)
-        c = (F.col("_r") == F.floor(p)) | (F.col("_r") == F.ceil(p))
-        wanted = c if wanted is None else wanted | c
-    picked = r.where(wanted)
-    aggs = []
-    for q, name in zip(qs, names):
-        p = F.lit(q) * (F.col("_n") - 1)
-        lo = F.max(F.when(F.col("_r") == F.floor(p), F.col("_x")))
-        hi = F.max(F.when(F.col("_r") == F.ceil(p), F.col("_x")))
-        t = F.max(p - F.floor(p))
-        # numpy's lerp: a + (b-a)*t, or b - (b-a)*(1-t) when t >= 0.5
-        aggs.append(F.when(t >= 0.5, hi - (hi - lo) * (1 - t)).otherwise(lo + (hi - lo) * t).alias(name))
-    out = picked.agg(*aggs, F.max("_n").alias("n"))
-    return out.select(*names, F.coalesce(F.col("n"), F.lit(0)).cast("long").alias("n"))
+    out = _ranked(x.withColumn("_k", F.lit(0)), ["_k"], qs, names)
+    return out.agg(*[F.max(n).alias(n) for n in names], F.coalesce(F.max("_n"), F.lit(0)).cast("long").alias("n"))
 
 
-def grouped_quantiles(df: DataFrame, by: str, col: str, qs, *, names=None,
-                      single_task_max: int = SINGLE_TASK_MAX) -> DataFrame:
-    """Exact per-group quantiles (numpy interpolation) without putting a group in one task.
+def grouped_quantiles(df: DataFrame, by: str, cols, qs, *, names=None) -> DataFrame:
+    """Exact per-group quantiles of one or more columns, all columns in one pass.
 
-    Rows are range-sorted on (group, value), so a hot group spans many partitions. For every
-    (partition, group) piece the row count and first position are taken; a window over the pieces
-    of one group (a handful of rows per group) gives each piece its offset inside the group; a
-    row's rank in its group is then offset + position, and only the rows at the needed ranks are
-    kept. Output: one row per group with one column per quantile.
+    One row per group that has a value (NULL is a group like any other); for several columns the names are
+    ``<column>`` with one quantile and ``<column>_<name>`` with more, for a single column ``names`` alone.
     """
+    single = isinstance(cols, str)
+    cols = [cols] if single else list(cols)
     qs = [float(q) for q in qs]
     names = names or [f"q{i}" for i in range(len(qs))]
-    x = df.select(F.col(by).alias("_g"), F.col(col).cast("double").alias("_x")).where(
-        F.col("_x").isNotNull() & ~F.isnan("_x"))
-    largest = x.groupBy("_g").agg(F.count(F.lit(1)).alias("_c")).agg(F.max("_c")).collect()[0][0] or 0
-    if largest <= single_task_max:         # size check: every group's buffer is bounded
-        arr = F.percentile(F.col("_x"), qs)
-        return x.groupBy("_g").agg(*[arr[i].alias(n) for i, n in enumerate(names)]).withColumnRenamed("_g", by)
-    ranked = x.orderBy("_g", "_x").select(
-        "_g", "_x", F.spark_partition_id().alias("_p"), F.monotonically_increasing_id().alias("_m"))
-    ranked = cut_lineage(ranked, "granked")
-    pieces = ranked.groupBy("_g", "_p").agg(F.count(F.lit(1)).alias("_c"), F.min("_m").alias("_m0"))
-    wg = Window.partitionBy("_g").orderBy("_p").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    pieces = pieces.select("_g", "_p", "_m0", (F.sum("_c").over(wg) - F.col("_c")).alias("_off"),
-                           F.sum("_c").over(Window.partitionBy("_g")).alias("_n"))
-    r = ranked.join(pieces, ["_g", "_p"]).select("_g", "_x", (F.col("_off") + F.col("_m") - F.col("_m0")).alias("_r"),
-                                                 "_n")
-    wanted = None
-    for q in qs:
-        pos = F.lit(q) * (F.col("_n") - 1)
-        c = (F.col("_r") == F.floor(pos)) | (F.col("_r") == F.ceil(pos))
-        wanted = c if wanted is None else wanted | c
-    aggs = []
-    for q, name in zip(qs, names):
-        pos = F.lit(q) * (F.col("_n") - 1)
-        lo = F.max(F.when(F.col("_r") == F.floor(pos), F.col("_x")))
-        hi = F.max(F.when(F.col("_r") == F.ceil(pos), F.col("_x")))
-        t = F.max(pos - F.floor(pos))
-        aggs.append(F.when(t >= 0.5, hi - (hi - lo) * (1 - t)).otherwise(lo + (hi - lo) * t).alias(name))
-    return r.where(wanted).groupBy("_g").agg(*aggs).withColumnRenamed("_g", by)
+    rows = F.explode(F.array(*[F.struct(F.lit(i).alias("_f"), F.col(c).cast("double").alias("_x")) for i, c in enumerate(cols)]))
+    x = df.select(F.col(by).alias("_g"), rows.alias("_r")).select(F.struct("_g").alias("_g"), "_r._f", "_r._x")
+    x = x.where(F.col("_x").isNotNull() & ~F.isnan("_x"))
+    out = _ranked(x, ["_g", "_f"], qs, names)
+    if single:
+        return out.select(F.col("_g._g").alias(by), *names)
+    labels = [c if len(names) == 1 else f"{c}_{n}" for c in cols for n in names]
+    values = [F.max(F.when(F.col("_f") == i, F.col(n))) for i in range(len(cols)) for n in names]
+    wide = [v.alias(label) for v, label in zip(values, labels)]
+    return out.groupBy("_g").agg(*wide).select(F.col("_g._g").alias(by), *labels)
 
 
-def quantile(df: DataFrame, col: str, q: float, *, accuracy: int | None = None, name: str = "value",
-             where=None, single_task_max: int = SINGLE_TASK_MAX) -> DataFrame:
+def quantile(df: DataFrame, col: str, q: float, *, accuracy: int | None = None, name: str = "value", where=None) -> DataFrame:
     """One-row DataFrame with the single quantile as ``name``."""
-    return quantiles(df, col, [q], accuracy=accuracy, where=where, single_task_max=single_task_max) \
-        .select(F.col("q0").alias(name))
+    return quantiles(df, col, [q], accuracy=accuracy, where=where).select(F.col("q0").alias(name))

@@ -12,6 +12,7 @@ sample variance <= 1e-12, and columns fitted with log1p are log1p'ed again when
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -102,22 +103,33 @@ class Scaler:
         return df.withColumns(cols)
 
     def to_df(self, spark: SparkSession) -> DataFrame:
-        """s12: the parameters as a table (feature, position, mean, scale, log1p)."""
-        rows = [(c, i, float(self.means[c]), float(self.scales[c]), c in self.log1p_cols)
+        """s12: the parameters as a table (feature, position, mean, scale, log1p, fill, suffix)."""
+        rows = [(c, i, float(self.means[c]), float(self.scales[c]), c in self.log1p_cols, float(self.fill), self.suffix)
                 for i, c in enumerate(self.used_cols)]
-        return spark.createDataFrame(rows, "feature string, position int, mean double, scale double, log1p boolean")
+        return spark.createDataFrame(rows, "feature string, position int, mean double, scale double, log1p boolean, "
+                                           "fill double, suffix string")
 
     @classmethod
     def from_df(cls, params: DataFrame, **kw) -> "Scaler":
         rows = sorted(params.collect(), key=lambda r: r["position"])   # one row per feature
+        kw = {n: rows[0][n] for n in ("fill", "suffix") if rows and n in params.columns} | kw
         return cls(used_cols=[r["feature"] for r in rows], means={r["feature"]: r["mean"] for r in rows},
                    scales={r["feature"]: r["scale"] for r in rows},
                    log1p_cols=[r["feature"] for r in rows if r["log1p"]], **kw)
 
-    def meta(self) -> dict:
-        return {"missing_in_input": self.missing_in_input, "log1p_cols": self.log1p_cols,
-                "removed_constant_cols": self.removed_constant_cols, "skew_threshold": self.skew_threshold,
-                "used_cols": self.used_cols}
+    def report(self) -> "FitReport":
+        return FitReport(tuple(self.used_cols), tuple(self.log1p_cols), tuple(self.removed_constant_cols),
+                         tuple(self.missing_in_input), self.skew_threshold)
+
+
+class FitReport(NamedTuple):
+    """What the fit decided about the columns it was given."""
+
+    used: tuple
+    logged: tuple
+    constant: tuple
+    absent: tuple
+    skew_limit: float
 
 
 def select_log1p(stats_rows, threshold: float) -> list:
@@ -126,16 +138,20 @@ def select_log1p(stats_rows, threshold: float) -> list:
             and r["skew"] >= threshold]
 
 
-def fit_scaler(df: DataFrame, *, cols, log1p_auto: bool = True, skew_threshold: float = config.DEFAULT_SKEW_THRESHOLD,
+def fit_scaler(df: DataFrame, *, cols, log1p_auto: bool = True, log1p_cols=None, skew_threshold: float = config.DEFAULT_SKEW_THRESHOLD,
                fill: float = config.DEFAULT_FILL, drop_constant: bool = True, eps: float = config.CONSTANT_EPS,
                suffix: str = config.Z_SUFFIX) -> Scaler:
-    """z08: select -> skew log1p -> fill/sanitise -> drop constant -> mean / population std."""
+    """z08: select -> log1p (of ``log1p_cols``, or of the skewed columns) -> fill/sanitise -> drop constant ->
+    mean / population std."""
     present = [c for c in cols if c in df.columns]
     missing = [c for c in cols if c not in df.columns]
     if not present:
         raise ValueError(f"none of the columns is present: {cols}")
-    log1p_cols = []
-    if log1p_auto:
+    if log1p_cols is not None:
+        log1p_cols = [c for c in present if c in set(log1p_cols)]
+    elif not log1p_auto:
+        log1p_cols = []
+    else:
         log1p_cols = select_log1p(skew_stats(df, present).collect(), skew_threshold)
     prep = {c: (sanitize(log1p_clip(c), fill) if c in log1p_cols else sanitize(F.col(c).cast("double"), fill))
             for c in present}

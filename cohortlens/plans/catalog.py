@@ -149,17 +149,17 @@ ec5 AS (SELECT *, (32 + 2 * e + 2 * i - h - k) % 7 AS l FROM ec4),
 ec6 AS (SELECT *, (a + 11 * h + 22 * l) // 451 AS m FROM ec5),
 easter AS (SELECT y, make_date(y, (h + l - 7 * m + 114) // 31, ((h + l - 7 * m + 114) % 31) + 1) AS easter FROM ec6),
 fest AS (
-  SELECT p._row_id, CAST(p.purchase_datetime AS DATE) AS d, e.easter
-  FROM prep p LEFT JOIN easter e ON e.y = year(p.purchase_datetime))
+  SELECT p._row_id, coalesce(CAST(p.purchase_datetime AS DATE), CAST(p.date_purchase AS DATE)) AS d, e.easter
+  FROM prep p LEFT JOIN easter e ON e.y = year(coalesce(CAST(p.purchase_datetime AS DATE), CAST(p.date_purchase AS DATE))))
 """
 
 
 @register("p11_festive_period", O.q(", " + _EASTER.strip() + """
 SELECT _row_id,
   CASE WHEN d IS NOT NULL THEN CAST(strftime(d, '%m-%d') IN ('01-01', '04-21', '05-01', '09-07', '10-12', '11-02',
-       '11-15', '12-25') OR d = easter - 2 AS INTEGER) END AS is_national_holiday,
+       '11-15', '12-25') OR (strftime(d, '%m-%d') = '11-20' AND year(d) >= 2024) OR d = easter - 2 AS INTEGER) END AS is_national_holiday,
   CASE WHEN d IS NOT NULL THEN CAST(strftime(d, '%m-%d') IN ('01-01', '04-21', '05-01', '09-07', '10-12', '11-02',
-       '11-15', '12-25') OR d = easter - 2
+       '11-15', '12-25') OR (strftime(d, '%m-%d') = '11-20' AND year(d) >= 2024) OR d = easter - 2
        OR (month(d) = 12 AND day(d) >= 20) OR (month(d) = 1 AND day(d) <= 5) OR month(d) = 6
        OR abs(date_diff('day', easter - 47, d)) <= 2 AS INTEGER) END AS is_festive_period
 FROM fest"""))
@@ -236,12 +236,12 @@ def _rows(df):
 
 @register("f01_audit_split", O.q(f"SELECT {ROW_SQL} FROM routed WHERE route = 'audit'"))
 def f01(spark, sf):
-    return _rows(routed(spark, sf, n_buckets=None).audit)
+    return _rows(prep(spark, sf).where(cl.is_audit()))
 
 
 @register("f02_valid_split", O.q(f"SELECT {ROW_SQL} FROM routed WHERE route = 'invalid'"))
 def f02(spark, sf):
-    return _rows(routed(spark, sf, n_buckets=None).invalid)
+    return _rows(prep(spark, sf).where(~cl.is_audit() & ~cl.is_valid()))
 
 
 @register("f03_observation_window", O.q(f"SELECT {ROW_SQL} FROM win"))

@@ -41,8 +41,11 @@ def scratch(spark, name: str) -> str:
     f"SELECT nk_ota_localizer_id, fk_contact, date_purchase, {R('gmv_success', 2)} AS gmv_success, "
     "total_tickets_quantity_success FROM raw"))
 def s01(spark, sf):
+    """The file has its columns in another order, one more than declared, and the key under its alias."""
     path = scratch(spark, "raw-csv")
-    sinks.write_csv(testdata.purchases(spark, sf).drop("_row_id"), path)
+    raw = testdata.purchases(spark, sf).drop("_row_id")
+    raw = raw.select(*sorted(raw.columns, reverse=True)).withColumnRenamed("nk_ota_localizer_id", "nk_order_id").withColumn("channel", F.lit("web"))
+    sinks.write_csv(raw, path)
     df = sinks.read_purchases(spark, path, fmt="csv")
     return rounded(df.select("nk_ota_localizer_id", "fk_contact", "date_purchase", "gmv_success",
                              F.col("total_tickets_quantity_success").try_cast("bigint")
@@ -72,10 +75,10 @@ def s05(spark, sf):
     cz = z.join(seg, "fk_contact").groupBy("cluster_id").agg(*[F.avg(c).alias(c) for c in zcols])
     root = scratch(spark, "artifacts")
     sinks.write_parquet(cz, f"{root}/centroids_z")
-    sinks.write_csv(seg, f"{root}/assignments.csv")          # read back with inferred types
-    art = sinks.load_artifacts(spark, centroids_z_path=f"{root}/centroids_z", used_cols=sc.used_cols,
-                               assignments_path=f"{root}/assignments.csv")
-    return art["assignments"]
+    sinks.write_csv(seg, f"{root}/assignments.csv")          # read back with declared types
+    run = sinks.read_run(spark, {"centroids_z": f"{root}/centroids_z", "assignments": f"{root}/assignments.csv"},
+                         features=sc.used_cols, suffix=sc.suffix)
+    return run["assignments"]
 
 
 @register("s06_write_parquet", O.q("SELECT _row_id, fk_contact FROM win"))
@@ -93,14 +96,16 @@ def s07(spark, sf):
 
 
 @register("s08_write_partitioned", O.q(
-    "SELECT CAST(month(t) AS INTEGER) AS month, CAST(count(*) AS BIGINT) AS n_rows FROM (SELECT "
-    "coalesce(purchase_datetime, CAST(date_purchase AS TIMESTAMP)) AS t FROM clean) WHERE year(t) = 2000 GROUP BY 1"))
+    "SELECT CAST(year(t) AS INTEGER) AS year, CAST(month(t) AS INTEGER) AS month, CAST(count(*) AS BIGINT) AS n_rows, "
+    f"{R('sum(gmv_success)', 2)} AS gmv FROM (SELECT gmv_success, "
+    "coalesce(purchase_datetime, CAST(date_purchase AS TIMESTAMP)) AS t FROM clean) GROUP BY 1, 2"))
 def s08(spark, sf):
     root = scratch(spark, "by-year-month")
     sinks.write_partitioned(routed(spark, sf, n_buckets=None).clean, root, partition_cols=("year", "month"),
                             overwrite=True)
-    back = spark.read.parquet(root).where("year = 2000")          # partition pruning on read
-    return back.groupBy(F.col("month").cast("int").alias("month")).agg(F.count(F.lit(1)).alias("n_rows"))
+    back = spark.read.parquet(root)                      # all partitions
+    return rounded(back.groupBy(F.col("year").cast("int").alias("year"), F.col("month").cast("int").alias("month"))
+                   .agg(F.count(F.lit(1)).alias("n_rows"), F.sum("gmv_success").alias("gmv")), {"gmv": 2})
 
 
 @register("s09_partition_counts", O.q(
@@ -108,11 +113,21 @@ def s08(spark, sf):
     "CAST(count(*) AS BIGINT) AS n_rows FROM clean GROUP BY 1"))
 def s09(spark, sf):
     clean = routed(spark, sf, n_buckets=None).clean
-    return sinks.partition_counts(sinks.with_partitions(clean, partition_cols=("year",)), ["year"], preview=None)
+    return sinks.partition_counts(sinks.with_partitions(clean, partition_cols=("year",)), ["year"])
 
 
-@register("s10_write_json_doc")
-def s10(spark, sf):
+_DOC = "centroids_z array<map<string, double>>, centroids_original array<map<string, double>>, stats array<struct<feature: string, mean: double, scale: double>>"
+
+
+def _doc_rows(doc, field):
+    """(cluster_id, feature, value) of a centroid table inside the written document."""
+    rows = doc.select(F.explode(F.from_json("value", _DOC)[field]).alias("m")).select(F.col("m")["cluster_id"].cast("int").alias("cluster_id"), "m")
+    return rows.select("cluster_id", F.explode("m").alias("feature", "value")).where("feature <> 'cluster_id'")
+
+
+@register("s10_write_json_doc", O.q(f"SELECT cluster_id, feature || '_z' AS feature, {R('z', 6)} AS value FROM segz"))
+def s10(spark, sf, field="centroids_z"):
+    """The document written as text, read again and parsed back to rows."""
     sc, z, f = z_wide(spark, sf)
     seg = segments(spark, sf, f)
     zcols = [f"{c}{sc.suffix}" for c in sc.used_cols]
@@ -122,7 +137,7 @@ def s10(spark, sf):
                                   stats=sc.to_df(spark), meta={"build_date": BUILD_DATE, "model_version": "v1"})
     path = scratch(spark, "centroids-json")
     sinks.write_json_doc(doc, path)
-    return spark.read.text(path)
+    return rounded(_doc_rows(spark.read.text(path), field), {"value": 6})
 
 
 @register("s11_append_batches")
@@ -136,26 +151,33 @@ def s11(spark, sf):
     return spark.read.parquet(path)
 
 
-@register("s12_save_model", O.q("SELECT feature FROM st WHERE v > 1e-12"))
+@register("s12_save_model", O.q(f"SELECT feature, {R('m', 6)} AS mean, {R('CASE WHEN s = 0 OR s IS NULL THEN 1 ELSE s END', 6)} AS scale, "
+                                f"is_log AS log1p, CAST({config.DEFAULT_FILL} AS DOUBLE) AS fill, '{config.Z_SUFFIX}' AS suffix FROM st WHERE v > 1e-12"))
 def s12(spark, sf):
     sc, _, _ = z_wide(spark, sf)
     path = scratch(spark, "scaler")
     sinks.write_parquet(sc.to_df(spark), path)
     back = zs.Scaler.from_df(spark.read.parquet(path))
-    return spark.createDataFrame([(c,) for c in back.used_cols], "feature string")
+    return rounded(back.to_df(spark).drop("position"), {"mean": 6, "scale": 6})
 
 
-@register("s13_artifact_sets")
+@register("s13_artifact_sets", O.q("SELECT 'rfm' AS \"table\", CAST(count(*) AS BIGINT) AS n_rows, CAST(sum(frequency_12m) AS BIGINT) AS total FROM feat "
+                                   "UNION ALL SELECT 'intensity', CAST(count(*) AS BIGINT), CAST(sum(total_tickets_12m) AS BIGINT) FROM feat"))
 def s13(spark, sf):
     win = window36(spark, sf)
     tables = {"rfm": ft.rfm(win, build_date=BUILD_DATE), "intensity": ft.intensity(win)}
     out = sinks.write_bundle(tables, scratch(spark, "bundle"))
-    return spark.createDataFrame([(k, v) for k, v in out.items()], "table string, path string")
+    sums = {"rfm": "frequency_12m", "intensity": "total_tickets_12m"}
+    parts = [spark.read.parquet(out[t]).agg(F.lit(t).alias("table"), F.count(F.lit(1)).alias("n_rows"), F.sum(c).cast("long").alias("total"))
+             for t, c in sums.items()]
+    return parts[0].unionByName(parts[1])
 
 
-@register("x02_centroid_document")
+@register("x02_centroid_document", O.q(f"SELECT cluster_id, feature, {R('z * (CASE WHEN s = 0 OR s IS NULL THEN 1 ELSE s END) + m', 6)} AS value "
+                                       "FROM segz JOIN st USING (feature)"))
 def x02(spark, sf):
-    return s10(spark, sf)
+    """The same document's centroids in original units."""
+    return s10(spark, sf, "centroids_original")
 
 
 @register("x03_summary_tables")
@@ -175,16 +197,6 @@ def x03(spark, sf):
                                                           "pct_clientes": 6, "pct_gmv": 6})
 
 
-@register("x04_run_manifest")
-def x04(spark, sf):
-    path = scratch(spark, "runs")
-    sinks.append_run(spark, path, params={"build_date": BUILD_DATE, "months": 36}, timing_s={"total": 0.0},
-                     run_id="r1")
-    sinks.append_run(spark, path, params={"build_date": BUILD_DATE, "months": 12}, timing_s={"total": 0.0},
-                     run_id="r2")
-    return spark.read.parquet(path)
-
-
 # == streaming ===============================================================
 def _raw_files(spark, sf, n_files: int = 4):
     path = scratch(spark, "raw-files")
@@ -222,14 +234,6 @@ def f04(spark, sf):
     return spark.createDataFrame([(int(obs.get["rows"]), warned)], "rows long, warned boolean")
 
 
-@register("f05_required_columns")
-def f05(spark, sf):
-    df = prep(spark, sf)
-    cl.require_columns(df, config.DEFAULT_SCHEMA.required)
-    return spark.createDataFrame([(c, c in df.columns) for c in config.DEFAULT_SCHEMA.required],
-                                 "column string, present boolean")
-
-
 @register("f10_datetime_fallback", O.q(
     "SELECT _row_id FROM clean WHERE date_purchase >= DATE '1998-07-01' AND date_purchase < DATE '2001-07-02'"))
 def f10(spark, sf):
@@ -239,7 +243,7 @@ def f10(spark, sf):
 
 @register("a14_pct_festive", O.q(", " + _EASTER.strip().replace("FROM prep", "FROM win") + f"""
 , wf AS (SELECT w.fk_contact, CAST(strftime(f.d, '%m-%d') IN ('01-01', '04-21', '05-01', '09-07', '10-12', '11-02',
-       '11-15', '12-25') OR f.d = f.easter - 2
+       '11-15', '12-25') OR (strftime(f.d, '%m-%d') = '11-20' AND year(f.d) >= 2024) OR f.d = f.easter - 2
        OR (month(f.d) = 12 AND day(f.d) >= 20) OR (month(f.d) = 1 AND day(f.d) <= 5) OR month(f.d) = 6
        OR abs(date_diff('day', f.easter - 47, f.d)) <= 2 AS INTEGER) AS fest
        FROM win w JOIN fest f USING (_row_id))
@@ -352,7 +356,7 @@ def _add_oracles():
     extra = {
         "t06_head": "SELECT _row_id, fk_contact FROM clean ORDER BY _row_id LIMIT 10",
         "s04_first_existing": "SELECT o_orderkey FROM orders",
-        "s05_load_artifacts": "SELECT CAST(fk_contact AS INTEGER) AS fk_contact, cluster_id FROM seg",
+        "s05_load_artifacts": "SELECT fk_contact, cluster_id FROM seg",
         "s07_write_csv": "SELECT fk_contact, CAST(frequency_12m AS VARCHAR) AS frequency_12m, top_route_out FROM feat",
         "r02_pivot_labels": f"SELECT cluster_id, {pivot_lab} FROM segz GROUP BY cluster_id",
         "r03_pivot_z": f"SELECT cluster_id, {pivot_z} FROM segz GROUP BY cluster_id",
@@ -366,9 +370,6 @@ def _add_oracles():
         "x03_summary_tables": _OVERVIEW + "SELECT * FROM ovs",
     }
     extra["j06_centroid_summary_join"] = extra["l04_centroid_summary"]
-    extra["f05_required_columns"] = (
-        'SELECT column_name AS "column", true AS present FROM (DESCRIBE SELECT * FROM prep) WHERE column_name IN '
-        "('date_purchase', 'time_purchase', 'gmv_success', 'total_tickets_quantity_success')")
     for k, body in extra.items():
         catalog.ORACLES[k] = O.q(body)
     catalog.ORACLES["s11_append_batches"] = _labels_sql(7, (3, 7), weekly=False)

@@ -2,11 +2,13 @@
 
 Report and naming oracles need clusters that SQL can reproduce, so those queries take the
 customers' market segment (from the ``customer`` table) as the cluster assignment; the k-means
-queries themselves (k01, k02, k05, k09-k11) are registered rows-only.
+queries themselves (k01, k02, k05, k09-k11) return facts of the fit that SQL can state.
 """
 
 from __future__ import annotations
 
+import numpy as np
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -18,9 +20,10 @@ from ..operators import labels as lb
 from ..operators import naming as nm
 from ..operators import reports as rp
 from ..operators import standardize as zs
+from ..session import cut_lineage
 from ..sources import testdata
 from . import oracle_sql as O
-from .catalog import BUILD_DATE, customer_features_raw, register, rounded, routed, window36
+from .catalog import BUILD_DATE, customer_features_raw, prep, register, rounded, routed, window36
 
 NUM = O.NUM_FEATURES
 CLUSTER_VARS = ["frequency_12m", "n_unique_routes_out", "avg_price_per_ticket", "top_route_out_share",
@@ -34,7 +37,8 @@ def R(expr: str, d: int) -> str:
 
 # -- shared inputs -----------------------------------------------------------
 def feats(spark, sf):
-    return customer_features_raw(spark, sf)
+    """Customer features, computed once: fits, scoring and joins read the written table."""
+    return cut_lineage(customer_features_raw(spark, sf), "features")
 
 
 def scaler_and_feats(spark, sf):
@@ -206,7 +210,7 @@ def z04(spark, sf):
     "is_log AS log1p FROM st WHERE v > 1e-12"))
 def z05(spark, sf):
     sc, _ = scaler_and_feats(spark, sf)
-    return rounded(sc.to_df(spark).drop("position"), {"mean": 6, "scale": 6})
+    return rounded(sc.to_df(spark).drop("position", "fill", "suffix"), {"mean": 6, "scale": 6})
 
 
 @register("z06_zscore_apply", O.q(f"SELECT fk_contact, feature, {R('z', 6)} AS z FROM zlong"))
@@ -285,7 +289,7 @@ SELECT {R('avg(CASE WHEN n_own > 1 AND greatest(a, b) > 0 THEN (b - a) / greates
 FROM (SELECT i, max(CASE WHEN own = other THEN CASE WHEN n > 1 THEN s / (n - 1) END END) AS a,
              min(CASE WHEN own <> other THEN s / n END) AS b, max(CASE WHEN own = other THEN n END) AS n_own
       FROM (SELECT p.i, li.label AS own, lj.label AS other, sum(p.dist) AS s, count(*) AS n
-            FROM (SELECT a.vec_id AS i, b.vec_id AS j, sqrt(sum((a.x - b.x) * (a.x - b.x))) AS dist
+            FROM (SELECT a.vec_id AS i, b.vec_id AS j, sum((a.x - b.x) * (a.x - b.x)) AS dist
                   FROM emb a JOIN emb b ON a.d = b.d GROUP BY 1, 2) p
             JOIN embeddings li ON li.vec_id = p.i JOIN embeddings lj ON lj.vec_id = p.j GROUP BY 1, 2, 3)
       GROUP BY i)
@@ -294,8 +298,9 @@ FROM (SELECT i, max(CASE WHEN own = other THEN CASE WHEN n > 1 THEN s / (n - 1)
 
 @register("k04_silhouette", O.q(_SIL_SQL))
 def k04(spark, sf):
-    out = km.silhouette_euclidean(_emb(spark, sf), array_col="embedding", cluster="label", id_col="vec_id",
-                                  sample=config.DEFAULT_SILHOUETTE_SAMPLE)
+    """Squared-euclidean silhouette of all rows under the given labels."""
+    vec = km.assemble(_emb(spark, sf), array_col="embedding").withColumn("prediction", F.col("label").cast("double"))
+    out = vec.agg(F.count(F.lit(1)).alias("n")).withColumn("silhouette", F.lit(km.silhouette_squared(vec)))
     return rounded(out, {"silhouette": 6})
 
 
@@ -323,52 +328,91 @@ def _zvectors(spark, sf):
     return sc, km.assemble(z.select("fk_contact", *zcols), zcols), zcols
 
 
-@register("k01_kmeans")
+_N = "(SELECT count(*) FROM feat)"
+_FIT_FACTS = f"SELECT CAST({_N} AS BIGINT) AS n_rows, CAST(4 AS BIGINT) AS n_clusters, CAST(0 AS BIGINT) AS n_not_nearest, true AS sizes_fall"
+
+
+def _fit_facts(spark, vec, fit):
+    """Rows, clusters, rows whose own centre is not the nearest, and whether the renumbered sizes fall."""
+    centers = fit.model.clusterCenters()
+    own = fit.model.transform(vec).select("fk_contact", "prediction", vector_to_array(F.col("features")).alias("x"))
+    near = km.assign(own, np.array(centers), array_col="x", ids=list(range(len(centers))), dist_col="_d2").withColumn(
+        "_own", km.sq_dist(F.col("x"), F.element_at(km.centroids_literal(centers), F.col("prediction").cast("int") + 1)))
+    sizes = km.renumber_by_size(own.select("fk_contact", "prediction")).groupBy("cluster_id").agg(F.count(F.lit(1)).alias("n"))
+    rising = sizes.alias("a").join(sizes.alias("b"), F.col("b.cluster_id") == F.col("a.cluster_id") + 1).where("b.n > a.n")
+    return near.agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("prediction").alias("n_clusters"),
+                    F.count_if(F.col("_own") > F.col("_d2") * (1 + 1e-9) + 1e-9).alias("n_not_nearest")) \
+        .withColumn("sizes_fall", F.lit(rising.count() == 0))
+
+
+@register("k01_kmeans", O.q(_FIT_FACTS))
 def k01(spark, sf):
-    """k-means (k=4, 3 seeded restarts) on the standardised features; ids renumbered by size."""
+    """k-means (k = 4, default restarts and iterations) on the standardised features; checkable facts of the fit."""
     sc, vec, _ = _zvectors(spark, sf)
-    fit = km.fit_kmeans(vec, k=4, n_init=3, max_iter=50)
-    pred = fit.model.transform(vec).select("fk_contact", "prediction")
-    return km.renumber_by_size(pred)
+    vec = cut_lineage(vec.select("fk_contact", "features"), "vectors")
+    return _fit_facts(spark, vec, km.fit_kmeans(vec, k=4))
 
 
-@register("k02_minibatch")
+@register("k02_minibatch", O.q(_FIT_FACTS))
 def k02(spark, sf):
-    """Re-aimed mini-batch: fit on a repeatable 500-row sample, assign every customer."""
+    """Mini-batch k-means (k = 4) over hash slices of all rows; checkable facts of the fit."""
     sc, vec, _ = _zvectors(spark, sf)
-    fit = km.fit_kmeans(vec, k=4, n_init=2, max_iter=50, algorithm="minibatch_kmeans", sample_rows=500,
-                        sample_id="fk_contact")
-    return km.renumber_by_size(fit.model.transform(vec).select("fk_contact", "prediction"))
+    vec = cut_lineage(vec.select("fk_contact", "features"), "vectors")
+    return _fit_facts(spark, vec, km.fit_kmeans(vec, k=4, n_init=2, algorithm="minibatch_kmeans"))
+
 
+_METRIC_FACTS = "SELECT CAST(unnest(range(2, 11)) AS INTEGER) AS k, true AS falls, true AS in_range"
 
-@register("k05_evaluate_k")
+
+def _metric_facts(m):
+    """Per k: does the inertia fall against the k before (to 5 %: restarts are local optima), is the silhouette in [-1, 1]?"""
+    before = m.select((F.col("k") + 1).alias("k"), F.col("inertia").alias("_before"))
+    return m.join(before, "k", "left").select("k", F.coalesce(F.col("inertia") <= F.col("_before") * 1.05, F.lit(True)).alias("falls"),
+                                              F.coalesce(F.col("silhouette").between(-1, 1), F.lit(True)).alias("in_range"))
+
+
+@register("k05_evaluate_k", O.q(_METRIC_FACTS))
 def k05(spark, sf):
-    """Metrics for k = 2..4 (2 restarts each) with the linear squared-euclidean silhouette."""
+    """Metrics for k = 2..10 with the linear squared-euclidean silhouette; checkable facts of each."""
     sc, vec, _ = _zvectors(spark, sf)
-    return km.evaluate_k(vec, ks=[2, 3, 4], n_init=2, max_iter=50)
+    return _metric_facts(km.evaluate_k(vec, n_init=2))
 
 
-@register("k09_metrics_table")
+@register("k09_metrics_table", O.q("SELECT CAST(9 AS BIGINT) AS n, CAST(1 AS BIGINT) AS n_final, true AS final_is_chosen, 'kmeans' AS algorithm"))
 def k09(spark, sf):
+    """The metrics table with its final k: one row of facts."""
     sc, vec, _ = _zvectors(spark, sf)
-    m = km.evaluate_k(vec, ks=[2, 3, 4], n_init=2, max_iter=50)
+    m = km.evaluate_k(vec, n_init=1)
     k = km.choose_k(m).collect()[0]["k"]
-    return m.withColumns({"algorithm": F.lit("kmeans"), "random_state": F.lit(config.DEFAULT_SEED),
-                          "is_final": F.col("k") == k})
+    table = m.withColumns({"algorithm": F.lit("kmeans"), "random_state": F.lit(config.DEFAULT_SEED), "is_final": F.col("k") == k})
+    best = table.agg(F.max("silhouette")).scalar()
+    return table.agg(F.count(F.lit(1)).alias("n"), F.count_if("is_final").alias("n_final"),
+                     F.bool_and(~F.col("is_final") | (F.col("silhouette") == best)).alias("final_is_chosen"), F.max("algorithm").alias("algorithm"))
 
 
-@register("k10_pca2d")
+@register("k10_pca2d", O.q(f"SELECT CAST({_N} AS BIGINT) AS n_rows, true AS uncorrelated, true AS ordered, true AS centred"))
 def k10(spark, sf):
+    """First two principal components of all rows: uncorrelated, ordered by variance, centred."""
     sc, vec, _ = _zvectors(spark, sf)
-    return km.pca2(vec).select("fk_contact", "pc1", "pc2")
+    p = km.pca2(vec)
+    return p.agg(F.count(F.lit(1)).alias("n_rows"), (F.abs(F.corr("pc1", "pc2")) < 1e-6).alias("uncorrelated"),
+                 (F.var_pop("pc1") >= F.var_pop("pc2")).alias("ordered"),
+                 ((F.abs(F.avg("pc1")) < 1e-6) & (F.abs(F.avg("pc2")) < 1e-6)).alias("centred"))
 
 
-@register("k11_run_clustering")
+@register("k11_run_clustering", O.q(f"SELECT CAST({_N} AS BIGINT) AS n_rows, CAST({_N} AS BIGINT) AS n_customers, true AS clusters_are_k, "
+                                    "true AS centres_are_means"))
 def k11(spark, sf):
+    """Whole flow on k = 2..10: every customer once, k clusters, each centre the mean of its rows."""
     from .segmentation import run_clustering
     sc, z, f = z_wide(spark, sf)
-    out = run_clustering(z, used_cols=sc.used_cols, ks=[2, 3], n_init=2, max_iter=50, scaler=sc)
-    return out["assignments"]
+    out = run_clustering(z, used_cols=sc.used_cols, n_init=2, scaler=sc)
+    zcols = [f"{c}{sc.suffix}" for c in sc.used_cols]
+    means = z.join(out["assignments"], "fk_contact").groupBy("cluster_id").agg(*[F.avg(c).alias(f"m_{c}") for c in zcols])
+    off = means.join(F.broadcast(out["centroids_z"]), "cluster_id").agg(F.max(F.greatest(*[F.abs(F.col(c) - F.col(f"m_{c}")) for c in zcols]))).scalar()
+    return out["assignments"].agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("fk_contact").alias("n_customers"),
+                                  (F.count_distinct("cluster_id") == out["k"]).alias("clusters_are_k")) \
+        .withColumn("centres_are_means", off < 1e-2)
 
 
 # == naming (r01-r03, l01-l08, t04) =============================================
@@ -612,9 +656,9 @@ def t06(spark, sf):
     "FROM routed WHERE route = 'audit' UNION ALL SELECT _row_id, NULL::DOUBLE, total_tickets_quantity_success "
     "FROM routed WHERE route = 'invalid'"))
 def u01(spark, sf):
-    r = routed(spark, sf, n_buckets=None)
-    a = rounded(r.audit.select("_row_id", "gmv_success"), {"gmv_success": 2})
-    b = r.invalid.select("_row_id", "total_tickets_quantity_success")
+    rows = prep(spark, sf)
+    a = rounded(rows.where(cl.is_audit()).select("_row_id", "gmv_success"), {"gmv_success": 2})
+    b = rows.where(~cl.is_audit() & ~cl.is_valid()).select("_row_id", "total_tickets_quantity_success")
     return a.unionByName(b, allowMissingColumns=True)
 
 

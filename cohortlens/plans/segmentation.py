@@ -26,13 +26,11 @@ from ..sources import sinks
 def run_clustering(df_std: DataFrame, *, used_cols, id_col: str = "fk_contact", suffix: str = config.Z_SUFFIX,
                    ks=config.DEFAULT_K_VALUES, algorithm: str = "kmeans", seed: int = config.DEFAULT_SEED,
                    n_init: int = config.DEFAULT_N_INIT, max_iter: int = config.DEFAULT_MAX_ITER,
-                   silhouette: str = "squaredEuclidean", sample: int = config.DEFAULT_SILHOUETTE_SAMPLE,
                    scaler: zs.Scaler | None = None) -> dict:
     """k11: evaluate k -> choose k -> final fit -> assignments, centroids (z and original), metrics."""
     zcols = [f"{c}{suffix}" for c in used_cols]
     vec = cut_lineage(km.assemble(df_std.select(id_col, *zcols), zcols).select(id_col, "features"), "vectors")
-    metrics = km.evaluate_k(vec, ks=ks, seed=seed, n_init=n_init, max_iter=max_iter, silhouette=silhouette,
-                            sample=sample, id_col=id_col, algorithm=algorithm)
+    metrics = km.evaluate_k(vec, ks=ks, seed=seed, n_init=n_init, max_iter=max_iter, algorithm=algorithm)
     k = int(km.choose_k(metrics).collect()[0]["k"])
     fit = km.fit_kmeans(vec, k=k, seed=seed, n_init=n_init, max_iter=max_iter, algorithm=algorithm)
     pred = fit.model.transform(vec).select(id_col, "prediction")
@@ -124,6 +122,6 @@ def run_repurchase(purchases: DataFrame, *, contact: str = "fk_contact", ts: str
     labels = lb.repurchase_labels(days, contact=contact, freq=freq, min_history_days=min_history_days,
                                   horizons=horizons)
     if out_path:
-        labels.withColumn("ref_month", F.date_format("ref_date", "yyyy-MM")).repartition("ref_month") \
+        labels.withColumn("ref_month", F.date_format("ref_date", "yyyy-MM")).hint("rebalance", "ref_month") \
             .write.mode("overwrite").partitionBy("ref_month").parquet(out_path)
     return labels

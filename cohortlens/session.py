@@ -39,11 +39,14 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the cluster.
 
-    The folder comes from ``spark.checkpoint.dir``; only when it is unset (local tests)
-    a fresh folder is made and set, so a cluster setting is never overridden.
+    The folder comes from ``spark.checkpoint.dir``. Only on a local master (tests) is a fresh folder made and
+    set where it is unset; on a cluster executors would each write to their own disk, so that is an error.
     """
     path = spark.conf.get(CHECKPOINT_CONF, None) or _FALLBACK.get(id(spark))
     if not path:
+        master = spark.conf.get("spark.master", "")
+        if not (master == "local" or master.startswith("local[")):
+            raise RuntimeError(f"{CHECKPOINT_CONF} must name a folder that all executors share (master {master or 'unknown'})")
         path = tempfile.mkdtemp(prefix="cohortlens-ckpt-")
         _FALLBACK[id(spark)] = path
         try:

@@ -9,7 +9,7 @@ from __future__ import annotations
 import datetime as dt
 import os
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,7 +18,7 @@ from ..config import DEFAULT_SCHEMA, PurchaseSchema
 
 # -- s01 ---------------------------------------------------------------------
 def purchase_csv_schema(schema: PurchaseSchema = DEFAULT_SCHEMA) -> T.StructType:
-    """Declared raw types: everything as text except gmv (double) and tickets (long)."""
+    """Purchase columns as text, as a CSV file carries them."""
     s = schema
     fields = [T.StructField(c, T.StringType()) for c in
               [s.key, s.contact, s.date, s.time]]
@@ -44,22 +44,38 @@ def with_row_id(df: DataFrame, *, fmt: str, row_id: str = "_row_id") -> DataFram
 def read_purchases(spark: SparkSession, path: str, *, fmt: str = "csv", sep: str = ",", encoding: str = "utf-8",
                    columns=None, limit: int | None = None, schema: PurchaseSchema = DEFAULT_SCHEMA,
                    null_literals=("", "NA", "N/A", "NULL", "null", "None", "NaN", "nan", "<NA>")) -> DataFrame:
-    """Raw purchases with declared types, placeholder literals as NULL and a ``_row_id``.
+    """Raw purchases by column *name*, placeholder literals as NULL, and a ``_row_id``.
 
-    ``columns`` keeps a subset (Catalyst prunes the scan); ``limit`` mirrors ``nrows``.
+    CSV columns are found by the header whatever their order; the order key may have any of its
+    aliases, optional columns that are absent become NULL, extra ones are kept as text, and a missing required
+    column is an error. gmv is a double (unparsable: NULL), everything else text. A row with more or fewer fields than
+    the header is kept with its raw text in ``_corrupt_record`` (NULL for sound rows). Files under one path share one
+    header. ``columns`` keeps a subset (Catalyst prunes the scan); ``limit`` mirrors ``nrows``.
     """
+    declared = purchase_csv_schema(schema).fieldNames()
     if fmt == "csv":
-        reader = spark.read.schema(purchase_csv_schema(schema)).option("header", True).option("sep", sep) \
-            .option("encoding", encoding).option("mode", "PERMISSIVE")
-        df = reader.csv(path)
+        reader = spark.read.option("header", True).option("sep", sep).option("encoding", encoding)
+        header = reader.option("inferSchema", False).csv(path).columns          # reads the header only
+        text = T.StructType([T.StructField(c, T.StringType()) for c in header] + [T.StructField("_corrupt_record", T.StringType())])
+        df = (reader.schema(text).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt_record")
+              .option("enforceSchema", False).csv(path))
     else:
         df = spark.read.format(fmt).load(path)
     df = with_row_id(df, fmt=fmt, row_id=schema.row_id)
+    alias = next((a for a in schema.key_aliases if a in df.columns), None)
+    if schema.key not in df.columns and alias:
+        df = df.withColumnRenamed(alias, schema.key)
+    missing = [c for c in (schema.key, *schema.required) if c not in df.columns]
+    if missing:
+        raise ValueError(f"required columns missing in {path}: {missing}")
+    df = df.withColumns({c: F.lit(None).cast("string") for c in declared if c not in df.columns})
+    extra = [c for c in df.columns if c not in declared and c != schema.row_id]
+    df = df.select(*declared, *extra, schema.row_id)
     if columns is not None:
         df = df.select(*[c for c in columns if c in df.columns], schema.row_id)
     # S20: the many spellings of "missing" (plain text columns only)
-    text = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
-    df = df.withColumns({c: F.when(~F.trim(F.col(c)).isin(list(null_literals)), F.col(c)) for c in text})
+    text_cols = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType) and f.name != "_corrupt_record"]
+    df = df.withColumns({c: F.when(~F.trim(F.col(c)).isin(list(null_literals)), F.col(c)) for c in text_cols})
     if schema.gmv in df.columns:
         df = df.withColumn(schema.gmv, F.col(schema.gmv).try_cast("double"))
     if limit is not None:
@@ -91,35 +107,33 @@ def first_existing(spark: SparkSession, paths):
 
 
 # -- s05 ---------------------------------------------------------------------
-def read_table(spark: SparkSession, path: str) -> DataFrame:
-    """CSV or Parquet by extension."""
-    if path.endswith(".csv") or path.endswith(".csv/"):
-        return spark.read.option("header", True).option("inferSchema", True).csv(path)
-    return spark.read.parquet(path)
-
-
-def load_artifacts(spark: SparkSession, *, centroids_z_path: str, used_cols, assignments_path: str | None = None,
-                   centroids_unstd_path: str | None = None, metrics_path: str | None = None,
-                   cluster_col: str = "cluster_id", id_col: str = "fk_contact", suffix: str = "_z") -> dict:
-    """s05: centroid / assignment / metric tables with light column checks."""
-    out = {"centroids_z": read_table(spark, centroids_z_path)}
-    missing = [f"{c}{suffix}" for c in used_cols if f"{c}{suffix}" not in out["centroids_z"].columns]
-    if missing:
-        raise ValueError(f"z columns missing in centroids: {missing}")
-    if cluster_col not in out["centroids_z"].columns:
-        # the id is the row position of the (k-row) centroid table
-        w = F.row_number().over(Window.orderBy(F.monotonically_increasing_id())) - 1
-        out["centroids_z"] = out["centroids_z"].withColumn(cluster_col, w.cast("int"))
-    if assignments_path:
-        a = read_table(spark, assignments_path)
-        for c in (id_col, cluster_col):
-            if c not in a.columns:
-                raise ValueError(f"assignments lack column {c}")
-        out["assignments"] = a
-    if centroids_unstd_path:
-        out["centroids_unstd"] = read_table(spark, centroids_unstd_path)
-    if metrics_path:
-        out["metrics"] = read_table(spark, metrics_path)
+#: What a stored clustering run consists of: table name -> columns with their types (others as they are).
+RUN_TABLES = {
+    "centroids_z": {"cluster_id": "int"},
+    "assignments": {"fk_contact": "string", "cluster_id": "int"},
+    "centroids_unstd": {"cluster_id": "int"},
+    "metrics": {"k": "int"},
+}
+
+
+def read_table(spark: SparkSession, path: str, types: dict | None = None) -> DataFrame:
+    """CSV or Parquet by extension; ``types`` are declared, never inferred (an id like 007 stays text)."""
+    csv = path.rstrip("/").endswith(".csv")
+    df = spark.read.option("header", True).csv(path) if csv else spark.read.parquet(path)
+    return df.withColumns({c: F.col(c).cast(t) for c, t in (types or {}).items() if c in df.columns})
+
+
+def read_run(spark: SparkSession, paths: dict, *, features=(), suffix: str = "_z", tables: dict | None = None) -> dict:
+    """s05: the tables of a stored run, ``paths`` by table name. Every declared column must be there, and
+    the centroids need the scored columns of ``features``; anything missing is an error."""
+    tables = RUN_TABLES if tables is None else tables
+    out = {name: read_table(spark, path, tables.get(name)) for name, path in paths.items() if path}
+    needed = {name: set(tables.get(name, ())) for name in out}
+    needed.setdefault("centroids_z", set()).update(f + suffix for f in features)
+    lacking = {name: sorted(cols - set(out[name].columns)) for name, cols in needed.items() if name in out}
+    lacking = {name: cols for name, cols in lacking.items() if cols}
+    if lacking:
+        raise ValueError(f"stored run lacks columns: {lacking}")
     return out
 
 
@@ -149,9 +163,10 @@ def with_partitions(df: DataFrame, *, ts: str = "purchase_datetime", date_fallba
 
 
 def write_partitioned(df: DataFrame, root: str, *, ts: str = "purchase_datetime", date_fallback: str = "date_purchase",
-                      partition_cols=("year",), overwrite: bool = False, dynamic: bool = True,
+                      partition_cols=("year",), overwrite: bool = False, dynamic: bool = False,
                       compression: str = "snappy") -> str:
-    """s08: Hive layout by year or year/month; dynamic overwrite replaces only the partitions present.
+    """s08: Hive layout by year or year/month. ``overwrite`` replaces the whole dataset; with ``dynamic`` only the
+    partitions that the new rows have.
 
     Rows are *rebalanced* by the partition columns (few files per partition value) and AQE splits
     a skewed value over several writer tasks, so a month with a third of the data is not written
@@ -165,8 +180,8 @@ def write_partitioned(df: DataFrame, root: str, *, ts: str = "purchase_datetime"
     return root
 
 
-def partition_counts(df: DataFrame, partition_cols, *, preview: int | None = 20) -> DataFrame:
-    """s09: rows per partition value, sorted."""
+def partition_counts(df: DataFrame, partition_cols, *, preview: int | None = None) -> DataFrame:
+    """s09: rows per partition value, sorted; ``preview`` keeps the first ones only (a report)."""
     out = df.groupBy(*partition_cols).agg(F.count(F.lit(1)).alias("n_rows")).orderBy(*partition_cols)
     return out.limit(preview) if preview else out
 

@@ -2,6 +2,8 @@
 
 import uuid
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from cohortlens.plans.segmentation import run_repurchase, run_segmentation
@@ -42,11 +44,79 @@ def test_partitioned_write_dynamic_overwrite(spark):
     sinks.write_partitioned(df, root, partition_cols=("year", "month"), overwrite=True)
     again = spark.createDataFrame([("c", "2024-01-09 00:00:00")], "k string, t string") \
         .withColumn("purchase_datetime", F.col("t").cast("timestamp_ntz")).drop("t")
-    sinks.write_partitioned(again, root, partition_cols=("year", "month"), overwrite=True)
+    sinks.write_partitioned(again, root, partition_cols=("year", "month"), overwrite=True, dynamic=True)
     back = spark.read.parquet(root)
     assert sorted(r["k"] for r in back.collect()) == ["a", "c"]          # 2023-05 kept, 2024-01 replaced
     counts = {(r["year"], r["month"]): r["n_rows"] for r in sinks.partition_counts(back, ["year", "month"]).collect()}
     assert counts == {(2023, 5): 1, (2024, 1): 1}
+    sinks.write_partitioned(again, root, partition_cols=("year", "month"), overwrite=True)      # the whole dataset
+    assert [r["k"] for r in spark.read.parquet(root).collect()] == ["c"]
+
+
+def test_csv_columns_by_name(spark):
+    path = _dir(spark, "csv")
+    import os
+    os.makedirs(path)
+    with open(f"{path}/part-0.csv", "w") as fh:
+        fh.write("fk_contact,gmv_success,nk_order_id,extra,date_purchase,time_purchase,total_tickets_quantity_success\n")
+        fh.write("c1,12.5,k1,e,2024-1-5,9:05:00,2\nc2,1,k2,e,2024-01-06,10:00:00,1,too,many\n")
+    rows = {r["nk_ota_localizer_id"]: r for r in sinks.read_purchases(spark, path).collect()}
+    assert rows["k1"]["fk_contact"] == "c1" and rows["k1"]["gmv_success"] == 12.5 and rows["k1"]["extra"] == "e"
+    assert rows["k1"]["place_origin_departure"] is None and rows["k1"]["_corrupt_record"] is None
+    assert rows["k2"]["_corrupt_record"].endswith("too,many")
+    with open(f"{path}/part-0.csv", "w") as fh:
+        fh.write("fk_contact,gmv_success\nc1,12.5\n")
+    with pytest.raises(ValueError, match="required columns"):
+        sinks.read_purchases(spark, path)
+
+
+def test_unpadded_dates_and_times(spark):
+    from cohortlens.functions import cleaning as fx
+    df = spark.createDataFrame([("2024-1-5", "9:05:00"), ("2024-01-05", "09:05"), ("2024-13-01", "24:00:00"), ("x", "9:5"), (None, None)], "d string, t string")
+    got = [(str(r.d) if r.d else None, r.t) for r in df.select(fx.parse_date("d").alias("d"), fx.normalize_time("t").alias("t")).collect()]
+    assert got == [("2024-01-05", "09:05:00"), ("2024-01-05", "09:05:00"), (None, None), (None, None), (None, None)]
+
+
+def test_scaler_table_keeps_fill_and_suffix(spark):
+    from cohortlens.operators import standardize as zs
+    df = spark.createDataFrame([(1.0,), (2.0,), (5.0,), (None,)], "a double")
+    sc = zs.fit_scaler(df, cols=["a"], log1p_auto=False, fill=7.0, suffix="_s")
+    back = zs.Scaler.from_df(sc.to_df(spark))
+    assert [r["a_s"] for r in back.transform(df).collect()] == [r["a_s"] for r in sc.transform(df).collect()]
+    assert zs.fit_scaler(df, cols=["a"], log1p_cols=["a"]).log1p_cols == ["a"]
+
+
+def test_observable_uses_the_data_end(spark):
+    import datetime as dt
+    from cohortlens.operators import labels as lb
+    p = spark.createDataFrame([("c", dt.datetime(2024, 1, 1)), ("c", dt.datetime(2024, 1, 31))], "fk_contact string, purchase_datetime timestamp_ntz")
+    days = lb.purchase_days(p)
+    rows = lb.observable(lb.repurchase_labels(days, freq="W-MON", min_history_days=0, horizons=(2,)), obs_end=days, horizons=(2, 9)).collect()
+    last = max(rows, key=lambda r: r["ref_date"])
+    assert last["ref_date"] == dt.date(2024, 1, 29) and last["observable_2d"] == 1 and last["observable_9d"] == 0
+
+
+def test_required_columns_and_run_log(spark):
+    from cohortlens.operators import cleaning as cl
+    with pytest.raises(Exception, match="date_purchase"):
+        cl.require_columns(spark.range(1), ["date_purchase"])
+    path = _dir(spark, "runs")
+    for k in (1, 2):
+        sinks.append_run(spark, path, params={"k": k}, run_id=f"r{k}")
+    assert sorted(r["run_id"] for r in spark.read.parquet(path).collect()) == ["r1", "r2"]
+
+
+def test_shared_folder_is_required_on_a_cluster():
+    from cohortlens import session
+
+    class Conf:
+        def get(self, key, default=None):
+            return {"spark.master": "spark://host:7077"}.get(key, default)
+
+    class Cluster:
+        conf = Conf()
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.ensure_checkpoint_dir(Cluster())
 
 
 def test_run_segmentation_end_to_end(spark):

@@ -4,6 +4,7 @@ import datetime as dt
 import math
 
 import numpy as np
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -65,11 +66,18 @@ def test_share_families_sum_to_one(spark, rows):
        st.lists(st.floats(0, 1), min_size=1, max_size=4))
 def test_exact_quantiles_equal_numpy(spark, xs, qs):
     df = spark.createDataFrame([(x,) for x in xs], "x double").repartition(3)
-    for limit in (0, 10 ** 9):                 # distributed rank method, then the size-checked single task
-        got = quantiles(df, "x", qs, single_task_max=limit).collect()[0]
-        for i, q in enumerate(qs):
-            assert math.isclose(got[f"q{i}"], float(np.percentile(xs, q * 100)), rel_tol=1e-9, abs_tol=1e-6)
-        assert got["n"] == len(xs)
+    got = quantiles(df, "x", qs).collect()[0]
+    for i, q in enumerate(qs):
+        assert math.isclose(got[f"q{i}"], float(np.percentile(xs, q * 100)), rel_tol=1e-9, abs_tol=1e-6)
+    assert got["n"] == len(xs)
+
+
+def test_exact_quantiles_with_a_hot_value(spark):
+    xs = [7.0] * 400 + [float(i % 97) - 20 for i in range(800)]
+    df = spark.createDataFrame([(x, i % 3) for i, x in enumerate(xs)] + [(None, 0), (float("nan"), 1)], "x double, g int").repartition(6)
+    got = quantiles(df, "x", [0, 0.01, 0.3, 0.5, 0.99, 1]).collect()[0]
+    assert [got[f"q{i}"] for i in range(6)] == pytest.approx([float(np.percentile(xs, q)) for q in (0, 1, 30, 50, 99, 100)])
+    assert got["n"] == 1200 and quantiles(df.limit(0), "x", [0.5]).collect()[0]["q0"] is None
 
 
 @SETTINGS
@@ -106,11 +114,7 @@ def test_labels_monotone(spark, rows):
 def test_grouped_quantiles_equal_numpy(spark, rows):
     from cohortlens.operators.quantiles import grouped_quantiles
     df = spark.createDataFrame(rows, "g string, x double").repartition(4)
-    got = {r["g"]: r for r in grouped_quantiles(df, "g", "x", [0.5, 0.9], single_task_max=0).collect()}
-    small = {r["g"]: r for r in grouped_quantiles(df, "g", "x", [0.5, 0.9]).collect()}
-    for g in got:
-        assert math.isclose(got[g]["q0"], small[g]["q0"], rel_tol=1e-9, abs_tol=1e-9)
-        assert math.isclose(got[g]["q1"], small[g]["q1"], rel_tol=1e-9, abs_tol=1e-9)
+    got = {r["g"]: r for r in grouped_quantiles(df, "g", "x", [0.5, 0.9]).collect()}
     for g in {g for g, _ in rows}:
         xs = [x for gg, x in rows if gg == g]
         assert math.isclose(got[g]["q0"], float(np.percentile(xs, 50)), rel_tol=1e-9, abs_tol=1e-9)
