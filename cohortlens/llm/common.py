@@ -52,6 +52,17 @@ def same(left: DataFrame, right: DataFrame, *names: str) -> Column:
     return on
 
 
+def hash_sample(rows: DataFrame, n: int, key: Column, *order: str | Column) -> DataFrame:
+    """At most ``n`` rows, about all of those with the least hash of ``key``, in hash order (ties by ``order``).
+
+    Rows are thinned by hash to a tenth over ``n`` before they are put in order, so what meets in one task follows
+    ``n`` and not the size of the table. Up to ``n`` rows: all of them.
+    """
+    total = rows.count()
+    share = int(min(1.0, 1.1 * n / max(1, total)) * 1_000_000)
+    return rows.filter(F.pmod(F.xxhash64(key), F.lit(1_000_000)) < share).orderBy(F.xxhash64(key), *order).limit(n)
+
+
 def crc32_mod(column: str, n: int) -> Column:
     """crc32 of the column as text, modulo ``n`` (a null id: crc32 of the empty text)."""
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")) % n
