@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import crc32_mod, slices
+from .common import crc32_mod, hash_sample, slices
 from .docstats import COUNTS, RATIOS, batch_stats
 
 SAMPLE_ROWS = 6_000
@@ -124,9 +124,10 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality", folds:
 
     Only the texts of the sampled ids are gathered; the sample's ids (its bound) are the small side of the join.
     """
-    sample = (labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("double").alias("label"))
-              .filter(F.col("id").isNotNull() & F.col("label").isNotNull()).dropDuplicates(["id"])
-              .filter(crc32_mod("id", folds) != 0).orderBy(F.xxhash64("id"), "id").limit(sample_rows))
+    known = (labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("double").alias("label"))
+             .filter(F.col("id").isNotNull() & F.col("label").isNotNull()).groupBy("id").agg(F.min("label").alias("label"))
+             .filter(crc32_mod("id", folds) != 0))
+    sample = hash_sample(known, sample_rows, F.col("id"), "id")
     texts = _inputs(docs, id_col, text_col, chars_col).join(F.broadcast(sample), "id").dropDuplicates(["id"])  # sample_rows ids at most
 
     def sparse(batches):
