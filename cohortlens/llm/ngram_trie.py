@@ -31,7 +31,7 @@ from .elias_fano import Trie
 
 DISCOUNT, ADDED = 0.75, 0.1
 BLOCK_BYTES = 8 << 20
-ENTRIES_PER_SHARD, LEAST_SHARDS = 2_000_000, 48
+ENTRIES_PER_SHARD, LEAST_SHARDS = 1_000_000, 48
 SPLIT = 2_000_000                              # a context is spread over one more shard for so many occurrences
 STEPS = 4096                                   # quantisation: steps per decade of probability
 END, START = (xxhash.xxh3_64_intdigest(x) for x in (b"\n", b"\t"))    # no words: they hold white space
@@ -142,15 +142,21 @@ def _answers(rows: DataFrame) -> DataFrame:
     return rows.groupBy("block").agg(F.collect_list(F.struct(*[c for c in rows.columns if c != "block"])).alias("answers"))
 
 
+def _rows(batches):
+    """Rows as dicts, one at a time (a row is a whole block or its entries of a shard)."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            yield batch.slice(i, 1).to_pylist()[0]
+
+
 def _by_shard(batches):
     """The rows of one shard at a time; the input is sorted by shard."""
     held: list = []
-    for batch in batches:
-        for row in batch.to_pylist():
-            if held and row["shard"] != held[-1]["shard"]:
-                yield held
-                held = []
-            held.append(row)
+    for row in _rows(batches):
+        if held and row["shard"] != held[-1]["shard"]:
+            yield held
+            held = []
+        held.append(row)
     if held:
         yield held
 
@@ -158,16 +164,15 @@ def _by_shard(batches):
 def word_counts(blocks: DataFrame, n: int) -> DataFrame:
     """(block, shard, counts) answers, with the shard's tokens and types on its first row."""
     def ask(batches):
-        for batch in batches:
-            for row in batch.to_pylist():
-                b = _Block(row)
-                seen, shard = np.bincount(b.tokens, b.train, len(b.words)), b.shards(n)
-                order = np.argsort(shard, kind="stable")
-                cut = np.searchsorted(shard[order], np.arange(n + 1))
-                for s in range(n):
-                    at = order[cut[s]:cut[s + 1]]
-                    yield pa.RecordBatch.from_pydict({"shard": pa.array([s], pa.int32()), "block": [row["block"]],
-                                                      "words": [_binary(b.words[at], "<u8")], "seen": [_binary(seen[at], "<u4")]})
+        for row in _rows(batches):
+            b = _Block(row)
+            seen, shard = np.bincount(b.tokens, b.train, len(b.words)), b.shards(n)
+            order = np.argsort(shard, kind="stable")
+            cut = np.searchsorted(shard[order], np.arange(n + 1))
+            for s in range(n):
+                at = order[cut[s]:cut[s + 1]]
+                yield pa.RecordBatch.from_pydict({"shard": pa.array([s], pa.int32()), "block": [row["block"]],
+                                                  "words": [_binary(b.words[at], "<u8")], "seen": [_binary(seen[at], "<u4")]})
     requests = blocks.mapInArrow(ask, "shard int, block long, words binary, seen binary").repartition("shard").sortWithinPartitions("shard")
 
     def count(batches):
@@ -195,19 +200,18 @@ def _probability(code: np.ndarray) -> np.ndarray:
 def bigram_answers(asking: DataFrame, n_words: int, n: int, starts: int) -> DataFrame:
     """(block, shard, codes, degrees) for the bigrams and contexts of every block."""
     def ask(batches):
-        for batch in batches:
-            for row in batch.to_pylist():
-                b = _Block(row)
-                b.starts = starts
-                g, _ = b.bigrams(b.counts(row["answers"], n_words), n)
-                cut, pairs = np.searchsorted(g["shard"], np.arange(n + 1)), np.searchsorted(g["pair_shard"], np.arange(n + 1))
-                low = np.ascontiguousarray(g["low"].astype("<u8")).view(np.uint8).reshape(-1, 8)[:, :5]
-                for s in range(n):
-                    k, p = slice(cut[s], cut[s + 1]), slice(pairs[s], pairs[s + 1])
-                    yield pa.RecordBatch.from_pydict({
-                        "shard": pa.array([s], pa.int32()), "block": [row["block"]], "keys": [_binary(g["keys"][k], "<u8")],
-                        "totals": [_binary(g["total"][k], "<i8")], "runs": [_binary(g["runs"][k], "<u4")],
-                        "low": [low[p].tobytes()], "seen": [_binary(g["seen"][p], "<u4")]})
+        for row in _rows(batches):
+            b = _Block(row)
+            b.starts = starts
+            g, _ = b.bigrams(b.counts(row["answers"], n_words), n)
+            cut, pairs = np.searchsorted(g["shard"], np.arange(n + 1)), np.searchsorted(g["pair_shard"], np.arange(n + 1))
+            low = np.ascontiguousarray(g["low"].astype("<u8")).view(np.uint8).reshape(-1, 8)[:, :5]
+            for s in range(n):
+                k, p = slice(cut[s], cut[s + 1]), slice(pairs[s], pairs[s + 1])
+                yield pa.RecordBatch.from_pydict({
+                    "shard": pa.array([s], pa.int32()), "block": [row["block"]], "keys": [_binary(g["keys"][k], "<u8")],
+                    "totals": [_binary(g["total"][k], "<i8")], "runs": [_binary(g["runs"][k], "<u4")],
+                    "low": [low[p].tobytes()], "seen": [_binary(g["seen"][p], "<u4")]})
     requests = asking.mapInArrow(ask, "shard int, block long, keys binary, totals binary, runs binary, low binary, seen binary")
     requests = requests.repartition("shard").sortWithinPartitions("shard")
 
@@ -269,7 +273,7 @@ def score_corpus(docs: DataFrame, folds: int = 10, id_col: str = "doc_id", text_
     def score(batches):
         for batch in batches:
             ids = batch.column("ids")
-            for i, row in enumerate(batch.drop_columns(["ids"]).to_pylist()):
+            for i, row in enumerate(_rows([batch.drop_columns(["ids"])])):
                 b = _Block(row)
                 b.starts = starts
                 count = b.counts(row["answers"], n_words)
