@@ -89,6 +89,11 @@ def with_purchase_ts(df: DataFrame, *, schema: PurchaseSchema = DEFAULT_SCHEMA,
     })
 
 
+def with_daypart(df: DataFrame, *, time: str = "time_purchase", date: str = "date_purchase", out: str = "daypart") -> DataFrame:
+    """p09 from the raw columns: the hour of the clock text, else of the date (midnight); NULL without both."""
+    return df.withColumn(out, fx.daypart(fx.hour_with_fallback(time, date)))
+
+
 def with_calendar(df: DataFrame, *, ts: str = "purchase_datetime") -> DataFrame:
     """p07-p10, p12: month, quarter, season, daypart, holiday window, week of month."""
     return df.withColumns({
@@ -178,13 +183,23 @@ def winners(df: DataFrame, *, key: str, order, row_id: str = "_row_id") -> DataF
     ``order`` is a list of (column, "asc"|"desc"); NULLs sort last either way. Computed as a
     partial aggregate, so a hot key is combined map-side and never lands whole in one task.
     """
+    best = df.groupBy(key).agg(_first_row(df, order, row_id).alias("_best"))
+    return best.select(F.col("_best.rid").alias(row_id))
+
+
+def repeated_winners(df: DataFrame, *, key: str, order, row_id: str = "_row_id") -> DataFrame:
+    """(_key, _best) of the keys that occur more than once: the row id that ``winners`` gives them."""
+    best = df.groupBy(F.col(key).alias("_key")).agg(F.count(F.lit(1)).alias("_n"), _first_row(df, order, row_id).alias("_best"))
+    return best.where("_n > 1").select("_key", F.col("_best.rid").alias("_best"))
+
+
+def _first_row(df: DataFrame, order, row_id: str) -> Column:
     fields = []
     for i, (c, direction) in enumerate(order):
         fields.append(F.col(c).isNull().alias(f"n{i}"))
         fields.append((_neg(df, c) if direction == "desc" else F.col(c)).alias(f"v{i}"))
     fields.append(F.col(row_id).alias("rid"))
-    best = df.groupBy(key).agg(F.min(F.struct(*fields)).alias("_best"))
-    return best.select(F.col("_best.rid").alias(row_id))
+    return F.min(F.struct(*fields))
 
 
 def flag_first(df: DataFrame, *, key, order=(), row_id: str = "_row_id", flag: str = "_is_first") -> DataFrame:
@@ -353,8 +368,11 @@ def route_rows(df: DataFrame, *, schema: PurchaseSchema = DEFAULT_SCHEMA, keep:
         base = base.persist(StorageLevel.MEMORY_AND_DISK)
     valid = base.where(F.col("_stage0").isNull())
     order = _dedupe_order(s, keep, df)
-    w = winners(valid, key=s.key, order=order, row_id=s.row_id).withColumn("_kept", F.lit(True))
-    marked = base.join(w, s.row_id, "left")
+    # only keys that occur twice or more (a few per cent) are joined back: unique rows are their own winners
+    again = repeated_winners(valid, key=s.key, order=order, row_id=s.row_id)
+    mine = base["_stage0"].isNull() & base[s.key].eqNullSafe(again["_key"])
+    marked = base.join(again, mine, "left").withColumn(
+        "_kept", F.col("_stage0").isNull() & (F.col("_best").isNull() | (F.col(s.row_id) == F.col("_best")))).drop("_key", "_best")
     if checkpoint:
         # three consumers (p99, bucket edges, final rows): materialise once in the shared folder
         marked = cut_lineage(marked, "dedup")
@@ -366,11 +384,11 @@ def route_rows(df: DataFrame, *, schema: PurchaseSchema = DEFAULT_SCHEMA, keep:
     thr = spark.createDataFrame([(p99_value,)], "p99_avg_price_per_ticket double")
     p99 = F.lit(p99_value).cast("double")
     route = (F.when(F.col("_stage0").isNotNull(), F.col("_stage0"))
-             .when(F.col("_kept").isNull(), F.lit("duplicate"))
+             .when(~F.col("_kept"), F.lit("duplicate"))
              .when(F.coalesce(F.col(s.avg_price) > p99, F.lit(False)), F.lit("outlier"))
              .otherwise(F.lit("clean")))
     rows = marked.withColumn(route_col, route).withColumn(
-        "is_duplicated", F.col("_kept").isNull().cast("int")).drop("_stage0", "_kept")
+        "is_duplicated", (~F.col("_kept")).cast("int")).drop("_stage0", "_kept")
     if n_buckets:
         edges, labels = bucket_edges(rows, col=s.gmv, n=n_buckets, accuracy=accuracy,
                                      where=F.col(route_col) == "clean")

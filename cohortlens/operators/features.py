@@ -111,6 +111,10 @@ def company_pref(df: DataFrame, *, schema: PurchaseSchema = DEFAULT_SCHEMA, coun
     return contacts.join(top, s.contact, "left").fillna({"top_company_out_share": 0.0})
 
 
+MONTH_NAMES = [f"pct_m{m:02d}" for m in range(1, 13)]
+WEEK_NAMES = [f"pct_wom{w}" for w in range(1, 6)]
+
+
 # -- a06-a14 -----------------------------------------------------------------
 def share_aggs(category: Column, values, names) -> list:
     """Row-normalised crosstab columns: share of each category among non-null categories."""
@@ -150,6 +154,19 @@ def _seasonality_aggs(t: str) -> list:
                           F.lit(0.0)).alias("pct_holiday")])
 
 
+def share_table(df: DataFrame, *, schema: PurchaseSchema = DEFAULT_SCHEMA, ts: str | None = None) -> DataFrame:
+    """Weekend, quarter, season, daypart, month, weekday, week-of-month and holiday shares per customer, 0 where absent.
+
+    One aggregate instead of an outer join of eight tables: every family has a row for every customer.
+    """
+    s = schema
+    t = ts or time_column(df, ts=s.ts, date_fallback=s.date)
+    col = F.col(t)
+    more = (share_aggs(F.month(col), range(1, 13), MONTH_NAMES) + share_aggs(fx.day_of_week(col), range(7), [f"pct_{d}" for d in config.WEEKDAY_NAMES])
+            + share_aggs(fx.week_of_month(col), range(1, 6), WEEK_NAMES))
+    return df.where(F.col(s.contact).isNotNull()).groupBy(s.contact).agg(*_seasonality_aggs(t), *more)
+
+
 # -- a15, a16 ----------------------------------------------------------------
 def intensity(df: DataFrame, *, schema: PurchaseSchema = DEFAULT_SCHEMA, weighted: bool = False) -> DataFrame:
     """a15: tickets sum and the mean of unit prices; a16 (weighted): gmv sum / tickets sum."""

@@ -133,6 +133,15 @@ def p09(spark, sf):
     return cl.with_calendar(prep(spark, sf)).select("_row_id", "daypart")
 
 
+@register("p09b_daypart_fallback", O.q(
+    "SELECT _row_id, CASE WHEN h < 6 THEN 'madrugada' WHEN h < 12 THEN 'manha' WHEN h < 18 THEN 'tarde' ELSE 'noite' END AS daypart "
+    "FROM (SELECT _row_id, CASE WHEN time_purchase IS NOT NULL THEN CAST(left(CAST(time_purchase AS VARCHAR), 2) AS INTEGER) "
+    "WHEN date_purchase IS NOT NULL THEN 0 END AS h FROM prep) WHERE h IS NOT NULL"))
+def p09b(spark, sf):
+    """Daypart of every row with a clock time or a date."""
+    return cl.with_daypart(prep(spark, sf)).where("daypart IS NOT NULL").select("_row_id", "daypart")
+
+
 @register("p10_is_holiday", O.q("SELECT _row_id, is_holiday FROM cal"))
 def p10(spark, sf):
     return cl.with_calendar(prep(spark, sf)).select("_row_id", "is_holiday")

@@ -23,7 +23,7 @@ from ..operators import standardize as zs
 from ..session import cut_lineage
 from ..sources import testdata
 from . import oracle_sql as O
-from .catalog import BUILD_DATE, customer_features_raw, prep, register, rounded, routed, window36
+from .catalog import BUILD_DATE, _share_sql, customer_features_raw, prep, register, rounded, routed, window36
 
 NUM = O.NUM_FEATURES
 CLUSTER_VARS = ["frequency_12m", "n_unique_routes_out", "avg_price_per_ticket", "top_route_out_share",
@@ -138,9 +138,12 @@ def w05(spark, sf):
     return lb.repurchase_labels(purchase_days(spark, sf), freq="D", min_history_days=7, horizons=(3, 7))
 
 
-@register("w06_horizon_labels", _labels_sql(7, (7, 30), weekly=True))
+@register("w06_horizon_labels", _labels_sql(7, (7, 30), weekly=True).replace(
+    "AS n_purchases_life\nFROM lab", "AS n_purchases_life, CAST(ref_date + 7 <= obs_end AS BIGINT) AS observable_7d, "
+    "CAST(ref_date + 30 <= obs_end AS BIGINT) AS observable_30d\nFROM lab, obs"))
 def w06(spark, sf):
-    return lb.repurchase_labels(purchase_days(spark, sf), freq="W-MON", min_history_days=7, horizons=(7, 30))
+    days = purchase_days(spark, sf)
+    return lb.observable(lb.repurchase_labels(days, freq="W-MON", min_history_days=7, horizons=(7, 30)), obs_end=days, horizons=(7, 30))
 
 
 @register("w07_percent_of_total", O.q(
@@ -677,17 +680,35 @@ def j01(spark, sf):
                    {"monetary_gmv_12m": 2, "top_route_out_share": 6, "pct_q3": 6, "pct_weekend": 6})
 
 
-@register("j02_outer_join_fill", O.q(
-    f"SELECT fk_contact, {R('pct_q1', 6)} AS pct_q1, {R('pct_verao', 6)} AS pct_verao, "
-    f"{R('pct_weekend', 6)} AS pct_weekend FROM feat"))
+_MONTHS = _share_sql("CAST(month(purchase_datetime) AS INTEGER)", range(1, 13), ft.MONTH_NAMES, src="win")
+_DAYS_OF_WEEK = _share_sql("day_of_week", range(7), [f"pct_{d}" for d in config.WEEKDAY_NAMES], src="win")
+_WEEKS = _share_sql("CAST(floor((day(purchase_datetime) - 1) / 7) + 1 AS INTEGER)", range(1, 6), ft.WEEK_NAMES, src="win")
+_BASE_SHARES = [c for c in ft.FEATURE_COLUMNS if c.startswith("pct_") and c != "pct_round_trip"]
+_ALL_SHARES = [*_BASE_SHARES, *ft.MONTH_NAMES, *[f"pct_{d}" for d in config.WEEKDAY_NAMES], *ft.WEEK_NAMES]
+_SHARES_SQL = (f"SELECT fk_contact, {', '.join(f'{R(c, 6)} AS {c}' for c in _BASE_SHARES)}, m.* EXCLUDE (fk_contact), d.* EXCLUDE (fk_contact), "
+               f"w.* EXCLUDE (fk_contact) FROM feat JOIN ({_MONTHS}) m USING (fk_contact) JOIN ({_DAYS_OF_WEEK}) d USING (fk_contact) "
+               f"JOIN ({_WEEKS}) w USING (fk_contact)")
+
+
+@register("j02_outer_join_fill", O.q(_SHARES_SQL))
 def j02(spark, sf):
+    """Outer join of the eight share tables of a customer, filled with 0."""
     win = cl.with_calendar(window36(spark, sf))
-    q = ft.category_share(win, by="fk_contact", category="quarter", values=[1], names=["pct_q1"])
-    s = ft.category_share(win, by="fk_contact", category="season_br", values=["verao"], names=["pct_verao"])
-    w = ft.mean_flag(win, by="fk_contact", flag="is_weekend", name="pct_weekend")
-    out = ft.join_blocks([q, s, w], on="fk_contact", how="full", fill={"pct_q1": 0.0, "pct_verao": 0.0,
-                                                                       "pct_weekend": 0.0})
-    return rounded(out, {"pct_q1": 6, "pct_verao": 6, "pct_weekend": 6})
+    families = [("quarter", range(1, 5), None), ("season_br", ft.SEASON_NAMES, None), ("daypart", ft.DAYPART_NAMES, None),
+                ("month", range(1, 13), ft.MONTH_NAMES), ("day_of_week", range(7), [f"pct_{d}" for d in config.WEEKDAY_NAMES]),
+                ("week_of_month", range(1, 6), ft.WEEK_NAMES)]
+    blocks = [ft.category_share(win, by="fk_contact", category=c, values=list(v), names=n or [f"pct_q{x}" if c == "quarter" else f"pct_{x}" for x in v])
+              for c, v, n in families]
+    blocks += [ft.mean_flag(win, by="fk_contact", flag="is_weekend", name="pct_weekend"),
+               ft.mean_flag(win, by="fk_contact", flag="is_holiday", name="pct_holiday")]
+    out = ft.join_blocks(blocks, on="fk_contact", how="full", fill={c: 0.0 for c in _ALL_SHARES})
+    return rounded(out, {c: 6 for c in _ALL_SHARES})
+
+
+@register("j02b_share_table", O.q(_SHARES_SQL))
+def j02b(spark, sf):
+    """The same table by one aggregate, as the flows use it."""
+    return rounded(ft.share_table(window36(spark, sf)), {c: 6 for c in _ALL_SHARES})
 
 
 @register("j04_assign_to_purchases", O.q("SELECT w._row_id, s.cluster_id FROM win w LEFT JOIN seg s USING (fk_contact)"))

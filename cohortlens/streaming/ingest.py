@@ -24,7 +24,7 @@ def row_routes(df: DataFrame, *, schema: PurchaseSchema = DEFAULT_SCHEMA, route_
 
 
 def stream_clean(spark: SparkSession, *, source: str, sink: str, checkpoint: str, source_schema,
-                 fmt: str = "parquet", max_files_per_trigger: int = 1, tz: str | None = config.DEFAULT_TZ,
+                 fmt: str = "parquet", max_files_per_trigger: int = 1000, tz: str | None = config.DEFAULT_TZ,
                  schema: PurchaseSchema = DEFAULT_SCHEMA):
     """m01: stream raw purchase files through the stateless cleaning into a parquet sink
     partitioned by route. Returns the finished ``StreamingQuery``."""
@@ -49,7 +49,7 @@ def idempotent_batch_writer(path: str, *, partition_by=None):
 
 
 def stream_append(spark: SparkSession, *, source: str, sink: str, checkpoint: str, source_schema,
-                  transform=None, fmt: str = "parquet", max_files_per_trigger: int = 1):
+                  transform=None, fmt: str = "parquet", max_files_per_trigger: int = 1000):
     """m02: stream files, transform each micro-batch's rows, append through ``foreachBatch``."""
     src = (spark.readStream.format(fmt).schema(source_schema).option("maxFilesPerTrigger", max_files_per_trigger)
            .load(source))
