@@ -15,7 +15,7 @@ from ..operators import cleaning as cl
 from ..operators import features as ft
 from ..operators import standardize as zs
 from ..operators.window import observation_window, observe_rows, warn_if_small
-from ..session import ensure_checkpoint_dir
+from ..session import cut_lineage, ensure_checkpoint_dir
 from ..sources import sinks, testdata
 from ..streaming import ingest
 from . import oracle_sql as O
@@ -180,21 +180,52 @@ def x02(spark, sf):
     return s10(spark, sf, "centroids_original")
 
 
-@register("x03_summary_tables")
-def x03(spark, sf):
-    """Overview / top tables written as one table per former workbook sheet."""
+def _summary_tables(spark, sf):
+    """Overview and top tables written as one table per former workbook sheet; name -> path."""
     from ..operators import reports as rp
     win = window36(spark, sf)
-    f = ft.customer_features(win, build_date=BUILD_DATE)
+    f = cut_lineage(ft.customer_features(win, build_date=BUILD_DATE), "features")
     seg = segments(spark, sf, f)
     j = win.join(seg, "fk_contact")
+    own = f.select("fk_contact", "top_route_out").join(seg, "fk_contact")
     tables = {"overview": rp.cluster_overview(win, seg, name=None),
               "top_routes": rp.top_k_per_group(j, group="cluster_id", value="route_out", k=10, count="orders",
                                                key="nk_ota_localizer_id"),
-              "top_companies": rp.top_k_string(j, group="cluster_id", value="fk_departure_ota_bus_company", k=15)}
-    out = sinks.write_bundle(tables, scratch(spark, "summary"))
-    return rounded(spark.read.parquet(out["overview"]), {"gmv": 2, "ticket_medio": 2, "freq_media": 6,
-                                                          "pct_clientes": 6, "pct_gmv": 6})
+              "top_companies": rp.top_k_string(j, group="cluster_id", value="fk_departure_ota_bus_company", k=15, out="top_companies"),
+              "favourite_routes": rp.top_k_per_group(own, group="cluster_id", value="top_route_out", k=10)}
+    return sinks.write_bundle(tables, scratch(spark, "summary"))
+
+
+@register("x03_summary_tables")
+def x03(spark, sf):
+    """The overview table, written and read again."""
+    return rounded(spark.read.parquet(_summary_tables(spark, sf)["overview"]), {"gmv": 2, "ticket_medio": 2, "freq_media": 6,
+                                                                                "pct_clientes": 6, "pct_gmv": 6})
+
+
+@register("x03b_summary_top_routes")
+def x03b(spark, sf):
+    """The ten routes of a cluster with most orders, written and read again."""
+    out = spark.read.parquet(_summary_tables(spark, sf)["top_routes"])
+    return out.withColumn("n", F.col("n").cast("long")).withColumn("rank", F.col("rank").cast("int"))
+
+
+@register("x03c_summary_top_companies")
+def x03c(spark, sf):
+    """The fifteen companies of a cluster with most purchases as text, written and read again."""
+    return spark.read.parquet(_summary_tables(spark, sf)["top_companies"])
+
+
+@register("x03d_summary_favourite_routes", O.q("""
+SELECT cluster_id, top_route_out, CAST(n AS BIGINT) AS n, CAST(rank AS INTEGER) AS rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY cluster_id ORDER BY n DESC, top_route_out) AS rank FROM (
+    SELECT s.cluster_id, f.top_route_out, count(*) AS n FROM feat f JOIN seg s USING (fk_contact)
+    WHERE f.top_route_out IS NOT NULL GROUP BY 1, 2))
+WHERE rank <= 10"""))
+def x03d(spark, sf):
+    """The routes that most customers of a cluster have as their own top route."""
+    out = spark.read.parquet(_summary_tables(spark, sf)["favourite_routes"])
+    return out.withColumn("n", F.col("n").cast("long")).withColumn("rank", F.col("rank").cast("int"))
 
 
 # == streaming ===============================================================
@@ -369,6 +400,8 @@ def _add_oracles():
                                            "LEFT JOIN names USING (cluster_id)",
         "x03_summary_tables": _OVERVIEW + "SELECT * FROM ovs",
     }
+    catalog.ORACLES["x03b_summary_top_routes"] = catalog.ORACLES["t02_topk_per_group"]
+    catalog.ORACLES["x03c_summary_top_companies"] = catalog.ORACLES["t03_topk_string"]
     extra["j06_centroid_summary_join"] = extra["l04_centroid_summary"]
     for k, body in extra.items():
         catalog.ORACLES[k] = O.q(body)
