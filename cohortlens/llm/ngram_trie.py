@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
+from ..session import cut_lineage, ensure_checkpoint_dir
 from .common import crc32_mod, slices
 from .elias_fano import Trie
 
@@ -257,7 +257,8 @@ def score_corpus(docs: DataFrame, folds: int = 10, id_col: str = "doc_id", text_
     spark = docs.sparkSession
     name = f"ngram_blocks_{uuid.uuid4().hex}"
     buckets = max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    tokenised(docs, id_col, text_col, folds).write.bucketBy(buckets, "block").option("compression", "zstd").saveAsTable(name)
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}"            # the shared folder, wherever the warehouse is
+    tokenised(docs, id_col, text_col, folds).write.bucketBy(buckets, "block").options(compression="zstd", path=path).saveAsTable(name)
     blocks = spark.table(name)
     entries, starts = blocks.agg(F.coalesce(F.sum("n_words"), F.lit(0)),
                                  F.coalesce(F.sum(F.size(F.filter("held", lambda h: ~h))), F.lit(0))).first()
