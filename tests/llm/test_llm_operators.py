@@ -287,6 +287,31 @@ def test_decontamination_in_blocks(spark, bench):
     assert decontam.contamination(docs(spark, texts), bench.limit(0)).filter("contaminated").count() == 0
 
 
+def test_decontamination_finds_parts_of_items(spark):
+    """Every stretch of 48 characters within one edit in 16, wherever it begins; shorter items exactly and as whole words."""
+    rng = np.random.default_rng(5)
+    word = lambda n: "".join(rng.choice(list("abcdefgh  "), n))
+    item = word(300)
+    index = decontam.build_index([(1, item)], decontam.STRETCH)
+    for trial in range(60):
+        n = int(rng.integers(30, 110))
+        at = int(rng.integers(0, 300 - n))
+        chars = list(item[at:at + n])
+        for _ in range(int(rng.integers(0, 7))):
+            p = int(rng.integers(0, len(chars)))
+            chars[p:p + int(rng.integers(0, 2))] = rng.choice(["z", "", "q"])
+        text = word(40) + "".join(chars) + word(40)
+        want = any(_semi_global(item[s:s + m], text) <= m // 16 for m in (48, 64, 80, 96) for s in range(max(0, at - 12), min(300 - m, at + n - m + 12) + 1))
+        assert bool(decontam.scan_texts([text], index)[0]) == want, trial
+    bench = spark.createDataFrame([(1, item), (2, "Forty two, of course"), (3, " \n"), (4, "8")], "item_id long, text string")
+    texts = [word(30) + "#" + item[113:193] + "#" + word(30), word(30) + "#" + item[7:7 + 48] + "#", "so: forty two,\nof course!", "forty two, of courses", "18 80", "an 8."]
+    rows = decontam.contamination(docs(spark, texts), bench).orderBy("doc_id").collect()
+    assert [r.item_ids for r in rows] == [[1], [1], [2], [], [], [4]]
+    s, e = map(int, rows[0].regions.split(":")[1:3])
+    assert s <= 31 and e >= 111 and rows[2].regions == "2:4:24:0"
+    assert [r.doc_id for r in decontam.drop_contaminated(docs(spark, texts), bench).orderBy("doc_id").collect()] == [4, 5]
+
+
 def test_warc_round_trip_and_validation(spark):
     big = "<html>" + "é" * 800
     rows = [(1, "http://a b", big), (2, "u", big), (3, "u", "x" * 999), (4, "u", "x" * 999), (5, None, None), (6, "u", ""), (2, "u", big), (None, "u", big), (7, "u", "y" * 100_000)]
