@@ -52,6 +52,11 @@ def same(left: DataFrame, right: DataFrame, *names: str) -> Column:
     return on
 
 
+def hash_below(key: Column, share: float) -> Column:
+    """Is the 64-bit hash of ``key`` among the least ``share`` of all hashes?"""
+    return F.lit(True) if share >= 1 else F.xxhash64(key) < F.lit(int(share * 2**64) - 2**63)
+
+
 def hash_sample(rows: DataFrame, n: int, key: Column, *order: str | Column) -> DataFrame:
     """At most ``n`` rows, about all of those with the least hash of ``key``, in hash order (ties by ``order``).
 

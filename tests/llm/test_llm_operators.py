@@ -112,6 +112,19 @@ def test_pii_trees_add_loose_forms_and_leave_clean_text(spark):
     assert clean[40].text is None and clean[41].text == ""
 
 
+def test_pii_adds_spans_at_every_size_and_mix(spark):
+    loose = "write to ann.k (at) mail.example (dot) com please"
+    few = [f"contact bob.k{i}@mail{i}.example.com from 10.0.{i}.7 in 20{i % 30:02d}-01-0{i % 9 + 1}" for i in range(12)]
+    dates = [" ".join(f"20{i % 30:02d}-01-{j + 10}" for j in range(20)) for i in range(60)]
+    for texts, rows in ((few, pii.SAMPLE_ROWS), (few * 4 + dates, 200)):
+        got = {r.doc_id: r for r in pii.detect(docs(spark, texts + [loose]), sample_rows=rows).collect()}
+        assert "email:9:" in got[len(texts) + 1].spans
+        assert all(got[i + 1].spans == "" for i, t in enumerate(texts) if t in dates)
+    assert pii.shares({"a": 5, "b": 1000, "c": 90}, 200) == {"a": 5, "c": 90, "b": 105}
+    assert pii.threshold([]) == pii.threshold([(0.9, 1.0, 1.0), (0.1, 0.0, 1.0)]) == pii.LEAST_SCORE
+    assert pii.threshold([(0.9, 1.0, 1.0), (0.8, 0.0, 1.0)]) == 0.9 and pii.threshold([(0.9, 0.0, 1.0)]) == 2.0
+
+
 def test_rules_statistics_match_brute_force(spark):
     rng = np.random.default_rng(3)
     texts = ["\n".join(" ".join(rng.choice(["a", "b#", "ç", "dd\x85e"], rng.integers(0, 9))) for _ in range(rng.integers(1, 20))) for _ in range(80)] + ["", "a b c a b c", "x\n x\nx\n\n\n"]
