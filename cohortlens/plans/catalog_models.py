@@ -361,7 +361,7 @@ def k02(spark, sf):
     """Mini-batch k-means (k = 4) over hash slices of all rows; checkable facts of the fit."""
     sc, vec, _ = _zvectors(spark, sf)
     vec = cut_lineage(vec.select("fk_contact", "features"), "vectors")
-    return _fit_facts(spark, vec, km.fit_kmeans(vec, k=4, n_init=2, algorithm="minibatch_kmeans"))
+    return _fit_facts(spark, vec, km.fit_kmeans(vec, k=4, algorithm="minibatch_kmeans"))
 
 
 _METRIC_FACTS = "SELECT CAST(unnest(range(2, 11)) AS INTEGER) AS k, true AS falls, true AS in_range"
@@ -378,14 +378,14 @@ def _metric_facts(m):
 def k05(spark, sf):
     """Metrics for k = 2..10 with the linear squared-euclidean silhouette; checkable facts of each."""
     sc, vec, _ = _zvectors(spark, sf)
-    return _metric_facts(km.evaluate_k(vec, n_init=2))
+    return _metric_facts(km.evaluate_k(vec))
 
 
 @register("k09_metrics_table", O.q("SELECT CAST(9 AS BIGINT) AS n, CAST(1 AS BIGINT) AS n_final, true AS final_is_chosen, 'kmeans' AS algorithm"))
 def k09(spark, sf):
     """The metrics table with its final k: one row of facts."""
     sc, vec, _ = _zvectors(spark, sf)
-    m = km.evaluate_k(vec, n_init=1)
+    m = km.evaluate_k(vec)
     k = km.choose_k(m).collect()[0]["k"]
     table = m.withColumns({"algorithm": F.lit("kmeans"), "random_state": F.lit(config.DEFAULT_SEED), "is_final": F.col("k") == k})
     best = table.agg(F.max("silhouette")).scalar()
@@ -409,7 +409,7 @@ def k11(spark, sf):
     """Whole flow on k = 2..10: every customer once, k clusters, each centre the mean of its rows."""
     from .segmentation import run_clustering
     sc, z, f = z_wide(spark, sf)
-    out = run_clustering(z, used_cols=sc.used_cols, n_init=2, scaler=sc)
+    out = run_clustering(z, used_cols=sc.used_cols, scaler=sc)
     zcols = [f"{c}{sc.suffix}" for c in sc.used_cols]
     means = z.join(out["assignments"], "fk_contact").groupBy("cluster_id").agg(*[F.avg(c).alias(f"m_{c}") for c in zcols])
     off = means.join(F.broadcast(out["centroids_z"]), "cluster_id").agg(F.max(F.greatest(*[F.abs(F.col(c) - F.col(f"m_{c}")) for c in zcols]))).scalar()
