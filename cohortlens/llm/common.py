@@ -64,8 +64,7 @@ def hash_sample(rows: DataFrame, n: int, key: Column, *order: str | Column) -> D
     ``n`` and not the size of the table. Up to ``n`` rows: all of them.
     """
     total = rows.count()
-    share = int(min(1.0, 1.1 * n / max(1, total)) * 1_000_000)
-    return rows.filter(F.pmod(F.xxhash64(key), F.lit(1_000_000)) < share).orderBy(F.xxhash64(key), *order).limit(n)
+    return rows.filter(hash_below(key, 1.1 * n / max(1, total))).orderBy(F.xxhash64(key), *order).limit(n)
 
 
 def crc32_mod(column: str, n: int) -> Column:

@@ -9,8 +9,9 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from cohortlens.llm import (decontam, docstats, elias_fano, jaccard_join, licenses, ngram_trie, packing, pii, quality_fm, quality_gbt,
+from cohortlens.llm import (common, decontam, docstats, elias_fano, jaccard_join, licenses, ngram_trie, packing, pii, quality_fm, quality_gbt,
                             suffix_dedup, warc)
 
 LONG = "word " * 3000 + "a" * 20_000 + " 1 2 3" * 500
@@ -125,6 +126,18 @@ def test_pii_adds_spans_at_every_size_and_mix(spark):
     assert pii.threshold([(0.9, 1.0, 1.0), (0.8, 0.0, 1.0)]) == 0.9 and pii.threshold([(0.9, 0.0, 1.0)]) == 2.0
 
 
+def test_hash_sample_of_a_huge_table_is_not_empty(spark):
+    rows = spark.range(20_000)
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(type(rows), "count", lambda self: 3 * 10**10)              # as if there were so many
+        held = common.hash_sample(rows, 20_000, F.col("id"), "id")
+        condition = held._jdf.queryExecution().optimizedPlan().toString()
+    share = int(re.search(r"xxhash64\(id#\d+L?, 42\) < (-?\d+)", condition).group(1)) + 2**63
+    assert abs(share / 2**64 - 1.1 * 20_000 / (3 * 10**10)) < 1e-12
+    assert abs(rows.filter(common.hash_below(F.col("id"), 0.25)).count() - 5000) < 300
+    assert common.hash_sample(rows, 30_000, F.col("id"), "id").count() == 20_000 and common.hash_sample(rows, 50, F.col("id"), "id").count() <= 50
+
+
 def test_rules_statistics_match_brute_force(spark):
     rng = np.random.default_rng(3)
     texts = ["\n".join(" ".join(rng.choice(["a", "b#", "ç", "dd\x85e"], rng.integers(0, 9))) for _ in range(rng.integers(1, 20))) for _ in range(80)] + ["", "a b c a b c", "x\n x\nx\n\n\n"]
