@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.testdata import table
-from . import decontam, jaccard_join, licenses, ngram_trie, packing, pii, quality_fm, quality_gbt, suffix_dedup, warc
+from . import decontam, jaccard_join, lexical_search, licenses, ngram_trie, packing, periodic_runs, pii, quality_fm, quality_gbt, suffix_dedup, warc
 
 
 def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -59,7 +59,19 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_join(table(spark, sf_dir, "documents"))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of words in every whole text of ``documents``, after every tenth text was made to repeat itself."""
+    return periodic_runs.digests(periodic_runs.find_runs(periodic_runs.plant_runs(table(spark, sf_dir, "documents"))))
+
+
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best of all ``documents`` for each ``benchmark`` item."""
+    return lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {"op1_license_scan": op1_license_scan, "op2_pii": op2_pii, "op3_quality_rules": op3_quality_rules,
            "op4_lm_scoring": op4_lm_scoring, "op5_quality_classifier": op5_quality_classifier, "op6_packing": op6_packing, "op7_suffix_dedup": op7_suffix_dedup, "op8_decontamination": op8_decontamination,
-           "op9_warc": op9_warc, "op10_jaccard_join": op10_jaccard_join}
-ORACLES = {"op1_license_scan": licenses.oracle(), "op9_warc": warc.ORACLE, "op10_jaccard_join": jaccard_join.ORACLE}
+           "op9_warc": op9_warc, "op10_jaccard_join": op10_jaccard_join,
+           "op11_periodic_runs": op11_periodic_runs, "op12_lexical_search": op12_lexical_search}
+ORACLES = {"op1_license_scan": licenses.oracle(), "op9_warc": warc.ORACLE, "op10_jaccard_join": jaccard_join.ORACLE,
+           "op11_periodic_runs": periodic_runs.ORACLE, "op12_lexical_search": lexical_search.ORACLE}
