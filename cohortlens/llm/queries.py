@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.testdata import table
-from . import decontam, jaccard_join, lexical_search, licenses, ngram_trie, packing, periodic_runs, pii, quality_fm, quality_gbt, suffix_dedup, warc
+from . import bottom_k, decontam, jaccard_join, lexical_search, licenses, ngram_trie, packing, periodic_runs, pii, quality_fm, quality_gbt, suffix_dedup, warc
 
 
 def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -69,9 +69,14 @@ def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op13_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of all ``documents`` whose sets of two-word shingles have Jaccard similarity 0.8 or more."""
+    return bottom_k.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {"op1_license_scan": op1_license_scan, "op2_pii": op2_pii, "op3_quality_rules": op3_quality_rules,
            "op4_lm_scoring": op4_lm_scoring, "op5_quality_classifier": op5_quality_classifier, "op6_packing": op6_packing, "op7_suffix_dedup": op7_suffix_dedup, "op8_decontamination": op8_decontamination,
            "op9_warc": op9_warc, "op10_jaccard_join": op10_jaccard_join,
-           "op11_periodic_runs": op11_periodic_runs, "op12_lexical_search": op12_lexical_search}
+           "op11_periodic_runs": op11_periodic_runs, "op12_lexical_search": op12_lexical_search, "op13_minhash_neardup": op13_minhash_neardup}
 ORACLES = {"op1_license_scan": licenses.oracle(), "op9_warc": warc.ORACLE, "op10_jaccard_join": jaccard_join.ORACLE,
-           "op11_periodic_runs": periodic_runs.ORACLE, "op12_lexical_search": lexical_search.ORACLE}
+           "op11_periodic_runs": periodic_runs.ORACLE, "op12_lexical_search": lexical_search.ORACLE, "op13_minhash_neardup": bottom_k.ORACLE}
