@@ -17,6 +17,7 @@ from ..operators import cleaning as cl
 from ..operators import cluster as km
 from ..operators import features as ft
 from ..operators import labels as lb
+from ..operators import lloyd
 from ..operators import naming as nm
 from ..operators import reports as rp
 from ..operators import standardize as zs
@@ -307,22 +308,36 @@ def k04(spark, sf):
     return rounded(out, {"silhouette": 6})
 
 
-_CHOOSE_SQL = """
+_FIXED_SQL = """
 , ks AS (SELECT unnest(range(2, 11)) AS k),
 cen AS (SELECT ks.k, e.vec_id AS cid, e.d, e.x AS cx FROM emb e, ks WHERE e.vec_id < ks.k),
 dist AS (SELECT c.k, e.vec_id, c.cid, sum((e.x - c.cx) * (e.x - c.cx)) AS d2 FROM emb e JOIN cen c USING (d)
          GROUP BY 1, 2, 3),
 m AS (SELECT k, sum(d2) AS inertia FROM (SELECT k, vec_id, min(d2) AS d2 FROM dist GROUP BY 1, 2) GROUP BY k),
 drops AS (SELECT k, (lag(inertia) OVER (ORDER BY k) - inertia) / greatest(lag(inertia) OVER (ORDER BY k), 1e-12) AS dr
-          FROM m)
-SELECT CAST(k AS INTEGER) AS k FROM drops WHERE dr IS NOT NULL ORDER BY dr DESC, k LIMIT 1
+          FROM m),
+own AS (SELECT k, vec_id, arg_min(cid, d2) AS cid FROM dist GROUP BY 1, 2),
+norms AS (SELECT vec_id, sum(x * x) AS q FROM emb GROUP BY 1),
+part AS (SELECT k, cid, count(*) AS n, avg(q) AS q FROM own JOIN norms USING (vec_id) GROUP BY 1, 2),
+mean AS (SELECT o.k, o.cid, e.d, avg(e.x) AS mx FROM own o JOIN emb e USING (vec_id) GROUP BY 1, 2, 3),
+apart AS (SELECT m.k, m.cid, e.vec_id, sum(e.x * m.mx) AS dot FROM emb e JOIN mean m USING (d) GROUP BY 1, 2, 3),
+to_ AS (SELECT a.k, a.vec_id, a.cid, w.q - 2 * a.dot + p.q AS d2, p.n, a.cid = o.cid AS mine
+        FROM apart a JOIN norms w USING (vec_id) JOIN part p ON p.k = a.k AND p.cid = a.cid JOIN own o ON o.k = a.k AND o.vec_id = a.vec_id),
+ab AS (SELECT k, vec_id, max(CASE WHEN mine THEN n END) AS n, max(CASE WHEN mine THEN d2 * n / greatest(n - 1, 1) END) AS a, min(CASE WHEN NOT mine THEN d2 END) AS b
+       FROM to_ GROUP BY 1, 2),
+sil AS (SELECT k, avg(CASE WHEN n > 1 AND greatest(a, b) > 0 THEN (b - a) / greatest(a, b) ELSE 0 END) AS s FROM ab GROUP BY k)
 """
+_CHOOSE_SQL = _FIXED_SQL + "SELECT CAST(k AS INTEGER) AS k FROM drops WHERE dr IS NOT NULL ORDER BY dr DESC, k LIMIT 1"
 
 
-@register("k06_choose_k", O.q(_CHOOSE_SQL))
+@register("k06_choose_k", O.q(_FIXED_SQL + f"""
+SELECT CAST(k AS INTEGER) AS k, {R('inertia', 4)} AS inertia, {R('s', 6)} AS silhouette, k = (SELECT arg_max(k, (s, -inertia, -k)) FROM sil JOIN m USING (k)) AS by_silhouette,
+       k = (SELECT arg_max(k, (dr, -k)) FROM drops WHERE dr IS NOT NULL) AS by_drop FROM m JOIN sil USING (k)"""))
 def k06(spark, sf):
-    """Metrics of fixed centroid sets (the first k vectors, k = 2..10) -> elbow rule."""
-    return km.choose_k(_fixed_metrics(spark, sf))
+    """Metrics of fixed centroid sets (the first k vectors, k = 2..10); k by the silhouette rule and, without silhouettes, by the inertia drop."""
+    m = _fixed_metrics(spark, sf)
+    by_silhouette, by_drop = (km.choose_k(t).collect()[0]["k"] for t in (m, m.withColumn("silhouette", F.lit(None).cast("double"))))
+    return rounded(m.withColumns({"by_silhouette": F.col("k") == by_silhouette, "by_drop": F.col("k") == by_drop}), {"inertia": 4, "silhouette": 6})
 
 
 def _zvectors(spark, sf):
@@ -332,20 +347,29 @@ def _zvectors(spark, sf):
 
 
 _N = "(SELECT count(*) FROM feat)"
-_FIT_FACTS = f"SELECT CAST({_N} AS BIGINT) AS n_rows, CAST(4 AS BIGINT) AS n_clusters, CAST(0 AS BIGINT) AS n_not_nearest, true AS sizes_fall"
+#: Sum of squares about the mean of all rows: inertia and what separates the cluster means must add up to it.
+_TOTAL = f"(SELECT {R('sum(s)', 2)} FROM (SELECT sum(z * z) - count(*) * avg(z) * avg(z) AS s FROM zlong GROUP BY feature))"
+_FIT_FACTS = f"SELECT CAST({_N} AS BIGINT) AS n_rows, CAST(4 AS BIGINT) AS n_clusters, {_TOTAL} AS total_ss, true AS sizes_fall"
+
+
+def _total_ss(cost, centers, n, means):
+    """Sum of squares about the mean of all rows from a fit's inertia, its centres, and the sizes and means of its clusters."""
+    centers, n, means = np.asarray(centers, float), np.asarray(n, float), np.asarray(means, float)
+    overall = (n[:, None] * means).sum(0) / n.sum()
+    return float(cost - (n * ((means - centers) ** 2).sum(1)).sum() + (n * ((means - overall) ** 2).sum(1)).sum())
 
 
 def _fit_facts(spark, vec, fit):
-    """Rows, clusters, rows whose own centre is not the nearest, and whether the renumbered sizes fall."""
+    """Rows, clusters, whether the renumbered sizes fall, and the total sum of squares, from the stored assignments."""
+    stored = cut_lineage(fit.model.transform(vec).select("fk_contact", "prediction", vector_to_array("features").alias("x")), "assignments")
+    parts = km.centroids_from_labels(stored, array_col="x", label="prediction").join(
+        stored.groupBy(F.col("prediction").alias("cluster_id")).agg(F.count(F.lit(1)).alias("n")), "cluster_id").collect()       # k rows
     centers = fit.model.clusterCenters()
-    own = fit.model.transform(vec).select("fk_contact", "prediction", vector_to_array(F.col("features")).alias("x"))
-    near = km.assign(own, np.array(centers), array_col="x", ids=list(range(len(centers))), dist_col="_d2").withColumn(
-        "_own", km.sq_dist(F.col("x"), F.element_at(km.centroids_literal(centers), F.col("prediction").cast("int") + 1)))
-    sizes = km.renumber_by_size(own.select("fk_contact", "prediction")).groupBy("cluster_id").agg(F.count(F.lit(1)).alias("n"))
+    total = _total_ss(fit.inertia, [centers[r["cluster_id"]] for r in parts], [r["n"] for r in parts], [r["centroid"] for r in parts])
+    sizes = km.renumber_by_size(stored.select("fk_contact", "prediction")).groupBy("cluster_id").agg(F.count(F.lit(1)).alias("n"))
     rising = sizes.alias("a").join(sizes.alias("b"), F.col("b.cluster_id") == F.col("a.cluster_id") + 1).where("b.n > a.n")
-    return near.agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("prediction").alias("n_clusters"),
-                    F.count_if(F.col("_own") > F.col("_d2") * (1 + 1e-9) + 1e-9).alias("n_not_nearest")) \
-        .withColumn("sizes_fall", F.lit(rising.count() == 0))
+    facts = stored.agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("prediction").alias("n_clusters"))
+    return rounded(facts.withColumns({"total_ss": F.lit(total), "sizes_fall": F.lit(rising.count() == 0)}), {"total_ss": 2})
 
 
 @register("k01_kmeans", O.q(_FIT_FACTS))
@@ -358,39 +382,45 @@ def k01(spark, sf):
 
 @register("k02_minibatch", O.q(_FIT_FACTS))
 def k02(spark, sf):
-    """Mini-batch k-means (k = 4) over hash slices of all rows; checkable facts of the fit."""
+    """Mini-batch k-means (k = 4) over batches of all rows; checkable facts of the fit."""
     sc, vec, _ = _zvectors(spark, sf)
     vec = cut_lineage(vec.select("fk_contact", "features"), "vectors")
     return _fit_facts(spark, vec, km.fit_kmeans(vec, k=4, algorithm="minibatch_kmeans"))
 
 
-_METRIC_FACTS = "SELECT CAST(unnest(range(2, 11)) AS INTEGER) AS k, true AS falls, true AS in_range"
+_KS = "(SELECT unnest(range(2, 11)) AS k)"
 
 
-def _metric_facts(m):
-    """Per k: does the inertia fall against the k before (to 5 %: restarts are local optima), is the silhouette in [-1, 1]?"""
-    before = m.select((F.col("k") + 1).alias("k"), F.col("inertia").alias("_before"))
-    return m.join(before, "k", "left").select("k", F.coalesce(F.col("inertia") <= F.col("_before") * 1.05, F.lit(True)).alias("falls"),
-                                              F.coalesce(F.col("silhouette").between(-1, 1), F.lit(True)).alias("in_range"))
+def _metric_facts(spark, vec):
+    """Per k: rows, total sum of squares, does the inertia fall against the k before (to 5 %: restarts are local optima), is the silhouette in [-1, 1]?"""
+    metrics, fits, held = km.evaluate_fits(vec)
+    ks = sorted(fits)
+    found = lloyd.moments(held.table, [fits[k].model.clusterCenters() for k in ks])
+    rows = [(k, int(m.n.sum()), _total_ss(fits[k].inertia, fits[k].model.clusterCenters(), m.n, m.means)) for k, m in zip(ks, found)]
+    before = metrics.select((F.col("k") + 1).alias("k"), F.col("inertia").alias("_before"))
+    facts = metrics.join(before, "k", "left").withColumns({"falls": F.coalesce(F.col("inertia") <= F.col("_before") * 1.05, F.lit(True)),
+                                                           "in_range": F.coalesce(F.col("silhouette").between(-1, 1), F.lit(True))})
+    return rounded(facts.join(spark.createDataFrame(rows, "k int, n_rows long, total_ss double"), "k"), {"total_ss": 2})
 
 
-@register("k05_evaluate_k", O.q(_METRIC_FACTS))
+@register("k05_evaluate_k", O.q(f"SELECT CAST(k AS INTEGER) AS k, CAST({_N} AS BIGINT) AS n_rows, {_TOTAL} AS total_ss, true AS falls, true AS in_range FROM {_KS}"))
 def k05(spark, sf):
     """Metrics for k = 2..10 with the linear squared-euclidean silhouette; checkable facts of each."""
     sc, vec, _ = _zvectors(spark, sf)
-    return _metric_facts(km.evaluate_k(vec))
+    return _metric_facts(spark, vec).select("k", "n_rows", "total_ss", "falls", "in_range")
 
 
-@register("k09_metrics_table", O.q("SELECT CAST(9 AS BIGINT) AS n, CAST(1 AS BIGINT) AS n_final, true AS final_is_chosen, 'kmeans' AS algorithm"))
+@register("k09_metrics_table", O.q(f"SELECT CAST(k AS INTEGER) AS k, 'kmeans' AS algorithm, CAST(42 AS INTEGER) AS random_state, {_TOTAL} AS total_ss, "
+                                   f"CAST(1 AS BIGINT) AS n_final, true AS final_is_best FROM {_KS}"))
 def k09(spark, sf):
-    """The metrics table with its final k: one row of facts."""
+    """The metrics table with its final k: is exactly one k final, and is it the one of the best silhouette?"""
     sc, vec, _ = _zvectors(spark, sf)
-    m = km.evaluate_k(vec)
+    m = _metric_facts(spark, vec)
     k = km.choose_k(m).collect()[0]["k"]
     table = m.withColumns({"algorithm": F.lit("kmeans"), "random_state": F.lit(config.DEFAULT_SEED), "is_final": F.col("k") == k})
-    best = table.agg(F.max("silhouette")).scalar()
-    return table.agg(F.count(F.lit(1)).alias("n"), F.count_if("is_final").alias("n_final"),
-                     F.bool_and(~F.col("is_final") | (F.col("silhouette") == best)).alias("final_is_chosen"), F.max("algorithm").alias("algorithm"))
+    best, n_final = table.agg(F.max("silhouette")).scalar(), table.agg(F.count_if("is_final")).scalar()
+    return table.select("k", "algorithm", F.col("random_state").cast("int"), "total_ss", n_final.alias("n_final"),
+                        (~F.col("is_final") | (F.col("silhouette") == best)).alias("final_is_best"))
 
 
 @register("k10_pca2d", O.q(f"SELECT CAST({_N} AS BIGINT) AS n_rows, true AS uncorrelated, true AS ordered, true AS centred"))
@@ -492,22 +522,18 @@ def l05(spark, sf):
 
 
 def _fixed_metrics(spark, sf):
-    """Metrics of fixed centroid sets (the first k vectors, k = 2..10): deterministic, SQL-checkable."""
+    """Metrics of fixed centroid sets (the first k vectors, k = 2..10): deterministic, SQL-checkable, two scans for all."""
     emb = _emb(spark, sf)
-    rows = []
-    for k in range(2, 11):
-        cents = emb.where(F.col("vec_id") < k).select(F.col("vec_id").alias("cluster_id"),
-                                                      F.col("embedding").cast("array<double>").alias("centroid"))
-        ids, mat = km.centroid_matrix(cents)        # k rows
-        a = km.assign(emb, mat, array_col="embedding", ids=ids, dist_col="_d2")
-        rows.append((k, float(a.agg(F.sum("_d2")).collect()[0][0]), None))
+    first = emb.where(F.col("vec_id") < 10).select("vec_id", F.col("embedding").cast("array<double>").alias("c")).orderBy("vec_id").collect()   # 10 rows
+    sets = [np.array([r["c"] for r in first if r["vec_id"] < k]) for k in range(2, 11)]
+    rows = [(k, cost, sil) for k, (cost, sil) in zip(range(2, 11), km.inertias(emb, sets, array_col="embedding"))]
     return spark.createDataFrame(rows, "k int, inertia double, silhouette double")
 
 
 @register("l06_metadata_from_metrics", O.q(_CHOOSE_SQL.replace("SELECT CAST(k AS INTEGER) AS k FROM drops",
     "SELECT CAST(k AS INTEGER) AS k, 'fixed' AS algorithm, 42 AS random_state FROM drops")))
 def l06(spark, sf):
-    m = _fixed_metrics(spark, sf)
+    m = _fixed_metrics(spark, sf).withColumn("silhouette", F.lit(None).cast("double"))
     k = km.choose_k(m).collect()[0]["k"]
     m = m.withColumns({"algorithm": F.lit("fixed"), "random_state": F.lit(config.DEFAULT_SEED),
                        "is_final": F.col("k") == k})

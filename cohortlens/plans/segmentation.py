@@ -30,13 +30,14 @@ def run_clustering(df_std: DataFrame, *, used_cols, id_col: str = "fk_contact",
     """k11: evaluate k -> choose k -> final fit -> assignments, centroids (z and original), metrics."""
     zcols = [f"{c}{suffix}" for c in used_cols]
     vec = cut_lineage(km.assemble(df_std.select(id_col, *zcols), zcols).select(id_col, "features"), "vectors")
-    metrics = km.evaluate_k(vec, ks=ks, seed=seed, n_init=n_init, max_iter=max_iter, algorithm=algorithm)
+    metrics, fits, _ = km.evaluate_fits(vec, ks=ks, seed=seed, n_init=n_init, max_iter=max_iter, algorithm=algorithm)
     k = int(km.choose_k(metrics).collect()[0]["k"])
-    fit = km.fit_kmeans(vec, k=k, seed=seed, n_init=n_init, max_iter=max_iter, algorithm=algorithm)
+    fit = fits[k]
     pred = fit.model.transform(vec).select(id_col, "prediction")
     sizes = pred.groupBy("prediction").agg(F.count(F.lit(1)).alias("_n")).collect()      # k rows
     order = sorted(sizes, key=lambda r: (-r["_n"], r["prediction"]))
     id_map = {r["prediction"]: i for i, r in enumerate(order)}
+    id_map |= {c: len(id_map) + i for i, c in enumerate(c for c in range(len(fit.model.centers)) if c not in id_map)}   # centres without rows come last
     mapping = vec.sparkSession.createDataFrame(list(id_map.items()), "prediction int, cluster_id int")
     assignments = pred.join(F.broadcast(mapping), "prediction").select(id_col, "cluster_id")
     spark = vec.sparkSession
