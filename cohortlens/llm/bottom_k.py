@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .common import slices
+from .common import bitmap, in_bitmap, slices
 from .components import components
 
 SHINGLE = 2
@@ -40,7 +40,6 @@ K, FIRST, LAST, SAFE = 128, 32, 100, 20
 TOLERANCE = 1e-9
 BLOCK, BLOCK_SHINGLES = 1024, 1 << 20
 BATCH_BYTES = 2 << 20
-BITMAP_BITS = 1 << 25
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _MUL = np.uint64(0x9E3779B97F4A7C15)
 _PAD = np.uint32(2**32 - 1)
@@ -249,25 +248,14 @@ def candidates(texts: DataFrame, threshold: Fraction = THRESHOLD, block: int = B
     return edges.union(_compared(some, more, further, block, threshold)).union(stars)
 
 
-def _bitmap(keys: Column, rows: DataFrame) -> np.ndarray:
-    """``BITMAP_BITS`` bits, set where a key falls; collected in pieces of 4 KB."""
-    at = F.pmod(keys, F.lit(BITMAP_BITS)) + 1
-    pieces = rows.select(at.alias("at")).groupBy(F.bitmap_bucket_number("at").alias("piece")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("at")).alias("bits"))
-    out = np.zeros(BITMAP_BITS // 8, np.uint8)
-    for r in pieces.collect():
-        out[(r["piece"] - 1) * 4096:r["piece"] * 4096] = np.frombuffer(bytes(r["bits"]), np.uint8)
-    return out
-
-
 def full_sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """tid, full of the rows whose key is among ``wanted`` (and of a few others, by chance)."""
-    bits = docs.sparkSession.sparkContext.broadcast(_bitmap(F.col("key"), wanted))
+    bits = docs.sparkSession.sparkContext.broadcast(bitmap(wanted.select("key")))
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at = np.mod(batch.column("key").to_numpy(), BITMAP_BITS)
-            mine = (bits.value[at >> 3] >> (at & 7).astype(np.uint8)) & 1
-            for part in slices([batch.filter(pa.array(mine.astype(bool)))], "text", BATCH_BYTES):
+            mine = in_bitmap(bits.value, batch.column("key").to_numpy())
+            for part in slices([batch.filter(pa.array(mine))], "text", BATCH_BYTES):
                 cache = _WordHash()
                 sets = [s for s in (shingles(t, cache) for t in part.column("text").to_pylist()) if len(s)]
                 yield pa.RecordBatch.from_arrays([pa.array([identity(s) for s in sets], pa.binary()), pa.array([s.tobytes() for s in sets], pa.binary())], ["tid", "full"])

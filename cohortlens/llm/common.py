@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
@@ -70,3 +71,24 @@ def hash_sample(rows: DataFrame, n: int, key: Column, *order: str | Column) -> D
 def crc32_mod(column: str, n: int) -> Column:
     """crc32 of the column as text, modulo ``n`` (a null id: crc32 of the empty text)."""
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")) % n
+
+
+#: Bits of a bitmap that tells tasks which hashes may be wanted: 4 MB, whatever the number of hashes.
+BITMAP_BITS = 1 << 25
+
+
+def bitmap(hashes: DataFrame) -> np.ndarray:
+    """``BITMAP_BITS`` bits as bytes, set where a value of the one column of ``hashes`` falls; collected in pieces of 4 KB."""
+    at = F.pmod(F.col(hashes.columns[0]), F.lit(BITMAP_BITS)) + 1
+    pieces = (hashes.select(at.alias("at")).groupBy(F.bitmap_bucket_number("at").alias("piece"))
+              .agg(F.bitmap_construct_agg(F.bitmap_bit_position("at")).alias("bits")))
+    out = np.zeros(BITMAP_BITS // 8, np.uint8)
+    for r in pieces.collect():
+        out[(r["piece"] - 1) * 4096:r["piece"] * 4096] = np.frombuffer(bytes(r["bits"]), np.uint8)
+    return out
+
+
+def in_bitmap(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Which of ``hashes`` may be wanted: all that are, and a few others by chance."""
+    at = np.mod(hashes, BITMAP_BITS)
+    return ((bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1).astype(bool)

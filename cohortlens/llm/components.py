@@ -24,10 +24,10 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     before = _fingerprint(e)
     while True:
         both = e.select(F.col("hi").alias("u"), F.col("lo").alias("v")).union(e.select(F.col("lo"), F.col("hi")))
-        # written, so that both sides of the join are plain shuffles and a hub's neighbours can be split
+        # both minima are written, so that both sides of a join are plain shuffles and a hub's neighbours can be split
         least = cut_lineage(both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m")), "least")
         large = both.join(least, "u").filter("v > u").select(F.col("v").alias("hi"), F.col("m").alias("lo"))
-        low = large.groupBy("hi").agg(F.min("lo").alias("m"))
+        low = cut_lineage(large.groupBy("hi").agg(F.min("lo").alias("m")), "low")
         pairs = large.join(low, "hi").select(F.explode(F.array(F.struct(F.col("lo").alias("hi"), F.col("m").alias("lo")),
                                                                F.struct(F.col("hi"), F.col("m").alias("lo")))).alias("p"))
         e = cut_lineage(pairs.select("p.hi", "p.lo").filter("hi <> lo").distinct(), "edges")

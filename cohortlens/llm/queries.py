@@ -51,7 +51,7 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All ``pages`` written as zstd WARC archives and read back with validation."""
-    return warc.round_trip(table(spark, sf_dir, "pages")).drop("url", "payload")
+    return warc.round_trip(table(spark, sf_dir, "pages"), payloads=False).drop("url")
 
 
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -18,13 +18,14 @@ import struct
 from collections.abc import Iterator
 from uuid import UUID
 
+import pandas as pd
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .common import slices
+from .common import bitmap, in_bitmap, slices
 
 DICT_MAGIC = 0x184D2A5D             # fixed value: the skippable frame that holds the dictionary
 MIN_REVISIT_BYTES = 1000
@@ -168,16 +169,25 @@ def read_archive(archive: bytes) -> Iterator[dict]:
 def resolve(pages: DataFrame) -> DataFrame:
     """page_id, url, payload, refers_to: of equal payloads of ``MIN_REVISIT_BYTES`` or more the largest page id answers.
 
-    Only the digests that occur twice are joined back; that join is an ordinary one, so AQE splits a
-    payload that a third of the pages share. Rows that repeat the largest id are responses too.
+    Only rows whose digest may be one that occurs twice (a bitmap of fixed size tells) are joined; their payloads alone are
+    shuffled, and AQE splits a payload that a third of the pages share. All others, short payloads among them, stay where
+    they were read. Rows that repeat the largest id are responses too.
     """
     rows = pages.select("page_id", "url", F.coalesce(F.encode("html", "UTF-8"), F.lit(b"")).alias("payload"))
     rows = rows.withColumn("digest", F.when(F.length("payload") >= MIN_REVISIT_BYTES, F.sha1("payload")))
     groups = (rows.filter(F.col("digest").isNotNull()).groupBy("digest")
               .agg(F.max("page_id").alias("answer"), F.count("*").alias("n")).filter("n > 1").select("digest", "answer"))
-    return rows.join(groups, "digest", "left").select(
+    groups = cut_lineage(groups, "revisited")
+    bits = pages.sparkSession.sparkContext.broadcast(bitmap(groups.select(F.xxhash64("digest"))))
+
+    @F.pandas_udf("boolean")
+    def may_repeat(h: pd.Series) -> pd.Series:
+        return pd.Series(in_bitmap(bits.value, h.to_numpy()))
+    rows = rows.withColumn("again", F.col("digest").isNotNull() & may_repeat(F.xxhash64("digest")))
+    joined = rows.filter("again").join(groups, "digest", "left").select(
         "page_id", "url", "payload",
         F.when(F.col("answer").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("answer")), F.col("answer")).alias("refers_to"))
+    return rows.filter("NOT again").select("page_id", "url", "payload", F.lit(None).cast("long").alias("refers_to")).union(joined)
 
 
 def write_archives(pages: DataFrame, archive_bytes: int = ARCHIVE_BYTES) -> DataFrame:
@@ -192,33 +202,34 @@ def write_archives(pages: DataFrame, archive_bytes: int = ARCHIVE_BYTES) -> Data
     return cut_lineage(resolve(pages).mapInArrow(build, ARCHIVE_SCHEMA), "warc")
 
 
-def read_archives(archives: DataFrame) -> DataFrame:
+def read_archives(archives: DataFrame, payloads: bool = True) -> DataFrame:
     """Validated records of archive rows: page_id, url, payload_bytes, payload_digest, record_type, refers_to, payload.
 
-    ``payload`` is null for revisits. A record that fails validation, or an archive whose number of
+    ``payload`` is null for revisits; without ``payloads`` it is no column (everything is validated all the same). A record that fails validation, or an archive whose number of
     records differs from ``n_records``, raises ``ValueError``.
     """
-    names = [f.split()[0] for f in RECORD_SCHEMA.split(", ")]
+    schema = RECORD_SCHEMA if payloads else RECORD_SCHEMA.removesuffix(", payload binary")
+    names = [f.split()[0] for f in schema.split(", ")]
     types = [pa.int64(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.binary()]
 
     def read(batches):
         for part in slices(batches, "archive", 1):
             for archive, n in zip(part.column("archive").to_pylist(), part.column("n_records").to_pylist()):
-                records = list(read_archive(archive))
+                records = [{c: r[c] for c in names} for r in read_archive(archive)]
                 if len(records) != n:
                     raise ValueError(f"{len(records)} records instead of {n}")
                 yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in records], t) for c, t in zip(names, types)], names)
-    return archives.select("archive", "n_records").mapInArrow(read, RECORD_SCHEMA)
+    return archives.select("archive", "n_records").mapInArrow(read, schema)
 
 
-def round_trip(pages: DataFrame) -> DataFrame:
+def round_trip(pages: DataFrame, payloads: bool = True) -> DataFrame:
     """Write the pages as archives and read them back (see ``read_archives``).
 
     A null html is an empty payload, a null url an empty one (control characters and spaces in it are
     percent-encoded); null page ids and repeated rows are records like any other (a group whose ids are
     all null has responses only). Other columns are ignored. No pages: no archives, no rows.
     """
-    return read_archives(write_archives(pages))
+    return read_archives(write_archives(pages), payloads)
 
 
 ORACLE = """
