@@ -177,42 +177,40 @@ def _neg(df: DataFrame, c: str) -> Column:
     return v
 
 
-def winners(df: DataFrame, *, key: str, order, row_id: str = "_row_id") -> DataFrame:
-    """Row ids of the first row per ``key`` under ``order``; ties go to the lowest row id.
+def _order(df: DataFrame, order, row_id: str) -> Column:
+    """Struct that sorts rows by ``order`` ((column, "asc"|"desc") pairs; NULLs last either way), ties by the lowest row id."""
+    fields = []
+    for i, (c, direction) in enumerate(order):
+        fields.append(F.col(c).isNull().alias(f"n{i}"))
+        fields.append((_neg(df, c) if direction == "desc" else F.col(c)).alias(f"v{i}"))
+    return F.struct(*fields, F.col(row_id).alias("rid"))
+
 
-    ``order`` is a list of (column, "asc"|"desc"); NULLs sort last either way. Computed as a
-    partial aggregate, so a hot key is combined map-side and never lands whole in one task.
+def first_rows(df: DataFrame, *, key, order=(), row_id: str = "_row_id") -> DataFrame:
+    """The first row per ``key`` (one column or several) under ``order``, whole: one partial aggregate that carries the row.
+
+    A hot key is combined map-side: one row per task and key travels. No join, no window.
     """
-    best = df.groupBy(key).agg(_first_row(df, order, row_id).alias("_best"))
-    return best.select(F.col("_best.rid").alias(row_id))
+    keys = [key] if isinstance(key, str) else list(key)
+    best = df.groupBy(*[F.col(c).alias(f"_key{i}") for i, c in enumerate(keys)]).agg(
+        F.min_by(F.struct(*[F.col(c) for c in df.columns]), _order(df, list(order), row_id)).alias("_row"))
+    return best.select("_row.*")
 
 
 def repeated_winners(df: DataFrame, *, key: str, order, row_id: str = "_row_id") -> DataFrame:
-    """(_key, _best) of the keys that occur more than once: the row id that ``winners`` gives them."""
-    best = df.groupBy(F.col(key).alias("_key")).agg(F.count(F.lit(1)).alias("_n"), _first_row(df, order, row_id).alias("_best"))
-    return best.where("_n > 1").select("_key", F.col("_best.rid").alias("_best"))
+    """(_key, _best) of the keys that occur more than once: the id of their first row under ``order``; a written table.
 
-
-def _first_row(df: DataFrame, order, row_id: str) -> Column:
-    fields = []
-    for i, (c, direction) in enumerate(order):
-        fields.append(F.col(c).isNull().alias(f"n{i}"))
-        fields.append((_neg(df, c) if direction == "desc" else F.col(c)).alias(f"v{i}"))
-    fields.append(F.col(row_id).alias("rid"))
-    return F.min(F.struct(*fields))
+    Written, because a join with a plain table lets AQE split the rows of a hot key, and a join with the aggregate itself does not.
+    """
+    best = df.groupBy(F.col(key).alias("_key")).agg(F.count(F.lit(1)).alias("_n"), F.min(_order(df, list(order), row_id)).alias("_best"))
+    return cut_lineage(best.where("_n > 1").select("_key", F.col("_best.rid").alias("_best")), "repeated-keys")
 
 
-def flag_first(df: DataFrame, *, key, order=(), row_id: str = "_row_id", flag: str = "_is_first") -> DataFrame:
-    """Add ``flag`` = true on the kept row per key (join on the unique row id)."""
-    keys = [key] if isinstance(key, str) else list(key)
-    if len(keys) == 1:
-        kcol = keys[0]
-        src = df
-    else:
-        kcol = "_k"
-        src = df.withColumn(kcol, F.struct(*keys))
-    w = winners(src, key=kcol, order=list(order), row_id=row_id).withColumn(flag, F.lit(True))
-    return df.join(w, row_id, "left").withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))
+def flag_first(df: DataFrame, *, key: str, order=(), row_id: str = "_row_id", flag: str = "_is_first") -> DataFrame:
+    """Add ``flag`` = true on the first row per key: rows of unique keys by default, of repeated keys by the row id of their winner."""
+    again = repeated_winners(df, key=key, order=order, row_id=row_id)
+    out = df.join(again, df[key].eqNullSafe(again["_key"]), "left")
+    return out.withColumn(flag, F.col("_best").isNull() | (F.col(row_id) == F.col("_best"))).drop("_key", "_best")
 
 
 def mark_duplicates(df: DataFrame, *, schema: PurchaseSchema = DEFAULT_SCHEMA, keep: str = "first") -> DataFrame:
@@ -238,9 +236,12 @@ def all_copies(df: DataFrame, *, key: str) -> DataFrame:
 
 def distinct_contact_time(df: DataFrame, *, schema: PurchaseSchema = DEFAULT_SCHEMA) -> DataFrame:
     """d04: one row per (contact, datetime), the lowest gmv kept (then first row)."""
-    out = flag_first(df, key=[schema.contact, schema.ts], order=[(schema.gmv, "asc")],
-                     row_id=schema.row_id, flag="_kept")
-    return out.where("_kept").drop("_kept")
+    return first_rows(df, key=[schema.contact, schema.ts], order=[(schema.gmv, "asc")], row_id=schema.row_id)
+
+
+def canonical_rows(df: DataFrame, *, schema: PurchaseSchema = DEFAULT_SCHEMA, keep: str = "canonical") -> DataFrame:
+    """d03: the kept row of every order key, without the others (``mark_duplicates`` flags all rows)."""
+    return first_rows(df, key=schema.key, order=_dedupe_order(schema, keep, df), row_id=schema.row_id)
 
 
 # -- d05, d06 ----------------------------------------------------------------

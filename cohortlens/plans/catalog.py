@@ -303,7 +303,7 @@ def d02(spark, sf):
 @register("d03_canonical_resolve", O.q(f"SELECT {ROW_SQL} FROM ranked WHERE stage0 IS NULL AND rn = 1"))
 def d03(spark, sf):
     df = prep(spark, sf).where(cl.is_valid())
-    return _rows(cl.mark_duplicates(df, keep="canonical").where("is_duplicated = 0"))
+    return _rows(cl.canonical_rows(df))
 
 
 @register("d04_distinct_contact_time", O.q(

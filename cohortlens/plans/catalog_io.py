@@ -367,9 +367,8 @@ def w01(spark, sf):
     """First row per group by priority (latest order, then largest total, then lowest key) via the
     map-side combined winner aggregate — no window over a possibly hot group."""
     od = testdata.table(spark, sf, "orders").select("o_custkey", "o_orderkey", "o_orderdate", "o_totalprice")
-    first = cl.flag_first(od, key="o_custkey", order=[("o_orderdate", "desc"), ("o_totalprice", "desc")],
-                          row_id="o_orderkey", flag="_first")
-    return first.where("_first").select("o_custkey", "o_orderkey", "o_orderdate")
+    first = cl.first_rows(od, key="o_custkey", order=[("o_orderdate", "desc"), ("o_totalprice", "desc")], row_id="o_orderkey")
+    return first.select("o_custkey", "o_orderkey", "o_orderdate")
 
 
 # == oracles for entries first registered rows-only =============================
