@@ -36,7 +36,8 @@ from .components import components
 
 SHINGLE = 2
 THRESHOLD = Fraction(4, 5)
-K, FIRST, LAST, SAFE = 128, 32, 100, 20
+K, LIST_K = 128, 64                  # values of a sketch that are compared: with full sets, in a list
+FIRST, LAST, SAFE = 32, 100, 20      # values that make entries, values that are kept, disjoint entries in short lists that suffice
 TOLERANCE = 1e-9
 BLOCK, BLOCK_SHINGLES = 1024, 1 << 20
 BATCH_BYTES = 2 << 20
@@ -64,9 +65,9 @@ def shingles(text: str | None, cache: dict, n: int = SHINGLE) -> np.ndarray:
     return np.unique(h ^ (h >> np.uint64(29)))
 
 
-def sketch(s: np.ndarray) -> np.ndarray:
-    """The upper halves of the ``K`` least values, in order (fewer, if the set has fewer)."""
-    return (s[:K] >> np.uint64(32)).astype(np.uint32)
+def sketch(s: np.ndarray, k: int = LAST) -> np.ndarray:
+    """The upper halves of the ``k`` least values, in order (fewer, if the set has fewer)."""
+    return (s[:k] >> np.uint64(32)).astype(np.uint32)
 
 
 def identity(s: np.ndarray) -> bytes:
@@ -80,30 +81,30 @@ def entries(values: np.ndarray, start: int, stop: int) -> np.ndarray:
     return pairs[start:stop].view(np.int64)
 
 
-def least_shared(threshold: float, tolerance: float = TOLERANCE) -> int:
-    """Least number c such that fewer than c of ``K`` union values are shared with probability below ``tolerance``."""
+def least_shared(k: int, threshold: float, tolerance: float = TOLERANCE) -> int:
+    """Least number c such that fewer than c of ``k`` union values are shared with probability below ``tolerance``."""
     total = 0.0
-    for c in range(K + 1):
-        total += math.comb(K, c) * threshold**c * (1 - threshold) ** (K - c)
+    for c in range(k + 1):
+        total += math.comb(k, c) * threshold**c * (1 - threshold) ** (k - c)
         if total > tolerance:
             return c
-    return K
+    return k
 
 
 class Sets:
-    """The sets of one task's group: sketches as ranks, and full sets if given."""
-
-    def __init__(self, sketches: list[bytes], n: np.ndarray, full: list[bytes] | None = None, threshold: Fraction = THRESHOLD):
-        self.n, self.threshold, self.least = n.astype(np.int64), threshold, least_shared(float(threshold))
-        held = np.array([len(s) // 4 for s in sketches])
-        values = np.full((len(sketches), K), _PAD, np.uint32)
-        values[np.arange(K) < held[:, None]] = np.frombuffer(b"".join(sketches), np.uint32)
+    """The sets of one task's group: sketches of up to ``k`` values as ranks, and full sets if given."""
+
+    def __init__(self, sketches: list[np.ndarray], n: np.ndarray, k: int, full: list[np.ndarray] | None = None, threshold: Fraction = THRESHOLD):
+        self.n, self.k, self.threshold, self.least = n.astype(np.int64), k, threshold, least_shared(k, float(threshold))
+        self.held = np.array([min(k, len(s)) for s in sketches])
+        self.inside = np.arange(k) < self.held[:, None]
+        values = np.full((len(sketches), k), _PAD, np.uint32)
+        values[self.inside] = np.concatenate([s[:k] for s in sketches])
         vocabulary, rank = np.unique(values, return_inverse=True)
         self.rank, self.width = rank.reshape(values.shape), len(vocabulary)
-        self.inside, self.held = np.arange(K) < held[:, None], held
         self.flat = None
         if full is not None:
-            vocabulary, self.flat = np.unique(np.frombuffer(b"".join(full), np.uint64), return_inverse=True)
+            vocabulary, self.flat = np.unique(np.concatenate(full), return_inverse=True)
             self.there = np.zeros(len(vocabulary), bool)
             self.start = np.concatenate([[0], np.cumsum(self.n)])
 
@@ -119,9 +120,9 @@ class Sets:
         rank, inside = self.rank[others], self.inside[others]
         shared = (mine[rank] > 0) & inside
         place = np.cumsum(inside, 1) + np.cumsum(mine)[rank] - np.cumsum(shared, 1)    # in the union
-        found = (shared & (place <= K)).sum(1)
+        found = (shared & (place <= self.k)).sum(1)
         union = n + self.n[others] - shared.sum(1)
-        whole = (n <= K) & (self.n[others] <= K)
+        whole = (n <= self.k) & (self.n[others] <= self.k)
         others = others[np.where(whole, shared.sum(1) * den >= union * num, found >= self.least)]
         if self.flat is None or not len(others):
             return others
@@ -194,16 +195,20 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).alias("id"), F.xxhash64(id_col, text_col).alias("key"), F.col(text_col).alias("text"))
 
 
-def listed(texts: DataFrame, start: int, stop: int) -> DataFrame:
-    """tid, entry, place: one row per entry of the inverted lists."""
+def listed(texts: DataFrame, start: int, stop: int, wanted: DataFrame | None = None) -> DataFrame:
+    """tid, entry, place: one row per entry of the inverted lists; with ``wanted`` (entries) those, and a few others by chance."""
+    bits = texts.sparkSession.sparkContext.broadcast(bitmap(wanted)) if wanted is not None else None
+
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [entries(np.frombuffer(s, np.uint32), start, stop) for s in batch.column("sketch").to_pylist()]
             size = np.array([len(f) for f in found], np.int64)
-            place = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size) + start
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("tid").take(pa.array(np.repeat(np.arange(len(found)), size))), pa.array(np.concatenate([np.zeros(0, np.int64), *found])),
-                 pa.array(place.astype(np.int32))], ["tid", "entry", "place"])
+            entry, row = np.concatenate([np.zeros(0, np.int64), *found]), np.repeat(np.arange(len(found)), size)
+            place = np.arange(len(row)) - np.repeat(np.cumsum(size) - size, size) + start
+            if bits is not None:
+                mine = in_bitmap(bits.value, entry)
+                entry, row, place = entry[mine], row[mine], place[mine]
+            yield pa.RecordBatch.from_arrays([batch.column("tid").take(pa.array(row)), pa.array(entry), pa.array(place.astype(np.int32))], ["tid", "entry", "place"])
     return texts.select("tid", "sketch").mapInArrow(compute, "tid binary, entry long, place int")
 
 
@@ -213,15 +218,18 @@ def _lengths(lists: DataFrame) -> DataFrame:
             .filter("length > 1"))
 
 
-def _compared(texts: DataFrame, lists: DataFrame, lengths: DataFrame, block: int, threshold: Fraction) -> DataFrame:
+def _compared(texts: DataFrame, lengths: DataFrame, start: int, stop: int, block: int, threshold: Fraction) -> DataFrame:
     """Spanning edges (a, b) of the candidates in the lists of up to ``block`` sets."""
     short = lengths.filter(F.col("length") <= block).groupBy("length", "x", "y").agg(F.min("entry").alias("entry")).select("entry")
-    members = lists.join(short, "entry").select("entry", "tid").join(texts.select("tid", "n", "sketch"), "tid")
+    short = cut_lineage(short, "short-lists")
+    brief = texts.select("tid", "n", F.substring("sketch", 1, 4 * LIST_K).alias("sketch"))
+    members = listed(texts, start, stop, short).join(short, "entry").select("entry", "tid").join(brief, "tid")
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in _groups(batches, ["entry"]):
             tids, every = group["tid"].to_pylist(), np.arange(group.num_rows)
-            pairs = spanning(Sets(group["sketch"].to_pylist(), group["n"].to_numpy(), threshold=threshold), every, every)
+            held = [np.frombuffer(s, np.uint32) for s in group["sketch"].to_pylist()]
+            pairs = spanning(Sets(held, group["n"].to_numpy(), LIST_K, threshold=threshold), every, every)
             if pairs:
                 yield _edges(tids, pairs)
     return members.repartition("entry").sortWithinPartitions("entry").select("entry", "tid", "n", "sketch").mapInArrow(compute, "a binary, b binary")
@@ -229,23 +237,20 @@ def _compared(texts: DataFrame, lists: DataFrame, lengths: DataFrame, block: int
 
 def candidates(texts: DataFrame, threshold: Fraction = THRESHOLD, block: int = BLOCK) -> DataFrame:
     """Edges whose components hold every link (steps 2 to 4)."""
-    lists = listed(texts, 0, FIRST - 1)
-    lengths = cut_lineage(_lengths(lists), "lengths")
-    edges = _compared(texts, lists, lengths, block, threshold)
+    lengths = cut_lineage(_lengths(listed(texts, 0, FIRST - 1)), "lengths")
+    edges = _compared(texts, lengths, 0, FIRST - 1, block, threshold)
     long = lengths.filter(F.col("length") > block).select("entry")
     if long.limit(1).count() == 0:
         return edges
-    common = cut_lineage(lists.join(long, "entry").select("tid", "entry"), "common")      # rows of the long lists
+    common = cut_lineage(listed(texts, 0, FIRST - 1, long).join(long, "entry").select("tid", "entry"), "common")      # rows of the long lists
     some = cut_lineage(texts.join(common.select("tid").distinct(), "tid", "left_semi"), "common-texts")
-    more = listed(some, FIRST - 1, LAST - 1)
-    further = cut_lineage(_lengths(more), "further")
+    further = cut_lineage(_lengths(listed(some, FIRST - 1, LAST - 1)), "further")
     long = long.union(further.filter(F.col("length") > block).select("entry")).distinct()
     safe = listed(some, 0, LAST - 1).filter("place % 2 = 0").join(long, "entry", "left_anti").groupBy("tid").count().filter(F.col("count") >= SAFE)
-    left = common.join(safe, "tid", "left_anti")
-    left = cut_lineage(left, "all-common")
+    left = cut_lineage(common.join(safe, "tid", "left_anti"), "all-common")
     heads = cut_lineage(left.groupBy("entry").agg(F.min("tid").alias("b")), "heads")
     stars = left.join(heads, "entry").filter("tid <> b").select(F.col("tid").alias("a"), "b").distinct()
-    return edges.union(_compared(some, more, further, block, threshold)).union(stars)
+    return edges.union(_compared(some, further, FIRST - 1, LAST - 1, block, threshold)).union(stars)
 
 
 def full_sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -271,12 +276,13 @@ def _verified(rows: DataFrame, threshold: Fraction) -> DataFrame:
             label = np.array([kinds.setdefault(x, len(kinds)) for x in group["label"].to_pylist()])
             if len(kinds) < 2:
                 continue
-            sets = Sets(group["sketch"].to_pylist(), group["n"].to_numpy(), group["full"].to_pylist(), threshold)
+            full = [np.frombuffer(s, np.uint64) for s in group["full"].to_pylist()]
+            sets = Sets([sketch(s, K) for s in full], group["n"].to_numpy(), K, full, threshold)
             alone = side[0] == 2
             pairs = spanning(sets, label, np.arange(len(tids)) if alone else np.flatnonzero(side == 0), None if alone else np.flatnonzero(side == 1))
             if pairs:
                 yield _edges(tids, pairs)
-    rows = rows.select("component", "i", "j", "side", "tid", "label", "n", "sketch", "full")
+    rows = rows.select("component", "i", "j", "side", "tid", "label", "n", "full")
     return rows.repartition("component", "i", "j").sortWithinPartitions("component", "i", "j").mapInArrow(compute, "a binary, b binary")
 
 
@@ -290,7 +296,7 @@ def _n_blocks(block: int, shingles_: int = BLOCK_SHINGLES) -> Column:
 
 
 def links(full: DataFrame, threshold: Fraction = THRESHOLD, block: int = BLOCK) -> DataFrame:
-    """Verified edges that span the links of every component (step 5). ``full``: component, blocks, tid, n, sketch, full."""
+    """Verified edges that span the links of every component (step 5). ``full``: component, blocks, tid, n, full."""
     own = F.pmod(F.xxhash64("tid"), F.col("blocks")).cast("int")
     full = full.withColumn("own", own)
     first = cut_lineage(_verified(full.withColumns({"i": F.col("own"), "j": F.col("own"), "side": F.lit(2), "label": F.col("tid")}), threshold), "links")
@@ -336,10 +342,10 @@ def near_duplicates(docs: DataFrame, threshold: Fraction = THRESHOLD, id_col: st
     texts = rows.filter("n > 0").groupBy("tid").agg(least, F.first("n").alias("n"), F.first("sketch").alias("sketch"))
     texts = cut_lineage(texts.select("tid", "n", "sketch", F.col("least.id").alias("id"), F.col("least.key").alias("key")), "sets")
     near = cut_lineage(components(cut_lineage(candidates(texts, threshold, block), "candidates")), "candidate-components")
-    found = near.withColumnRenamed("node", "tid").join(texts, "tid")
+    found = near.withColumnRenamed("node", "tid").join(texts.drop("sketch"), "tid")
     found = cut_lineage(found, "candidate-sets")
     sizes = cut_lineage(found.groupBy("root").agg(_n_blocks(block).alias("blocks")), "sizes")
-    members = found.join(sizes, "root").select(F.xxhash64("root").alias("component"), "blocks", "tid", "n", "sketch")
+    members = found.join(sizes, "root").select(F.xxhash64("root").alias("component"), "blocks", "tid", "n")
     full = members.join(full_sets(docs, found, id_col, text_col), "tid").dropDuplicates(["tid"])
     edges = cut_lineage(links(cut_lineage(full, "full"), threshold, block), "all-links")
     classes = cut_lineage(components(edges), "classes").withColumnRenamed("node", "tid")

@@ -8,8 +8,11 @@ from pyspark.sql import functions as F
 from ..session import cut_lineage
 
 
-def _fingerprint(edges: DataFrame):
-    return edges.agg(F.count("*"), F.bit_xor(F.xxhash64("hi", "lo"))).first()
+def _settled(edges: DataFrame) -> bool:
+    """Do the edges only join members to roots: every upper node has one lower one, which is no upper node?"""
+    ends = edges.select(F.col("hi").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("low")).union(edges.select("lo", F.lit(0), F.lit(1)))
+    per_node = ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("low").alias("low"))
+    return per_node.agg(F.coalesce(F.bool_and((F.col("up") + F.col("low")) <= 1), F.lit(True))).first()[0]
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -17,12 +20,12 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
 
     Each step links the neighbours of a node to the least one of them, so depth shrinks geometrically; a
     node with very many neighbours is a partial aggregate and a skew-splittable join, never one group
-    in a task. Every step is a written table, so a lost executor repeats one step at most.
+    in a task. Every step is a written table, so a lost executor repeats one step at most. Edges that already join
+    members to the least node of their component need no step.
     """
     e = edges.select(F.greatest(a, b).alias("hi"), F.least(a, b).alias("lo")).filter("hi <> lo").distinct()
     e = cut_lineage(e, "edges")
-    before = _fingerprint(e)
-    while True:
+    while not _settled(e):
         both = e.select(F.col("hi").alias("u"), F.col("lo").alias("v")).union(e.select(F.col("lo"), F.col("hi")))
         # both minima are written, so that both sides of a join are plain shuffles and a hub's neighbours can be split
         least = cut_lineage(both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m")), "least")
@@ -31,9 +34,5 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         pairs = large.join(low, "hi").select(F.explode(F.array(F.struct(F.col("lo").alias("hi"), F.col("m").alias("lo")),
                                                                F.struct(F.col("hi"), F.col("m").alias("lo")))).alias("p"))
         e = cut_lineage(pairs.select("p.hi", "p.lo").filter("hi <> lo").distinct(), "edges")
-        after = _fingerprint(e)
-        if after == before:
-            break
-        before = after
     roots = e.select(F.col("lo").alias("node")).distinct()
     return e.select(F.col("hi").alias("node"), F.col("lo").alias("root")).union(roots.select("node", F.col("node").alias("root")))
