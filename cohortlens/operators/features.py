@@ -167,6 +167,24 @@ def share_table(df: DataFrame, *, schema: PurchaseSchema = DEFAULT_SCHEMA, ts: s
     return df.where(F.col(s.contact).isNotNull()).groupBy(s.contact).agg(*_seasonality_aggs(t), *more)
 
 
+#: Columns of ``calendar_block``: what the full feature table has beyond ``FEATURE_COLUMNS``.
+CALENDAR_COLUMNS = [*MONTH_NAMES, *[f"pct_{d}" for d in config.WEEKDAY_NAMES], *WEEK_NAMES, "pct_festive_period"]
+
+
+def calendar_block(df: DataFrame, *, schema: PurchaseSchema = DEFAULT_SCHEMA, ts: str | None = None) -> DataFrame:
+    """Month, weekday and week-of-month shares and the festive share per customer in one aggregate.
+
+    A block for ``customer_features(extra_blocks=[calendar_block])``, which then gives the full table (49 numeric features).
+    """
+    s = schema
+    t = ts or time_column(df, ts=s.ts, date_fallback=s.date)
+    col, day = F.col(t), F.coalesce(*[F.to_date(c) for c in (t, s.date) if c in df.columns])
+    festive = F.when(day.isNotNull(), fx.is_festive_period(day)).cast("double")
+    shares = (share_aggs(F.month(col), range(1, 13), MONTH_NAMES) + share_aggs(fx.day_of_week(col), range(7), [f"pct_{d}" for d in config.WEEKDAY_NAMES])
+              + share_aggs(fx.week_of_month(col), range(1, 6), WEEK_NAMES))
+    return df.where(F.col(s.contact).isNotNull()).groupBy(s.contact).agg(*shares, F.coalesce(F.avg(festive), F.lit(0.0)).alias("pct_festive_period"))
+
+
 # -- a15, a16 ----------------------------------------------------------------
 def intensity(df: DataFrame, *, schema: PurchaseSchema = DEFAULT_SCHEMA, weighted: bool = False) -> DataFrame:
     """a15: tickets sum and the mean of unit prices; a16 (weighted): gmv sum / tickets sum."""

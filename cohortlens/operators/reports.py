@@ -6,8 +6,8 @@ group and value), never raw rows; grand totals are 1-row aggregates used as scal
 
 from __future__ import annotations
 
-from itertools import combinations
-
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -57,24 +57,51 @@ def mean_std(df: DataFrame, cols) -> DataFrame:
     return wide.select(stack)
 
 
+def gram(df: DataFrame, cols) -> DataFrame:
+    """Sums over the rows where both columns are known, for every pair: (i, j, n, s, q, p) = places, rows, sums of column i,
+    of its squares, and of the products, about column means that are subtracted first.
+
+    One scan after one for the means: a task adds up its four d x d matrices by matrix products over Arrow batches, so its memory
+    follows d * d and not the number of rows; d * d partial rows per task meet. NaN counts as unknown.
+    """
+    cols = list(cols)
+    x = df.select(*[F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double")).alias(f"x{i}") for i, c in enumerate(cols)])
+    mean = np.array([v or 0.0 for v in x.agg(*[F.avg(c) for c in x.columns]).first()])
+    d = len(cols)
+
+    def work(batches):
+        n, s, q, p = (np.zeros((d, d)) for _ in range(4))
+        for batch in batches:
+            v = np.column_stack([c.to_numpy(zero_copy_only=False).astype(float) for c in batch.columns]) - mean
+            known = np.isfinite(v)
+            v = np.where(known, v, 0.0)
+            known = known.astype(float)
+            n += known.T @ known
+            s += v.T @ known
+            q += (v * v).T @ known
+            p += v.T @ v
+        i, j = (a.ravel() for a in np.indices((d, d)))
+        yield pa.RecordBatch.from_arrays([pa.array(a) for a in (i, j, n.ravel(), s.ravel(), q.ravel(), p.ravel())], ["i", "j", "n", "s", "q", "p"])
+    partial = x.mapInArrow(work, "i long, j long, n double, s double, q double, p double")
+    return partial.groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in ("n", "s", "q", "p")])
+
+
 def correlation_long(df: DataFrame, cols, *, digits: int | None = 2) -> DataFrame:
-    """a18: Pearson correlation of every pair, long form (feature_a, feature_b, corr), one aggregate.
+    """a18: Pearson correlation of every pair, long form (feature_a, feature_b, corr), from one Gram-matrix aggregate.
 
-    Uses ``corr`` per pair inside a single aggregation (pairwise complete rows), plus the diagonal.
+    Pairwise complete rows; NULL where a column does not vary over them, 1 on the diagonal.
     """
-    pairs = list(combinations(cols, 2))
-    aggs = [F.corr(a, b).alias(f"c{i}") for i, (a, b) in enumerate(pairs)]
-    if not aggs:
-        aggs = [F.count(F.lit(1)).alias("_n")]
-    wide = df.agg(*aggs)
-    rows = []
-    for i, (a, b) in enumerate(pairs):
-        rows += [f"'{a}', '{b}', c{i}", f"'{b}', '{a}', c{i}"]
-    rows += [f"'{c}', '{c}', CAST(1.0 AS DOUBLE)" for c in cols]
-    out = wide.select(F.expr(f"stack({len(rows)}, {', '.join(rows)}) AS (feature_a, feature_b, corr)"))
+    cols = list(cols)
+    g = gram(df, cols)                                          # d * d rows
+    other = g.select(F.col("i").alias("j"), F.col("j").alias("i"), F.col("s").alias("s2"), F.col("q").alias("q2"))
+    both = g.join(other, ["i", "j"])
+    va, vb = F.col("q") - F.col("s") * F.col("s") / F.col("n"), F.col("q2") - F.col("s2") * F.col("s2") / F.col("n")
+    varies = (F.col("n") > 0) & (va > F.lit(1e-20)) & (vb > F.lit(1e-20))
+    r = F.when(F.col("i") == F.col("j"), F.lit(1.0)).when(varies, (F.col("p") - F.col("s") * F.col("s2") / F.col("n")) / F.sqrt(va * vb))
     if digits is not None:
-        out = out.withColumn("corr", F.round("corr", digits))
-    return out
+        r = F.round(r, digits)
+    names = F.array(*[F.lit(c) for c in cols])
+    return both.select(F.get(names, F.col("i").cast("int")).alias("feature_a"), F.get(names, F.col("j").cast("int")).alias("feature_b"), r.alias("corr"))
 
 
 def top_k_per_group(df: DataFrame, *, group: str, value: str, k: int = 10, count: str = "rows",

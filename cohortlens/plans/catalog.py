@@ -163,6 +163,12 @@ fest AS (
 """
 
 
+#: Festive day of ``fest`` (d, easter) as SQL.
+FESTIVE_SQL = ("strftime(f.d, '%m-%d') IN ('01-01', '04-21', '05-01', '09-07', '10-12', '11-02', '11-15', '12-25') "
+               "OR (strftime(f.d, '%m-%d') = '11-20' AND year(f.d) >= 2024) OR f.d = f.easter - 2 OR (month(f.d) = 12 AND day(f.d) >= 20) "
+               "OR (month(f.d) = 1 AND day(f.d) <= 5) OR month(f.d) = 6 OR abs(date_diff('day', f.easter - 47, f.d)) <= 2")
+
+
 @register("p11_festive_period", O.q(", " + _EASTER.strip() + """
 SELECT _row_id,
   CASE WHEN d IS NOT NULL THEN CAST(strftime(d, '%m-%d') IN ('01-01', '04-21', '05-01', '09-07', '10-12', '11-02',

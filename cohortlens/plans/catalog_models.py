@@ -24,7 +24,7 @@ from ..operators import standardize as zs
 from ..session import cut_lineage
 from ..sources import testdata
 from . import oracle_sql as O
-from .catalog import BUILD_DATE, _share_sql, customer_features_raw, prep, register, rounded, routed, window36
+from .catalog import _EASTER, BUILD_DATE, FESTIVE_SQL, _share_sql, customer_features_raw, prep, register, rounded, routed, window36
 
 NUM = O.NUM_FEATURES
 CLUSTER_VARS = ["frequency_12m", "n_unique_routes_out", "avg_price_per_ticket", "top_route_out_share",
@@ -245,12 +245,31 @@ def a22(spark, sf):
     return rounded(rp.mean_std(feats(spark, sf), NUM), {"mean": 6, "std": 6})
 
 
-@register("a18_correlation_matrix", O.q(
-    f"SELECT a.feature AS feature_a, b.feature AS feature_b, {R('corr(a.x, b.x)', 2)} AS corr "
-    "FROM flong a JOIN flong b USING (fk_contact) GROUP BY 1, 2"))
+def _raw_shares(cat, values, names):
+    return ", ".join(f"coalesce(sum(CASE WHEN {cat} = {v} THEN 1 ELSE 0 END) / nullif(count({cat}), 0), 0) AS {n}" for v, n in zip(values, names))
+
+
+_FULL = [*NUM, *ft.CALENDAR_COLUMNS]
+_FULL_LONG = ", " + _EASTER.strip().replace("FROM prep", "FROM win") + f"""
+, fb AS (SELECT w.fk_contact, avg(CAST({FESTIVE_SQL} AS INTEGER)) AS pct_festive_period FROM win w JOIN fest f USING (_row_id) GROUP BY 1),
+cx AS (SELECT fk_contact, {_raw_shares("CAST(month(purchase_datetime) AS INTEGER)", range(1, 13), ft.MONTH_NAMES)},
+  {_raw_shares("day_of_week", range(7), [f"pct_{d}" for d in config.WEEKDAY_NAMES])},
+  {_raw_shares("CAST(floor((day(purchase_datetime) - 1) / 7) + 1 AS INTEGER)", range(1, 6), ft.WEEK_NAMES)} FROM win WHERE fk_contact IS NOT NULL GROUP BY 1),
+wide AS (SELECT featd.*, cx.* EXCLUDE (fk_contact), coalesce(fb.pct_festive_period, 0) AS pct_festive_period
+  FROM featd JOIN cx USING (fk_contact) LEFT JOIN fb USING (fk_contact)),
+full_long AS (SELECT fk_contact, feature, CAST(x AS DOUBLE) AS x FROM (SELECT fk_contact, {', '.join(f'CAST({c} AS DOUBLE) AS {c}' for c in _FULL)} FROM wide)
+  UNPIVOT INCLUDE NULLS (x FOR feature IN ({', '.join(_FULL)})))
+"""
+
+
+@register("a18_correlation_matrix", O.q(_FULL_LONG + f"""SELECT a.feature AS feature_a, b.feature AS feature_b,
+  CASE WHEN a.feature = b.feature THEN 1 WHEN var_pop(a.x) > 1e-20 AND var_pop(b.x) > 1e-20 THEN {R('corr(a.x, b.x)', 2)} END AS corr
+FROM full_long a JOIN full_long b USING (fk_contact) GROUP BY 1, 2"""))
 def a18(spark, sf):
-    out = rp.correlation_long(feats(spark, sf), NUM, digits=None)
-    return rounded(out, {"corr": 2})
+    """Correlation of all 49 features of the full table."""
+    full = ft.customer_features(window36(spark, sf), build_date=BUILD_DATE, extra_blocks=[ft.calendar_block])
+    full = cut_lineage(full.select("fk_contact", *_FULL), "full-features")
+    return rounded(rp.correlation_long(full, _FULL, digits=None), {"corr": 2})
 
 
 # == clustering (k) =========================================================

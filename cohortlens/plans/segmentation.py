@@ -75,8 +75,11 @@ def run_segmentation(raw: DataFrame, *, out_dir: str | None = None, build_date=c
                      months: int = config.DEFAULT_WINDOW_MONTHS, tz: str | None = config.DEFAULT_TZ,
                      model_version: str = config.DEFAULT_MODEL_VERSION, cluster_vars=None,
                      ks=config.DEFAULT_K_VALUES, n_init: int = config.DEFAULT_N_INIT,
-                     max_iter: int = config.DEFAULT_MAX_ITER, top_n: int = config.DEFAULT_TOP_N) -> dict:
-    """E1: the whole segmentation run; writes every table under ``out_dir`` when given."""
+                     max_iter: int = config.DEFAULT_MAX_ITER, top_n: int = config.DEFAULT_TOP_N, full_calendar: bool = False) -> dict:
+    """E1: the whole segmentation run; writes every table under ``out_dir`` when given.
+
+    ``full_calendar``: the full feature table (month, weekday, week-of-month and festive shares too) and its correlations.
+    """
     timing = {}
     t0 = time.time()
     routed = cl.route_rows(cl.prepare(raw, tz=tz))
@@ -84,7 +87,8 @@ def run_segmentation(raw: DataFrame, *, out_dir: str | None = None, build_date=c
         routed = routed.materialize(f"{out_dir}/cleaning")
     timing["cleaning"] = time.time() - t0
     win = observation_window(routed.clean, build_date=build_date, months=months)
-    feats = cut_lineage(ft.customer_features(win, build_date=build_date, model_version=model_version), "features")
+    blocks = [ft.calendar_block] if full_calendar else []
+    feats = cut_lineage(ft.customer_features(win, build_date=build_date, model_version=model_version, extra_blocks=blocks), "features")
     timing["features"] = time.time() - t0
     cols = cluster_vars or zs.numeric_feature_columns(feats)
     scaler = zs.fit_scaler(feats, cols=cols)
@@ -103,6 +107,7 @@ def run_segmentation(raw: DataFrame, *, out_dir: str | None = None, build_date=c
     tables = {"customer_features": feats, "customer_features_standardized": std, "scaler": scaler.to_df(raw.sparkSession),
               "assignments": clus["assignments"], "centroids_z": clus["centroids_z"],
               "centroids_unstd": clus.get("centroids_unstd"), "metrics": clus["metrics"], **lab,
+              "correlations": rp.correlation_long(feats, zs.numeric_feature_columns(feats)),
               "overview": overview, "top_routes": top_routes, "top_companies": top_companies}
     if out_dir:
         sinks.write_bundle(tables, out_dir)
