@@ -136,3 +136,11 @@ def top_abs_z(centroids_z: DataFrame, *, used_cols, n: int = 5, cluster: str = "
     long = melt_z(centroids_z, used_cols=used_cols, cluster=cluster, suffix=suffix)
     w = Window.partitionBy(cluster).orderBy(F.abs("z").desc(), F.col("feature"))
     return long.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n)
+
+
+def glossary(spark, features, *, aliases=None, priority=None, low: float = config.LOW_THRESHOLD, high: float = config.HIGH_THRESHOLD) -> DataFrame:
+    """x03: one row per feature: its readable name, its rank in cluster names (NULL: last), and the label thresholds."""
+    aliases = config.DEFAULT_ALIASES if aliases is None else aliases
+    order = {f: i for i, f in enumerate(config.DEFAULT_PRIORITY if priority is None else priority)}
+    rows = [(f, aliases.get(f, f), order.get(f), float(low), float(high)) for f in features]
+    return spark.createDataFrame(rows, "feature string, alias string, priority int, low_at_most double, high_at_least double")

@@ -5,6 +5,7 @@ from __future__ import annotations
 import calendar
 import datetime as dt
 import logging
+import uuid
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
@@ -39,6 +40,33 @@ def time_column(df: DataFrame, *, ts: str = "purchase_datetime", date_fallback:
     raise KeyError(f"neither '{ts}' nor '{date_fallback}' is a column")
 
 
+def observe_times(df: DataFrame, *, ts: str = "purchase_datetime", date_fallback: str | None = "date_purchase",
+                  name: str | None = None) -> tuple[DataFrame, "TimeGuard"]:
+    """f10: the frame with a metric on its time column, and a guard to call after the next action on the frame (no extra job).
+
+    The metric counts rows and known times (the datetime, else the date); the guard raises ``ValueError`` if there are rows but no
+    known time. An empty frame passes.
+    """
+    cols = [F.col(c).cast("timestamp_ntz") for c in (ts, date_fallback) if c and c in df.columns]
+    if not cols:
+        raise KeyError(f"neither '{ts}' nor '{date_fallback}' is a column")
+    obs = Observation(name or f"times-{uuid.uuid4().hex}")
+    out = df.observe(obs, F.count(F.lit(1)).alias("rows"), F.count(F.coalesce(*cols)).alias("known"))
+    return out, TimeGuard(obs, ts if ts in df.columns else date_fallback)
+
+
+class TimeGuard:
+    def __init__(self, obs: Observation, column: str):
+        self.obs, self.column = obs, column
+
+    def check(self) -> int:
+        """Known times that the action saw; an error if it saw rows without any."""
+        got = self.obs.get
+        if got.get("rows", 0) > 0 and got.get("known", 0) == 0:
+            raise ValueError(f"'{self.column}' has no value in any of {got['rows']} rows")
+        return got.get("known", 0)
+
+
 def window_bounds(build_date, months: int):
     """(start, end_exclusive) as datetimes: [build_date - months, build_date + 1 day)."""
     if months <= 0:
@@ -55,8 +83,8 @@ def observation_window(df: DataFrame, *, build_date, months: int = config.DEFAUL
                        tickets: str = "total_tickets_quantity_success") -> DataFrame:
     """Rows with start <= t <= end of build day (both ends inclusive, calendar months back).
 
-    Literal bounds are computed on the driver so the predicate reaches the Parquet scan; a
-    Hive ``year``/``month`` layout, when present, is pruned too.
+    Literal bounds are computed on the driver so the predicate reaches the Parquet scan. A Hive ``year``/``month`` layout is
+    pruned to the months of the window by one range over both columns, a ``year`` layout to its years.
     """
     col = time_column(df, ts=ts, date_fallback=date_fallback)
     start, end = window_bounds(build_date, months)
@@ -65,8 +93,11 @@ def observation_window(df: DataFrame, *, build_date, months: int = config.DEFAUL
     lo = F.lit(start.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp_ntz")
     hi = F.lit(end.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp_ntz")
     cond = (t >= lo) & (t < hi)
-    if "year" in df.columns:
-        cond = cond & F.col("year").between(start.year, end.year)
+    last = end - dt.timedelta(microseconds=1)
+    if "year" in df.columns and "month" in df.columns:
+        cond = cond & (F.col("year") * 12 + F.col("month")).between(start.year * 12 + start.month, last.year * 12 + last.month)
+    elif "year" in df.columns:
+        cond = cond & F.col("year").between(start.year, last.year)
     out = df.where(cond)
     if post_filter_valid and gmv in df.columns and tickets in df.columns:
         out = out.where((F.col(gmv) > 0) & (F.col(tickets) > 0))

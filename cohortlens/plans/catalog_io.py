@@ -7,6 +7,7 @@ never a machine-local temp folder.
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
 from pyspark.sql import functions as F
 
@@ -32,24 +33,50 @@ NOTEBOOK_CLUSTER_NAMES = {
 }
 
 
+#: Fractional columns of the feature table; columns of the window table that are compared in full.
+_MONEY = ("monetary_gmv_12m", "avg_ticket_value", "avg_price_per_ticket")
+FLOATS = {c: 2 if c in _MONEY else 6 for c in O.NUM_FEATURES if c not in ("frequency_12m", "recency_days", "n_unique_routes_out", "total_tickets_12m")}
+_WIN_TEXT = ["fk_contact", "nk_ota_localizer_id", "route_out", "route_return", "time_purchase", "place_origin_departure", "place_destination_departure",
+             "place_origin_return", "place_destination_return", "fk_departure_ota_bus_company", "fk_return_ota_bus_company"]
+_WIN_INT = ["day_of_week", "is_weekend", "hour_of_day", "has_return"]
+_WIN_FLOAT = {"gmv_success": 2, "avg_price_per_ticket": 6, "log_gmv_success": 6}
+WIN_SQL = ", ".join(["_row_id", *_WIN_TEXT, *_WIN_INT, "total_tickets_quantity_success", "CAST(date_purchase AS DATE) AS date_purchase", "purchase_datetime",
+                     *(f"{R(c, d)} AS {c}" for c, d in _WIN_FLOAT.items())])
+
+
+def _win_columns(df):
+    return rounded(df.select("_row_id", *_WIN_TEXT, *[F.col(c).cast("int").alias(c) for c in _WIN_INT], "total_tickets_quantity_success", "date_purchase",
+                             "purchase_datetime", *_WIN_FLOAT), _WIN_FLOAT)
+
+
 def scratch(spark, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
 # == sources / sinks ===========================================================
 @register("s01_read_csv", O.q(
-    f"SELECT nk_ota_localizer_id, fk_contact, date_purchase, {R('gmv_success', 2)} AS gmv_success, "
-    "total_tickets_quantity_success FROM raw"))
+    f"SELECT nk_ota_localizer_id, fk_contact, date_purchase, time_purchase, {R('gmv_success', 2)} AS gmv_success, total_tickets_quantity_success, "
+    "place_origin_departure, place_destination_departure, fk_departure_ota_bus_company, CASE WHEN _row_id % 2 = 0 THEN 'web' END AS channel FROM "
+    "(SELECT * REPLACE (nullif(time_purchase, '') AS time_purchase) FROM raw)"))
 def s01(spark, sf):
-    """The file has its columns in another order, one more than declared, and the key under its alias."""
+    """Files with two headers under one path: other orders of the columns, one more than declared, the key under its alias."""
     path = scratch(spark, "raw-csv")
-    raw = testdata.purchases(spark, sf).drop("_row_id")
-    raw = raw.select(*sorted(raw.columns, reverse=True)).withColumnRenamed("nk_ota_localizer_id", "nk_order_id").withColumn("channel", F.lit("web"))
-    sinks.write_csv(raw, path)
+    _csv_files(testdata.purchases(spark, sf), path)
     df = sinks.read_purchases(spark, path, fmt="csv")
-    return rounded(df.select("nk_ota_localizer_id", "fk_contact", "date_purchase", "gmv_success",
-                             F.col("total_tickets_quantity_success").try_cast("bigint")
-                             .alias("total_tickets_quantity_success")), {"gmv_success": 2})
+    return rounded(df.select("nk_ota_localizer_id", "fk_contact", "date_purchase", "time_purchase", "gmv_success",
+                             F.col("total_tickets_quantity_success").try_cast("bigint").alias("total_tickets_quantity_success"),
+                             "place_origin_departure", "place_destination_departure", "fk_departure_ota_bus_company", "channel"), {"gmv_success": 2})
+
+
+def _csv_files(raw, path, keep_line=False):
+    """Even rows with the columns in reverse order, the key's alias and an extra column; odd rows in order, without a header in common."""
+    line = raw["_row_id"].cast("string")
+    even, odd = (raw.where(raw["_row_id"] % 2 == r).withColumn("line_no", line).drop("_row_id") for r in (0, 1))
+    if not keep_line:
+        even, odd = even.drop("line_no"), odd.drop("line_no")
+    even = even.select(*sorted(even.columns, reverse=True)).withColumnRenamed("nk_ota_localizer_id", "nk_order_id").withColumn("channel", F.lit("web"))
+    sinks.write_csv(even, path)
+    sinks.write_csv(odd, path, mode="append")
 
 
 @register("s03_read_std_features", O.q("SELECT DISTINCT feature FROM zlong"))
@@ -81,18 +108,23 @@ def s05(spark, sf):
     return run["assignments"]
 
 
-@register("s06_write_parquet", O.q("SELECT _row_id, fk_contact FROM win"))
+@register("s06_write_parquet", O.q(f"SELECT {WIN_SQL} FROM win"))
 def s06(spark, sf):
+    """The window table written and read again, every column."""
     path = scratch(spark, "window")
     sinks.write_parquet(window36(spark, sf), path)
-    return spark.read.parquet(path).select("_row_id", "fk_contact")
+    return _win_columns(spark.read.parquet(path))
 
 
-@register("s07_write_csv")
+@register("s07_write_csv", O.q(f"SELECT fk_contact, CAST(frequency_12m AS BIGINT) AS frequency_12m, recency_days, CAST(last_purchase AS TIMESTAMP) AS last_purchase, "
+                               f"n_unique_routes_out, top_route_out, top_company_out, total_tickets_12m, {', '.join(f'{R(c, d)} AS {c}' for c, d in FLOATS.items())} FROM feat"))
 def s07(spark, sf):
+    """The feature table written as CSV and read again with declared types, every column."""
     path = scratch(spark, "features-csv")
-    sinks.write_csv(customer_features_raw(spark, sf).select("fk_contact", "frequency_12m", "top_route_out"), path)
-    return spark.read.option("header", True).csv(path)
+    f = customer_features_raw(spark, sf).drop("build_date", "model_version")
+    sinks.write_csv(f, path)
+    back = spark.read.option("header", True).schema(f.schema).csv(path)
+    return rounded(back.select(*[c for c in f.columns]), FLOATS)
 
 
 @register("s08_write_partitioned", O.q(
@@ -161,23 +193,55 @@ def s12(spark, sf):
     return rounded(back.to_df(spark).drop("position"), {"mean": 6, "scale": 6})
 
 
-@register("s13_artifact_sets", O.q("SELECT 'rfm' AS \"table\", CAST(count(*) AS BIGINT) AS n_rows, CAST(sum(frequency_12m) AS BIGINT) AS total FROM feat "
-                                   "UNION ALL SELECT 'intensity', CAST(count(*) AS BIGINT), CAST(sum(total_tickets_12m) AS BIGINT) FROM feat"))
-def s13(spark, sf):
-    win = window36(spark, sf)
-    tables = {"rfm": ft.rfm(win, build_date=BUILD_DATE), "intensity": ft.intensity(win)}
-    out = sinks.write_bundle(tables, scratch(spark, "bundle"))
-    sums = {"rfm": "frequency_12m", "intensity": "total_tickets_12m"}
-    parts = [spark.read.parquet(out[t]).agg(F.lit(t).alias("table"), F.count(F.lit(1)).alias("n_rows"), F.sum(c).cast("long").alias("total"))
-             for t, c in sums.items()]
-    return parts[0].unionByName(parts[1])
+_RUN_LONG = {"rfm": ["frequency_12m", "monetary_gmv_12m", "recency_days", "avg_ticket_value"], "intensity": ["total_tickets_12m", "avg_price_per_ticket"],
+             "shares": ["pct_q1", "pct_q2", "pct_q3", "pct_q4", "pct_verao", "pct_outono", "pct_inverno", "pct_primavera", "pct_weekend", "pct_holiday"]}
 
 
-@register("x02_centroid_document", O.q(f"SELECT cluster_id, feature, {R('z * (CASE WHEN s = 0 OR s IS NULL THEN 1 ELSE s END) + m', 6)} AS value "
-                                       "FROM segz JOIN st USING (feature)"))
+@register("s13_artifact_sets", O.q(" UNION ALL ".join(
+    f"SELECT '{t}' AS \"table\", fk_contact, '{c}' AS name, {R(f'CAST({c} AS DOUBLE)', 2 if c in _MONEY else 6)} AS value FROM feat" for t, cols in _RUN_LONG.items() for c in cols)))
+def s13(spark, sf):
+    """A published run of three tables, read again through its manifest, every value."""
+    win = window36(spark, sf)
+    root = scratch(spark, "runs")
+    sinks.publish_run({"rfm": ft.rfm(win, build_date=BUILD_DATE), "intensity": ft.intensity(win), "shares": ft.seasonality(win)}, root, meta={"build_date": BUILD_DATE})
+    run, _ = sinks.read_published(spark, root)
+    parts = [run[t].select(F.lit(t).alias("table"), "fk_contact", F.expr(f"stack({len(cols)}, {', '.join(f'{chr(39)}{c}{chr(39)}, CAST({c} AS DOUBLE)' for c in cols)}) AS (name, value)"))
+             for t, cols in _RUN_LONG.items()]
+    both = reduce(lambda a, b: a.unionByName(b), parts)
+    money = F.col("name").isin(*_MONEY)
+    return rounded(both.withColumns({"v2": F.when(money, F.col("value")), "v6": F.when(~money, F.col("value"))}), {"v2": 2, "v6": 6}).select(
+        "table", "fk_contact", "name", F.coalesce("v2", "v6").alias("value"))
+
+
+@register("x02_centroid_document", O.q(f"""
+SELECT 'original' AS part, CAST(cluster_id AS INTEGER) AS cluster_id, feature, {R('z * (CASE WHEN s = 0 OR s IS NULL THEN 1 ELSE s END) + m', 6)} AS value, '{BUILD_DATE}' AS run_date
+FROM segz JOIN st USING (feature)
+UNION ALL SELECT 'mean', NULL, feature, {R('m', 6)}, '{BUILD_DATE}' FROM st WHERE v > 1e-12
+UNION ALL SELECT 'std', NULL, feature, {R('CASE WHEN s = 0 OR s IS NULL THEN 1 ELSE s END', 6)}, '{BUILD_DATE}' FROM st WHERE v > 1e-12
+UNION ALL SELECT 'median', CAST(cluster_id AS INTEGER), feature, {R('median(x)', 6)}, '{BUILD_DATE}' FROM flong JOIN seg USING (fk_contact)
+  WHERE feature IN ('frequency_12m', 'monetary_gmv_12m', 'recency_days') GROUP BY cluster_id, feature"""))
 def x02(spark, sf):
-    """The same document's centroids in original units."""
-    return s10(spark, sf, "centroids_original")
+    """The document with run date, centroids in original units, global means and standard deviations, and medians, written and parsed back."""
+    from ..operators import reports as rp
+    sc, z, f = z_wide(spark, sf)
+    seg = segments(spark, sf, f)
+    zcols = [f"{c}{sc.suffix}" for c in sc.used_cols]
+    cz = z.join(seg, "fk_contact").groupBy("cluster_id").agg(*[F.avg(c).alias(c) for c in zcols])
+    some = ["frequency_12m", "monetary_gmv_12m", "recency_days"]
+    medians = rp.group_medians(f.join(seg, "fk_contact"), by="cluster_id", cols=some)
+    doc = sinks.centroid_document(cz, used_cols=sc.used_cols, model_name="segment", centroids_unstd=sc.inverse(cz).select("cluster_id", *sc.used_cols),
+                                  medians=medians, scaler=sc.to_df(spark), run_date=BUILD_DATE, meta={"build_date": BUILD_DATE, "model_version": "v1"})
+    path = scratch(spark, "centroids-json")
+    sinks.write_json_doc(doc, path)
+    shape = "run_date string, centroids_original array<map<string, double>>, medians array<map<string, double>>, global_means map<string, double>, global_stds map<string, double>"
+    d = spark.read.text(path).select(F.from_json("value", shape).alias("d")).select("d.*")
+    parts = []
+    for field, part in (("centroids_original", "original"), ("medians", "median")):
+        m = d.select("run_date", F.explode(field).alias("m")).select("run_date", F.col("m")["cluster_id"].cast("int").alias("cluster_id"), F.explode("m").alias("feature", "value"))
+        parts.append(m.where("feature <> 'cluster_id'").withColumn("part", F.lit(part)))
+    for field, part in (("global_means", "mean"), ("global_stds", "std")):
+        parts.append(d.select("run_date", F.lit(None).cast("int").alias("cluster_id"), F.explode(field).alias("feature", "value")).withColumn("part", F.lit(part)))
+    return rounded(reduce(lambda a, b: a.unionByName(b), parts), {"value": 6})
 
 
 def _summary_tables(spark, sf):
@@ -228,6 +292,59 @@ def x03d(spark, sf):
     return out.withColumn("n", F.col("n").cast("long")).withColumn("rank", F.col("rank").cast("int"))
 
 
+def _stored_run(spark, sf):
+    """A published clustering run (segments as clusters) and the artefacts made from it: (tables, used columns)."""
+    from .segmentation import artifacts_from_run
+    sc, z, f = z_wide(spark, sf)
+    seg = segments(spark, sf, f)
+    zcols = [f"{c}{sc.suffix}" for c in sc.used_cols]
+    cz = z.join(seg, "fk_contact").groupBy("cluster_id").agg(*[F.avg(c).alias(c) for c in zcols])
+    metrics = spark.createDataFrame([(5, 1.0, 0.5, "kmeans", 42, True)], "k int, inertia double, silhouette double, algorithm string, random_state int, is_final boolean")
+    root = scratch(spark, "clustering-runs")
+    sinks.publish_run({"centroids_z": cz, "assignments": seg, "metrics": metrics, "scaler": sc.to_df(spark),
+                       "customer_features": f.select("fk_contact", "top_route_out", "top_company_out")}, root)
+    out = scratch(spark, "artefacts")
+    artifacts_from_run(spark, root, out, used_cols=sc.used_cols, build_date=BUILD_DATE, model_version="v1", run_date=BUILD_DATE)
+    return sinks.read_published(spark, out)[0], sc
+
+
+@register("x03e_summary_centroids")
+def x03e(spark, sf):
+    """From a stored run to its artefacts: centroids (z and original units) and labels of the written summary."""
+    run, sc = _stored_run(spark, sf)
+    z = run["labels"].select("cluster_id", "feature", "z", "label")
+    cols = ", ".join(f"'{c}', CAST(`{c}` AS DOUBLE)" for c in sc.used_cols)
+    x = run["centroids_unstd"].select("cluster_id", F.expr(f"stack({len(sc.used_cols)}, {cols}) AS (feature, value)"))
+    named = run["glossary"].select("feature", "alias")
+    return rounded(z.join(x, ["cluster_id", "feature"]).join(named, "feature").select("cluster_id", "feature", "alias", "z", "label", "value"), {"z": 6, "value": 6})
+
+
+@register("x03f_summary_assignments")
+def x03f(spark, sf):
+    """From a stored run to its artefacts: every customer's export row and cluster name as written."""
+    run, _ = _stored_run(spark, sf)
+    export = run["assignment_export"]
+    return export.join(run["assignments"].select("fk_contact", "cluster_name"), "fk_contact").join(
+        run["overview"].select(F.col("cluster_id").cast("bigint").alias("cluster_id"), "n_customers"), "cluster_id").select(
+        "fk_contact", "cluster_id", "k", "algorithm", "build_date", "run_date", "model_version", "cluster_name", "n_customers")
+
+
+@register("x05_silver_table", O.q(f"""
+, sv AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY fk_contact, purchase_datetime ORDER BY gmv_success NULLS LAST, _row_id) AS r FROM prep) WHERE r = 1)
+SELECT _row_id, fk_contact, purchase_datetime, trim(place_origin_departure) || '->' || trim(place_destination_departure) AS route_out,
+  CAST(place_origin_return IS NOT NULL AND place_destination_return IS NOT NULL AS INTEGER) AS has_return,
+  CAST(coalesce(place_origin_return IS NOT NULL AND place_destination_return IS NOT NULL AND total_tickets_quantity_success >= 2, false) AS INTEGER) AS has_return_strict,
+  {R('gmv_success', 2)} AS gmv_success, {R('avg_price_per_ticket', 6)} AS avg_price_per_ticket,
+  CAST(coalesce(avg_price_per_ticket > (SELECT quantile_cont(avg_price_per_ticket, 0.99) FROM sv), false) AS INTEGER) AS is_price_outlier_p99 FROM sv"""))
+def x05(spark, sf):
+    """The table that repurchase labels start from, out of raw purchases."""
+    from .segmentation import silver_table
+    out = silver_table(testdata.purchases(spark, sf), tz="UTC")
+    return rounded(out.select("_row_id", "fk_contact", "purchase_datetime", "route_out", F.col("has_return").cast("int").alias("has_return"),
+                              F.col("has_return_strict").cast("int").alias("has_return_strict"), "gmv_success", "avg_price_per_ticket", "is_price_outlier_p99"),
+                   {"gmv_success": 2, "avg_price_per_ticket": 6})
+
+
 # == streaming ===============================================================
 def _raw_files(spark, sf, n_files: int = 4):
     path = scratch(spark, "raw-files")
@@ -236,24 +353,31 @@ def _raw_files(spark, sf, n_files: int = 4):
     return path, spark.read.parquet(path).schema
 
 
-@register("m01_chunked_ingest", O.q("SELECT route, CAST(count(*) AS BIGINT) AS n_rows FROM (SELECT CASE WHEN route IN "
-                                    "('audit', 'invalid') THEN route ELSE 'valid' END AS route FROM routed) GROUP BY 1"))
+_STREAMED = ["fk_contact", "nk_ota_localizer_id", "route_out", "route_return"]
+_ROUTE3 = "CASE WHEN stage0 IN ('audit', 'invalid') THEN stage0 ELSE 'valid' END"
+
+
+@register("m01_chunked_ingest", O.q(f"SELECT _row_id AS line_no, {', '.join(_STREAMED)}, purchase_datetime, {R('gmv_success', 2)} AS gmv_success, "
+                                    f"{R('avg_price_per_ticket', 6)} AS avg_price_per_ticket, {_ROUTE3} AS route FROM stage"))
 def m01(spark, sf):
-    src, schema = _raw_files(spark, sf)
-    sink = scratch(spark, "stream-sink")
-    ingest.stream_clean(spark, source=src, sink=sink, checkpoint=scratch(spark, "stream-ckpt"),
-                        source_schema=schema, tz="UTC", max_files_per_trigger=1)
-    return spark.read.parquet(sink).groupBy("route").agg(F.count(F.lit(1)).alias("n_rows"))
+    """CSV files with two headers, a few per micro-batch, cleaned and routed; every row compared."""
+    src, sink = scratch(spark, "stream-csv"), scratch(spark, "stream-sink")
+    _csv_files(testdata.purchases(spark, sf).repartition(4, "_row_id"), src, keep_line=True)
+    ingest.stream_clean(spark, source=src, sink=sink, checkpoint=scratch(spark, "stream-ckpt"), fmt="csv", tz="UTC", max_files_per_trigger=3)
+    back = spark.read.parquet(sink)
+    return rounded(back.select(F.col("line_no").cast("bigint").alias("line_no"), *_STREAMED, "purchase_datetime", "gmv_success", "avg_price_per_ticket", "route"),
+                   {"gmv_success": 2, "avg_price_per_ticket": 6})
 
 
-@register("m02_append_sink", O.q("SELECT _row_id, route_out FROM prep"))
+@register("m02_append_sink", O.q(f"SELECT _row_id, {', '.join(_STREAMED)}, purchase_datetime, {R('gmv_success', 2)} AS gmv_success, total_tickets_quantity_success FROM prep"))
 def m02(spark, sf):
+    """Micro-batches appended by batch id; every row compared."""
     src, schema = _raw_files(spark, sf)
     sink = scratch(spark, "stream-append")
-    ingest.stream_append(spark, source=src, sink=sink, checkpoint=scratch(spark, "stream-append-ckpt"),
-                         source_schema=schema,
-                         transform=lambda d: cl.prepare(d, tz="UTC").select("_row_id", "route_out"))
-    return spark.read.parquet(sink).select("_row_id", "route_out")
+    cols = ["_row_id", *_STREAMED, "purchase_datetime", "gmv_success", "total_tickets_quantity_success"]
+    ingest.stream_append(spark, source=src, sink=sink, checkpoint=scratch(spark, "stream-append-ckpt"), source_schema=schema,
+                         transform=lambda d: cl.prepare(d, tz="UTC").select(*cols))
+    return rounded(spark.read.parquet(sink).select(*cols), {"gmv_success": 2})
 
 
 # == small operators ==========================================================
@@ -387,7 +511,6 @@ def _add_oracles():
         "t06_head": "SELECT _row_id, fk_contact FROM clean ORDER BY _row_id LIMIT 10",
         "s04_first_existing": "SELECT o_orderkey FROM orders",
         "s05_load_artifacts": "SELECT fk_contact, cluster_id FROM seg",
-        "s07_write_csv": "SELECT fk_contact, CAST(frequency_12m AS VARCHAR) AS frequency_12m, top_route_out FROM feat",
         "r02_pivot_labels": f"SELECT cluster_id, {pivot_lab} FROM segz GROUP BY cluster_id",
         "r03_pivot_z": f"SELECT cluster_id, {pivot_z} FROM segz GROUP BY cluster_id",
         "l04_centroid_summary": (
@@ -398,10 +521,14 @@ def _add_oracles():
         "l08_run_labeling": _names_sql() + "SELECT fk_contact, cluster_id, cluster_name FROM seg "
                                            "LEFT JOIN names USING (cluster_id)",
         "x03_summary_tables": _OVERVIEW + "SELECT * FROM ovs",
+        "x03e_summary_centroids": _names_sql() + f"SELECT CAST(cluster_id AS INTEGER) AS cluster_id, feature, alias, {R('z', 6)} AS z, {lab} AS label, "
+                                  f"{R('z * (CASE WHEN s = 0 OR s IS NULL THEN 1 ELSE s END) + m', 6)} AS value FROM segz JOIN st USING (feature) JOIN pr USING (feature)",
+        "x03f_summary_assignments": _names_sql() + f"SELECT fk_contact, CAST(seg.cluster_id AS BIGINT) AS cluster_id, 5 AS k, 'kmeans' AS algorithm, DATE '{BUILD_DATE}' AS build_date, "
+                                    f"DATE '{BUILD_DATE}' AS run_date, 'v1' AS model_version, cluster_name, n AS n_customers FROM seg LEFT JOIN names USING (cluster_id) "
+                                    "JOIN (SELECT cluster_id, count(*) AS n FROM seg GROUP BY 1) USING (cluster_id)",
     }
     catalog.ORACLES["x03b_summary_top_routes"] = catalog.ORACLES["t02_topk_per_group"]
     catalog.ORACLES["x03c_summary_top_companies"] = catalog.ORACLES["t03_topk_string"]
-    extra["j06_centroid_summary_join"] = extra["l04_centroid_summary"]
     for k, body in extra.items():
         catalog.ORACLES[k] = O.q(body)
     catalog.ORACLES["s11_append_batches"] = _labels_sql(7, (3, 7), weekly=False)

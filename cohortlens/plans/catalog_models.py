@@ -566,8 +566,13 @@ def l07(spark, sf):
     return nm.named_assignments(seg, nm.cluster_names(lab, used_cols=sc.used_cols))
 
 
-register("j05_names_join", O.q(_names_sql() + "SELECT fk_contact, cluster_id, cluster_name FROM seg "
-                               "LEFT JOIN names USING (cluster_id)"))(l07)
+@register("j05_names_join", O.q(_names_sql() + "SELECT cluster_name, CAST(count(*) AS BIGINT) AS n_customers, min(fk_contact) AS first_contact FROM seg "
+                                "LEFT JOIN names USING (cluster_id) GROUP BY cluster_name"))
+def j05(spark, sf):
+    """Customers per cluster name: the names joined to all assignments, then counted."""
+    sc, cz, seg, lab = _labels(spark, sf)
+    named = nm.named_assignments(seg, nm.cluster_names(lab, used_cols=sc.used_cols))
+    return named.groupBy("cluster_name").agg(F.count(F.lit(1)).alias("n_customers"), F.min("fk_contact").alias("first_contact"))
 
 
 @register("l08_run_labeling")
@@ -763,9 +768,15 @@ def j04(spark, sf):
     return win.join(segments(spark, sf, f), "fk_contact", "left").select("_row_id", "cluster_id")
 
 
-@register("j06_centroid_summary_join")
+@register("j06_centroid_summary_join", O.q(f"SELECT CAST(cluster_id AS INTEGER) AS cluster_id, feature, {R('z', 6)} AS z, {_LABEL_SQL} AS label, "
+                                           f"{R('z * (CASE WHEN s = 0 OR s IS NULL THEN 1 ELSE s END) + m', 6)} AS original FROM segz JOIN st USING (feature)"))
 def j06(spark, sf):
-    return l04(spark, sf)
+    """The join behind the centroid summary, long: z, label and original value of every cluster and feature."""
+    sc, cz, seg, lab = _labels(spark, sf)
+    wide = sc.inverse(cz).select("cluster_id", *sc.used_cols)
+    cols = ", ".join(f"'{c}', CAST(`{c}` AS DOUBLE)" for c in sc.used_cols)
+    original = wide.select("cluster_id", F.expr(f"stack({len(sc.used_cols)}, {cols}) AS (feature, original)"))
+    return rounded(lab.select("cluster_id", "feature", "z", "label").join(original, ["cluster_id", "feature"]), {"z": 6, "original": 6})
 
 
 @register("x01_assignment_export", O.q(

@@ -6,11 +6,14 @@ scaler statistics, the k-means fits, the k choice and the writes.
 from __future__ import annotations
 
 import time
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import config
+from ..config import DEFAULT_SCHEMA, PurchaseSchema
+from ..functions import cleaning as fx
 from ..operators import cleaning as cl
 from ..operators import cluster as km
 from ..operators import features as ft
@@ -131,3 +134,62 @@ def run_repurchase(purchases: DataFrame, *, contact: str = "fk_contact", ts: str
         labels.withColumn("ref_month", F.date_format("ref_date", "yyyy-MM")).hint("rebalance", "ref_month") \
             .write.mode("overwrite").partitionBy("ref_month").parquet(out_path)
     return labels
+
+
+def silver_table(raw: DataFrame, *, tz: str | None = config.DEFAULT_TZ, p: float = 0.99, accuracy: int | None = None,
+                 schema: PurchaseSchema = DEFAULT_SCHEMA) -> DataFrame:
+    """E3, first half: raw purchases -> the table that repurchase labels start from.
+
+    Wall-clock times that the zone does not have or has twice are NULL; ``has_return`` needs both return ends
+    (``has_return_strict`` also two tickets); the route is ``origin->destination`` of trimmed names; of each (contact, datetime)
+    the row of lowest gmv stays; prices above the quantile ``p`` of all kept rows are flagged, not removed.
+    """
+    s = schema
+    rows = cl.prepare(raw, schema=s, tz=tz, gap="null", overlap="null", strict=False)
+    rows = rows.withColumns({
+        "has_return_relaxed": F.col(s.has_return),
+        "has_return_strict": fx.has_return(s.origin_ret, s.dest_ret, s.tickets, strict=True),
+        s.route_out: fx.route(s.origin_out, s.dest_out, sep="->", trim=True)})
+    kept = cut_lineage(cl.distinct_contact_time(rows, schema=s), "silver")       # read twice: threshold and flag
+    return cl.p99_flag(kept, col=s.avg_price, p=p, accuracy=accuracy)
+
+
+def artifacts_from_run(spark, run_root: str, out_root: str, *, used_cols, run_id: str | None = None, model_name: str = "kmeans",
+                       build_date=config.DEFAULT_BUILD_DATE, model_version: str = config.DEFAULT_MODEL_VERSION, run_date=None,
+                       top_n: int = config.DEFAULT_TOP_N) -> str:
+    """E4: one call from a published clustering run to all of its artefacts, published in turn; returns the new run id.
+
+    Reads ``centroids_z`` and, where the run has them, ``centroids_unstd``, ``assignments``, ``metrics``, ``scaler`` and
+    ``customer_features``; labels and names the clusters again; writes the centroid document, the assignment export and the
+    tables of the summary (overview, centroids, labels, names, named assignments, top values, glossary). Centroids in original units are
+    computed from the scaler's parameters if the run lacks them. A run without ``centroids_z`` is an error.
+    """
+    run, meta = sinks.read_published(spark, run_root, run_id=run_id)
+    if "centroids_z" not in run:
+        raise ValueError("the stored run has no centroids_z")
+    unstd, scaler = run.get("centroids_unstd"), run.get("scaler")
+    if unstd is None and scaler is not None:
+        unstd = zs.Scaler.from_df(scaler).inverse(run["centroids_z"]).select("cluster_id", *used_cols)
+    lab = run_labeling(centroids_z=run["centroids_z"], used_cols=used_cols, assignments=run.get("assignments"), centroids_unstd=unstd,
+                       metrics=run.get("metrics"), meta={"build_date": str(build_date), "model_version": model_version})
+    facts = lab["centroid_summary"].limit(1).collect()[0].asDict() if run.get("metrics") is not None else {}
+    stats = {c: facts[c] for c in ("k", "algorithm", "random_state") if facts.get(c) is not None}
+    doc = sinks.centroid_document(run["centroids_z"], used_cols=used_cols, model_name=model_name, centroids_unstd=unstd, scaler=scaler,
+                                  run_date=run_date, meta={**stats, "build_date": str(build_date), "model_version": model_version})
+    tables = {"centroid_document": doc, "centroids_z": run["centroids_z"], "centroids_unstd": unstd, "labels": lab["centroid_labels"],
+              "cluster_names": lab["cluster_names"], "centroid_summary": lab["centroid_summary"], "metrics": run.get("metrics"),
+              "glossary": nm.glossary(spark, used_cols)}
+    if run.get("assignments") is not None:
+        named = lab["assignments_named"]
+        tables["assignments"] = named
+        tables["overview"] = rp.count_by_key(named, "cluster_id", name="n_customers")
+        tables["assignment_export"] = sinks.assignment_export(
+            run["assignments"], k=int(stats.get("k", 0)), algorithm=str(stats.get("algorithm", "")), build_date=build_date,
+            model_version=model_version, run_date=run_date or build_date)
+        if run.get("customer_features") is not None:
+            own = run["customer_features"].join(named.select("fk_contact", "cluster_id"), "fk_contact")
+            tops = [rp.top_k_string(own, group="cluster_id", value=c, k=top_n, out="top").withColumn("metric", F.lit(c))
+                    for c in ("top_route_out", "top_company_out") if c in own.columns]
+            if tops:
+                tables["top"] = reduce(lambda a, b: a.unionByName(b), tops)
+    return sinks.publish_run(tables, out_root, meta={**meta, "source_run": run_root})

@@ -6,14 +6,18 @@ distributed ``DataFrame.write``, never a driver-side loop.
 
 from __future__ import annotations
 
+import csv
 import datetime as dt
+import json
 import os
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..config import DEFAULT_SCHEMA, PurchaseSchema
+from ..operators.window import observe_times
 
 
 # -- s01 ---------------------------------------------------------------------
@@ -41,46 +45,77 @@ def with_row_id(df: DataFrame, *, fmt: str, row_id: str = "_row_id") -> DataFram
     return df.withColumn(row_id, rid)
 
 
+NULL_LITERALS = ("", "NA", "N/A", "NULL", "null", "None", "NaN", "nan", "<NA>")
+
+
 def read_purchases(spark: SparkSession, path: str, *, fmt: str = "csv", sep: str = ",", encoding: str = "utf-8",
                    columns=None, limit: int | None = None, schema: PurchaseSchema = DEFAULT_SCHEMA,
-                   null_literals=("", "NA", "N/A", "NULL", "null", "None", "NaN", "nan", "<NA>")) -> DataFrame:
+                   null_literals=NULL_LITERALS) -> DataFrame:
     """Raw purchases by column *name*, placeholder literals as NULL, and a ``_row_id``.
 
-    CSV columns are found by the header whatever their order; the order key may have any of its
-    aliases, optional columns that are absent become NULL, extra ones are kept as text, and a missing required
-    column is an error. gmv is a double (unparsable: NULL), everything else text. A row with more or fewer fields than
-    the header is kept with its raw text in ``_corrupt_record`` (NULL for sound rows). Files under one path share one
-    header. ``columns`` keeps a subset (Catalyst prunes the scan); ``limit`` mirrors ``nrows``.
+    CSV columns are found by the header of each file, whatever their order; files under one path may have different
+    headers. The order key may have any of its aliases, optional columns that are absent become NULL, extra ones are kept as
+    text, and a missing required column is an error. gmv is a double (unparsable: NULL), everything else text. A row with more
+    or fewer fields than its header is kept with its raw text in ``_corrupt_record`` (NULL for sound rows).
+    ``columns`` keeps a subset (Catalyst prunes the scan); ``limit`` mirrors ``nrows``.
     """
-    declared = purchase_csv_schema(schema).fieldNames()
     if fmt == "csv":
-        reader = spark.read.option("header", True).option("sep", sep).option("encoding", encoding)
-        header = reader.option("inferSchema", False).csv(path).columns          # reads the header only
-        text = T.StructType([T.StructField(c, T.StringType()) for c in header] + [T.StructField("_corrupt_record", T.StringType())])
-        df = (reader.schema(text).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt_record")
-              .option("enforceSchema", False).csv(path))
+        parts = []
+        reader = spark.read.option("header", True).option("sep", sep).option("encoding", encoding).option("mode", "PERMISSIVE")
+        headers = header_files(csv_lines(spark.read, path, encoding=encoding))
+        for line, files in headers.items():
+            part = reader.schema(header_schema(line, sep)).option("columnNameOfCorruptRecord", "_corrupt_record").csv(path)
+            part = with_row_id(part, fmt=fmt, row_id=schema.row_id)
+            if len(headers) > 1:                         # constant metadata: files of other headers are not opened
+                part = part.where(F.col("_metadata.file_path").isin(files))
+            parts.append(by_name(part, schema=schema, null_literals=null_literals, where=path))
+        df = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts) if parts else \
+            spark.createDataFrame([], T.StructType([*purchase_csv_schema(schema).fields, T.StructField(schema.row_id, T.LongType())]))
     else:
-        df = spark.read.format(fmt).load(path)
-    df = with_row_id(df, fmt=fmt, row_id=schema.row_id)
+        df = by_name(with_row_id(spark.read.format(fmt).load(path), fmt=fmt, row_id=schema.row_id), schema=schema, null_literals=null_literals, where=path)
+    if columns is not None:
+        df = df.select(*[c for c in columns if c in df.columns], schema.row_id)
+    if limit is not None:
+        df = df.orderBy(schema.row_id).limit(limit)
+    return df
+
+
+def csv_lines(reader, path: str, *, encoding: str = "utf-8") -> DataFrame:
+    """Raw lines of the CSV files under ``path`` (``reader`` of a batch or a stream): line, _file, _block (start of the split)."""
+    lines = reader.schema("line string").option("sep", "\x00").option("quote", "").option("encoding", encoding).csv(path)
+    return lines.select("line", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"))
+
+
+def header_files(lines: DataFrame) -> dict:
+    """Header line -> files that begin with it: one partial aggregate over the first splits, one row per file comes back."""
+    first = F.min(F.struct("_line", "line")).alias("h")
+    out: dict = {}
+    for r in lines.withColumn("_line", F.monotonically_increasing_id()).where("_block = 0").groupBy("_file").agg(first).orderBy("_file").collect():
+        out.setdefault(r["h"]["line"], []).append(r["_file"])
+    return out
+
+
+def header_schema(line: str, sep: str) -> T.StructType:
+    names = next(csv.reader([line.lstrip("\ufeff")], delimiter=sep))
+    return T.StructType([T.StructField(c, T.StringType()) for c in names] + [T.StructField("_corrupt_record", T.StringType())])
+
+
+def by_name(df: DataFrame, *, schema: PurchaseSchema = DEFAULT_SCHEMA, null_literals=NULL_LITERALS, where: str = "the source") -> DataFrame:
+    """Declared columns first (absent optional ones NULL), then extra ones and the row id; placeholder literals NULL, gmv a double."""
+    declared = purchase_csv_schema(schema).fieldNames()
     alias = next((a for a in schema.key_aliases if a in df.columns), None)
     if schema.key not in df.columns and alias:
         df = df.withColumnRenamed(alias, schema.key)
     missing = [c for c in (schema.key, *schema.required) if c not in df.columns]
     if missing:
-        raise ValueError(f"required columns missing in {path}: {missing}")
+        raise ValueError(f"required columns missing in {where}: {missing}")
     df = df.withColumns({c: F.lit(None).cast("string") for c in declared if c not in df.columns})
     extra = [c for c in df.columns if c not in declared and c != schema.row_id]
     df = df.select(*declared, *extra, schema.row_id)
-    if columns is not None:
-        df = df.select(*[c for c in columns if c in df.columns], schema.row_id)
     # S20: the many spellings of "missing" (plain text columns only)
     text_cols = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType) and f.name != "_corrupt_record"]
     df = df.withColumns({c: F.when(~F.trim(F.col(c)).isin(list(null_literals)), F.col(c)) for c in text_cols})
-    if schema.gmv in df.columns:
-        df = df.withColumn(schema.gmv, F.col(schema.gmv).try_cast("double"))
-    if limit is not None:
-        df = df.orderBy(schema.row_id).limit(limit)
-    return df
+    return df.withColumn(schema.gmv, F.col(schema.gmv).try_cast("double")) if schema.gmv in df.columns else df
 
 
 # -- s04 ---------------------------------------------------------------------
@@ -170,13 +205,16 @@ def write_partitioned(df: DataFrame, root: str, *, ts: str = "purchase_datetime"
 
     Rows are *rebalanced* by the partition columns (few files per partition value) and AQE splits
     a skewed value over several writer tasks, so a month with a third of the data is not written
-    by one task (a plain ``repartition`` by the columns would do exactly that)."""
+    by one task (a plain ``repartition`` by the columns would do exactly that). Rows without a single known time are an
+    error (f10), found by a metric of the write itself."""
+    df, guard = observe_times(df, ts=ts, date_fallback=date_fallback)
     out = with_partitions(df, ts=ts, date_fallback=date_fallback, partition_cols=partition_cols)
     out = out.hint("rebalance", *partition_cols)
     w = out.write.mode("overwrite" if overwrite else "append").option("compression", compression)
     if overwrite and dynamic:
         w = w.option("partitionOverwriteMode", "dynamic")
     w.partitionBy(*partition_cols).parquet(root)
+    guard.check()
     return root
 
 
@@ -189,10 +227,15 @@ def partition_counts(df: DataFrame, partition_cols, *, preview: int | None = Non
 # -- s10 / x02 ---------------------------------------------------------------
 def centroid_document(centroids_z: DataFrame, *, used_cols, model_name: str, suffix: str = "_z",
                       centroids_unstd: DataFrame | None = None, stats: DataFrame | None = None,
-                      medians: DataFrame | None = None, meta: dict | None = None) -> DataFrame:
-    """x02: a one-row JSON document (model, features, centroids z/original, stats, medians)."""
+                      medians: DataFrame | None = None, scaler: DataFrame | None = None, run_date=None,
+                      meta: dict | None = None) -> DataFrame:
+    """x02: a one-row JSON document: model, run date, features, centroids (z and original), global means and standard
+    deviations by feature (from the parameter table of the ``scaler``), stats, medians by cluster."""
     spark = centroids_z.sparkSession
 
+    def by_feature(value):
+        return scaler.agg(F.to_json(F.map_from_entries(F.array_sort(F.collect_list(F.struct("feature", value)))))).scalar()
+
     def records(df):
         return df.agg(F.to_json(F.array_sort(F.collect_list(F.struct(*df.columns))))).scalar()
 
@@ -204,10 +247,14 @@ def centroid_document(centroids_z: DataFrame, *, used_cols, model_name: str, suf
         fields.append(records(stats).alias("stats"))
     if medians is not None:
         fields.append(records(medians).alias("medians"))
+    if scaler is not None:
+        fields += [by_feature("mean").alias("global_means"), by_feature("scale").alias("global_stds")]
+    if run_date is not None:
+        fields.append(F.lit(str(run_date)[:10]).alias("run_date"))
     for k, v in (meta or {}).items():
         fields.append(F.lit(v).alias(k))
     doc = spark.range(1).select(*fields)          # each part is a k-row table folded into one value
-    json_cols = ("features", "centroids_z", "centroids_original", "stats", "medians")
+    json_cols = ("features", "centroids_z", "centroids_original", "stats", "medians", "global_means", "global_stds")
     return doc.select(F.to_json(F.struct(*[F.parse_json(F.col(c)).alias(c) if c in json_cols else F.col(c)
                                            for c in doc.columns])).alias("value"))
 
@@ -239,6 +286,48 @@ def write_bundle(tables: dict, root: str, *, fmt: str = "parquet") -> dict:
     return out
 
 
+MANIFEST = "manifest"
+
+
+def publish_run(tables: dict, root: str, *, run_id: str | None = None, fmt: str = "parquet", meta: dict | None = None) -> str:
+    """s13: a run of named tables under ``<root>/<run_id>``, visible to readers as a whole.
+
+    The tables are written first, the manifest (table, path, format, columns, metadata) last; ``read_published`` looks for
+    manifests only, so a run that was cut short is never seen. Returns the run id; one that is published already is an error.
+    """
+    spark = next(df for df in tables.values() if df is not None).sparkSession
+    run_id = run_id or dt.datetime.now(dt.timezone.utc).strftime("%Y%m%d_%H%M%S_%f")
+    base = f"{root.rstrip('/')}/{run_id}"
+    if path_exists(spark, f"{base}/{MANIFEST}"):
+        raise ValueError(f"run {run_id} is published already")
+    paths = write_bundle(tables, base, fmt=fmt)
+    rows = [(run_id, name, path, fmt, tables[name].schema.json(), json.dumps(meta or {}, default=str, sort_keys=True)) for name, path in sorted(paths.items())]
+    manifest = spark.createDataFrame(rows, "run_id string, name string, path string, format string, columns string, meta string")
+    manifest.coalesce(1).write.mode("error").json(f"{base}/{MANIFEST}")
+    return run_id
+
+
+def read_published(spark: SparkSession, root: str, *, run_id: str | None = None) -> tuple[dict, dict]:
+    """(tables, metadata) of a published run, the one of the greatest id by default; names, types and order of columns as written."""
+    path = f"{root.rstrip('/')}/{run_id or '*'}/{MANIFEST}"
+    try:
+        rows = spark.read.schema("run_id string, name string, path string, format string, columns string, meta string").json(path)
+        newest = rows.agg(F.max("run_id")).first()[0]
+        found = rows.where(F.col("run_id") == newest).collect()           # a row per table
+    except Exception as e:  # noqa: BLE001 - Spark's error for a path without files
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        found = []
+    if not found:
+        raise FileNotFoundError(f"no published run under {root}" + (f" with id {run_id}" if run_id else ""))
+    out = {}
+    for r in found:
+        schema = T.StructType.fromJson(json.loads(r["columns"]))
+        df = spark.read.parquet(r["path"]) if r["format"] == "parquet" else spark.read.option("header", True).schema(schema).csv(r["path"])
+        out[r["name"]] = df.select(*schema.names)
+    return out, json.loads(found[0]["meta"])
+
+
 # -- x01 ---------------------------------------------------------------------
 def assignment_export(assignments: DataFrame, *, k: int, algorithm: str, build_date, model_version: str,
                       run_date, id_col: str = "fk_contact", cluster_col: str = "cluster_id") -> DataFrame:
@@ -254,7 +343,6 @@ def assignment_export(assignments: DataFrame, *, k: int, algorithm: str, build_d
 def append_run(spark: SparkSession, path: str, *, params: dict, paths: dict | None = None,
                timing_s: dict | None = None, run_id: str | None = None) -> DataFrame:
     """x04: one manifest row appended to the ``runs`` table (parameters, outputs, timings as JSON)."""
-    import json
     row = [(run_id or dt.datetime.now(dt.timezone.utc).strftime("%Y%m%d_%H%M%S"),
             json.dumps(params, default=str, sort_keys=True), json.dumps(paths or {}, sort_keys=True),
             json.dumps(timing_s or {}, sort_keys=True))]
