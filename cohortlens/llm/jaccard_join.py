@@ -17,13 +17,14 @@ from collections.abc import Iterator
 from fractions import Fraction
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .common import slices, words
+from .common import bitmap, in_bitmap, slices, words
 from .components import components
 
 SHINGLE = 5
@@ -268,18 +269,19 @@ def jaccard_join(docs: DataFrame, threshold: Fraction = THRESHOLD, id_col: str =
              .agg(F.greatest(F.ceil(F.count("*") / BLOCK_ROWS), F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES)).alias("blocks")))
     members = (near.join(sizes, "root").withColumnRenamed("node", "tid").join(texts.drop("keys"), "tid")
                .withColumn("group", F.xxhash64("root")))
-    whole = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), _tid(F.col(text_col)).alias("t"))
-    # one row of each text: that with the least id (rows that repeat it are dropped below)
-    bodies = members.join(whole, (F.col("tid") == F.col("t")) & F.col("least_id").eqNullSafe(F.col("id"))).drop("t", "id", "least_id", "root")
-    schema = "tid binary, copies long, n_shingles long, sig binary, blocks long, group long, shingles binary"
-    names = [f.split()[0] for f in schema.split(", ")]
+    # one row of each text, that with the least id; a bitmap of fixed size tells which rows may be such, so no other text moves
+    bits = docs.sparkSession.sparkContext.broadcast(bitmap(members.select(F.xxhash64("least_id", "tid"))))
+    whole = docs.select(_tid(F.col(text_col)).alias("tid"), F.col(text_col).alias("text"), F.col(id_col).alias("id")).select("tid", "text", F.xxhash64("id", "tid").alias("key"))
 
     def with_shingles(batches):
-        for part in slices(batches, "text", BATCH_BYTES):
-            cache = _WordHash()
-            sets = pa.array([shingles(words(t), cache).tobytes() for t in part.column("text").to_pylist()], pa.binary())
-            yield pa.RecordBatch.from_arrays([*(part.column(n) for n in names[:-1]), sets], names)
-    sets = bodies.mapInArrow(with_shingles, schema).dropDuplicates(["tid"])
+        for batch in batches:
+            mine = batch.filter(pa.array(in_bitmap(bits.value, batch.column("key").to_numpy())))
+            for part in slices([mine], "text", BATCH_BYTES):
+                cache = _WordHash()
+                sets = pa.array([shingles(words(t), cache).tobytes() for t in part.column("text").to_pylist()], pa.binary())
+                yield pa.RecordBatch.from_arrays([part.column("tid"), sets], ["tid", "shingles"])
+    held = members.select("tid", "copies", "n_shingles", "sig", "blocks", "group")
+    sets = held.join(whole.mapInArrow(with_shingles, "tid binary, shingles binary"), "tid").dropDuplicates(["tid"])
     blocks = _into_blocks(sets, "group", F.col("blocks"))
 
     def verify(batches):
@@ -295,6 +297,7 @@ def jaccard_join(docs: DataFrame, threshold: Fraction = THRESHOLD, id_col: str =
     lows = classes.join(texts.select("tid", "least_id"), "tid").groupBy("root").agg(F.min("least_id").alias("low"))
     per_text = (texts.select("tid", "copies", "least_id", "n_shingles").join(links, "tid", "left").join(classes.join(lows, "root"), "tid", "left")
                 .select("tid", F.coalesce("low", "least_id").alias("class_id"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")))
+    per_text = cut_lineage(per_text, "per-text")       # a plain table, so that a text that very many rows share can be split
     out = rows.select("id", "tid", "n_shingles").join(per_text, "tid")
     empty = F.col("n_shingles") == 0
     return out.select(F.col("id").alias(id_col), F.when(empty, F.col("id")).otherwise(F.col("class_id")).alias("class_id"),
@@ -306,9 +309,24 @@ def one_of_each(docs: DataFrame, joined: DataFrame, id_col: str = "doc_id", text
 
     Rows without an id cannot be told apart by it; they stay if their class has no id, else they go with their class.
     """
-    keep = joined.filter(F.col("class_id").eqNullSafe(F.col(id_col))).select(F.col(id_col).alias("kept_id")).distinct()
-    kept = docs.join(keep, docs[id_col].eqNullSafe(keep["kept_id"]), "left_semi")
-    return kept.withColumn("_tid", _tid(F.col(text_col))).dropDuplicates([id_col, "_tid"]).drop("_tid")
+    again = joined.groupBy(id_col).agg(F.count("*").alias("n"), F.bool_or(~F.col("class_id").eqNullSafe(F.col(id_col))).alias("other")).filter("n > 1 OR other")
+    bits = docs.sparkSession.sparkContext.broadcast(bitmap(again.select(F.xxhash64(id_col))))
+
+    @F.pandas_udf("boolean")
+    def may_go(h: pd.Series) -> pd.Series:
+        return pd.Series(in_bitmap(bits.value, h.to_numpy()))
+    flag, tid = (_unused(docs, c) for c in ("_may_go", "_tid"))
+    rows = docs.withColumn(flag, may_go(F.xxhash64(id_col)))          # rows without the flag are alone in class and id
+    keep = joined.filter(F.col("class_id").eqNullSafe(F.col(id_col))).select(F.col(id_col).alias(_unused(docs, "_kept_id"))).distinct()
+    kept = rows.filter(flag).join(keep, docs[id_col].eqNullSafe(keep[keep.columns[0]]), "left_semi")
+    kept = kept.withColumn(tid, _tid(F.col(text_col))).dropDuplicates([id_col, tid])
+    return rows.filter(~F.col(flag)).select(*docs.columns).union(kept.select(*docs.columns))
+
+
+def _unused(df: DataFrame, name: str) -> str:
+    while name in df.columns:
+        name += "_"
+    return name
 
 
 ORACLE = """
