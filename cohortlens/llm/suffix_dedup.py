@@ -8,10 +8,14 @@ a corpus in one place is neither possible nor needed, so:
    twice can repeat. Neighbouring windows with one anchor form a run (about 40 windows).
 2. Runs with the same anchor and the same bytes: all but the earliest are repeats, as they stand (aggregate and join).
 3. The earliest of each kind of run, if its anchor has several kinds: their windows are sorted as suffixes.
-   Runs of an anchor meet in one task, in blocks of ``BLOCK`` runs if there are more; every task sorts the
+   Runs of an anchor meet in one task; it sorts the
    windows with multikey quicksort over 8-byte words to ``SHALLOW`` bytes, then orders the groups that are still
    equal with blind tries (skip value and branching byte per node). Windows equal in all ``LENGTH`` bytes
-   are a class; all but its earliest are repeats. Classes of anchors with several blocks are merged by digest.
+   are a class; all but its earliest are repeats.
+   An anchor with more than ``BLOCK`` kinds of runs is split by content: its windows are dealt into segments by where the anchor
+   stands in them, and windows of a segment can only be equal if the bytes that all of them cover are, so each segment of a run goes
+   to the group of those 90 bytes. No window is in two groups, so classes need no merging. Segments with the same bytes
+   are one before they are sorted.
 4. The marked runs of each document meet its text once.
 
 Hashes only choose what is compared in 1 and 3; step 2 takes equal 64-bit hashes of anchor and of the run's bytes as equality.
@@ -32,6 +36,7 @@ from .common import slices
 
 LENGTH, GRAM, SHALLOW = 100, 24, 24
 BLOCK = 4096
+SEGMENT = 11                                      # places of the anchor in a window that make one segment
 BATCH_BYTES = 1 << 19
 CHUNK_RUNS = 8192
 TAG_BITS, START_BITS, RUN_BITS = 25, 31, 7        # code = tag of the text | start of the run | number of windows
@@ -59,12 +64,12 @@ def _sliding_min(v: np.ndarray, w: int) -> np.ndarray:
     return v if n == w else np.minimum(v[:len(v) - (w - n)], v[w - n:])
 
 
-def runs_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Runs of windows of several texts: (text number, start in the text, windows, anchor hash, hash of the run's bytes)."""
+def runs_of(texts: list[bytes]) -> tuple[np.ndarray, ...]:
+    """Runs of windows of several texts: (text number, start in the text, windows, anchor hash, hash of the run's bytes, place of the anchor in the run)."""
     ends = np.cumsum([len(t) for t in texts]).astype(np.int64)
     data = b"".join(texts)
     if len(data) < LENGTH:
-        return tuple(np.zeros(0, t) for t in (np.int64, np.int64, np.int64, np.int64, np.int64))
+        return tuple(np.zeros(0, np.int64) for _ in range(6))
     h = _gram_hashes(np.frombuffer(data, np.uint8))
     low = _sliding_min((h & _HIGH) | np.arange(len(h), dtype=np.uint64), LENGTH - GRAM + 1)
     anchor = (low & np.uint64(0xFFFFFFFF)).astype(np.int64)        # place of the anchor of the window at each place
@@ -73,14 +78,14 @@ def runs_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.
     whole = at + LENGTH <= ends[owner]                              # windows never cross texts
     at, anchor, owner = at[whole], anchor[whole], owner[whole]
     if not len(at):
-        return tuple(np.zeros(0, t) for t in (np.int64, np.int64, np.int64, np.int64, np.int64))
+        return tuple(np.zeros(0, np.int64) for _ in range(6))
     cut = np.flatnonzero((np.diff(anchor, prepend=-1) != 0) | (np.diff(owner, prepend=-1) != 0))
     n = np.diff(cut, append=len(at))
     start, view = at[cut], memoryview(data)
     digest = xxhash.xxh3_64_intdigest
     g = np.array([digest(view[s:e]) for s, e in zip(start.tolist(), (start + n - 1 + LENGTH).tolist())], np.uint64).view(np.int64)
     first = np.concatenate([[0], ends[:-1]])
-    return owner[cut], start - first[owner[cut]], n, h[anchor[cut]].view(np.int64), g
+    return owner[cut], start - first[owner[cut]], n, h[anchor[cut]].view(np.int64), g, anchor[cut] - start
 
 
 def _words(data: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -165,14 +170,14 @@ def _bytes(part: pa.RecordBatch) -> list[bytes]:
 
 
 def anchor_runs(rows: DataFrame) -> DataFrame:
-    """(doc, code, h, g) of all runs; code packs the tag of the text, the start and the number of windows."""
+    """(doc, code, h, g, anchor) of all runs; code packs the tag of the text, the start and the number of windows."""
     def compute(batches):
         for part in slices(batches, "text", BATCH_BYTES):
-            owner, start, n, h, g = runs_of(_bytes(part))
+            owner, start, n, h, g, anchor = runs_of(_bytes(part))
             doc, tag = (part.column(c).to_numpy()[owner] for c in ("doc", "tag"))
             code = (tag << (START_BITS + RUN_BITS)) | (start << RUN_BITS) | n
-            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (doc, code, h, g)], ["doc", "code", "h", "g"])
-    return rows.mapInArrow(compute, "doc long, code long, h long, g long")
+            yield pa.RecordBatch.from_arrays([*(pa.array(x, pa.int64()) for x in (doc, code, h, g)), pa.array(anchor, pa.int8())], ["doc", "code", "h", "g", "anchor"])
+    return rows.mapInArrow(compute, "doc long, code long, h long, g long, anchor byte")
 
 
 def _later(code: str, doc: str = "doc") -> Column:
@@ -189,30 +194,53 @@ def _marks(rows: DataFrame) -> DataFrame:
                        F.col("code").bitwiseAND(F.lit((1 << RUN_BITS) - 1)).alias("n"))
 
 
+def segments_of(run: bytes, anchor: int) -> list[tuple[int, int, bytes, bytes]]:
+    """(first window, windows, bytes that all of them cover, their bytes) of the segments of a run whose anchor stands at ``anchor``."""
+    n, out = len(run) - LENGTH + 1, []
+    for low in range(0, LENGTH - GRAM + 1, SEGMENT):         # windows whose anchor stands at low .. high
+        high = min(low + SEGMENT - 1, LENGTH - GRAM)
+        first, last = max(0, anchor - high), min(n - 1, anchor - low)
+        if first <= last:
+            out.append((first, last - first + 1, bytes([low]) + run[anchor - low:anchor - high + LENGTH], run[first:last + LENGTH]))
+    return out
+
+
 def _sorted_marks(kinds: DataFrame, rows: DataFrame) -> DataFrame:
     """Marks of windows that repeat across different kinds of runs of one anchor (step 3)."""
     per_doc = (kinds.select(F.col("first.doc").alias("doc"), F.shiftright("first.code", START_BITS + RUN_BITS).alias("tag"),
-                            F.struct(F.col("first.code").alias("code"), "h", "block", "blocks").alias("run"))
+                            F.struct(F.col("first.code").alias("code"), F.col("first.anchor").alias("anchor"), "h", "hot").alias("run"))
                .groupBy("doc", "tag").agg(F.collect_list("run").alias("runs")))       # the runs of one document
     with_text = rows.join(per_doc, ["doc", "tag"])
 
     def cut(batches):
+        types = {"doc": pa.int64(), "place": pa.int64(), "key": pa.int64(), "hot": pa.bool_(), "bytes": pa.binary()}
         for part in slices(batches, "text", BATCH_BYTES):
-            cols = {k: [] for k in ("doc", "code", "h", "block", "blocks", "bytes")}
+            out = []
             for doc, text, runs in zip(part.column("doc").to_pylist(), _bytes(part), part.column("runs").to_pylist()):
                 for r in runs:
-                    start, n = (r["code"] >> RUN_BITS) & ((1 << START_BITS) - 1), r["code"] & ((1 << RUN_BITS) - 1)
-                    for k, v in (("doc", doc), ("code", r["code"]), ("h", r["h"]), ("block", r["block"]), ("blocks", r["blocks"]),
-                                 ("bytes", text[start:start + n - 1 + LENGTH])):
-                        cols[k].append(v)
-            yield pa.RecordBatch.from_arrays([pa.array(v, pa.binary() if k == "bytes" else pa.int64()) for k, v in cols.items()], list(cols))
-    segments = with_text.select("doc", "text", "runs").mapInArrow(cut, "doc long, code long, h long, block long, blocks long, bytes binary")
-    segments = segments.repartition("h", "block").sortWithinPartitions("h", "block")
+                    place, n = r["code"] >> RUN_BITS, r["code"] & ((1 << RUN_BITS) - 1)
+                    start = place & ((1 << START_BITS) - 1)
+                    run = text[start:start + n - 1 + LENGTH]
+                    if r["hot"]:
+                        out += [(doc, place + first, int.from_bytes(xxhash.xxh3_64_digest(core), "big", signed=True), True, held)
+                                for first, _, core, held in segments_of(run, r["anchor"])]
+                    else:
+                        out.append((doc, place, r["h"], False, run))
+            yield pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], t) for i, t in enumerate(types.values())], list(types))
+    segments = with_text.select("doc", "text", "runs").mapInArrow(cut, "doc long, place long, key long, hot boolean, bytes binary")
+    segments = cut_lineage(segments, "segments")
+    hot = segments.filter("hot").select("doc", "place", "key", "bytes")
+    firsts = cut_lineage(hot.groupBy("key", "bytes").agg(F.min(F.struct("doc", "place")).alias("first"), F.count("*").alias("times")), "hot-segments")
+    n = (F.length("bytes") - LENGTH + 1).cast("long")
+    again = (hot.join(firsts.filter("times > 1").select("key", "bytes", "first"), ["key", "bytes"]).filter(F.struct("doc", "place") > F.col("first"))
+             .select("doc", "place", n.alias("n")))
+    sortable = segments.filter("NOT hot").select("doc", "place", "key", "bytes").union(firsts.select("first.doc", "first.place", "key", "bytes"))
+    sortable = sortable.repartition("key").sortWithinPartitions("key")
 
     def classes(batches):
         for rows_ in _whole_groups(batches):
-            doc, code, blocks = (rows_[c].to_numpy() for c in ("doc", "code", "blocks"))
-            place, n, segment = code >> RUN_BITS, code & ((1 << RUN_BITS) - 1), rows_["bytes"].to_pylist()
+            doc, place, segment = rows_["doc"].to_numpy(), rows_["place"].to_numpy(), rows_["bytes"].to_pylist()
+            n = np.array([len(x) for x in segment], np.int64) - LENGTH + 1
             run, offset, first = repeated_windows(segment, doc, place, n)
             # repeats of this task, as runs of neighbouring windows
             again = np.zeros(int(n.sum()) + 1, bool)
@@ -221,32 +249,20 @@ def _sorted_marks(kinds: DataFrame, rows: DataFrame) -> DataFrame:
             flat = np.repeat(np.arange(len(n)), n)
             edge = np.flatnonzero(again[:-1] & (~np.concatenate([[False], again[:-2]]) | (np.diff(flat, prepend=-1) != 0)))
             stop = np.flatnonzero(again[:-1] & (~again[1:] | (np.diff(flat, append=-1) != 0))) + 1
-            at, size = flat[edge], stop - edge
-            out = {"doc": doc[at], "place": place[at] + (edge - begin[at]), "n": size}
-            # the earliest of each class, where the anchor's runs are spread over several blocks
-            lead = np.flatnonzero(first & (blocks[run] > 1))
-            digest = [None] * len(at) + [hashlib.blake2b(segment[r][o:o + LENGTH], digest_size=16).digest() for r, o in zip(run[lead], offset[lead])]
-            arrays = [pa.array(np.concatenate([out["doc"], doc[run[lead]]]), pa.int64()),
-                      pa.array(np.concatenate([out["place"], place[run[lead]] + offset[lead]]), pa.int64()),
-                      pa.array(np.concatenate([out["n"], np.ones(len(lead), np.int64)]), pa.int64()), pa.array(digest, pa.binary())]
-            yield pa.RecordBatch.from_arrays(arrays, ["doc", "place", "n", "digest"])
-    found = cut_lineage(segments.mapInArrow(classes, "doc long, place long, n long, digest binary"), "windows")
-    leads = found.filter("digest IS NOT NULL")
-    firsts = leads.groupBy("digest").agg(F.min(F.struct("doc", "place")).alias("first"), F.count("*").alias("times")).filter("times > 1")
-    merged = leads.join(firsts, "digest").filter(F.struct("doc", "place") > F.col("first")).select("doc", "place", "n")
-    marks = found.filter("digest IS NULL").select("doc", "place", "n").union(merged)
-    return marks.select("doc", F.shiftright("place", START_BITS).alias("tag"), F.col("place").bitwiseAND(F.lit((1 << START_BITS) - 1)).alias("start"), "n")
+            at = flat[edge]
+            yield pa.RecordBatch.from_arrays([pa.array(doc[at], pa.int64()), pa.array(place[at] + (edge - begin[at]), pa.int64()), pa.array(stop - edge, pa.int64())], ["doc", "place", "n"])
+    found = sortable.mapInArrow(classes, "doc long, place long, n long")
+    return again.union(found).select("doc", F.shiftright("place", START_BITS).alias("tag"), F.col("place").bitwiseAND(F.lit((1 << START_BITS) - 1)).alias("start"), "n")
 
 
 def _whole_groups(batches):
-    """Tables of about ``CHUNK_RUNS`` rows that never cut a group (h, block); a group has about ``BLOCK`` rows at most."""
+    """Tables of about ``CHUNK_RUNS`` rows that never cut a group of one key."""
     held, rows = [], 0
     for batch in batches:
         while batch.num_rows:
-            h, b = batch.column("h").to_numpy(), batch.column("block").to_numpy()
+            key = batch.column("key").to_numpy()
             if rows >= CHUNK_RUNS:                       # go on to the end of the group that is open
-                key = held[-1].column("h")[-1].as_py(), held[-1].column("block")[-1].as_py()
-                other = np.flatnonzero((h != key[0]) | (b != key[1]))
+                other = np.flatnonzero(key != held[-1].column("key")[-1].as_py())
                 end = int(other[0]) if len(other) else batch.num_rows
                 if end:
                     held.append(batch.slice(0, end))
@@ -269,11 +285,11 @@ def repeat_marks(rows: DataFrame) -> DataFrame:
     # written, so that both sides of the next join are plain shuffles and a frequent anchor can be split
     twice = cut_lineage(runs.groupBy("h").agg(F.count("*").alias("times")).filter("times > 1").select("h"), "anchors")
     shared = cut_lineage(runs.join(twice, "h"), "runs")
-    kinds = shared.groupBy("h", "g").agg(F.min(F.struct("doc", "code")).alias("first"), F.count("*").alias("times"))
+    kinds = shared.groupBy("h", "g").agg(F.min(F.struct("doc", "code", "anchor")).alias("first"), F.count("*").alias("times"))
     kinds = cut_lineage(kinds, "kinds")
     copies = shared.join(kinds.filter("times > 1").select("h", "g", "first"), ["h", "g"]).filter(_later("code")).select("doc", "code")
-    several = kinds.groupBy("h").agg(F.count("*").alias("kinds")).filter("kinds > 1").withColumn("blocks", F.ceil(F.col("kinds") / BLOCK))
-    mixed = kinds.join(several.select("h", "blocks"), "h").withColumn("block", F.pmod(F.xxhash64("g"), F.col("blocks")))
+    several = kinds.groupBy("h").agg(F.count("*").alias("kinds")).filter("kinds > 1").select("h", (F.col("kinds") > BLOCK).alias("hot"))
+    mixed = kinds.join(several, "h")
     return _marks(copies).union(_sorted_marks(mixed, rows))
 
 
