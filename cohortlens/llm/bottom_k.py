@@ -13,7 +13,7 @@
 5. Candidate components are compared exactly, on full sets, in blocks. A set meets only sets that are not yet linked to it, so
    a block of near copies costs one comparison each. If a component has several blocks, one set of each group
    found in a block meets those of the other blocks, and what is still apart from the largest group then meets all others.
-6. Components of the verified links are the result.
+6. The groups that verified links connect are the result.
 
 Full sets are computed again for candidates only; a bitmap of fixed size tells a task which rows may be some.
 """
@@ -136,8 +136,8 @@ class Sets:
         return others[common * den >= (size + n - common) * num]
 
 
-def spanning(sets: Sets, label: np.ndarray, left: np.ndarray, right: np.ndarray | None = None) -> list[tuple[int, int]]:
-    """Edges that connect what is similar among ``left`` (or between left and right); equal labels are connected already."""
+def spanning(sets: Sets, label: np.ndarray, left: np.ndarray, right: np.ndarray | None = None) -> tuple[list[tuple[int, int]], np.ndarray]:
+    """Edges that connect what is similar among ``left`` (or between left and right), and the labels they merge; equal labels are connected already."""
     label, out = label.copy(), []
     for i, a in enumerate(left.tolist()):
         others = left[i + 1:] if right is None else right
@@ -149,7 +149,7 @@ def spanning(sets: Sets, label: np.ndarray, left: np.ndarray, right: np.ndarray
             kinds, at = np.unique(label[hit], return_index=True)
             out += [(a, int(hit[x])) for x in at]
             label[np.isin(label, kinds)] = label[a]
-    return out
+    return out, label
 
 
 def _groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
@@ -229,7 +229,7 @@ def _compared(texts: DataFrame, lengths: DataFrame, start: int, stop: int, block
         for group in _groups(batches, ["entry"]):
             tids, every = group["tid"].to_pylist(), np.arange(group.num_rows)
             held = [np.frombuffer(s, np.uint32) for s in group["sketch"].to_pylist()]
-            pairs = spanning(Sets(held, group["n"].to_numpy(), LIST_K, threshold=threshold), every, every)
+            pairs, _ = spanning(Sets(held, group["n"].to_numpy(), LIST_K, threshold=threshold), every, every)
             if pairs:
                 yield _edges(tids, pairs)
     return members.repartition("entry").sortWithinPartitions("entry").select("entry", "tid", "n", "sketch").mapInArrow(compute, "a binary, b binary")
@@ -267,63 +267,86 @@ def full_sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str) ->
     return _keyed(docs, id_col, text_col).mapInArrow(compute, "tid binary, full binary")
 
 
-def _verified(rows: DataFrame, threshold: Fraction) -> DataFrame:
-    """Edges between linked sets of each (component, i, j) that have different labels; ``side`` 2 pairs with itself, 0 with 1."""
+def _exact(group: pa.Table, threshold: Fraction) -> Sets:
+    full = [np.frombuffer(s, np.uint64) for s in group["full"].to_pylist()]
+    return Sets([sketch(s, K) for s in full], group["n"].to_numpy(), K, full, threshold)
+
+
+def _merged(rows: DataFrame, threshold: Fraction) -> DataFrame:
+    """(tid, head) of the sets of each (component, i) that exact links join to a set of lesser tid there, the head of its group."""
+    def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in _groups(batches, ["component", "i"]):
+            if group.num_rows < 2:
+                continue
+            tids, every = group["tid"].to_pylist(), np.arange(group.num_rows)
+            _, label = spanning(_exact(group, threshold), every, every)
+            head: dict[int, bytes] = {}
+            for x, t in zip(label.tolist(), tids):
+                head[x] = min(t, head.get(x, t))
+            moved = [(t, head[x]) for x, t in zip(label.tolist(), tids) if t != head[x]]
+            if moved:
+                yield _edges([v for m in moved for v in m], [(i, i + 1) for i in range(0, 2 * len(moved), 2)])
+    rows = rows.select("component", "i", "tid", "n", "full").repartition("component", "i").sortWithinPartitions("component", "i")
+    return rows.mapInArrow(compute, "a binary, b binary").select(F.col("a").alias("tid"), F.col("b").alias("head"))
+
+
+def _crossed(rows: DataFrame, threshold: Fraction) -> DataFrame:
+    """Links (a, b) between groups (heads): the sets of side 0 of each (component, i, j) meet those of side 1 of other groups."""
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in _groups(batches, ["component", "i", "j"]):
-            tids, side = group["tid"].to_pylist(), group["side"].to_numpy()
+            heads, side = group["head"].to_pylist(), group["side"].to_numpy()
             kinds: dict[bytes, int] = {}
-            label = np.array([kinds.setdefault(x, len(kinds)) for x in group["label"].to_pylist()])
-            if len(kinds) < 2:
-                continue
-            full = [np.frombuffer(s, np.uint64) for s in group["full"].to_pylist()]
-            sets = Sets([sketch(s, K) for s in full], group["n"].to_numpy(), K, full, threshold)
-            alone = side[0] == 2
-            pairs = spanning(sets, label, np.arange(len(tids)) if alone else np.flatnonzero(side == 0), None if alone else np.flatnonzero(side == 1))
-            if pairs:
-                yield _edges(tids, pairs)
-    rows = rows.select("component", "i", "j", "side", "tid", "label", "n", "full")
+            label = np.array([kinds.setdefault(x, len(kinds)) for x in heads])
+            if len(kinds) > 1:
+                pairs, _ = spanning(_exact(group, threshold), label, np.flatnonzero(side == 0), np.flatnonzero(side == 1))
+                if pairs:
+                    yield _edges(heads, pairs)
+    rows = rows.select("component", "i", "j", "side", "head", "tid", "n", "full")
     return rows.repartition("component", "i", "j").sortWithinPartitions("component", "i", "j").mapInArrow(compute, "a binary, b binary")
 
 
-def _labelled(rows: DataFrame, edges: DataFrame) -> DataFrame:
-    roots = cut_lineage(components(edges), "labels").withColumnRenamed("node", "tid").withColumnRenamed("root", "label")
-    return rows.drop("label").join(roots, "tid", "left").withColumn("label", F.coalesce("label", "tid"))
-
-
 def _n_blocks(block: int, shingles_: int = BLOCK_SHINGLES) -> Column:
     return F.greatest(F.ceil(F.count("*") / block), F.ceil(F.sum("n") / shingles_)).cast("int")
 
 
+def _renamed(named: DataFrame, heads: DataFrame) -> DataFrame:
+    """(tid, head) after the heads that ``heads`` (tid, head) names have moved under another one."""
+    to = heads.select(F.col("tid").alias("head"), F.col("head").alias("to"))
+    return named.join(to, "head", "left").select("tid", F.coalesce("to", "head").alias("head")).union(heads.select("tid", "head"))
+
+
 def links(full: DataFrame, threshold: Fraction = THRESHOLD, block: int = BLOCK) -> DataFrame:
-    """Verified edges that span the links of every component (step 5). ``full``: component, blocks, tid, n, full."""
-    own = F.pmod(F.xxhash64("tid"), F.col("blocks")).cast("int")
-    full = full.withColumn("own", own)
-    first = cut_lineage(_verified(full.withColumns({"i": F.col("own"), "j": F.col("own"), "side": F.lit(2), "label": F.col("tid")}), threshold), "links")
-    large = full.filter("blocks > 1")
+    """(tid, head) of every set with a link, but for the heads: the groups that exact links connect (step 5). ``full``: component, blocks, tid, n, full."""
+    full = full.withColumn("own", F.pmod(F.xxhash64("tid"), F.col("blocks")).cast("int"))
+    first = cut_lineage(_merged(full.withColumn("i", F.col("own")), threshold), "groups")
+    large = full.filter("blocks > 1").select("component", "blocks", "own", "tid", "n")
     if large.limit(1).count() == 0:
         return first
-    # one set of each group of each block meets those of the other blocks
-    keys = cut_lineage(_labelled(large.select("component", "blocks", "own", "tid", "n"), first), "groups")
-    heads = keys.groupBy("component", "own", "label").agg(F.min(F.struct("tid", "n")).alias("r")).select("component", "label", "r.tid", "r.n")
-    heads = cut_lineage(heads, "group-heads")
-    counts = heads.groupBy("component").agg(_n_blocks(block).alias("parts"))
-    heads = heads.join(counts, "component").select("tid", "label", F.pmod(F.xxhash64("tid", F.lit(1)), F.col("parts")).cast("int").alias("i"))
-    met = full.join(heads, "tid").withColumns({"j": F.col("i"), "side": F.lit(2)})
-    second = cut_lineage(_verified(met, threshold), "links")
+    # the heads of the groups of each block meet those of the other blocks
+    keys = cut_lineage(large.join(first, "tid", "left").withColumn("head", F.coalesce("head", "tid")), "grouped")
+    heads = keys.filter("tid = head").select("component", "tid", "n")
+    counts = cut_lineage(heads.groupBy("component").agg(_n_blocks(block).alias("parts")), "parts")
+    heads = heads.join(counts, "component").select("tid", F.pmod(F.xxhash64("tid", F.lit(1)), F.col("parts")).cast("int").alias("i"))
+    second = cut_lineage(_merged(full.join(heads, "tid"), threshold), "heads")
+    to = second.select(F.col("tid").alias("head"), F.col("head").alias("to"))
+    keys = cut_lineage(keys.join(to, "head", "left").withColumn("head", F.coalesce("to", "head")).drop("to"), "grouped")
+    named = _renamed(first, second)
     # what is apart from the largest group of its component meets all other groups
-    keys = cut_lineage(_labelled(keys, first.union(second)), "groups")
-    sizes = keys.groupBy("component", "label").agg(F.count("*").alias("size"))
-    most = sizes.groupBy("component").agg(F.max(F.struct("size", "label")).alias("m")).select("component", F.col("m.label").alias("largest"))
-    apart = cut_lineage(keys.join(most, "component").filter("label <> largest"), "apart")
+    sizes = keys.groupBy("component", "head").agg(F.count("*").alias("size"))
+    most = sizes.groupBy("component").agg(F.max(F.struct("size", "head")).alias("m")).select("component", F.col("m.head").alias("largest"))
+    apart = cut_lineage(keys.join(most, "component").filter("head <> largest"), "apart")
     if apart.limit(1).count() == 0:
-        return first.union(second)
+        return named
     parts = cut_lineage(apart.groupBy("component").agg(_n_blocks(block).alias("parts")), "parts")
     one = (apart.join(parts, "component").withColumn("i", F.pmod(F.xxhash64("tid", F.lit(2)), F.col("parts")).cast("int"))
-           .withColumn("j", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select("tid", "label", "i", "j", F.lit(0).alias("side")))
+           .withColumn("j", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select("tid", "head", "i", "j", F.lit(0).alias("side")))
     other = (keys.join(parts, "component").withColumn("i", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-             .select("tid", "label", "i", F.col("own").alias("j"), F.lit(1).alias("side")))
-    return first.union(second).union(_verified(full.join(one.union(other), "tid"), threshold))
+             .select("tid", "head", "i", F.col("own").alias("j"), F.lit(1).alias("side")))
+    third = cut_lineage(_crossed(full.join(one.union(other), "tid"), threshold).distinct(), "crossed")
+    if third.limit(1).count() == 0:
+        return named
+    moved = components(third).filter("node <> root").select(F.col("node").alias("tid"), F.col("root").alias("head"))
+    return _renamed(named, cut_lineage(moved, "moved"))
 
 
 def near_duplicates(docs: DataFrame, threshold: Fraction = THRESHOLD, id_col: str = "doc_id", text_col: str = "text", block: int = BLOCK) -> DataFrame:
@@ -347,10 +370,10 @@ def near_duplicates(docs: DataFrame, threshold: Fraction = THRESHOLD, id_col: st
     sizes = cut_lineage(found.groupBy("root").agg(_n_blocks(block).alias("blocks")), "sizes")
     members = found.join(sizes, "root").select(F.xxhash64("root").alias("component"), "blocks", "tid", "n")
     full = members.join(full_sets(docs, found, id_col, text_col), "tid").dropDuplicates(["tid"])
-    edges = cut_lineage(links(cut_lineage(full, "full"), threshold, block), "all-links")
-    classes = cut_lineage(components(edges), "classes").withColumnRenamed("node", "tid")
-    lows = classes.join(texts.select("tid", "id"), "tid").groupBy("root").agg(F.min("id").alias("low"))
-    named = classes.join(lows, "root").select("tid", "low")
+    groups = cut_lineage(links(cut_lineage(full, "full"), threshold, block), "linked")
+    classes = groups.union(groups.select("head", "head").distinct())
+    lows = classes.join(texts.select("tid", "id"), "tid").groupBy("head").agg(F.min("id").alias("low"))
+    named = classes.join(lows, "head").select("tid", "low")
     named = cut_lineage(texts.select("tid", "id").join(named, "tid", "left").select("tid", F.coalesce("low", "id").alias("component")), "components")
     out = rows.select("id", "tid", "n").join(named, "tid", "left")
     own = F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("id"))
