@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -92,3 +94,12 @@ def in_bitmap(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     """Which of ``hashes`` may be wanted: all that are, and a few others by chance."""
     at = np.mod(hashes, BITMAP_BITS)
     return ((bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1).astype(bool)
+
+
+def broadcast_value(spark, value):
+    """Broadcast of an object of this package: its class travels along, so that executors need no installation. Read with ``received``."""
+    return spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+
+def received(shared):
+    return pickle.loads(shared.value)

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices, texts_of
+from .common import broadcast_value, received, slices, texts_of
 
 Q, UNIT, STRETCH = 10, 96, 48
 MIN_CHARS = 32                  # shorter items are looked for exactly and as whole words
@@ -392,11 +392,12 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     """
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.array().cast("array<string>").alias("found"))
     for index in benchmark_indexes(benchmark) + short_indexes(benchmark):
-        shared = docs.sparkSession.sparkContext.broadcast(index)     # bounded by BLOCK_CHARS
+        shared = broadcast_value(docs.sparkSession, index)           # bounded by BLOCK_CHARS
 
         def search(batches, shared=shared):
+            held = received(shared)
             for part in slices(batches, "text", BATCH_BYTES):
-                new = scan_texts(texts_of(part), shared.value)
+                new = scan_texts(texts_of(part), held)
                 found = [a + [":".join(map(str, r)) for r in b] for a, b in zip(part.column("found").to_pylist(), new)]
                 yield pa.RecordBatch.from_arrays([part.column("id"), part.column("text"), pa.array(found, pa.list_(pa.string()))], ["id", "text", "found"])
         rows = rows.mapInArrow(search, rows.schema)
@@ -414,10 +415,11 @@ def benchmark_id_type(benchmark: DataFrame, id_col: str = "item_id") -> str:
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` (all columns as they are) in which no benchmark region is found."""
     for index in benchmark_indexes(benchmark) + short_indexes(benchmark):
-        shared = docs.sparkSession.sparkContext.broadcast(index)
+        shared = broadcast_value(docs.sparkSession, index)
 
         def keep(batches, shared=shared):
+            held = received(shared)
             for part in slices(batches, text_col, BATCH_BYTES):
-                yield part.filter(pa.array([not r for r in scan_texts(texts_of(part, text_col), shared.value)], pa.bool_()))
+                yield part.filter(pa.array([not r for r in scan_texts(texts_of(part, text_col), held)], pa.bool_()))
         docs = docs.mapInArrow(keep, docs.schema)
     return docs

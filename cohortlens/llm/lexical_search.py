@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .common import slices
+from .common import broadcast_value, received, slices
 
 BLOCK_BYTES = 8 << 20
 BATCH_BYTES = 2 << 20
@@ -125,7 +125,7 @@ def _frequencies(bags: DataFrame, n_terms: int) -> np.ndarray:
 def _best_classes(classes: DataFrame, shared, top: int) -> DataFrame:
     """query, score, h, m, least: the best ``top`` classes of each query in each task."""
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        postings, gain, exact = shared.value
+        postings, gain, exact = received(shared)
         held = [np.zeros(0, np.int64) for _ in range(5)]       # query, score, least, h, m
         rows = max(1, CHUNK_CELLS // max(1, postings.n_items))
         for batch in batches:
@@ -159,7 +159,7 @@ def _search_block(rows: DataFrame, ids: list, texts: list[str | None], top: int,
     w = np.array([weight(n_docs, int(d)) for d in df], np.int64)
     gain = np.repeat(w, np.diff(postings.start)) * postings.times
     most = int(np.bincount(postings.item, weights=gain, minlength=postings.n_items).max()) * 1_000_000
-    shared = spark.sparkContext.broadcast((postings, gain, most < 2**53))
+    shared = broadcast_value(spark, (postings, gain, most < 2**53))
     classes = bags.groupBy("h", "m", "bag").agg(F.min("id").alias("least"))
     local = _best_classes(classes, shared, top)
     order = [F.col("score").desc(), F.col("least").asc_nulls_last()]
@@ -169,8 +169,9 @@ def _search_block(rows: DataFrame, ids: list, texts: list[str | None], top: int,
     keys = won.select("h", "m", "least").distinct()
     of_class = (bags["h"] == keys["h"]) & (bags["m"] == keys["m"]) & bags["id"].eqNullSafe(keys["least"])
     first = bags.join(keys, of_class).select(keys["h"], keys["m"], keys["least"], bags["bag"]).distinct()
-    members = bags.join(first, ["h", "m", "bag"])
-    members = members.withColumn("r", F.row_number().over(Window.partitionBy("h", "m", "bag", "least").orderBy(F.col("id").asc_nulls_last()))).filter(F.col("r") <= top)
+    # written, so that a class of very many documents can be split by the join and is cut to its best in every task after it
+    members = cut_lineage(bags.join(cut_lineage(first, "won-bags"), ["h", "m", "bag"]).select("h", "m", "least", "id"), "members")
+    members = members.withColumn("r", F.row_number().over(Window.partitionBy("h", "m", "least").orderBy(F.col("id").asc_nulls_last()))).filter(F.col("r") <= top)
     members = members.select("h", "m", "least", "id")
     of_member = (won["h"] == members["h"]) & (won["m"] == members["m"]) & won["least"].eqNullSafe(members["least"])
     ranked = won.join(members, of_member).select("query", "score", "id").withColumn(
