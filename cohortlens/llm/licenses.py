@@ -34,7 +34,7 @@ SPELLINGS = [
     (["gement"], r"\b(acknowledg|judg)ement", "$1ment"),
     (["cancell", "labell", "modell", "signall"], r"\b(cancel|label|model|signal)l(ed|ing)\b", "$1$2"),
     (["copyright owner"], r"\bcopyright owner", "copyright holder"),
-    (["sub licens", "non commercial", "non infring", "non exclusive"], r"\b(sub|non) (licens|commercial|infring|exclusive)", "$1$2"),
+    ([f"{a} {b}" for a in ("sub", "non") for b in ("licens", "commercial", "infring", "exclusive")], r"\b(sub|non) (licens|commercial|infring|exclusive)", "$1$2"),
     (["per cent"], r"\bper cent\b", "percent"),
     (["whilst"], r"\bwhilst\b", "while"),
     (["https"], r"\bhttps\b", "http"),
