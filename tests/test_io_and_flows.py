@@ -138,3 +138,151 @@ def test_run_repurchase_writes_by_month(spark):
     labels = run_repurchase(testdata.purchase_events(spark, "/root/testdata/sf0.001"), min_history_days=7,
                             horizons=(3, 7), out_path=path)
     assert spark.read.parquet(path).count() == labels.count() > 0
+
+
+# -- headers per file ----------------------------------------------------------------
+HEAD_A = "fk_contact,nk_order_id,date_purchase,time_purchase,gmv_success,total_tickets_quantity_success,place_origin_departure,place_destination_departure"
+HEAD_B = "gmv_success,channel,nk_ota_localizer_id,total_tickets_quantity_success,date_purchase,time_purchase,fk_contact,place_destination_departure,place_origin_departure"
+
+
+def _two_headers(tmp_path):
+    d = tmp_path / "csv in"
+    d.mkdir()
+    (d / "a.csv").write_text(HEAD_A + '\nc1,k1,2024-01-02,10:00,12.5,2,"São, Paulo",Rio\nc2,k2,2024-01-03,11:00,NaN,1,A\nc3,k3,2024-01-04,12:00,7,1,A,B,extra\n', encoding="utf-8")
+    (d / "b.csv").write_text(HEAD_B + "\n5.0,web,k4,1,2024-01-05,13:00,c4,Y,X\n-3,app,k5,1,2024-01-06,,c5,Y,NA\n", encoding="utf-8")
+    (d / "c.csv").write_text(HEAD_A + "\n", encoding="utf-8")
+    return str(d)
+
+
+WANT = [("k1", "c1", 12.5, "São, Paulo", "Rio", None, False), ("k2", "c2", None, "A", None, None, True), ("k3", "c3", 7.0, "A", "B", None, True),
+        ("k4", "c4", 5.0, "X", "Y", "web", False), ("k5", "c5", -3.0, None, "Y", "app", False)]
+
+
+def _five(df):
+    return sorted((r["nk_ota_localizer_id"], r["fk_contact"], r["gmv_success"], r["place_origin_departure"], r["place_destination_departure"], r["channel"],
+                   r["_corrupt_record"] is not None) for r in df.collect())
+
+
+def test_files_with_different_headers_under_one_path(spark, tmp_path):
+    src = _two_headers(tmp_path)
+    assert _five(sinks.read_purchases(spark, src)) == WANT
+    with pytest.raises(ValueError, match="required columns missing"):
+        (tmp_path / "csv in" / "d.csv").write_text("nk_ota_localizer_id,fk_contact\nk9,c9\n")
+        sinks.read_purchases(spark, src).collect()
+
+
+def test_stream_of_csv_files_equals_the_batch(spark, tmp_path):
+    from cohortlens.operators import cleaning as cl
+    from cohortlens.streaming import ingest
+    src = _two_headers(tmp_path)
+    for per_trigger in (1, 10):
+        sink = str(tmp_path / f"sink{per_trigger}")
+        ingest.stream_clean(spark, source=src, sink=sink, checkpoint=str(tmp_path / f"ck{per_trigger}"), fmt="csv", tz="UTC", max_files_per_trigger=per_trigger)
+        cols = ["nk_ota_localizer_id", "fk_contact", "gmv_success", "purchase_datetime", "route_out", "route", "channel", "_corrupt_record"]
+        got = spark.read.option("mergeSchema", True).parquet(sink).select(*cols)
+        want = ingest.row_routes(cl.prepare(sinks.read_purchases(spark, src), tz="UTC")).select(*cols)
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+
+
+# -- published runs --------------------------------------------------------------------
+def test_a_run_is_seen_whole_or_not_at_all(spark, tmp_path):
+    root = str(tmp_path / "runs")
+    with pytest.raises(FileNotFoundError):
+        sinks.read_published(spark, root)
+    a = spark.createDataFrame([("007", 1.5), (None, None)], "id string, x double")
+    sinks.publish_run({"a": a, "b": a.select("x"), "none": None}, root, run_id="r1", meta={"k": 3}, fmt="csv")
+    sinks.write_bundle({"a": a.limit(1)}, f"{root}/r2")                    # cut short: tables, no manifest
+    run, meta = sinks.read_published(spark, root)
+    assert set(run) == {"a", "b"} and meta == {"k": 3}
+    assert run["a"].schema == a.schema and sorted(map(str, run["a"].collect())) == sorted(map(str, a.collect()))
+    sinks.publish_run({"a": a.limit(1)}, root, run_id="r3")
+    assert set(sinks.read_published(spark, root)[0]) == {"a"} and set(sinks.read_published(spark, root, run_id="r1")[0]) == {"a", "b"}
+    with pytest.raises(ValueError, match="already"):
+        sinks.publish_run({"a": a}, root, run_id="r1")
+
+
+def test_artifacts_from_a_stored_run_and_again(spark, tmp_path):
+    """Reload, relabel and rewrite: every table of the second run equals that of the first."""
+    import json
+    from cohortlens.plans.segmentation import artifacts_from_run
+    used = ["frequency_12m", "recency_days"]
+    cz = spark.createDataFrame([(0, 1.0, -1.0), (1, -0.7, 0.2)], "cluster_id int, frequency_12m_z double, recency_days_z double")
+    seg = spark.createDataFrame([("c1", 0), ("c2", 1), ("c3", 1)], "fk_contact string, cluster_id int")
+    scaler = spark.createDataFrame([(0, "frequency_12m", 5.0, 2.0, False, 0.0, "_z"), (1, "recency_days", 30.0, 10.0, False, 0.0, "_z")],
+                                   "position int, feature string, mean double, scale double, log1p boolean, fill double, suffix string")
+    metrics = spark.createDataFrame([(2, 9.0, 0.4, "kmeans", 42, True), (3, 8.0, 0.3, "kmeans", 42, False)],
+                                    "k int, inertia double, silhouette double, algorithm string, random_state int, is_final boolean")
+    feats = spark.createDataFrame([("c1", "A__B", "x"), ("c2", "A__B", "y"), ("c3", "C__D", "y")], "fk_contact string, top_route_out string, top_company_out string")
+    root = str(tmp_path / "runs")
+    sinks.publish_run({"centroids_z": cz, "assignments": seg, "metrics": metrics, "scaler": scaler, "customer_features": feats}, root)
+    tables = []
+    for i in (1, 2):
+        out = str(tmp_path / f"out{i}")
+        artifacts_from_run(spark, root, out, used_cols=used, build_date="2024-01-01", run_date="2024-02-03")
+        tables.append(sinks.read_published(spark, out)[0])
+    first, second = tables
+    assert set(first) == set(second) == {"centroid_document", "centroids_z", "centroids_unstd", "labels", "cluster_names", "centroid_summary", "metrics", "glossary",
+                                         "assignments", "overview", "assignment_export", "top"}
+    for name in first:
+        assert sorted(map(str, first[name].collect())) == sorted(map(str, second[name].collect())), name
+    doc = json.loads(first["centroid_document"].collect()[0]["value"])
+    assert doc["run_date"] == "2024-02-03" and doc["global_means"] == {"frequency_12m": 5.0, "recency_days": 30.0} and doc["global_stds"]["recency_days"] == 10.0
+    assert {r["cluster_id"]: (r["frequency_12m"], r["recency_days"]) for r in first["centroids_unstd"].collect()} == {0: (7.0, 20.0), 1: (3.6, 32.0)}
+    assert {(r["cluster_id"], r["metric"]): r["top"] for r in first["top"].collect()}[1, "top_company_out"] == "y (2)"
+    assert {r["k"] for r in first["assignment_export"].collect()} == {2}
+    with pytest.raises(ValueError, match="centroids_z"):
+        sinks.publish_run({"assignments": seg}, str(tmp_path / "bare"))
+        artifacts_from_run(spark, str(tmp_path / "bare"), str(tmp_path / "no"), used_cols=used)
+
+
+# -- time columns ------------------------------------------------------------------------
+def test_window_prunes_months_and_all_null_times_are_an_error(spark, tmp_path):
+    import datetime as dt
+    from cohortlens.operators.window import observation_window, observe_times
+    rows = [(i, dt.datetime(2022 + i // 12, 1 + i % 12, 5)) for i in range(36)]
+    root = str(tmp_path / "by-month")
+    sinks.write_partitioned(spark.createDataFrame(rows, "i long, purchase_datetime timestamp_ntz"), root, partition_cols=("year", "month"), overwrite=True)
+    win = observation_window(spark.read.parquet(root), build_date="2023-02-28", months=4)
+    plan = win._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [((" in plan or "PartitionFilters: [" in plan and "year" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert sorted(r["i"] for r in win.collect()) == [10, 11, 12, 13]       # 28 October to 28 February
+    kept = win.select("year", "month").distinct().count()
+    assert kept == 4 and len({f for f in win.inputFiles()}) <= 36
+    nulls = spark.createDataFrame([(1, None), (2, None)], "i long, purchase_datetime timestamp_ntz")
+    with pytest.raises(ValueError, match="no value"):
+        sinks.write_partitioned(nulls, str(tmp_path / "nulls"), overwrite=True)
+    seen, guard = observe_times(nulls.limit(0))
+    seen.count()
+    assert guard.check() == 0
+    with pytest.raises(KeyError):
+        observe_times(nulls.select("i"))
+
+
+def test_silver_table_rules(spark):
+    from cohortlens.plans.segmentation import silver_table
+    cols = ["_row_id", "nk_ota_localizer_id", "fk_contact", "date_purchase", "time_purchase", "gmv_success", "total_tickets_quantity_success", "place_origin_departure",
+            "place_destination_departure", "place_origin_return", "place_destination_return", "fk_departure_ota_bus_company", "fk_return_ota_bus_company"]
+    rows = [(1, "k1", "c1", "2024-01-10", "10:00:00", 90.0, 1, " A ", "B", "B", "A", "X", "X"), (2, "k2", "c1", "2024-01-10", "10:00:00", 80.0, 2, "A", "B", "0", "0", "X", "1"),
+            (3, "k3", "c2", "2018-11-04", "00:30:00", 10.0, 1, "A", None, "B", "0", "X", "1"), (4, "k4", "c2", "2024-01-12", "10:00:00", None, None, "A", "C", "C", "A", "X", "X")]
+    raw = spark.createDataFrame(rows, "_row_id long, nk_ota_localizer_id string, fk_contact string, date_purchase string, time_purchase string, gmv_success double, "
+                                      "total_tickets_quantity_success long, " + ", ".join(f"{c} string" for c in cols[7:]))
+    out = {r["_row_id"]: r for r in silver_table(raw, tz="America/Sao_Paulo").collect()}
+    assert set(out) == {2, 3, 4}                                            # the lower gmv of equal contact and time
+    assert out[3]["purchase_datetime"] is None                              # a clock time that the zone skipped
+    assert (out[2]["route_out"], out[3]["route_out"], out[4]["route_out"]) == ("A->B", None, "A->C")
+    assert (out[4]["has_return"], out[4]["has_return_strict"], out[2]["has_return"]) == (1, 0, 0)
+    assert [out[i]["is_price_outlier_p99"] for i in (2, 3, 4)] == [1, 0, 0]
+
+
+def test_gram_correlation_with_unknown_values_and_constants(spark):
+    import numpy as np
+    from cohortlens.operators import reports as rp
+    rng = np.random.default_rng(2)
+    x = rng.normal(1e6, 1.0, (300, 3))
+    x[:, 1] += x[:, 0]
+    rows = [(float(a), None if i % 3 == 0 else float(b), float("nan") if i % 5 == 0 else float(c), 4.25) for i, (a, b, c) in enumerate(x)]
+    out = {(r["feature_a"], r["feature_b"]): r["corr"] for r in rp.correlation_long(spark.createDataFrame(rows, "a double, b double, c double, d double").repartition(3), ["a", "b", "c", "d"], digits=None).collect()}
+    i = np.arange(300)
+    assert len(out) == 16 and out["a", "a"] == 1.0 and out["a", "d"] is None and out["d", "b"] is None
+    for key, u, v, keep in ((("a", "b"), 0, 1, i % 3 > 0), (("b", "c"), 1, 2, (i % 3 > 0) & (i % 5 > 0))):
+        assert abs(out[key] - np.corrcoef(x[keep, u], x[keep, v])[0, 1]) < 1e-9 and out[key] == out[key[::-1]]
