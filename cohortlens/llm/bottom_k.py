@@ -219,7 +219,7 @@ def _lengths(lists: DataFrame) -> DataFrame:
 
 
 def _compared(texts: DataFrame, lengths: DataFrame, start: int, stop: int, block: int, threshold: Fraction) -> DataFrame:
-    """Spanning edges (a, b) of the candidates in the lists of up to ``block`` sets."""
+    """Edges (a, b) that span the candidates in the lists of up to ``block`` sets; b is the least set of those it connects."""
     short = lengths.filter(F.col("length") <= block).groupBy("length", "x", "y").agg(F.min("entry").alias("entry")).select("entry")
     short = cut_lineage(short, "short-lists")
     brief = texts.select("tid", "n", F.substring("sketch", 1, 4 * LIST_K).alias("sketch"))
@@ -229,9 +229,8 @@ def _compared(texts: DataFrame, lengths: DataFrame, start: int, stop: int, block
         for group in _groups(batches, ["entry"]):
             tids, every = group["tid"].to_pylist(), np.arange(group.num_rows)
             held = [np.frombuffer(s, np.uint32) for s in group["sketch"].to_pylist()]
-            pairs, _ = spanning(Sets(held, group["n"].to_numpy(), LIST_K, threshold=threshold), every, every)
-            if pairs:
-                yield _edges(tids, pairs)
+            _, label = spanning(Sets(held, group["n"].to_numpy(), LIST_K, threshold=threshold), every, every)
+            yield _to_heads(tids, label)
     return members.repartition("entry").sortWithinPartitions("entry").select("entry", "tid", "n", "sketch").mapInArrow(compute, "a binary, b binary")
 
 
@@ -272,6 +271,15 @@ def _exact(group: pa.Table, threshold: Fraction) -> Sets:
     return Sets([sketch(s, K) for s in full], group["n"].to_numpy(), K, full, threshold)
 
 
+def _to_heads(tids: list[bytes], label: np.ndarray) -> pa.RecordBatch:
+    """(a, b): each set that is not the least of its label, and that least set, its head."""
+    head: dict[int, bytes] = {}
+    for x, t in zip(label.tolist(), tids):
+        head[x] = min(t, head.get(x, t))
+    moved = [(t, head[x]) for x, t in zip(label.tolist(), tids) if t != head[x]]
+    return pa.RecordBatch.from_arrays([pa.array([m[i] for m in moved], pa.binary()) for i in (0, 1)], ["a", "b"])
+
+
 def _merged(rows: DataFrame, threshold: Fraction) -> DataFrame:
     """(tid, head) of the sets of each (component, i) that exact links join to a set of lesser tid there, the head of its group."""
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -280,12 +288,7 @@ def _merged(rows: DataFrame, threshold: Fraction) -> DataFrame:
                 continue
             tids, every = group["tid"].to_pylist(), np.arange(group.num_rows)
             _, label = spanning(_exact(group, threshold), every, every)
-            head: dict[int, bytes] = {}
-            for x, t in zip(label.tolist(), tids):
-                head[x] = min(t, head.get(x, t))
-            moved = [(t, head[x]) for x, t in zip(label.tolist(), tids) if t != head[x]]
-            if moved:
-                yield _edges([v for m in moved for v in m], [(i, i + 1) for i in range(0, 2 * len(moved), 2)])
+            yield _to_heads(tids, label)
     rows = rows.select("component", "i", "tid", "n", "full").repartition("component", "i").sortWithinPartitions("component", "i")
     return rows.mapInArrow(compute, "a binary, b binary").select(F.col("a").alias("tid"), F.col("b").alias("head"))
 
@@ -327,7 +330,7 @@ def links(full: DataFrame, threshold: Fraction = THRESHOLD, block: int = BLOCK)
     heads = keys.filter("tid = head").select("component", "tid", "n")
     counts = cut_lineage(heads.groupBy("component").agg(_n_blocks(block).alias("parts")), "parts")
     heads = heads.join(counts, "component").select("tid", F.pmod(F.xxhash64("tid", F.lit(1)), F.col("parts")).cast("int").alias("i"))
-    second = cut_lineage(_merged(full.join(heads, "tid"), threshold), "heads")
+    second = cut_lineage(_merged(full.filter("blocks > 1").join(heads, "tid"), threshold), "heads")
     to = second.select(F.col("tid").alias("head"), F.col("head").alias("to"))
     keys = cut_lineage(keys.join(to, "head", "left").withColumn("head", F.coalesce("to", "head")).drop("to"), "grouped")
     named = _renamed(first, second)
@@ -342,7 +345,7 @@ def links(full: DataFrame, threshold: Fraction = THRESHOLD, block: int = BLOCK)
            .withColumn("j", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select("tid", "head", "i", "j", F.lit(0).alias("side")))
     other = (keys.join(parts, "component").withColumn("i", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
              .select("tid", "head", "i", F.col("own").alias("j"), F.lit(1).alias("side")))
-    third = cut_lineage(_crossed(full.join(one.union(other), "tid"), threshold).distinct(), "crossed")
+    third = cut_lineage(_crossed(full.filter("blocks > 1").join(one.union(other), "tid"), threshold).distinct(), "crossed")
     if third.limit(1).count() == 0:
         return named
     moved = components(third).filter("node <> root").select(F.col("node").alias("tid"), F.col("root").alias("head"))
