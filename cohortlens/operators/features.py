@@ -276,6 +276,36 @@ def customer_features(df: DataFrame, *, build_date, model_version: str = config.
     return out.select(*cols)
 
 
+# Columns that are 0 for a customer without rows in a block, and amounts that stay unknown.
+ZERO_COUNTS = ("frequency_12m", "n_unique_routes_out", "total_tickets_12m")
+ZERO_SHARES = ("top_route_out_share", "top_company_out_share")
+AMOUNTS = ("monetary_gmv_12m", "avg_ticket_value", "avg_price_per_ticket")
+TEXTS = ("top_route_out", "top_company_out")
+
+
+def fill_and_type(df: DataFrame) -> DataFrame:
+    """p20: a feature table with gaps (missing blocks, NaN, numbers kept as text) gets stable types.
+
+    ``pct_*`` and top shares become doubles and counts longs, 0 where there is no number; amounts become doubles and stay NULL;
+    top values become strings. Other columns are kept as they are. One projection, no shuffle.
+    """
+    def number(c):
+        x = F.col(c).try_cast("double")
+        return F.when(~F.isnan(x), x)
+
+    typed = {}
+    for c in df.columns:
+        if c.startswith("pct_") or c in ZERO_SHARES:
+            typed[c] = F.coalesce(number(c), F.lit(0.0))
+        elif c in ZERO_COUNTS:
+            typed[c] = F.coalesce(number(c).cast("long"), F.lit(0).cast("long"))
+        elif c in AMOUNTS:
+            typed[c] = number(c)
+        elif c in TEXTS:
+            typed[c] = F.col(c).cast("string")
+    return df.withColumns(typed)
+
+
 def share_of_group_total(df: DataFrame, *, by: str, value: str, out: str = "share") -> DataFrame:
     """j03: each row's share of its group's total (rows ⋈ per-group totals on ``by``).
 

@@ -188,6 +188,20 @@ def z_long(df: DataFrame, scaler: Scaler, *, id_col: str = "fk_contact") -> Data
     return z.select(id_col, F.expr(f"stack({len(scaler.used_cols)}, {rows}) AS (feature, z)"))
 
 
+def read_standardized(spark: SparkSession, path: str, *, id_col: str = "fk_contact", suffix: str = config.Z_SUFFIX) -> tuple[DataFrame, list]:
+    """s03: a stored standardised table, as long rows (id, feature, z) of its ``<feature><suffix>`` columns, and those features' names.
+
+    Only the id and the z columns are read. A table without z columns is an error; without ``id_col`` the rows have no id.
+    """
+    stored = spark.read.parquet(path)
+    features = z_columns_from_schema(stored, suffix=suffix)
+    if not features:
+        raise ValueError(f"no column ends in {suffix}: {path}")
+    rows = ", ".join(f"'{c}', CAST(`{c}{suffix}` AS DOUBLE)" for c in features)
+    ids = [id_col] if id_col in stored.columns else []
+    return stored.select(*ids, F.expr(f"stack({len(features)}, {rows}) AS (feature, z)")), features
+
+
 def z_columns_from_schema(df: DataFrame, *, suffix: str = config.Z_SUFFIX) -> list:
-    """s03: feature names recovered from ``<feature><suffix>`` columns."""
+    """Feature names recovered from ``<feature><suffix>`` columns."""
     return [c[: -len(suffix)] for c in df.columns if c.endswith(suffix)]

@@ -79,13 +79,13 @@ def _csv_files(raw, path, keep_line=False):
     sinks.write_csv(odd, path, mode="append")
 
 
-@register("s03_read_std_features", O.q("SELECT DISTINCT feature FROM zlong"))
+@register("s03_read_std_features", O.q(f"SELECT fk_contact, feature, {R('z', 6)} AS z FROM zlong"))
 def s03(spark, sf):
+    """The standardised table written and read again: every z value by the features that its columns name."""
     sc, z, _ = z_wide(spark, sf)
     path = scratch(spark, "std")
     sinks.write_parquet(z, path)
-    cols = zs.z_columns_from_schema(spark.read.parquet(path))
-    return spark.createDataFrame([(c,) for c in cols], "feature string")
+    return rounded(zs.read_standardized(spark, path, suffix=sc.suffix)[0], {"z": 6})
 
 
 @register("s04_first_existing")
@@ -409,14 +409,19 @@ def a14(spark, sf):
                    {"pct_festive_period": 6})
 
 
+_ZEROS = [c for c in O.NUM_FEATURES if c not in ft.AMOUNTS and c != "recency_days"]
+
+
 @register("p20_type_fill", O.q(
-    f"SELECT fk_contact, frequency_12m, n_unique_routes_out, total_tickets_12m, {R('top_route_out_share', 6)} AS "
-    f"top_route_out_share, {R('top_company_out_share', 6)} AS top_company_out_share FROM feat"))
+    "SELECT CAST(c_custkey AS VARCHAR) AS fk_contact, top_route_out, top_company_out, recency_days, "
+    + ", ".join(f"CAST(coalesce({c}, 0) AS BIGINT) AS {c}" if c in ft.ZERO_COUNTS else f"{R(f'coalesce({c}, 0)', 6)} AS {c}" for c in _ZEROS)
+    + "".join(f", {R(c, 2)} AS {c}" for c in ft.AMOUNTS) + " FROM customer LEFT JOIN feat ON fk_contact = CAST(c_custkey AS VARCHAR)"))
 def p20(spark, sf):
-    f = customer_features_raw(spark, sf)
-    return rounded(f.select("fk_contact", "frequency_12m", "n_unique_routes_out", "total_tickets_12m",
-                            "top_route_out_share", "top_company_out_share"),
-                   {"top_route_out_share": 6, "top_company_out_share": 6})
+    """Features of every customer of ``customer``: those without a purchase in the window have no block and are filled."""
+    everyone = testdata.table(spark, sf, "customer").select(F.col("c_custkey").cast("string").alias("fk_contact"))
+    wide = everyone.join(customer_features_raw(spark, sf), "fk_contact", "left")
+    out = ft.fill_and_type(wide).select("fk_contact", "top_route_out", "top_company_out", "recency_days", *_ZEROS, *ft.AMOUNTS)
+    return rounded(out, {c: 6 for c in _ZEROS if c not in ft.ZERO_COUNTS} | {c: 2 for c in ft.AMOUNTS})
 
 
 @register("p21_stamp_meta", O.q("SELECT fk_contact, build_date, model_version FROM feat"))

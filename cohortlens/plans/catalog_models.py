@@ -157,12 +157,15 @@ def w07(spark, sf):
 
 # == standardisation (z01-z08, a22, a18) ======================================
 @register("f09_numeric_feature_select", O.q(
-    "SELECT column_name AS feature FROM (DESCRIBE SELECT * FROM feat) WHERE column_type IN ('BIGINT', 'INTEGER', "
-    "'DOUBLE') AND column_name <> 'fk_contact' AND column_name NOT LIKE '%\\_dt' ESCAPE '\\' "
-    "AND column_name NOT LIKE '%\\_date' ESCAPE '\\'"))
+    f"SELECT fk_contact, feature, {R('x', 6)} AS x FROM (SELECT column_name AS feature FROM (DESCRIBE SELECT * FROM feat) WHERE column_type IN "
+    "('BIGINT', 'INTEGER', 'DOUBLE') AND column_name <> 'fk_contact' AND column_name NOT LIKE '%\\_dt' ESCAPE '\\' "
+    "AND column_name NOT LIKE '%\\_date' ESCAPE '\\') LEFT JOIN flong USING (feature)"))
 def f09(spark, sf):
-    cols = zs.numeric_feature_columns(feats(spark, sf))
-    return spark.createDataFrame([(c,) for c in cols], "feature string")
+    """The values of the columns that the rule selects, long."""
+    f = feats(spark, sf)
+    cols = zs.numeric_feature_columns(f)
+    rows = ", ".join(f"'{c}', CAST(`{c}` AS DOUBLE)" for c in cols)
+    return rounded(f.select("fk_contact", F.expr(f"stack({len(cols)}, {rows}) AS (feature, x)")), {"x": 6})
 
 
 @register("z01_skew_select", O.q(

@@ -11,7 +11,7 @@ from cohortlens.sources.testdata import TABLES
 
 SF = "/root/testdata/sf0.001"
 FAST = ["p05_purchase_ts", "d03_canonical_resolve", "u02_partition_check", "a17_customer_features",
-        "w05_repurchase_labels", "d07_gmv_bucket", "k07_assign"]
+        "w05_repurchase_labels", "d07_gmv_bucket", "k07_assign", "s03_read_std_features", "f09_numeric_feature_select", "p20_type_fill"]
 
 
 def test_entry_runs(spark):

@@ -286,3 +286,27 @@ def test_gram_correlation_with_unknown_values_and_constants(spark):
     assert len(out) == 16 and out["a", "a"] == 1.0 and out["a", "d"] is None and out["d", "b"] is None
     for key, u, v, keep in ((("a", "b"), 0, 1, i % 3 > 0), (("b", "c"), 1, 2, (i % 3 > 0) & (i % 5 > 0))):
         assert abs(out[key] - np.corrcoef(x[keep, u], x[keep, v])[0, 1]) < 1e-9 and out[key] == out[key[::-1]]
+
+
+def test_fill_and_type_of_missing_blocks(spark):
+    from cohortlens.operators import features as ft
+    rows = [("c1", "3", None, float("nan"), "0.5", 7, None), ("c2", None, 2.0, 0.25, "x", None, "A__B"), ("c3", "nan", None, None, None, 1, None)]
+    df = spark.createDataFrame(rows, "fk_contact string, frequency_12m string, total_tickets_12m double, pct_q1 double, top_route_out_share string, "
+                                     "monetary_gmv_12m int, top_route_out string")
+    out = ft.fill_and_type(df)
+    assert [t for _, t in out.dtypes] == ["string", "bigint", "bigint", "double", "double", "double", "string"]
+    assert sorted(map(tuple, out.collect())) == [("c1", 3, 0, 0.0, 0.5, 7.0, None), ("c2", 0, 2, 0.25, 0.0, None, "A__B"), ("c3", 0, 0, 0.0, 0.0, 1.0, None)]
+    assert ft.fill_and_type(df.limit(0)).count() == 0
+
+
+def test_read_standardized(spark, tmp_path):
+    from cohortlens.operators import standardize as zs
+    path = str(tmp_path / "std")
+    spark.createDataFrame([("c1", 1.0, 2.0, "u"), ("c2", None, -1.0, "v")], "fk_contact string, a_z double, b_z float, note string").write.parquet(path)
+    df, features = zs.read_standardized(spark, path)
+    assert features == ["a", "b"] and df.columns == ["fk_contact", "feature", "z"]
+    assert sorted(map(str, map(tuple, df.collect()))) == sorted(map(str, [("c1", "a", 1.0), ("c1", "b", 2.0), ("c2", "a", None), ("c2", "b", -1.0)]))
+    assert "note" not in df._jdf.queryExecution().executedPlan().toString().split("ReadSchema")[1]
+    assert zs.read_standardized(spark, path, id_col="other")[0].columns == ["feature", "z"]
+    with pytest.raises(ValueError, match="no column"):
+        zs.read_standardized(spark, path, suffix="_s")
