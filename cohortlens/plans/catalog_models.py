@@ -24,7 +24,7 @@ from ..operators import standardize as zs
 from ..session import cut_lineage
 from ..sources import testdata
 from . import oracle_sql as O
-from .catalog import _EASTER, BUILD_DATE, FESTIVE_SQL, _share_sql, customer_features_raw, prep, register, rounded, routed, window36
+from .catalog import _EASTER, BUILD_DATE, FESTIVE_SQL, _share_sql, customer_features_raw, prep, register, rnd, rounded, routed, window36
 
 NUM = O.NUM_FEATURES
 CLUSTER_VARS = ["frequency_12m", "n_unique_routes_out", "avg_price_per_ticket", "top_route_out_share",
@@ -156,8 +156,11 @@ def w07(spark, sf):
 
 
 # == standardisation (z01-z08, a22, a18) ======================================
+_MONEY_FEATURES = ("monetary_gmv_12m", "avg_ticket_value", "avg_price_per_ticket")
+
+
 @register("f09_numeric_feature_select", O.q(
-    f"SELECT fk_contact, feature, {R('x', 6)} AS x FROM (SELECT column_name AS feature FROM (DESCRIBE SELECT * FROM feat) WHERE column_type IN "
+    f"SELECT fk_contact, feature, CASE WHEN feature IN {_MONEY_FEATURES} THEN {R('x', 2)} ELSE {R('x', 6)} END AS x FROM (SELECT column_name AS feature FROM (DESCRIBE SELECT * FROM feat) WHERE column_type IN "
     "('BIGINT', 'INTEGER', 'DOUBLE') AND column_name <> 'fk_contact' AND column_name NOT LIKE '%\\_dt' ESCAPE '\\' "
     "AND column_name NOT LIKE '%\\_date' ESCAPE '\\') LEFT JOIN flong USING (feature)"))
 def f09(spark, sf):
@@ -165,7 +168,8 @@ def f09(spark, sf):
     f = feats(spark, sf)
     cols = zs.numeric_feature_columns(f)
     rows = ", ".join(f"'{c}', CAST(`{c}` AS DOUBLE)" for c in cols)
-    return rounded(f.select("fk_contact", F.expr(f"stack({len(cols)}, {rows}) AS (feature, x)")), {"x": 6})
+    out = f.select("fk_contact", F.expr(f"stack({len(cols)}, {rows}) AS (feature, x)"))
+    return out.withColumn("x", F.when(F.col("feature").isin(*_MONEY_FEATURES), rnd("x", 2)).otherwise(rnd("x", 6)))
 
 
 @register("z01_skew_select", O.q(
