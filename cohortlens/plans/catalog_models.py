@@ -573,13 +573,12 @@ def l07(spark, sf):
     return nm.named_assignments(seg, nm.cluster_names(lab, used_cols=sc.used_cols))
 
 
-@register("j05_names_join", O.q(_names_sql() + "SELECT cluster_name, CAST(count(*) AS BIGINT) AS n_customers, min(fk_contact) AS first_contact FROM seg "
-                                "LEFT JOIN names USING (cluster_id) GROUP BY cluster_name"))
+@register("j05_names_join", O.q(_names_sql() + "SELECT fk_contact, cluster_id, cluster_name FROM seg "
+                                "LEFT JOIN names USING (cluster_id)"))
 def j05(spark, sf):
-    """Customers per cluster name: the names joined to all assignments, then counted."""
+    """The names joined to all assignments: a row per customer."""
     sc, cz, seg, lab = _labels(spark, sf)
-    named = nm.named_assignments(seg, nm.cluster_names(lab, used_cols=sc.used_cols))
-    return named.groupBy("cluster_name").agg(F.count(F.lit(1)).alias("n_customers"), F.min("fk_contact").alias("first_contact"))
+    return nm.named_assignments(seg, nm.cluster_names(lab, used_cols=sc.used_cols)).select("fk_contact", "cluster_id", "cluster_name")
 
 
 @register("l08_run_labeling")
