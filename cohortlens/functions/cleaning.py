@@ -167,24 +167,24 @@ def easter_sunday(year) -> Column:
     return F.make_date(y.cast("int"), month.cast("int"), day.cast("int"))
 
 
-def is_national_holiday(ts) -> Column:
-    """Fixed-date national holidays plus Good Friday (Easter - 2)."""
+def is_national_holiday(ts, easter=None) -> Column:
+    """Fixed-date national holidays plus Good Friday (Easter - 2); ``easter`` is Easter Sunday of the year if a column holds it."""
     d = F.to_date(_c(ts))
     fixed = F.date_format(d, "MM-dd").isin(*config.NATIONAL_HOLIDAYS)
     for day, first_year in config.NATIONAL_HOLIDAYS_SINCE.items():
         fixed = fixed | ((F.date_format(d, "MM-dd") == day) & (F.year(d) >= first_year))
-    good_friday = F.date_sub(easter_sunday(F.year(d)), 2)
+    good_friday = F.date_sub(easter_sunday(F.year(d)) if easter is None else _c(easter), 2)
     return F.coalesce(fixed | (d == good_friday), F.lit(False)).cast("int")
 
 
-def is_festive_period(ts) -> Column:
-    """National holiday, Christmas/New Year (12-20..01-05), June, or Carnival Tuesday +/- 2 days."""
+def is_festive_period(ts, easter=None) -> Column:
+    """National holiday, Christmas/New Year (12-20..01-05), June, or Carnival Tuesday +/- 2 days; ``easter`` as above."""
     d = F.to_date(_c(ts))
     xmas = ((F.month(d) == 12) & (F.dayofmonth(d) >= 20)) | ((F.month(d) == 1) & (F.dayofmonth(d) <= 5))
     june = F.month(d) == 6
-    carnival = F.date_sub(easter_sunday(F.year(d)), 47)
+    carnival = F.date_sub(easter_sunday(F.year(d)) if easter is None else _c(easter), 47)
     near_carnival = F.abs(F.datediff(d, carnival)) <= 2
-    return F.coalesce((is_national_holiday(d) == 1) | xmas | june | near_carnival, F.lit(False)).cast("int")
+    return F.coalesce((is_national_holiday(d, easter) == 1) | xmas | june | near_carnival, F.lit(False)).cast("int")
 
 
 # -- p13 - p18 ---------------------------------------------------------------

@@ -112,10 +112,12 @@ def with_festive_period(df: DataFrame, *, ts: str = "purchase_datetime", date: s
     Both are facts of the day, so a row without a clock time takes them from its date; NULL without a date.
     """
     day = F.coalesce(*[F.to_date(c) for c in (ts, date) if c in df.columns])
-    return df.withColumns({
-        "is_national_holiday": F.when(day.isNotNull(), fx.is_national_holiday(day)),
-        "is_festive_period": F.when(day.isNotNull(), fx.is_festive_period(day)),
-    })
+    # columns of their own: inside the flags each mention of the day and of Easter would be computed again, in a method too big to compile
+    known = df.withColumn("_day", day).withColumn("_easter", fx.easter_sunday(F.year("_day")))
+    return known.withColumns({
+        "is_national_holiday": F.when(F.col("_day").isNotNull(), fx.is_national_holiday("_day", "_easter")),
+        "is_festive_period": F.when(F.col("_day").isNotNull(), fx.is_festive_period("_day", "_easter")),
+    }).drop("_day", "_easter")
 
 
 # -- p13, p14, p16 -----------------------------------------------------------

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from .. import config
 from ..config import DEFAULT_SCHEMA, PurchaseSchema
 from ..functions import cleaning as fx
+from .cleaning import with_festive_period
 from .window import coerce_date, time_column
 
 QUARTERS = [1, 2, 3, 4]
@@ -178,11 +179,11 @@ def calendar_block(df: DataFrame, *, schema: PurchaseSchema = DEFAULT_SCHEMA, ts
     """
     s = schema
     t = ts or time_column(df, ts=s.ts, date_fallback=s.date)
-    col, day = F.col(t), F.coalesce(*[F.to_date(c) for c in (t, s.date) if c in df.columns])
-    festive = F.when(day.isNotNull(), fx.is_festive_period(day)).cast("double")
+    col, festive = F.col(t), F.col("is_festive_period").cast("double")
     shares = (share_aggs(F.month(col), range(1, 13), MONTH_NAMES) + share_aggs(fx.day_of_week(col), range(7), [f"pct_{d}" for d in config.WEEKDAY_NAMES])
               + share_aggs(fx.week_of_month(col), range(1, 6), WEEK_NAMES))
-    return df.where(F.col(s.contact).isNotNull()).groupBy(s.contact).agg(*shares, F.coalesce(F.avg(festive), F.lit(0.0)).alias("pct_festive_period"))
+    known = with_festive_period(df.where(F.col(s.contact).isNotNull()), ts=t, date=s.date)
+    return known.groupBy(s.contact).agg(*shares, F.coalesce(F.avg(festive), F.lit(0.0)).alias("pct_festive_period"))
 
 
 # -- a15, a16 ----------------------------------------------------------------
