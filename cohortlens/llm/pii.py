@@ -1,13 +1,13 @@
 """Personal data: base patterns with fixed checks, and boosted trees that add spans of looser forms.
 
 Everything is DataFrame code: regular expressions, array expressions and a CASE expression made from the trees; no
-Python runs on the executors and no row is shuffled but those of the training sample.
+Python runs on the executors and no row is shuffled but the distinct forms of labelled candidates.
 
 1. Base spans: leftmost non-overlapping matches of each kind, kept if they pass the kind's check.
 2. High-recall generators propose looser spans of each kind (they may overlap each other and the base ones), with
    features of their form and of their surroundings.
-3. Gradient-boosted trees (fitted on a bounded sample of candidates, ``SAMPLE_ROWS`` in hash order, shared among the kinds and
-   labels so that a frequent one leaves room for the others, and weighted back within each kind) score them. A candidate
+3. Gradient-boosted trees (fitted on all candidates with a label, equal ones as one weighted row; kinds beyond their share of
+   ``BALANCE_ROWS`` weigh as that share, so that a frequent one leaves room for the others) score them. A candidate
    that overlaps a base span of its kind is an example; one that overlaps a base span of another kind, or whose digits fail
    its kind's check, is a counter-example; the rest are unlabelled. The checks themselves are no features.
 4. Per kind, the least score from ``LEAST_SCORE`` on whose precision on the calibration fold reaches ``PRECISION`` is the threshold;
@@ -25,10 +25,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .common import hash_below, let
+from .common import let
 
 KINDS = ["email", "ip", "card", "phone"]
-SAMPLE_ROWS = 20_000
+BALANCE_ROWS = 20_000           # total weight of the training table, dealt over kinds and labels
+SAMPLE_ROWS = BALANCE_ROWS      # the name of old: every labelled candidate counts
+MAX_BINS = 512                  # more than a feature has values: every value may be a split
+SCORE_STEPS = 10_000            # thresholds are multiples of 1 / SCORE_STEPS
 PRECISION, LEAST_SCORE = 0.95, 0.5
 BLOCK = 256                     # matches per inner aggregate, so that long lists are not copied match by match
 LEFT, RIGHT = 32, 16            # characters of context
@@ -192,25 +195,22 @@ def shares(totals: dict, n: int) -> dict:
     return out
 
 
-def sample(rows: DataFrame, n: int) -> DataFrame:
-    """At most ``n`` of the labelled candidates, by kind and label those with about the least hashes, with the ``weight`` of each.
+def training_table(rows: DataFrame, n: int) -> DataFrame:
+    """Every labelled candidate, equal ones as one row: c (k and the features f), label, calibrate and ``weight``.
 
-    A weight is the share of the label in its kind over that in the sample, so a kind's rows keep their mix and mean 1.
+    A row weighs as its candidates together; kinds with more than their share of ``n`` weigh as that share, so that a frequent kind
+    leaves room for the others. A kind's rows keep their mix.
     """
-    totals = {(r["k"], r["label"]): r["count"] for r in rows.groupBy("c.k", "label").count().collect()}      # kinds x labels rows
-    held = {g: m for g, m in shares(totals, n).items() if m}
-    key = F.struct("id", "c.s", "c.k")
-    of = lambda g: (F.col("c.k") == g[0]) & (F.col("label") == g[1])
-    thin = reduce(lambda a, b: a | b, [of(g) & hash_below(key, 1.1 * m / totals[g]) for g, m in held.items()], F.lit(False))
-    thin = cut_lineage(rows.filter(thin), "pii_thin")
+    known = cut_lineage(rows.groupBy("c.k", "label", "calibrate", "c.f").agg(F.count(F.lit(1)).alias("count")), "pii_forms")
+    totals = {(r["k"], r["label"]): r["n"] for r in known.groupBy("k", "label").agg(F.sum("count").alias("n")).collect()}      # kinds x labels rows
+    held = shares(totals, n)
     kind = lambda of_, k: sum(m for g, m in of_.items() if g[0] == k)
-    parts = [thin.filter(of(g)).orderBy(F.xxhash64(key), "id", "c.s", "c.k", "c.e").limit(m)
-             .withColumn("weight", F.lit(totals[g] / m * kind(held, g[0]) / kind(totals, g[0]))) for g, m in held.items()]
-    return reduce(DataFrame.union, parts, thin.limit(0).withColumn("weight", F.lit(1.0)))
+    weight = F.element_at(F.array(*[F.lit(kind(held, k) / max(1, kind(totals, k))) for k in range(len(KINDS))]), F.col("k") + 1)
+    return known.select(F.struct("k", "f").alias("c"), "label", "calibrate", (F.col("count") * weight).alias("weight"))
 
 
-def fit_scorer(found: DataFrame, sample_rows: int = SAMPLE_ROWS) -> tuple[str, list[float]]:
-    """(SQL expression of a candidate's probability, threshold of each kind) from a bounded sample of candidates.
+def fit_scorer(found: DataFrame, balance_rows: int = BALANCE_ROWS) -> tuple[str, list[float]]:
+    """(SQL expression of a candidate's probability, threshold of each kind) from all labelled candidates.
 
     If the fitting fold has one label only, all candidates score as that label. A kind has threshold 2 (nothing is added) if
     no score of its calibration fold is precise.
@@ -219,18 +219,19 @@ def fit_scorer(found: DataFrame, sample_rows: int = SAMPLE_ROWS) -> tuple[str, l
         return F.exists("base", lambda b: ((b["k"] == F.col("c.k")) == F.lit(same_kind)) & (b["s"] < F.col("c.e")) & (b["e"] > F.col("c.s")))
     label = F.when(touches(True), 1.0).when(touches(False) | ~F.col("c.v"), 0.0)
     rows = (found.filter(F.size("cands") > 0).select("id", "base", F.explode("cands").alias("c"))
-            .select("id", "c", label.alias("label")).filter("label IS NOT NULL"))
-    rows = cut_lineage(sample(rows, sample_rows).select("c", "label", "weight", (F.pmod(F.xxhash64("id"), F.lit(5)) == 0).alias("calibrate")), "pii_sample")
+            .select("c", label.alias("label"), (F.pmod(F.xxhash64("id"), F.lit(5)) == 0).alias("calibrate")).filter("label IS NOT NULL"))
+    rows = training_table(rows, balance_rows)
     fit = rows.filter(~F.col("calibrate"))
     labels = [r["label"] for r in fit.select("label").distinct().collect()]                           # two at most
     if len(labels) < 2:
         score = f"{max(labels, default=0.0)!r}D"
     else:
         vectors = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(fit.select("label", "weight", "c.f.*")).select("label", "weight", "features")
-        model = GBTClassifier(maxIter=12, maxDepth=3, stepSize=0.3, seed=11, weightCol="weight").fit(vectors)
+        model = GBTClassifier(maxIter=12, maxDepth=3, stepSize=0.3, seed=11, weightCol="weight", maxBins=MAX_BINS).fit(vectors)
         margin = " + ".join(f"{float(w)!r}D * ({_sql_tree(t._java_obj.rootNode())})" for t, w in zip(model.trees, model.treeWeights))
         score = f"1 / (1 + exp(-2 * ({margin})))"
-    held = rows.filter("calibrate").select("c.k", "label", "weight", F.expr(score).cast("double").alias("p")).collect()       # sample_rows rows at most
+    p = F.floor(F.expr(score).cast("double") * SCORE_STEPS) / SCORE_STEPS
+    held = rows.filter("calibrate").select("c.k", "label", "weight", p.alias("p")).groupBy("k", "label", "p").agg(F.sum("weight").alias("weight")).collect()   # SCORE_STEPS rows a kind and label at most
     return score, [threshold([(r["p"], r["label"], r["weight"]) for r in held if r["k"] == k]) for k in range(len(KINDS))]
 
 
@@ -269,7 +270,7 @@ def _added(scorer: str, thresholds: list[float]) -> Column:
         a -> transform(CASE WHEN a.pend IS NOT NULL THEN concat(a.out, array(a.pend)) ELSE a.out END, x -> named_struct('s', x.s, 'k', x.k, 'e', x.e)))""")
 
 
-def all_spans(found: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
+def all_spans(found: DataFrame, sample_rows: int = BALANCE_ROWS) -> DataFrame:
     """``found`` with ``spans``: base and added spans (s, k, e), sorted."""
     scorer, thresholds = fit_scorer(found, sample_rows)
     spans = F.when(F.size("cands") > 0, F.array_sort(F.concat("base", _added(scorer, thresholds)))).otherwise(F.col("base"))
@@ -285,7 +286,7 @@ def _of(kind: int):
     return lambda x: x["k"] == kind
 
 
-def detect(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample_rows: int = SAMPLE_ROWS) -> DataFrame:
+def detect(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample_rows: int = BALANCE_ROWS) -> DataFrame:
     """One row per input row: id, ``n_email``, ``n_ip``, ``n_card``, ``n_phone``, ``base_sha256``, ``spans``, ``n_added``.
 
     Counts and digest are of the base spans; ``spans`` also has the added ones. Null and empty texts have none (the
@@ -298,7 +299,7 @@ def detect(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", samp
                        _joined("spans").alias("spans"), (F.size("spans") - F.size("base")).cast("long").alias("n_added"))
 
 
-def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample_rows: int = SAMPLE_ROWS) -> DataFrame:
+def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample_rows: int = BALANCE_ROWS) -> DataFrame:
     """``docs`` with every span of its texts replaced by ``[EMAIL]``, ``[IP]``, ``[CARD]`` or ``[PHONE]``.
 
     Overlapping spans become one, named after the first. All other columns and null texts stay as they are.
