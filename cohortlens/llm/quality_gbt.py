@@ -1,8 +1,8 @@
 """Quality rules: gradient-boosted trees over document statistics, monotone in chosen features.
 
-Statistics come from whole texts, one pass. The trees are fitted on the driver on a bounded sample of
-labelled rows (``SAMPLE_ROWS`` rows in hash order of the id), flattened into node arrays, and score all
-documents with a few numpy steps per tree level.
+Statistics come from whole texts, one pass. The trees are fitted on all labelled rows: each level of a tree is a
+scan of their binned statistics that adds up histograms in the tasks, and the driver picks the splits. They are flattened into
+node arrays and score all documents with a few numpy steps per tree level.
 """
 
 from __future__ import annotations
@@ -14,11 +14,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.quantiles import quantile
 from ..session import cut_lineage
-from .common import hash_sample, slices
+from .common import slices
 from .docstats import COUNTS, RATIOS, batch_stats
 
-SAMPLE_ROWS = 20_000
+N_BINS = 64
+UNIT = 1 << 24
+ROWS_A_TASK = 25_000
+KEEP = 0.998                            # of the good rows held out
 BATCH_BYTES = 4 << 20
 #: More of these never raises the score.
 MONOTONE = {"symbols_per_word": -1, "dup_line_share": -1, "repeat_share": -1}
@@ -65,60 +69,102 @@ def _best_split(g, h, lo, hi, sign, ridge, least):
     return (gain[i], i, wl[i], wr[i]) if len(gain) and gain[i] > 1e-9 else None
 
 
-def fit(x: np.ndarray, y: np.ndarray, names=FEATURES, monotone=MONOTONE, n_trees: int = 60, depth: int = 3, shrink: float = 0.15,
-        n_bins: int = 64, ridge: float = 1.0, least: float = 2.0) -> Trees:
-    """Histogram gradient boosting with logistic loss.
+@dataclass
+class Nodes:
+    """The trees of a fit so far (the last one may grow): as ``Trees``, with bin numbers as cuts."""
+
+    base: float
+    shrink: float
+    depth: int
+    roots: list[int]
+    feature: np.ndarray
+    cut: np.ndarray
+    left: np.ndarray
+    right: np.ndarray
+    value: np.ndarray
+
+    def sums(self, binned: np.ndarray, y: np.ndarray, open_nodes: list[int], n_bins: int) -> np.ndarray:
+        """Sums of gradients and of curvatures by open node, feature and bin, over all rows of ``binned``."""
+        margin, row = np.full(len(y), self.base), np.arange(len(y))
+        for root in self.roots:
+            node = np.full(len(y), root)
+            for _ in range(self.depth):
+                node = np.where(binned[row, self.feature[node]] <= self.cut[node], self.left[node], self.right[node])
+            if root != self.roots[-1]:
+                margin += self.shrink * self.value[node]
+        prob = 1 / (1 + np.exp(-margin))
+        g, h = prob - y, np.maximum(prob * (1 - prob), 1e-9)
+        out = np.zeros((len(open_nodes), binned.shape[1], n_bins, 2))
+        for i, at in enumerate(open_nodes):
+            rows = node == at
+            for f in range(binned.shape[1]):
+                b = binned[rows, f]
+                out[i, f, :, 0], out[i, f, :, 1] = np.bincount(b, g[rows], n_bins), np.bincount(b, h[rows], n_bins)
+        return out
 
-    A split on a monotone feature is taken only if its leaf values are in order, and both subtrees are
-    then kept on their side of the middle, so the sum of the trees is monotone in that feature. Fewer
-    than two classes (or no rows): no trees, the score is the (smoothed) share of label 1.
+
+def grow(edges: list[np.ndarray], n_good: float, n: int, sums, names=FEATURES, monotone=MONOTONE, n_trees: int = 60, depth: int = 3,
+         shrink: float = 0.15, ridge: float = 1.0, least: float = 2.0) -> Trees:
+    """Histogram gradient boosting with logistic loss on ``n`` rows, ``n_good`` of them with label 1.
+
+    ``sums(nodes, open, bins)`` gives ``Nodes.sums`` over all rows; it is asked once per level of a tree. A split on a monotone feature
+    is taken only if its leaf values are in order, and both subtrees are then kept on their side of the middle, so the sum of the trees
+    is monotone in that feature. Fewer than two classes (or no rows): no trees, the score is the (smoothed) share of label 1.
     """
-    p = (y.sum() + 0.5) / (len(y) + 1.0)
+    p = (n_good + 0.5) / (n + 1.0)
     out = Trees(base=float(np.log(p / (1 - p))), shrink=shrink, depth=depth)
-    if len(y) == 0 or y.min() == y.max():
+    if n == 0 or n_good in (0, n):
         return out
-    edges = [np.unique(np.quantile(c, np.linspace(0, 1, n_bins + 1)[1:-1])) for c in x.T]
-    binned = np.stack([np.searchsorted(e, c, side="left") for e, c in zip(edges, x.T)], 1)
-    feature, split, left, right, value = [], [], [], [], []
+    feature, split, cut, left, right, value = [], [], [], [], [], []
+    n_bins = max(len(e) for e in edges) + 1
 
     def new(v):
-        for a, b in ((feature, 0), (split, 0.0), (left, len(value)), (right, len(value)), (value, v)):
+        for a, b in ((feature, 0), (split, 0.0), (cut, 0), (left, len(value)), (right, len(value)), (value, v)):
             a.append(b)
         return len(value) - 1
-    margin = np.full(len(y), out.base)
     for _ in range(n_trees):
-        prob = 1 / (1 + np.exp(-margin))
-        g, h = prob - y, np.maximum(prob * (1 - prob), 1e-9)
         root = new(0.0)
         out.roots.append(root)
-        open_nodes, at = [(root, np.arange(len(y)), -np.inf, np.inf)], np.full(len(y), root)
+        open_nodes = [(root, -np.inf, np.inf)]
         for _ in range(depth):
+            if not open_nodes:
+                break
+            so_far = Nodes(out.base, shrink, depth, out.roots, *(np.array(a) for a in (feature, cut, left, right, value)))
             below = []
-            for node, rows, lo, hi in open_nodes:
+            for (node, lo, hi), found_sums in zip(open_nodes, sums(so_far, [o[0] for o in open_nodes], n_bins)):
                 best = None
                 for f, e in enumerate(edges):
-                    b = binned[rows, f]
-                    found = _best_split(np.bincount(b, g[rows], len(e) + 1), np.bincount(b, h[rows], len(e) + 1), lo, hi,
-                                        monotone.get(names[f], 0), ridge, least)
+                    g, h = found_sums[f, :len(e) + 1].T
+                    found = _best_split(g, h, lo, hi, monotone.get(names[f], 0), ridge, least)
                     if found and (best is None or found[0] > best[0][0]):
                         best = found, f
                 if best is None:
                     continue
                 (_, i, wl, wr), f = best
-                feature[node], split[node], left[node], right[node] = f, float(edges[f][i]), new(wl), new(wr)
+                feature[node], split[node], cut[node], left[node], right[node] = f, float(edges[f][i]), i, new(wl), new(wr)
                 sign, mid = monotone.get(names[f], 0), (wl + wr) / 2
-                goes = binned[rows, f] <= i
-                at[rows[goes]], at[rows[~goes]] = left[node], right[node]
-                below.append((left[node], rows[goes], mid if sign < 0 else lo, mid if sign > 0 else hi))
-                below.append((right[node], rows[~goes], mid if sign > 0 else lo, mid if sign < 0 else hi))
+                below.append((left[node], mid if sign < 0 else lo, mid if sign > 0 else hi))
+                below.append((right[node], mid if sign > 0 else lo, mid if sign < 0 else hi))
             open_nodes = below
-        margin += shrink * np.array(value)[at]
+        if left[root] == root:                  # no split is worth it, nor would be in the next tree
+            break
     out.feature, out.split, out.left = np.array(feature), np.array(split), np.array(left)
     out.right, out.value = np.array(right), np.array(value)
     return out
 
 
-def fit_with_threshold(x: np.ndarray, y: np.ndarray, keep: float = 0.998, **options) -> Trees:
+def _binned(x: np.ndarray, edges: list[np.ndarray]) -> np.ndarray:
+    return np.stack([np.searchsorted(e, c, side="left") for e, c in zip(edges, x.T)], 1)
+
+
+def fit(x: np.ndarray, y: np.ndarray, names=FEATURES, n_bins: int = N_BINS, **options) -> Trees:
+    """``grow`` on rows in memory."""
+    edges = [np.unique(np.quantile(c, np.linspace(0, 1, n_bins + 1)[1:-1])) for c in x.T] if len(y) else []
+    binned = _binned(x, edges) if len(y) else x
+    return grow(edges, y.sum(), len(y), lambda nodes, at, bins: nodes.sums(binned, y, at, bins), names, **options)
+
+
+def fit_with_threshold(x: np.ndarray, y: np.ndarray, keep: float = KEEP, **options) -> Trees:
     """Fit on four fifths; the verdict's threshold keeps the share ``keep`` of the good rows of the rest (0.5 at most)."""
     held = np.arange(len(y)) % 5 == 0
     model = fit(x[~held], y[~held], **options)
@@ -127,6 +173,60 @@ def fit_with_threshold(x: np.ndarray, y: np.ndarray, keep: float = 0.998, **opti
     return model
 
 
+def _features(part: pa.RecordBatch) -> np.ndarray:
+    return np.stack([part.column(n).to_numpy(zero_copy_only=False) for n in FEATURES], 1)
+
+
+def fit_table(rows: DataFrame, n_bins: int = N_BINS, **options) -> Trees:
+    """``grow`` on all rows (label and ``FEATURES``) of a table: a scan of their bins per level of a tree.
+
+    Bins come from quantile sketches of all rows, sums per node, feature and bin come back from each scan (their number does not
+    follow the rows).
+    """
+    ask = np.linspace(0, 1, n_bins + 1)[1:-1].tolist()
+    counts = rows.agg(F.count("label").alias("n"), F.sum("label").alias("good"), *[F.percentile_approx(c, ask, 10_000).alias(c) for c in FEATURES]).first()
+    n, good = counts["n"], counts["good"] or 0.0
+    if n == 0 or good in (0, n):
+        return grow([], good, n, None, **options)
+    edges = [np.unique(counts[c]) for c in FEATURES]
+    names = [f"b{i}" for i in range(len(FEATURES))]
+
+    def to_bins(batches):
+        for part in batches:
+            b = _binned(_features(part), edges).astype(np.int16)
+            yield pa.RecordBatch.from_arrays([part.column("label"), *(pa.array(c) for c in b.T)], ["label", *names])
+    bins = rows.select("label", *FEATURES).mapInArrow(to_bins, "label double, " + ", ".join(f"{c} short" for c in names))
+    bins = cut_lineage(bins.coalesce(-(-n // ROWS_A_TASK)), "rule_bins")          # scanned once per level: few tasks, growing with the rows
+
+    def sums(nodes, at, n_bins):
+        def work(batches):
+            total = np.zeros((len(at), len(names), n_bins, 2))
+            for part in batches:
+                b = np.stack([part.column(c).to_numpy(zero_copy_only=False) for c in names], 1)
+                total += nodes.sums(b, part.column("label").to_numpy(zero_copy_only=False), at, n_bins)
+            flat = np.rint(total.reshape(-1, 2) * UNIT).astype(np.int64)             # whole numbers: the sum is the same in any order
+            cell = np.flatnonzero(flat.any(1))
+            yield pa.RecordBatch.from_arrays([pa.array(cell), pa.array(flat[cell, 0]), pa.array(flat[cell, 1])], ["cell", "g", "h"])
+        out = np.zeros((len(at) * len(names) * n_bins, 2))
+        for r in bins.mapInArrow(work, "cell long, g long, h long").groupBy("cell").agg(F.sum("g").alias("g"), F.sum("h").alias("h")).collect():
+            out[r["cell"]] = r["g"] / UNIT, r["h"] / UNIT
+        return out.reshape(len(at), len(names), n_bins, 2)
+    return grow(edges, good, n, sums, **options)
+
+
+def least_kept(good: DataFrame, model: Trees, keep: float = KEEP) -> float:
+    """The score that the share ``keep`` of the rows of ``good`` reach (0.5 at most; 0 without rows)."""
+    def score(batches):
+        for part in batches:
+            yield pa.RecordBatch.from_arrays([pa.array(model.probability(_features(part)))], ["p"])
+    scores = good.select(*FEATURES).mapInArrow(score, "p double")
+    n = scores.count()
+    if n == 0:
+        return 0.0
+    rank = int((1 - keep) * (n - 1))            # the quantile of a whole rank is a row's score, up to rounding
+    return min(0.5, quantile(scores, "p", rank / max(1, n - 1)).first()["value"] * (1 - 1e-9))
+
+
 def statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id and all statistics of every whole text, one row per input row."""
     names = COUNTS + RATIOS
@@ -139,12 +239,14 @@ def statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(compute, schema)
 
 
-def train(stats: DataFrame, labels: DataFrame, label_col: str = "quality", sample_rows: int = SAMPLE_ROWS, id_col: str = "doc_id") -> Trees:
-    """Fit on at most ``sample_rows`` labelled rows, the first in hash order of the id (null labels are left out)."""
+def train(stats: DataFrame, labels: DataFrame, label_col: str = "quality", id_col: str = "doc_id") -> Trees:
+    """Fit on all labelled rows but a fifth by hash of the id, whose good rows give the verdict's threshold (null labels are left out)."""
     known = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("double").alias("label")).filter("id IS NOT NULL AND label IS NOT NULL")
     joined = known.join(stats.withColumnRenamed(id_col, "id"), "id")
-    rows = hash_sample(joined, sample_rows, F.col("id"), "id", "label", *FEATURES).select("label", *FEATURES).toPandas().to_numpy(float)
-    return fit_with_threshold(rows[:, 1:], rows[:, 0])
+    rows = cut_lineage(joined.select("label", *FEATURES, (F.pmod(F.xxhash64("id"), F.lit(5)) == 0).alias("held")), "rule_rows")
+    model = fit_table(rows.filter("NOT held"))
+    model.threshold = least_kept(rows.filter("held AND label = 1"), model)
+    return model
 
 
 def base_failed(s: np.ndarray) -> np.ndarray:
