@@ -66,22 +66,25 @@ def moments(vectors: DataFrame, sets, x: str = "x") -> list[Moments]:
     """``Moments`` of each of ``sets`` (k x d centre matrices; ties go to the first centre) in one scan."""
     flat, width, start = _flat(sets)
     n_all, d = flat.shape
-    parts = _parts(max(1, CHUNK_CELLS // n_all))
+    parts = _parts(max(1, CHUNK_CELLS // 4 // n_all))
 
     def work(batches):
-        half = (flat * flat).sum(1)
-        n, sums, sq, cost = np.zeros(n_all), np.zeros((n_all, d)), np.zeros(n_all), np.zeros(n_all)
+        half, twice = (flat * flat).sum(1)[:, None], -2 * flat
+        total, cost = np.zeros((n_all, d + 2)), np.zeros(n_all)
         for part, _ in parts(batches):
-            norm, rows = (part * part).sum(1), np.arange(len(part))
-            score = half - 2 * part @ flat.T
-            near = np.zeros_like(score)
+            norm = (part * part).sum(1)
+            score = twice @ part.T + half                                      # a row per centre: whole rows are compared
+            near = np.empty_like(score)
             for s, w in zip(start, width):
-                label = score[:, s:s + w].argmin(1)
-                near[rows, s + label] = 1
-                cost[s:s + w] += np.bincount(label, np.maximum(norm + score[rows, s + label], 0), w)
-            n += near.sum(0)
-            sums += near.T @ part
-            sq += near.T @ norm
+                best = score[s:s + w].min(0)
+                own = np.equal(score[s:s + w], best, out=near[s:s + w], casting="unsafe")
+                if own.sum() != len(part):                                     # ties go to the first centre
+                    label = score[s:s + w].argmin(0)
+                    own[:] = 0
+                    own[label, np.arange(len(part))] = 1
+                cost[s:s + w] += own @ np.maximum(norm + best, 0)
+            total += near @ np.concatenate([part, norm[:, None], np.ones((len(part), 1))], 1)
+        sums, sq, n = total[:, :d], total[:, d], total[:, d + 1]
         at = np.flatnonzero(n)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(n[at]), pa.array(sq[at]), pa.array(cost[at]), *(pa.array(sums[at, j]) for j in range(d))],
                                          ["c", "n", "sq", "cost", *(f"s{j}" for j in range(d))])
