@@ -163,7 +163,8 @@ def s10(spark, sf, field="centroids_z"):
     sc, z, f = z_wide(spark, sf)
     seg = segments(spark, sf, f)
     zcols = [f"{c}{sc.suffix}" for c in sc.used_cols]
-    cz = z.join(seg, "fk_contact").groupBy("cluster_id").agg(*[F.avg(c).alias(c) for c in zcols])
+    # the document reads the centroids twice: the join and its means run once
+    cz = cut_lineage(z.join(seg, "fk_contact").groupBy("cluster_id").agg(*[F.avg(c).alias(c) for c in zcols]), "centroids")
     doc = sinks.centroid_document(cz, used_cols=sc.used_cols, model_name="segment",
                                   centroids_unstd=sc.inverse(cz).select("cluster_id", *sc.used_cols),
                                   stats=sc.to_df(spark), meta={"build_date": BUILD_DATE, "model_version": "v1"})
