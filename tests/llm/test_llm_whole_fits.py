@@ -35,7 +35,10 @@ def test_rules_learn_from_every_labelled_row(spark, monkeypatch):
         return fit_table(rows, n_trees=4, **options)
     monkeypatch.setattr(quality_gbt, "fit_table", spied)
     labels = stats.select("doc_id", good.alias("quality"))
-    model = quality_gbt.train(stats, labels)
+    near = quality_gbt.train(stats, labels)
+    monkeypatch.setattr(quality_gbt, "DRIVER_ROWS", 0)
+    model = quality_gbt.train(stats, labels)                # the same from scans as from rows on the driver
+    assert (near.split == model.split).all() and np.allclose(near.value, model.value, atol=1e-4) and abs(near.threshold - model.threshold) < 1e-4
     held = labels.join(stats, "doc_id").filter(F.pmod(F.xxhash64("doc_id"), F.lit(5)) == 0).toPandas()
     assert asked[0].count() + len(held) == n
     rows = asked[0].toPandas()
