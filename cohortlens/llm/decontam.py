@@ -27,6 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import small_batches
 from .common import broadcast_value, received, slices, texts_of
 
 Q, UNIT, STRETCH = 10, 96, 48
@@ -390,6 +391,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     nothing. Repeated rows and null ids are rows like any other; other columns are ignored. Empty input gives an
     empty result.
     """
+    small_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.array().cast("array<string>").alias("found"))
     for index in benchmark_indexes(benchmark) + short_indexes(benchmark):
         shared = broadcast_value(docs.sparkSession, index)           # bounded by BLOCK_CHARS
@@ -414,6 +416,7 @@ def benchmark_id_type(benchmark: DataFrame, id_col: str = "item_id") -> str:
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` (all columns as they are) in which no benchmark region is found."""
+    small_batches(docs.sparkSession)
     for index in benchmark_indexes(benchmark) + short_indexes(benchmark):
         shared = broadcast_value(docs.sparkSession, index)
 

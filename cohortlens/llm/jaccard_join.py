@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
+from ..session import cut_lineage, small_batches
 from .common import bitmap, in_bitmap, slices, words
 from .components import components
 
@@ -259,6 +259,7 @@ def jaccard_join(docs: DataFrame, threshold: Fraction = THRESHOLD, id_col: str =
     of each other; a null id counts as a row, and a class of null ids only has a null class id. Other columns are ignored.
     Empty input gives an empty result.
     """
+    small_batches(docs.sparkSession)
     least = least_matches(float(threshold))
     rows = cut_lineage(signatures(docs, id_col, text_col), "signatures")
     texts = rows.groupBy("tid").agg(F.count("*").alias("copies"), F.min("id").alias("least_id"),
@@ -309,6 +310,7 @@ def one_of_each(docs: DataFrame, joined: DataFrame, id_col: str = "doc_id", text
 
     Rows without an id cannot be told apart by it; they stay if their class has no id, else they go with their class.
     """
+    small_batches(docs.sparkSession)
     again = joined.groupBy(id_col).agg(F.count("*").alias("n"), F.bool_or(~F.col("class_id").eqNullSafe(F.col(id_col))).alias("other")).filter("n > 1 OR other")
     bits = docs.sparkSession.sparkContext.broadcast(bitmap(again.select(F.xxhash64(id_col))))
 

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.quantiles import quantile
-from ..session import cut_lineage
+from ..session import cut_lineage, small_batches
 from .common import slices
 from .docstats import COUNTS, RATIOS, batch_stats
 
@@ -233,6 +233,7 @@ def least_kept(good: DataFrame, model: Trees, keep: float = KEEP) -> float:
 
 def statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id and all statistics of every whole text, one row per input row."""
+    small_batches(docs.sparkSession)
     names = COUNTS + RATIOS
     schema = f"`{id_col}` {docs.schema[id_col].dataType.simpleString()}, " + ", ".join(f"{n} double" for n in names)
 
@@ -288,6 +289,8 @@ def quality_rules(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
 
 def keep_documents(docs: DataFrame, model: Trees, text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` (all columns as they are) that the base rule and the model keep."""
+    small_batches(docs.sparkSession)
+
     def keep(batches):
         for part in slices(batches, text_col, BATCH_BYTES):
             s = batch_stats(part.column(text_col))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -11,6 +12,10 @@ from pyspark.sql import DataFrame, SparkSession
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 _FALLBACK: dict = {}     # sessions where the conf could not be set (tests only: the cluster sets it)
 
+#: Whole texts come from Parquet in so many rows and go to Python in so many bytes at once (Spark: 4096 rows, 64 MB). A
+#: task holds a few such batches beside its heap, and memory that an executor has once taken for them it mostly keeps.
+BATCH_CONFS = {"spark.sql.execution.arrow.maxBytesPerBatch": 2 << 20, "spark.sql.parquet.columnarReaderBatchSize": 512}
+
 
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str = "cohortlens") -> SparkSession:
     """A local session configured like the cluster one (AQE on, UI off).
@@ -60,6 +65,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Bound the session's batches by ``BATCH_CONFS``; smaller settings stay. Batches have no influence on results."""
+    for key, most in BATCH_CONFS.items():
+        number, unit = re.fullmatch(r"(-?\d+)([kmgt]?)i?b?", spark.conf.get(key).strip().lower()).groups()
+        if not 0 < int(number) << (10 * " kmgt".index(unit or " ")) <= most:
+            spark.conf.set(key, str(most))
+
+
 def cut_lineage(df: DataFrame, name: str = "table") -> DataFrame:
     """Write ``df`` once as Parquet under the shared checkpoint folder and read it back.
 
